@@ -90,6 +90,25 @@ class Metric:
     pairwise: Callable[[list, list], np.ndarray]
     feature: Callable[[list], np.ndarray]
     reach: Callable[[float], float]
+    vectorized: bool = True
+
+    def within(self, xs: list, ys: list, cut: float) -> np.ndarray:
+        """Distances below ``cut``; other entries are infinite.
+
+        A distance computed pair by pair is left out where the features already exclude it.
+        """
+        if not len(xs) or not len(ys):
+            return np.full((len(xs), len(ys)), np.inf)
+        if self.vectorized:
+            m = self.pairwise(xs, ys)
+            return np.where(m < cut, m, np.inf)
+        gap = np.abs(self.feature(xs)[:, None] - self.feature(ys)[None, :])
+        out = np.full(gap.shape, np.inf)
+        for i, j in zip(*np.nonzero(gap <= self.reach(cut) * (1 + 1e-9))):
+            d = self.pairwise([xs[i]], [ys[j]])[0, 0]
+            if d < cut:
+                out[i, j] = d
+        return out
 
 
 def _matrix(fn: Callable) -> Callable[[list, list], np.ndarray]:
@@ -128,7 +147,7 @@ def ordered_rmsd(normalized: bool = False, transposed: bool = False) -> Metric:
         xs = [_points(p) for p in ps]
         return np.array([_spread(x) / (np.sqrt(len(x)) if normalized and len(x) else 1.0) for x in xs])
 
-    return Metric(_matrix(one), feature, lambda t: t)
+    return Metric(_matrix(one), feature, lambda t: t, vectorized=False)
 
 
 def permuted_rmsd() -> Metric:
@@ -141,6 +160,7 @@ def permuted_rmsd() -> Metric:
         _matrix(lambda p, q: conformer_rmsd(*_atoms(p), *_atoms(q))),
         lambda ps: np.array([_spread(_atoms(p)[1]) for p in ps]),
         lambda t: t,
+        vectorized=False,
     )
 
 

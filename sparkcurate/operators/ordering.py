@@ -39,45 +39,44 @@ def keep_first(
     return joined.withColumn(status, F.when(dup, later).otherwise(first)).drop("_k", "_first")
 
 
-def number_rows(
-    df: DataFrame, order: list[str], out: str = "row_no", slices: int | None = None
+def number_rows(df: DataFrame, order: list[str], out: str = "row_no", slices: int | None = None) -> DataFrame:
+    """Consecutive numbers 1..N over the whole table in ``order``, without one global task."""
+    return running_total(df, order, F.lit(1).cast("bigint"), out, slices)
+
+
+def running_total(
+    df: DataFrame, order: list[str], value: Column, out: str, slices: int | None = None
 ) -> DataFrame:
-    """Consecutive numbers 1..N over the whole table in ``order``, without one global task.
+    """Running sum of ``value`` over the whole table in ``order`` (unique), without one global task.
 
-    The first order column is cut at sampled bounds into slices; slices are counted, their
-    counts become offsets, and rows are numbered inside their slice. The bounds only
-    balance the work: any bounds give the same numbers. A first column that is the same
-    for many rows keeps them in one slice, so bounds compare the whole order struct.
+    The order is cut at sampled bounds into slices; the sums of the slices before become
+    offsets, and each slice sums inside itself. The bounds only balance the work: any
+    bounds give the same totals. They compare the whole order struct, so a first column
+    that is equal for many rows does not keep those rows together.
     """
-    spark = df.sparkSession
-    slices = slices or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    slices = slices or max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     key = F.struct(*order)
     sample = (
-        df.select(key.alias("k"))
-        .withColumn("r", F.xxhash64("k"))
-        .orderBy("r")
-        .limit(40 * slices)
-        .orderBy("k")
-        .collect()
+        df.select(*order).withColumn("_r", F.xxhash64(*order)).orderBy("_r").limit(40 * slices)
+        .orderBy(*order).drop("_r").collect()
     )
     step = max(1, len(sample) // slices)
-    cuts = [row["k"] for row in sample[step::step]][: slices - 1]
-    if not cuts:
-        return df.withColumn(out, F.row_number().over(Window.orderBy(*order)))
+    cuts = sample[step::step][: slices - 1]
     types = {f.name: f.dataType for f in df.select(*order).schema.fields}
     bounds = F.array(
         *[F.struct(*[F.lit(c[o]).cast(types[o]).alias(o) for o in order]) for c in cuts]
     )
-    placed = df.withColumn("_slice", F.size(F.filter(bounds, lambda c: c <= key)))
-    counts = placed.groupBy("_slice").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_slice", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    local = F.row_number().over(Window.partitionBy("_slice").orderBy(*order))
+    at = F.size(F.filter(bounds, lambda c: c <= key)) if cuts else F.lit(0)
+    placed = df.withColumn("_v", value).withColumn("_slice", at)
+    sums = placed.groupBy("_slice").agg(F.sum("_v").alias("_s"))
+    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select("_slice", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy("_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        placed.withColumn("_local", local)
-        .join(F.broadcast(offsets), "_slice")
+        placed.withColumn("_local", F.sum("_v").over(inside))
+        .join(F.broadcast(offsets), "_slice")  # one row per slice
         .withColumn(out, F.col("_off") + F.col("_local"))
-        .drop("_slice", "_local", "_off")
+        .drop("_slice", "_local", "_off", "_v")
     )
 
 
