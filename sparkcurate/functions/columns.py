@@ -73,8 +73,8 @@ def thousandths(x: Column | str) -> Column:
     whole = F.floor(a)
     frac = a - whole
     shift = F.when(frac < 0.5, F.lit(2.0**63)).otherwise(F.lit(2.0**62))
-    unit = F.when(frac < 0.5, F.lit(2**63).cast("decimal(20,0)")).otherwise(
-        F.lit(2**62).cast("decimal(20,0)")
+    unit = F.when(frac < 0.5, F.lit(str(2**63)).cast("decimal(20,0)")).otherwise(
+        F.lit(str(2**62)).cast("decimal(20,0)")
     )
     scaled_frac = (frac * shift).cast("bigint").cast("decimal(20,0)")
     milli = (scaled_frac * F.lit(1000).cast("decimal(4,0)")).cast("decimal(25,0)")
