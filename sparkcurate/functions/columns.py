@@ -5,7 +5,7 @@ Everything here stays inside the JVM; no function in this module uses a Python U
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, functions as F
 
@@ -21,6 +21,15 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, with the value computed once.
+
+    A Column used inside a lambda is computed again for every element; a lambda variable
+    is not.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 # -- nulls ---------------------------------------------------------------------
 
 
@@ -171,29 +180,20 @@ def hill_formula(symbols: Column | str, carbon_first_always: bool = False) -> Co
     ``carbon_first_always`` puts hydrogen in front even without carbon, the form used
     for fragment formulas.
     """
-    symbols = col(symbols)
-    has_c = F.lit(True) if carbon_first_always else F.array_contains(symbols, "C")
-
-    def rank(s: Column) -> Column:
-        return (
-            F.when(has_c & (s == "C"), F.lit("0"))
-            .when(has_c & (s == "H"), F.lit("1"))
-            .otherwise(F.concat(F.lit("2"), s))
-        )
 
-    ordered = F.array_sort(
-        F.transform(
-            F.array_distinct(symbols),
-            lambda s: F.struct(
-                rank(s).alias("r"), s.alias("s"), F.size(F.filter(symbols, lambda t: t == s)).alias("n")
-            ),
+    def formula(syms: Column) -> Column:
+        has_c = F.lit(True) if carbon_first_always else F.array_contains(syms, "C")
+
+        def entry(s: Column) -> Column:
+            rank = F.when(has_c & (s == "C"), 0).when(has_c & (s == "H"), 1).otherwise(2)
+            return F.struct(rank.alias("r"), s.alias("s"), F.size(F.filter(syms, lambda t: t == s)).alias("n"))
+
+        ordered = F.array_sort(F.transform(F.array_distinct(syms), entry))
+        return F.array_join(
+            F.transform(ordered, lambda e: F.concat(e["s"], F.when(e["n"] == 1, "").otherwise(e["n"].cast("string")))), ""
         )
-    )
-    part = F.transform(
-        ordered,
-        lambda e: F.concat(e["s"], F.when(e["n"] == 1, F.lit("")).otherwise(e["n"].cast("string"))),
-    )
-    return F.array_join(part, "")
+
+    return let(col(symbols), formula)
 
 
 def compound_key(canonical: Column | str, axis: Column | str | None = None) -> Column:
@@ -214,34 +214,27 @@ def geometry_key(
 
     Null when shapes differ, an atom has no number or a coordinate is not finite.
     """
-    zs, xyz = col(atomic_numbers), col(coords)
-    atoms = F.zip_with(
-        zs,
-        xyz,
-        lambda z, p: F.struct(
-            z.cast("int").alias("z"),
-            thousandths(p[0]).alias("a"),
-            thousandths(p[1]).alias("b"),
-            thousandths(p[2]).alias("c"),
-        ),
-    )
-    text = F.array_join(
-        F.transform(
+    def text(s: Column) -> Column:
+        atoms = F.zip_with(
+            s["z"], s["p"],
+            lambda z, p: F.struct(
+                z.cast("int").alias("z"), thousandths(p[0]).alias("a"), thousandths(p[1]).alias("b"), thousandths(p[2]).alias("c")
+            ),
+        )
+        good = (
+            (F.size(s["z"]) == F.size(s["p"]))
+            & ~F.exists(s["z"], lambda z: z.isNull())
+            & F.forall(s["p"], lambda p: (F.size(p) == 3) & F.forall(p, is_finite))
+        )
+        shown = F.transform(
             F.array_sort(atoms),
             lambda t: F.concat_ws(":", t["z"].cast("string"), fixed3(t["a"]), fixed3(t["b"]), fixed3(t["c"])),
-        ),
-        ";",
-    )
-    state = F.concat(
-        F.lit("|"), col(charge).cast("bigint").cast("string"),
-        F.lit("|"), col(multiplicity).cast("bigint").cast("string"),
-    )
-    good = (
-        (F.size(zs) == F.size(xyz))
-        & ~F.exists(zs, lambda z: z.isNull())
-        & F.forall(xyz, lambda p: (F.size(p) == 3) & F.forall(p, is_finite))
-    )
-    return F.when(good, F.md5(F.concat(text, state)))
+        )
+        return F.when(good, F.array_join(shown, ";"))
+
+    whole = lambda c: F.concat(F.lit("|"), col(c).cast("bigint").cast("string"))
+    body = let(F.struct(col(atomic_numbers).alias("z"), col(coords).alias("p")), text)
+    return F.md5(F.concat(body, whole(charge), whole(multiplicity)))
 
 
 def is_finite(x: Column) -> Column:

@@ -6,9 +6,11 @@ here is bounded by the record.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
-from .columns import col
+from .columns import col, let
 
 # Limits and field widths of the V2000 format.
 MAX_ATOMS = 999
@@ -16,17 +18,19 @@ BOND_ORDER_NAMES = {1: "1", 2: "2", 3: "3", 4: "ar"}
 CHARGE_CODES = {1: 3, 2: 2, 3: 1, 5: -1, 6: -2, 7: -3}
 
 
-def _lines(block: Column) -> Column:
-    return F.split(block, "\n")
+def _fields(line: Column) -> Column:
+    return F.split(F.btrim(line, F.lit(" \t\r")), r"\s+")
 
 
-def _fields(line: Column) -> Column:
-    return F.filter(F.split(F.trim(F.regexp_replace(line, r"\s+", " ")), " "), lambda s: s != "")
+def _with_lines(block: Column | str, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a struct with the lines ``l`` and the declared atom count ``n``."""
 
+    def counted(lines: Column) -> Column:
+        first = F.get(_fields(F.get(lines, F.lit(3))), F.lit(0))
+        n = F.when(first.rlike(r"^[+-]?\d+$"), first.try_cast("int"))
+        return let(F.struct(lines.alias("l"), n.alias("n")), body)
 
-def _count_field(block: Column) -> Column:
-    first = F.get(_fields(F.get(_lines(block), F.lit(3))), F.lit(0))
-    return F.when(first.rlike(r"^[+-]?\d+$"), first.try_cast("int"))
+    return let(F.split(col(block), "\n"), counted)
 
 
 def atom_rows(block: Column | str) -> Column:
@@ -35,11 +39,17 @@ def atom_rows(block: Column | str) -> Column:
     Corrupt means: fewer than four lines, an empty counts line, a count that is no
     integer, a count that is negative or runs past the text, or a short atom line.
     """
-    block = col(block)
-    lines, n = _lines(block), _count_field(block)
-    usable = n.isNotNull() & (n >= 0) & (F.size(lines) >= 4 + n)
-    rows = F.when(usable, F.transform(F.slice(lines, F.lit(5), F.greatest(n, F.lit(0))), _fields))
-    return F.when(~F.exists(rows, lambda r: F.size(r) < 4), rows)
+
+    def rows(s: Column) -> Column:
+        usable = s["n"].isNotNull() & (s["n"] >= 0) & (F.size(s["l"]) >= 4 + s["n"])
+        got = F.when(usable, F.transform(F.slice(s["l"], F.lit(5), F.greatest(s["n"], F.lit(0))), _fields))
+        return let(got, lambda g: F.when(~F.exists(g, lambda r: F.size(r) < 4), g))
+
+    return _with_lines(block, rows)
+
+
+def _point(row: Column) -> Column:
+    return F.transform(F.slice(row, 1, 3), lambda v: v.try_cast("double"))
 
 
 def symbols(block: Column | str) -> Column:
@@ -47,18 +57,18 @@ def symbols(block: Column | str) -> Column:
 
 
 def coords(block: Column | str) -> Column:
-    return F.transform(
-        atom_rows(block), lambda r: F.transform(F.slice(r, 1, 3), lambda v: v.try_cast("double"))
-    )
+    return F.transform(atom_rows(block), _point)
 
 
 def atom_counts(block: Column | str, elements: list[str]) -> Column:
     """MAP of element to count for the listed elements; null for a corrupt block."""
-    syms = symbols(block)
-    found = F.create_map(
-        *[x for e in elements for x in (F.lit(e), F.size(F.filter(syms, lambda s: s == e)))]
-    )
-    return F.when(syms.isNotNull(), found)
+    names = list(dict.fromkeys(elements))
+
+    def counts(syms: Column) -> Column:
+        number = lambda e: F.size(F.filter(syms, lambda s: s == e))
+        return F.when(syms.isNotNull(), F.create_map(*[x for e in names for x in (F.lit(e), number(e))]))
+
+    return let(symbols(block), counts)
 
 
 def n_atoms(block: Column | str) -> Column:
@@ -67,52 +77,50 @@ def n_atoms(block: Column | str) -> Column:
 
 def bonds(block: Column | str) -> Column:
     """ARRAY<STRUCT<a,b,order>> with 1-based atom numbers, from the fixed-width bond lines."""
-    block = col(block)
-    lines, n = _lines(block), _count_field(block)
-    declared = F.trim(F.substring(F.get(lines, F.lit(3)), 4, 3)).try_cast("int")
-    rows = F.slice(lines, F.greatest(n, F.lit(0)) + 5, F.greatest(declared, F.lit(0)))
-    parsed = F.transform(
-        rows,
-        lambda s: F.struct(
-            F.trim(F.substring(s, 1, 3)).try_cast("int").alias("a"),
-            F.trim(F.substring(s, 4, 3)).try_cast("int").alias("b"),
-            F.trim(F.substring(s, 7, 3)).try_cast("int").alias("order"),
-        ),
-    )
-    good = (F.size(lines) >= 4 + n + declared) & ~F.exists(
-        parsed, lambda e: e["a"].isNull() | e["b"].isNull() | e["order"].isNull()
-    )
-    return F.when(good, parsed)
+    field = lambda s, at: F.trim(F.substring(s, at, 3)).try_cast("int")
+
+    def parse(s: Column) -> Column:
+        declared = field(F.get(s["l"], F.lit(3)), 4)
+        rows = F.slice(s["l"], F.greatest(s["n"], F.lit(0)) + 5, F.greatest(declared, F.lit(0)))
+        parsed = F.transform(
+            rows, lambda r: F.struct(field(r, 1).alias("a"), field(r, 4).alias("b"), field(r, 7).alias("order"))
+        )
+        enough = F.size(s["l"]) >= 4 + s["n"] + declared
+        broken = lambda e: e["a"].isNull() | e["b"].isNull() | e["order"].isNull()
+        return let(parsed, lambda p: F.when(enough & ~F.exists(p, broken), p))
+
+    return _with_lines(block, parse)
 
 
 def formal_charges(block: Column | str) -> Column:
     """ARRAY<INT> of formal charges: ``M  CHG`` entries, else the charge codes of the atoms."""
-    block = col(block)
-    rows = atom_rows(block)
-    chg = F.filter(_lines(block), lambda s: s.startswith("M  CHG"))
-    numbers = F.flatten(
-        F.transform(
-            chg, lambda s: F.transform(F.slice(_fields(s), F.lit(4), F.greatest(F.size(_fields(s)) - 3, F.lit(0))),
-                                       lambda v: v.try_cast("int"))
-        )
-    )
     codes = F.create_map(*[F.lit(x) for kv in CHARGE_CODES.items() for x in kv])
-    by_code = F.transform(
-        rows, lambda r: F.coalesce(codes[F.get(r, F.lit(5)).try_cast("int")], F.lit(0))
-    )
 
-    def listed(r: Column, i: Column) -> Column:
-        hits = F.filter(numbers, lambda v, k: (k % 2 == 0) & (v == i + 1))
-        at = F.array_position(F.transform(numbers, lambda v, k: F.when(k % 2 == 0, v).otherwise(F.lit(-1))), i + 1)
-        return F.when(F.size(hits) > 0, F.get(numbers, at.cast("int"))).otherwise(F.lit(0))
+    def listed(s: Column) -> Column:
+        lines = F.filter(F.split(s["b"], "\n"), lambda v: v.startswith("M  CHG"))
+        # Fields: M CHG count, then atom and charge in turn.
+        tail = F.flatten(F.transform(lines, lambda v: F.slice(_fields(v), F.lit(4), F.lit(2 * MAX_ATOMS))))
+        numbers = F.transform(tail, lambda v: v.try_cast("int"))
 
-    return F.when(F.size(chg) > 0, F.transform(rows, listed)).otherwise(by_code)
+        def pick(m: Column) -> Column:
+            atoms = F.filter(m["v"], lambda _, i: i % 2 == 0)
+            charges = F.filter(m["v"], lambda _, i: i % 2 == 1)
+            given = lambda at: F.get(charges, at - 1)
+            by_list = F.transform(
+                s["r"],
+                lambda _, i: F.when(F.array_contains(atoms, i + 1), given(F.array_position(atoms, i + 1).cast("int"))).otherwise(0),
+            )
+            by_code = F.transform(s["r"], lambda r: F.coalesce(codes[F.get(r, F.lit(5)).try_cast("int")], F.lit(0)))
+            return F.when(F.size(m["v"]) > 0, by_list).otherwise(by_code)
+
+        return let(F.struct(numbers.alias("v")), pick)
+
+    return let(F.struct(col(block).alias("b"), atom_rows(block).alias("r")), listed)
 
 
 def heavy_coords(block: Column | str) -> Column:
     """Coordinates without hydrogens; null for a corrupt block."""
-    rows = F.filter(atom_rows(block), lambda r: F.get(r, F.lit(3)) != "H")
-    return F.transform(rows, lambda r: F.transform(F.slice(r, 1, 3), lambda v: v.try_cast("double")))
+    return F.transform(F.filter(atom_rows(block), lambda r: F.get(r, F.lit(3)) != "H"), _point)
 
 
 def fragment_labels(n: Column, edges: Column) -> Column:
@@ -126,9 +134,11 @@ def fragment_labels(n: Column, edges: Column) -> Column:
     )
 
     def merge(labels: Column, e: Column) -> Column:
-        la, lb = F.get(labels, e["a"] - 1), F.get(labels, e["b"] - 1)
-        keep, gone = F.least(la, lb), F.greatest(la, lb)
-        return F.transform(labels, lambda v: F.when(v == gone, keep).otherwise(v))
+        ends = F.struct(F.get(labels, e["a"] - 1).alias("x"), F.get(labels, e["b"] - 1).alias("y"))
+        return let(
+            ends,
+            lambda t: F.transform(labels, lambda v: F.when(v == F.greatest(t["x"], t["y"]), F.least(t["x"], t["y"])).otherwise(v)),
+        )
 
     return F.aggregate(edges, start, merge)
 
@@ -141,12 +151,15 @@ def bond_types(syms: Column, edges: Column) -> Column:
     """Sorted ``A-B:order`` texts of all bonds, the two symbols in name order."""
     names = F.create_map(*[F.lit(x) for kv in BOND_ORDER_NAMES.items() for x in kv])
 
-    def label(e: Column) -> Column:
-        a, b = F.get(syms, e["a"] - 1), F.get(syms, e["b"] - 1)
-        order = F.coalesce(names[e["order"]], e["order"].cast("string"))
-        return F.concat(F.least(a, b), F.lit("-"), F.greatest(a, b), F.lit(":"), order)
+    def labels(s: Column) -> Column:
+        def label(e: Column) -> Column:
+            a, b = F.get(s["s"], e["a"] - 1), F.get(s["s"], e["b"] - 1)
+            order = F.coalesce(names[e["order"]], e["order"].cast("string"))
+            return F.concat(F.least(a, b), F.lit("-"), F.greatest(a, b), F.lit(":"), order)
+
+        return F.array_sort(F.transform(s["e"], label))
 
-    return F.array_sort(F.transform(edges, label))
+    return let(F.struct(syms.alias("s"), edges.alias("e")), labels)
 
 
 def true_zwitterion(charges: Column, edges: Column, labels: Column) -> Column:
@@ -156,36 +169,43 @@ def true_zwitterion(charges: Column, edges: Column, labels: Column) -> Column:
     the others, one counts if an opposite charge sits in its fragment, or if there is
     no opposite charge in the whole record.
     """
-    idx = F.transform(charges, lambda q, i: F.struct(q.alias("q"), i.alias("i")))
 
-    def counts(atom: Column) -> Column:
-        bonded = F.exists(
-            edges,
-            lambda e: ((e["a"] - 1 == atom["i"]) & (F.get(charges, e["b"] - 1) * atom["q"] < 0))
-            | ((e["b"] - 1 == atom["i"]) & (F.get(charges, e["a"] - 1) * atom["q"] < 0)),
-        )
-        opposite = F.filter(idx, lambda o: o["q"] * atom["q"] < 0)
-        inside = F.exists(opposite, lambda o: F.get(labels, o["i"]) == F.get(labels, atom["i"]))
-        return (atom["q"] != 0) & ~bonded & (inside | (F.size(opposite) == 0))
+    def found(s: Column) -> Column:
+        charge_at = lambda number: F.get(s["q"], number - 1)
+        idx = F.transform(s["q"], lambda q, i: F.struct(q.alias("q"), (i + 1).alias("i")))
+
+        def counts(atom: Column) -> Column:
+            bonded = F.exists(
+                s["e"],
+                lambda e: ((e["a"] == atom["i"]) & (charge_at(e["b"]) * atom["q"] < 0))
+                | ((e["b"] == atom["i"]) & (charge_at(e["a"]) * atom["q"] < 0)),
+            )
+            opposite = lambda o: o["q"] * atom["q"] < 0
+            own = F.get(s["l"], atom["i"] - 1)
+            inside = F.exists(idx, lambda o: opposite(o) & (F.get(s["l"], o["i"] - 1) == own))
+            return (atom["q"] != 0) & ~bonded & (inside | ~F.exists(idx, opposite))
 
-    return F.exists(idx, counts)
+        return F.exists(idx, counts)
+
+    return let(F.struct(charges.alias("q"), edges.alias("e"), labels.alias("l")), found)
 
 
 def build_block(title: Column, syms: Column, xyz: Column, edges: Column) -> Column:
     """V2000 text of atoms, coordinates and 1-based bonds; null beyond the format's limits."""
     num = lambda v: F.lpad(F.format_string("%.4f", v.cast("double")), 10, " ")
-    atoms = F.zip_with(
-        syms,
-        xyz,
-        lambda s, p: F.concat(
-            num(p[0]), num(p[1]), num(p[2]), F.lit(" "), F.rpad(s, 3, " "), F.lit(" 0"),
-            F.lit("  0" * 11),
-        ),
-    )
     w3 = lambda v: F.lpad(v.cast("string"), 3, " ")
-    links = F.transform(edges, lambda e: F.concat(w3(e["a"]), w3(e["b"]), w3(e["order"]), F.lit("  0")))
-    counts = F.concat(w3(F.size(syms)), w3(F.size(edges)), F.lit("  0  0  0  0  0  0  0  0999 V2000"))
-    head = F.array(title, F.lit("     sparkcurate"), F.lit(""), counts)
-    text = F.array_join(F.concat(head, atoms, links, F.array(F.lit("M  END"))), "\n")
-    fits = (F.size(syms) <= MAX_ATOMS) & (F.size(edges) <= MAX_ATOMS) & (F.size(syms) == F.size(xyz))
-    return F.when(fits, text)
+
+    def text(s: Column) -> Column:
+        atoms = F.zip_with(
+            s["s"], s["p"],
+            lambda a, p: F.concat(
+                num(p[0]), num(p[1]), num(p[2]), F.lit(" "), F.rpad(a, 3, " "), F.lit(" 0"), F.lit("  0" * 11)
+            ),
+        )
+        links = F.transform(s["e"], lambda e: F.concat(w3(e["a"]), w3(e["b"]), w3(e["order"]), F.lit("  0")))
+        counts = F.concat(w3(F.size(s["s"])), w3(F.size(s["e"])), F.lit("  0  0  0  0  0  0  0  0999 V2000"))
+        head = F.array(title, F.lit("     sparkcurate"), F.lit(""), counts)
+        fits = (F.size(s["s"]) <= MAX_ATOMS) & (F.size(s["e"]) <= MAX_ATOMS) & (F.size(s["s"]) == F.size(s["p"]))
+        return F.when(fits, F.array_join(F.concat(head, atoms, links, F.array(F.lit("M  END"))), "\n"))
+
+    return let(F.struct(syms.alias("s"), xyz.alias("p"), edges.alias("e")), text)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import molblock
-from ..functions.columns import as_float, int_value, parses_as_int
+from ..functions.columns import as_float, int_value, let, parses_as_int
 
 RECORD_END = "$$$$\n"
 TAG = r"(?s)>[^\n<]*<([^>\n]+)>[^\n]*\n(.*?)(?:\n[ \t]*\n|\n?\z)"
@@ -14,13 +14,14 @@ TAG = r"(?s)>[^\n<]*<([^>\n]+)>[^\n]*\n(.*?)(?:\n[ \t]*\n|\n?\z)"
 def split_tags(record: Column | str) -> Column:
     """MAP of tag name to text; of a repeated tag the last value counts."""
     record = F.col(record) if isinstance(record, str) else record
-    names = F.regexp_extract_all(record, F.lit(TAG), 1)
-    values = F.regexp_extract_all(record, F.lit(TAG), 2)
-    pairs = F.zip_with(names, values, lambda k, v: F.struct(k.alias("k"), v.alias("v")))
-    last = F.filter(
-        pairs, lambda e, i: ~F.array_contains(F.slice(names, i + 2, F.size(names)), e["k"])
-    )
-    return F.map_from_entries(last)
+
+    def last_of(s: Column) -> Column:
+        pairs = F.zip_with(s["k"], s["v"], lambda k, v: F.struct(k.alias("k"), v.alias("v")))
+        repeated = lambda e, i: F.array_contains(F.slice(s["k"], i + 2, F.size(s["k"])), e["k"])
+        return F.map_from_entries(F.filter(pairs, lambda e, i: ~repeated(e, i)))
+
+    found = lambda g: F.regexp_extract_all(record, F.lit(TAG), F.lit(g))
+    return let(F.struct(found(1).alias("k"), found(2).alias("v")), last_of)
 
 
 def block_of(record: Column | str) -> Column:
