@@ -15,6 +15,15 @@ from ..session import lookup_join
 BANDS = [(1, 1, "1"), (2, 5, "2-5"), (6, 20, "6-20"), (21, 100, "21-100"), (101, None, ">100")]
 
 
+def unfold(df: DataFrame, array: Column, name: str, *keep: Column | str) -> DataFrame:
+    """One row per array entry.
+
+    The outer form with a filter behind it: for the plain one the optimizer infers a filter
+    on the array and pushes it below, which computes an expensive array a second time.
+    """
+    return df.select(F.explode_outer(array).alias(name), *keep).where(F.col(name).isNotNull())
+
+
 def env_frequency(df: DataFrame, envs: str = "envs", order: str = "row_index") -> DataFrame:
     """Per environment: element of its last instance, instance count, carrier count."""
     inst = F.transform(
@@ -31,7 +40,7 @@ def env_frequency(df: DataFrame, envs: str = "envs", order: str = "row_index") -
             F.lit(None).cast(_writer_type(df, order)).alias("w"),
         ),
     )
-    flat = df.select(F.explode(F.concat(inst, once)).alias("r")).select("r.*")
+    flat = unfold(df, F.concat(inst, once), "r").select("r.*")
     return flat.groupBy(F.col("env").alias("env_id")).agg(
         F.max("w")["e"].alias("element"),
         F.sum("a").cast("long").alias("n_atoms"),
@@ -54,10 +63,8 @@ def rarest(freq: DataFrame, k: int) -> DataFrame:
 
 def carriers(df: DataFrame, envs: str, row_id: str, extra: list[str] | None = None) -> DataFrame:
     """One row per (environment, carrying record); distinct inside the record, no shuffle."""
-    return df.select(
-        F.explode(F.array_distinct(F.transform(F.col(envs), lambda e: e["env"]))).alias("env_id"),
-        row_id, *(extra or []),
-    )
+    distinct = F.array_distinct(F.transform(F.col(envs), lambda e: e["env"]))
+    return unfold(df, distinct, "env_id", row_id, *(extra or []))
 
 
 def choice_table(
@@ -100,9 +107,7 @@ def coverage_report(df: DataFrame, selected: Column, envs: str = "envs") -> Data
     whether a selected record has it.
     """
     sel = F.coalesce(selected, F.lit(False)).cast("int")
-    pairs = df.select(
-        F.explode(F.array_distinct(F.col(envs))).alias("e"), sel.alias("s")
-    ).select("e.env", "e.element", "s")
+    pairs = unfold(df, F.col(envs), "e", sel.alias("s")).select("e.env", "e.element", "s")
     by_element = pairs.groupBy("element", "env").agg(F.max("s").alias("s"))
     env_sel = by_element.groupBy("env").agg(F.max("s").alias("hit"))
     # An environment may have instances of several elements: selected anywhere counts.
@@ -112,9 +117,8 @@ def coverage_report(df: DataFrame, selected: Column, envs: str = "envs") -> Data
         .agg(F.count(F.lit(1)).alias("n_envs_pool"), F.sum("hit").alias("n_envs_selected"))
         .withColumn("dimension", F.lit("element"))
     )
-    mols = df.select(
-        F.explode(F.array_distinct(F.transform(F.col(envs), lambda e: e["env"]))).alias("env"), sel.alias("s")
-    ).groupBy("env").agg(F.count(F.lit(1)).alias("n"), F.max("s").alias("hit"))
+    distinct = F.array_distinct(F.transform(F.col(envs), lambda e: e["env"]))
+    mols = unfold(df, distinct, "env", sel.alias("s")).groupBy("env").agg(F.count(F.lit(1)).alias("n"), F.max("s").alias("hit"))
     band = F.coalesce(
         *[
             F.when((F.col("n") >= lo) & (F.lit(True) if hi is None else F.col("n") <= hi), name)
@@ -135,10 +139,10 @@ def coverage_report(df: DataFrame, selected: Column, envs: str = "envs") -> Data
 def thin_coverage(df: DataFrame, selected: Column, envs: str, row_id: str, order: str) -> DataFrame:
     """Environments with a single carrier, that carrier, and whether it is selected."""
     sel = F.coalesce(selected, F.lit(False))
-    inst = df.select(
-        F.posexplode(envs).alias("i", "e"), F.col(order).alias("o"), F.col(row_id).alias("carrier_id"),
-        sel.alias("covered"),
-    )
+    numbered = F.transform(F.col(envs), lambda e, i: F.struct(i.alias("i"), e.alias("e")))
+    inst = unfold(
+        df, numbered, "x", F.col(order).alias("o"), F.col(row_id).alias("carrier_id"), sel.alias("covered")
+    ).select("x.*", "o", "carrier_id", "covered")
     return (
         inst.groupBy(F.col("e.env").alias("env_id"))
         .agg(
@@ -153,14 +157,14 @@ def thin_coverage(df: DataFrame, selected: Column, envs: str, row_id: str, order
 
 
 def pair_counts(df: DataFrame, pairs: str = "bonds") -> DataFrame:
-    return df.select(F.explode(pairs).alias("bond")).groupBy("bond").agg(F.count(F.lit(1)).alias("n"))
+    return unfold(df, F.col(pairs), "bond").groupBy("bond").agg(F.count(F.lit(1)).alias("n"))
 
 
 def pair_coverage(df: DataFrame, selected: Column, pairs: str = "bonds") -> DataFrame:
     """Pool and selected instances of every pair type."""
     sel = F.coalesce(selected, F.lit(False)).cast("long")
     return (
-        df.select(F.explode(pairs).alias("bond"), sel.alias("s"))
+        unfold(df, F.col(pairs), "bond", sel.alias("s"))
         .groupBy("bond")
         .agg(F.count(F.lit(1)).alias("pool_count"), F.sum("s").alias("selected_count"))
         .withColumn("coverage", F.col("selected_count") / F.col("pool_count"))
@@ -171,7 +175,7 @@ def element_presence(df: DataFrame, elements: str) -> DataFrame:
     """Records that contain each element, and their share in percent."""
     total = df.agg(F.count(F.lit(1)).alias("total"))
     per = (
-        df.select(F.explode(F.array_distinct(elements)).alias("element"))
+        unfold(df, F.array_distinct(elements), "element")
         .groupBy("element")
         .agg(F.count(F.lit(1)).alias("n"))
     )

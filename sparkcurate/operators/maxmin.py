@@ -211,14 +211,15 @@ def conformer_filter(
     res = farthest_first(
         work, [key], "_r", coords, metric, cut, covered=COVERED_SHARE if coverage_guarantee else None, light=light
     )
-    found = work.select(F.col(row).alias("_row"), "_r").join(res.withColumnRenamed("row", "_r"), "_r")
+    places = work.select(F.col(row).alias("_at"), "_r")
+    found = places.join(res.withColumnRenamed("row", "_r"), "_r").withColumnRenamed("_at", row)
     return (
-        df.join(found, df[row] == F.col("_row"), "left")
+        df.join(found, row, "left")
         .withColumn(
             "conformer_status",
             F.when(F.col(key).isNull(), "no_compound_id").when(F.col(coords).isNull(), "mol_corrupt")
             .when(F.col("number").isNotNull(), "kept").otherwise("removed_conformer"),
         )
         .withColumn("cluster_id", F.col("near").cast("int"))
-        .drop("_row", "_r", "number", "near", "d")
+        .drop("_r", "number", "near", "d")
     )

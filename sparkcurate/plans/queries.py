@@ -18,7 +18,7 @@ from ..functions.geometry import cosine, ordered_rmsd, tanimoto_distance
 from ..operators import coverage, gates, mirror, nearest, ordering, outlier, stats
 from ..operators.leader import near_dedup
 from ..operators.maxmin import farthest_first
-from ..session import lookup_join, read_table
+from ..session import balanced, checkpointed, lookup_join, read_table
 from ..sources import sdf, xyz
 from . import convert, realspace, selection
 
@@ -102,7 +102,7 @@ def _first(t: Column) -> Column:
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as descriptor rows."""
-    d = read_table(spark, sf, "documents").withColumn("t", C.words("text"))
+    d = balanced(read_table(spark, sf, "documents")).withColumn("t", C.words("text"))
     size = lambda w: F.when(F.length(w) < 4, "S").when(F.length(w) < 8, "M").otherwise("L")
     prev = lambda i: F.coalesce(_first(F.get("t", i - 1)), F.lit(""))
     return d.select(
@@ -119,7 +119,7 @@ def document_envs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def document_bits(spark: SparkSession, sf: str) -> DataFrame:
-    d = read_table(spark, sf, "documents")
+    d = balanced(read_table(spark, sf, "documents"))
     return d.select("doc_id", "lang", "source", C.on_bits(C.words("text")).alias("bits"))
 
 
@@ -815,7 +815,7 @@ SELECT bond, count(*) AS pool_count, sum((doc_id IN (SELECT doc_id FROM sel))::I
  round(sum((doc_id IN (SELECT doc_id FROM sel))::INT) / count(*), 9) AS coverage FROM b GROUP BY bond""")
 def pair_coverage(spark: SparkSession, sf: str) -> DataFrame:
     """Adjacent pairs in the pool and among the quality documents."""
-    d = read_table(spark, sf, "documents").select("doc_id", C.neighbour_pairs(C.words("text")).alias("bonds"))
+    d = balanced(read_table(spark, sf, "documents")).select("doc_id", C.neighbour_pairs(C.words("text")).alias("bonds"))
     return coverage.pair_coverage(with_quality(d, spark, sf), F.col("selected")).withColumn("coverage", F.round("coverage", 9))
 
 
@@ -824,7 +824,7 @@ WITH {TOKENS_SQL}, p AS (SELECT w, lead(w) OVER (PARTITION BY doc_id ORDER BY po
 SELECT least(w, x) || '-' || greatest(w, x) AS bond, count(*) AS n FROM p WHERE x IS NOT NULL GROUP BY 1 ORDER BY n DESC, bond LIMIT 10""")
 def top_pairs(spark: SparkSession, sf: str) -> DataFrame:
     """The ten most common pairs (a top-k report)."""
-    d = read_table(spark, sf, "documents").select(C.neighbour_pairs(C.words("text")).alias("bonds"))
+    d = balanced(read_table(spark, sf, "documents")).select(C.neighbour_pairs(C.words("text")).alias("bonds"))
     return coverage.pair_counts(d).orderBy(F.desc("n"), "bond").limit(10)
 
 
@@ -916,7 +916,7 @@ def selection_rows(spark: SparkSession, sf: str) -> DataFrame:
 def budgeted_selection(spark: SparkSession, sf: str) -> DataFrame:
     """Floor, diversity and depth passes with labels in pick order."""
     rows = selection_rows(spark, sf)
-    picks = selection.select(rows, selection.Budget(n=120, tier1_min=100))
+    picks = selection.select(rows, selection.Budget(n=120, tier1_min=110))
     return selection.assemble(rows, picks).drop("smiles", "mol_block")
 
 
@@ -925,8 +925,6 @@ def set_cover_curve(spark: SparkSession, sf: str) -> DataFrame:
     """Environments covered after each pick of the pure greedy cover."""
     rows = selection_rows(spark, sf)
     ranked = selection.rank_envs(coverage.env_frequency(rows, "envs", "row"))
-    from ..session import checkpointed
-
     ranked = checkpointed(ranked)
     pool = checkpointed(selection.env_pool(rows, ranked))
     return selection.set_cover_curve(pool, ranked.where("n_mols = 1").count())

@@ -178,7 +178,7 @@ def centroid_seeds(rows: DataFrame, group: list[str]) -> DataFrame:
 
 def maxmin_pass(rows: DataFrame, k: int) -> DataFrame:
     """Centroid seed, then MaxMin picks over the whole pool. Score: similarity when picked."""
-    rows = rows.withColumn("_g", F.lit(0))
+    rows = checkpointed(rows.withColumn("_g", F.lit(0)))
     seed = centroid_seeds(rows, ["_g"]).first()["row"]
     m = rows.count()
     if k >= m:
