@@ -35,6 +35,21 @@ def kabsch_rmsd(a: np.ndarray, b: np.ndarray, transposed: bool = False) -> float
     return float(np.sqrt(((a - ma - moved) ** 2).sum() / len(a)))
 
 
+def _stacked_rmsd(xs: np.ndarray, ys: np.ndarray, transposed: bool) -> np.ndarray:
+    """:func:`kabsch_rmsd` of all pairs of two stacks of equally sized point sets."""
+    xs, ys = xs - xs.mean(axis=1, keepdims=True), ys - ys.mean(axis=1, keepdims=True)
+    out = np.empty((len(xs), len(ys)))
+    step = max(1, 200_000 // max(1, ys.shape[0] * ys.shape[1]))
+    for lo in range(0, len(xs), step):
+        x = xs[lo : lo + step]
+        u, _, vt = np.linalg.svd(np.einsum("kmi,nmj->nkij", ys, x))
+        u[np.linalg.det(u @ vt) < 0, :, 2] *= -1
+        rot = u @ vt
+        moved = np.einsum("kmi,nkji->nkmj" if transposed else "kmi,nkij->nkmj", ys, rot)
+        out[lo : lo + step] = np.sqrt(((x[:, None] - moved) ** 2).sum(axis=(2, 3)) / x.shape[1])
+    return out
+
+
 def _profile_order(zs: np.ndarray, xyz: np.ndarray) -> np.ndarray:
     """Atom order by element, sorted distances to each element, then position."""
     gaps = np.linalg.norm(xyz[:, None, :] - xyz[None, :, :], axis=2)
@@ -138,16 +153,21 @@ def _spread(xyz: np.ndarray) -> float:
 def ordered_rmsd(normalized: bool = False, transposed: bool = False) -> Metric:
     """Kabsch RMSD of payloads ``[[x,y,z], ...]`` in one atom order."""
 
-    def one(p, q) -> float:
-        a, b = _points(p), _points(q)
-        d = kabsch_rmsd(a, b, transposed)
-        return d / np.sqrt(len(a)) if normalized and len(a) else d
+    def pairwise(ps: list, qs: list) -> np.ndarray:
+        xs, ys = [_points(p) for p in ps], [_points(q) for q in qs]
+        shapes = {x.shape for x in (*xs, *ys)}
+        if len(shapes) == 1 and len(xs[0]):
+            d = _stacked_rmsd(np.stack(xs), np.stack(ys), transposed)
+        else:
+            d = np.array([[kabsch_rmsd(x, y, transposed) for y in ys] for x in xs]).reshape(len(xs), len(ys))
+        sizes = np.array([max(len(x), 1) for x in xs], dtype=float)
+        return d / np.sqrt(sizes)[:, None] if normalized else d
 
     def feature(ps: list) -> np.ndarray:
         xs = [_points(p) for p in ps]
         return np.array([_spread(x) / (np.sqrt(len(x)) if normalized and len(x) else 1.0) for x in xs])
 
-    return Metric(_matrix(one), feature, lambda t: t, vectorized=False)
+    return Metric(pairwise, feature, lambda t: t)
 
 
 def permuted_rmsd() -> Metric:
