@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 
 def keep_first_rank(key: list[Column | str], order: list[Column | str]) -> Column:
@@ -64,7 +64,7 @@ def running_total(
     cuts = sample[step::step][: slices - 1]
     types = {f.name: f.dataType for f in df.select(*order).schema.fields}
     bounds = F.array(
-        *[F.struct(*[F.lit(c[o]).cast(types[o]).alias(o) for o in order]) for c in cuts]
+        *[F.struct(*[_literal(c[o]).cast(types[o]).alias(o) for o in order]) for c in cuts]
     )
     at = F.size(F.filter(bounds, lambda c: c <= key)) if cuts else F.lit(0)
     placed = df.withColumn("_v", value).withColumn("_slice", at)
@@ -80,6 +80,13 @@ def running_total(
     )
 
 
+def _literal(value) -> Column:
+    """A literal of a scalar or of a struct of scalars."""
+    if isinstance(value, Row):
+        return F.struct(*[_literal(v).alias(k) for k, v in value.asDict().items()])
+    return F.lit(value)
+
+
 def split_batches(
     df: DataFrame, order: list[str], batch_size: int = 5000, prefix: str = "batch_"
 ) -> DataFrame:
