@@ -103,36 +103,31 @@ def element_summary(freq: DataFrame, max_carriers: int = 10) -> DataFrame:
 def coverage_report(df: DataFrame, selected: Column, envs: str = "envs") -> DataFrame:
     """Pool and selected environments per element and per carrier band.
 
-    Everything follows from one table of (element, env) sums: carriers in the pool and
-    whether a selected record has it.
+    One scan and one combined aggregate give, per environment, its carriers, whether a
+    selected record has it, and its elements (at most as many as there are elements); the
+    report is counted from that table.
     """
     sel = F.coalesce(selected, F.lit(False)).cast("int")
-    pairs = unfold(df, F.col(envs), "e", sel.alias("s")).select("e.env", "e.element", "s")
-    by_element = pairs.groupBy("element", "env").agg(F.max("s").alias("s"))
-    env_sel = by_element.groupBy("env").agg(F.max("s").alias("hit"))
-    # An environment may have instances of several elements: selected anywhere counts.
-    elem = (
-        lookup_join(by_element.drop("s"), env_sel, "env", "inner")
-        .groupBy(F.col("element").alias("key"))
-        .agg(F.count(F.lit(1)).alias("n_envs_pool"), F.sum("hit").alias("n_envs_selected"))
-        .withColumn("dimension", F.lit("element"))
+    inst = F.transform(F.col(envs), lambda e: F.struct(e["env"].alias("env"), F.lit(0).alias("m"), e["element"].alias("el")))
+    once = F.transform(
+        F.array_distinct(F.transform(F.col(envs), lambda e: e["env"])),
+        lambda v: F.struct(v.alias("env"), F.lit(1).alias("m"), F.lit(None).cast("string").alias("el")),
+    )
+    per_env = unfold(df, F.concat(inst, once), "r", sel.alias("s")).groupBy("r.env").agg(
+        F.sum("r.m").alias("n"), F.max("s").alias("hit"), F.collect_set("r.el").alias("els")
     )
-    distinct = F.array_distinct(F.transform(F.col(envs), lambda e: e["env"]))
-    mols = unfold(df, distinct, "env", sel.alias("s")).groupBy("env").agg(F.count(F.lit(1)).alias("n"), F.max("s").alias("hit"))
     band = F.coalesce(
         *[
             F.when((F.col("n") >= lo) & (F.lit(True) if hi is None else F.col("n") <= hi), name)
             for lo, hi, name in BANDS
         ]
     )
-    bands = (
-        mols.groupBy(band.alias("key"))
-        .agg(F.count(F.lit(1)).alias("n_envs_pool"), F.sum("hit").alias("n_envs_selected"))
-        .withColumn("dimension", F.lit("band"))
-    )
-    return elem.unionByName(bands).select(
-        "dimension", "key", "n_envs_pool", F.col("n_envs_selected").cast("long").alias("n_envs_selected"),
-        (F.col("n_envs_selected") / F.col("n_envs_pool")).alias("coverage"),
+    pair = lambda d, k: F.struct(F.lit(d).alias("dimension"), k.alias("key"))
+    keys = F.concat(F.transform("els", lambda e: pair("element", e)), F.array(pair("band", band)))
+    return (
+        unfold(per_env, keys, "k", "hit").groupBy("k.dimension", "k.key")
+        .agg(F.count(F.lit(1)).alias("n_envs_pool"), F.sum("hit").cast("long").alias("n_envs_selected"))
+        .withColumn("coverage", F.col("n_envs_selected") / F.col("n_envs_pool"))
     )
 
 

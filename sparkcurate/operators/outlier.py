@@ -7,6 +7,8 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import checkpointed
+
 # Scale of the robust z-score, the zero-spread guard, the default cut.
 Z_SCALE = 0.6745
 ZERO_MAD = 1e-12
@@ -44,18 +46,19 @@ def exact_median(df: DataFrame, value: Column, count: int | None = None) -> floa
     if n == 0:
         return None
     ranks = [(n - 1) // 2, n // 2]
-    lo, hi, below, size = None, None, 0, n
+    lo, hi, below, size, spread = None, None, 0, n, 0.002
     while size > SMALL_BAND:
         band = vals if lo is None else vals.where(F.col("v").between(lo, hi))
         p = (ranks[0] - below + 0.5) / size
-        probes = [max(0.0, p - 0.002), min(1.0, p + 0.002)]
+        probes = [max(0.0, p - spread), min(1.0, p + spread)]
         new_lo, new_hi = band.agg(F.percentile_approx("v", probes, 10_000)).first()[0]
         less, inside = vals.agg(
             F.sum((F.col("v") < new_lo).cast("long")),
             F.sum(F.col("v").between(new_lo, new_hi).cast("long")),
         ).first()
         if not (less <= ranks[0] and ranks[1] < less + inside):
-            break
+            spread *= 4  # the bracket missed the middle: take a wider one
+            continue
         if new_lo == new_hi:
             return float(new_lo)
         if inside >= size:
@@ -108,7 +111,8 @@ def label_outliers(
     missing = F.col(y).isNull() | F.isnan(F.col(y).cast("double"))
     positive = (F.col(y) > 0) if check_positive else F.lit(False)
     usable = ~bad & ~missing & ~F.coalesce(positive, F.lit(False))
-    fit = fit_no_intercept(df.where(usable).select(*features, y), features, y)
+    # The fit reads its narrow input several times; the source is computed once.
+    fit = fit_no_intercept(checkpointed(df.where(usable).select(*features, y)), features, y)
     z = F.when(usable, fit.z(y))
     out = df.withColumn("_z", z).withColumn(
         status,
