@@ -99,5 +99,41 @@ def formula(smiles: Column | str) -> Column:
     return _per_molecule("string", lambda m: rdMolDescriptors.CalcMolFormula(Chem.AddHs(m)), smiles)
 
 
+def atom_environments(smiles: Column | str) -> Column:
+    """Unfolded environment ids of every heavy atom, as unsigned numbers."""
+    require()
+
+    def envs(m):
+        gen = rdFingerprintGenerator.GetMorganGenerator(radius=RADIUS, includeChirality=False)
+        extra = rdFingerprintGenerator.AdditionalOutput()
+        extra.AllocateAtomToBits()
+        gen.GetSparseFingerprint(m, additionalOutput=extra)
+        per_atom = extra.GetAtomToBits()
+        return [sorted(int(b) for b in per_atom[a.GetIdx()]) for a in m.GetAtoms() if a.GetAtomicNum() > 1]
+
+    return _per_molecule("array<array<bigint>>", envs, smiles)
+
+
+def reordered_block(block: Column | str) -> Column:
+    """The block with its atoms in canonical order; null when it does not parse."""
+    require()
+
+    @F.pandas_udf("string")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            out = []
+            for text in batch:
+                mol = Chem.MolFromMolBlock(text, sanitize=False, removeHs=False) if text else None
+                if mol is None:
+                    out.append(None)
+                    continue
+                mol.UpdatePropertyCache(strict=False)
+                ranks = list(Chem.CanonicalRankAtoms(mol, breakTies=True))
+                out.append(Chem.MolToMolBlock(Chem.RenumberAtoms(mol, sorted(range(len(ranks)), key=ranks.__getitem__))))
+            yield pd.Series(out, dtype=object)
+
+    return run(block)
+
+
 def soap(*_: object) -> Column:
     raise NotImplementedError("the SOAP metric is not available")

@@ -49,3 +49,9 @@ def weight_sum(symbols: Column | str) -> Column:
     symbols = F.col(symbols) if isinstance(symbols, str) else symbols
     table = _map(WEIGHTS.items())
     return F.aggregate(symbols, F.lit(0.0), lambda acc, s: acc + table[s])
+
+
+def rare_elements(symbols: Column | str) -> Column:
+    """The rare elements among the symbols of a record that could not be described."""
+    symbols = F.col(symbols) if isinstance(symbols, str) else symbols
+    return F.array_sort(F.array_intersect(F.array_distinct(symbols), F.array(*[F.lit(s) for s in RARE])))

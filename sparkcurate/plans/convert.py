@@ -16,14 +16,21 @@ def formal_charge(charges: Column | str) -> Column:
     return F.rint(F.aggregate(c, F.lit(0.0), lambda acc, q: acc + q.cast("double"))).cast("int")
 
 
-def group_children(rows: DataFrame, key: str, order: list[str], fields: list[str], out: str, limit: int) -> tuple[DataFrame, DataFrame]:
-    """(lists, oversized): ordered child lists per key, and keys with more than ``limit`` children.
+def bounded_groups(rows: DataFrame, key: str, limit: int = molblock.MAX_ATOMS) -> tuple[DataFrame, DataFrame]:
+    """(rows of keys with at most ``limit`` rows, the other keys with their counts).
 
     A connection table cannot hold more than ``limit`` entries, so longer groups are found
-    by a count and set aside before anything is collected; at most rows/limit keys are.
+    by a combined count and set aside before anything is collected or sorted per key; at
+    most rows/limit keys are.
     """
     over = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit)
-    fit = lookup_join(rows, over.select(key, F.lit(1).alias("_over")), key).where("_over is null")
+    fit = lookup_join(rows, over.select(key, F.lit(1).alias("_over")), key).where("_over is null").drop("_over")
+    return fit, over
+
+
+def group_children(rows: DataFrame, key: str, order: list[str], fields: list[str], out: str, limit: int) -> tuple[DataFrame, DataFrame]:
+    """(lists, oversized): ordered child lists per key, and the keys set aside."""
+    fit, over = bounded_groups(rows, key, limit)
     lists = fit.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(*order, *fields))).alias(out))
     return lists, over
 

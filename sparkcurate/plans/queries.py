@@ -40,6 +40,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 # -- shared record views -------------------------------------------------------
 
 ATOM_NAMES = ["H", "C", "N", "O"]
+FRAMES_PER_FILE = 50
 
 
 def frames(spark: SparkSession, sf: str) -> DataFrame:
@@ -49,14 +50,14 @@ def frames(spark: SparkSession, sf: str) -> DataFrame:
     idx = F.sequence(F.lit(0), F.lit(15))
     names = C.text_list(ATOM_NAMES)
     label = F.col("label").cast("int")
-    return e.select(
+    return balanced(e).select(
         "vec_id", "label",
         F.transform(idx, lambda i: F.get(names, F.pmod(i * (label + 1), F.lit(4)))).alias("symbols"),
         F.transform(idx, lambda i: F.array(v(i * 4), v(i * 4 + 1), v(i * 4 + 2))).alias("coords"),
         F.transform(idx, lambda i: v(i * 4 + 3)).alias("charges"),
         (F.pmod(label, F.lit(3)) - 1).alias("charge"), (F.pmod(label, F.lit(2)) + 1).alias("multiplicity"),
         F.lit(16).alias("n_atoms"),
-        F.concat(F.lit("vec"), F.col("label").cast("string"), F.lit(".xyz")).alias("source_file"),
+        F.concat(F.lit("vec"), F.floor(F.col("vec_id") / FRAMES_PER_FILE).cast("string"), F.lit(".xyz")).alias("source_file"),
         F.col("vec_id").cast("int").alias("source_index"),
     )
 
@@ -438,7 +439,7 @@ def molecules(spark: SparkSession, sf: str) -> DataFrame:
     """Orders with ordered atoms (line items) and bonds (neighbouring lines with one flag)."""
     from pyspark.sql import Window
 
-    li = lines(spark, sf)
+    li, over = convert.bounded_groups(lines(spark, sf), "l_orderkey")
     after = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
     placed = li.withColumns({
         "pos": F.row_number().over(after), "next": F.lead("l_returnflag").over(after),
@@ -447,7 +448,12 @@ def molecules(spark: SparkSession, sf: str) -> DataFrame:
         "o_orderkey", F.col("pos").alias("atom1"), (F.col("pos") + 1).alias("atom2")
     )
     orders = read_table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority", "o_custkey")
-    return convert.assemble(orders, placed, bonds, "o_orderkey", ["pos"], ["l_returnflag", "l_linestatus", "l_partkey", "l_quantity"])
+    got = convert.assemble(orders, placed, bonds, "o_orderkey", ["pos"], ["l_returnflag", "l_linestatus", "l_partkey", "l_quantity"])
+    none = lambda c: F.expr(f"cast(array() as {dict(got.dtypes)[c]})")
+    large = orders.join(over.select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey", "left_semi").withColumns(
+        {"atoms": none("atoms"), "bonds": none("bonds"), "assembly": F.lit("too_large")}
+    )
+    return got.unionByName(large)
 
 
 MOLECULES_SQL = """
@@ -609,7 +615,7 @@ def choose_representative(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumn("output_at", F.col("output_at.o_orderkey"))
 
 
-@query("""
+@query(r"""
 SELECT page_id, doc_id, lang FROM (SELECT page_id, regexp_extract(url, '([^/]+)/([^/?]+)(\?.*)?$', 1) AS a,
   TRY_CAST(regexp_extract(url, '([^/]+)/([^/?]+)(\?.*)?$', 2) AS BIGINT) AS b FROM pages) p JOIN documents ON doc_id = b AND lang = a""")
 def path_key_join(spark: SparkSession, sf: str) -> DataFrame:
@@ -652,7 +658,7 @@ _XYZ_SQL = """array_to_string(list_transform(atoms, lambda a: a.s || ' ' || prin
 @query(f"""
 WITH {FRAMES_SQL}, {FORMULA_SQL}
 SELECT vec_id, '16' || chr(10) || 'Properties=species:S:1:pos:R:3:charge:R:1 geometry_id= charge=' || charge || ' multiplicity=' || multiplicity ||
- ' elements=' || formula || ' source_id=v' || vec_id || ' source_file=vec' || label || '.xyz source_index=' || vec_id || chr(10) || {_XYZ_SQL} AS frame
+ ' elements=' || formula || ' source_id=v' || vec_id || ' source_file=vec' || vec_id // 50 || '.xyz source_index=' || vec_id || chr(10) || {_XYZ_SQL} AS frame
 FROM fr JOIN fm USING (vec_id)""")
 def extxyz_delivery(spark: SparkSession, sf: str) -> DataFrame:
     """Delivery text of every frame."""
@@ -664,12 +670,12 @@ def extxyz_delivery(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""
 WITH {FRAMES_SQL}
-SELECT 'vec' || label || '.xyz' AS source_file, (row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1)::INT AS source_index, 16 AS n_atoms,
+SELECT 'vec' || vec_id // 50 || '.xyz' AS source_file, (row_number() OVER (PARTITION BY vec_id // 50 ORDER BY vec_id) - 1)::INT AS source_index, 16 AS n_atoms,
  charge, multiplicity, array_to_string(list_transform(atoms, lambda a: a.s), ' ') AS symbols,
  array_to_string(list_transform(atoms, lambda a: printf('%.6f', a.x) || ' ' || printf('%.6f', a.y) || ' ' || printf('%.6f', a.w)), chr(10)) AS coords
 FROM fr""")
 def xyz_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """Frames written as one text per file, parsed again, ingested and encoded."""
+    """Frames written as texts of fifty, parsed again, ingested and encoded."""
     f = frames(spark, sf)
     head = F.create_map(F.lit("charge"), F.col("charge").cast("string"), F.lit("multiplicity"), F.col("multiplicity").cast("string"))
     text = xyz.frame_text(F.col("symbols"), F.col("coords"), F.col("charges"), xyz.comment_line(head, F.col("charges")))

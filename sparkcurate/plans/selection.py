@@ -13,11 +13,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..chem import backend
+from ..functions import columns as C, elements, molblock
+from ..functions.elements import weight_sum
 from ..functions.geometry import tanimoto_distance
-from ..operators import coverage, stats
+from ..operators import coverage, gates, stats
 from ..operators.greedy import FOLD_AT, START, Pending, Rule, fold, pick_rounds
 from ..operators.maxmin import assign_nearest, farthest_first
-from ..operators.ordering import number_rows, running_total
+from ..operators.ordering import keep_first, number_rows, running_total
+from ..registry import DESCRIPTORS
 from ..session import checkpointed, lookup_join
 
 # Name of the family without a scaffold, the pass names, the cosine guard.
@@ -260,6 +264,38 @@ def depth_pass(rows: DataFrame, selected: DataFrame, ranked: DataFrame, b: Budge
     return log.select("row", "number", "score")
 
 
+def describe(
+    rows: DataFrame, order: list[str], allowed: list[str] | None = None, min_atoms: int | None = None, max_atoms: int | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(descriptor rows in scope, counts of the rows left out per cause).
+
+    The first row of each CompoundID is described. Fingerprint, environments, scaffold and
+    polar surface come from columns of those names when present, else from the toolkit;
+    formula, weight, elements and bonds come from the connection table.
+    """
+    text = F.coalesce("CanonicalSMILES", "SMILES")
+    made = {
+        "morgan_fp": backend.fingerprint, "atom_envs": backend.atom_environments, "scaffold": backend.scaffold,
+        "tpsa": lambda c: backend.number(c, "TPSA"),
+    }
+    first = keep_first(rows, "CompoundID", order, "_first").where("_first = 'kept'").drop("_first")
+    df = first.withColumn("smiles", text).withColumns({
+        "_s": molblock.symbols("mol_block"), "_b": molblock.bonds("mol_block"),
+    })
+    df = df.withColumns({k: fn(F.col("smiles")) for k, fn in made.items() if k not in rows.columns})
+    df = df.withColumns({
+        "formula": C.hill_formula("_s"), "heavy_elements": F.filter("_s", lambda s: s != "H"),
+        "molwt": weight_sum("_s"), "energy_ha": C.as_float("Energy_Ha"), "bonds": molblock.bond_types(F.col("_s"), F.col("_b")),
+    }).withColumn("nat_heavy", F.size("heavy_elements"))
+    parsed = df.where(F.col("_s").isNotNull() & F.col("morgan_fp").isNotNull() & F.col("atom_envs").isNotNull())
+    known = set(elements.SYMBOLS)
+    if allowed is not None and not set(allowed) <= known:
+        raise ValueError(f"unknown element symbols: {sorted(set(allowed) - known)}")
+    labelled = gates.scope_labels(parsed, F.array_distinct("heavy_elements"), "nat_heavy", allowed, min_atoms, max_atoms)
+    out = labelled.where("scope = 'in'")
+    return out.select(*DESCRIPTORS, *[c for c in order if c not in DESCRIPTORS]), gates.scope_counts(labelled)
+
+
 def prepare(descriptors: DataFrame, order: list[str], fp: str = "morgan_fp") -> DataFrame:
     """Number the rows and unfold their environments; materialized once."""
     df = number_rows(descriptors, order, "_no").withColumn("row", F.col("_no") - 1).drop("_no")

@@ -1 +1,2 @@
-
+"""No streaming operators: the work reproduced here is batch only. Row-local gates accept a
+streaming DataFrame as they are."""

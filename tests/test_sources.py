@@ -174,3 +174,23 @@ def test_toolkit_is_required(spark):
         backend.canonical_smiles("SMILES")
     with pytest.raises(NotImplementedError):
         backend.soap()
+
+
+def test_descriptor_rows(spark):
+    from sparkcurate.functions.elements import rare_elements
+    from sparkcurate.plans import selection
+
+    block = record("x").split("\n>")[0]
+    rows = [("a", 0, block), ("a", 1, block), ("b", 2, block.replace(" O   0", " S   0")), ("c", 3, "broken")]
+    df = spark.createDataFrame(rows, "CompoundID string, no int, mol_block string").withColumns({
+        "CanonicalSMILES": F.lit(None).cast("string"), "SMILES": F.lit("C=O"), "Energy_Ha": F.lit(-1.0), "morgan_fp": F.array(F.lit(1)),
+        "atom_envs": F.array(F.array(F.lit(1).cast("bigint"))), "scaffold": F.lit(None).cast("string"), "tpsa": F.lit(1.0),
+    })
+    out, counts = selection.describe(df, ["no"], allowed=["C", "O"])
+    got = out.collect()
+    assert [(r["CompoundID"], r["formula"], r["nat_heavy"], r["bonds"]) for r in got] == [("a", "CO", 2, ["C-O:2"])]
+    assert got[0]["molwt"] == pytest.approx(28.01) and got[0]["smiles"] == "C=O"
+    assert {r["key"]: r["n"] for r in counts.collect()} == {"in": 1, "element:S": 1}
+    assert df.select(rare_elements(F.array(F.lit("S"), F.lit("C"), F.lit("S"))).alias("r")).first()["r"] == ["S"]
+    with pytest.raises(ValueError):
+        selection.describe(df, ["no"], allowed=["Qq"])
