@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # A lookup side is broadcast only when it is counted and found at or below this.
 BROADCAST_ROWS = 200_000
-SALTS = 16
+SALTS = 64
+# Keys with more rows than this are salted, the most frequent ones first.
+HOT_ROWS = 1_000_000
+HOT_KEYS = 1000
 
 
 def local_session(cpus: int | str = "*", app: str = "sparkcurate", partitions: int = 8) -> SparkSession:
@@ -70,16 +73,27 @@ def lookup_join(
 ) -> DataFrame:
     """Join a large table to a table with unique keys, safe for hot keys.
 
-    The key table is broadcast when its counted size allows; otherwise its rows are
-    repeated once per salt and the large side picks a salt by row hash, so one hot
-    key is spread over ``salts`` tasks.
+    The key table is broadcast when its counted size allows. Otherwise the hottest keys of
+    the large side are counted (combined map-side): at most ``HOT_KEYS`` of them are spread
+    over ``salts`` tasks each, with their one key row repeated per salt, and all other keys,
+    none of which can hold more than one part in ``HOT_KEYS`` of the rows, join plainly.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if fits_broadcast(small, max_rows):
         return big.join(F.broadcast(small), keys, how)
-    salted = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    hot = (
+        big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > HOT_ROWS)
+        .orderBy(F.desc("_c"), *keys).limit(HOT_KEYS).select(*keys, F.lit(salts).alias("_n"))
+    )
+    found = hot.collect()  # at most HOT_KEYS rows
+    if not found:
+        return big.join(small, keys, how)
+    hot = F.broadcast(big.sparkSession.createDataFrame(found, hot.schema))
     hashed = [c for c, t in big.dtypes if not t.startswith(("map", "variant"))]
-    spread = big.withColumn("_salt", F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int"))
+    salt = F.when(F.col("_n").isNotNull(), F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int")).otherwise(F.lit(0))
+    spread = big.join(hot, keys, "left").withColumn("_salt", salt).drop("_n")
+    every = F.sequence(F.lit(0), F.coalesce("_n", F.lit(1)) - 1)
+    salted = small.join(hot, keys, "left").withColumn("_salt", F.explode(every)).drop("_n")
     return spread.join(salted, keys + ["_salt"], how).drop("_salt")
 
 

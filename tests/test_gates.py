@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkcurate.operators import coverage, gates, mirror, ordering, outlier, stats
+from sparkcurate import session
 from sparkcurate.session import lookup_join
 from sparkcurate.registry import GRAPH, REALSPACE, conform, missing_required, schema_of
 
@@ -126,7 +127,9 @@ def test_representative(spark):
     assert [(r["i"], r["output_at"]["i"]) for r in got] == [(3, 1), (2, 2), (4, 4)]
 
 
-def test_lookup_join_salted_equals_broadcast(spark):
+@pytest.mark.parametrize("hot", [5, 1000])
+def test_lookup_join_salted_equals_broadcast(spark, monkeypatch, hot):
+    monkeypatch.setattr(session, "HOT_ROWS", hot)
     big = spark.createDataFrame([(i % 3, i) for i in range(60)], "k int, v int")
     small = spark.createDataFrame([(0, "a"), (1, "b")], "k int, w string")
     rows = lambda d: sorted(map(str, d.select("k", "v", "w").collect()))
