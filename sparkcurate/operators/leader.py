@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.geometry import Metric
 from ..session import checkpointed, lookup_join
-from .ordering import number_clusters
+from .ordering import number_clusters, number_rows
 
 LIGHT = 2000
 OFFER = 256
@@ -179,16 +179,14 @@ def leader_clusters(
     """``row, rep, d``: the kept row each row belongs to (itself when kept, then d is null)."""
     base = df.select(*group, F.col(row).cast("bigint").alias("row"), F.col(payload).alias("payload"))
     counts = base.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
-    hot = counts.where(F.col("n") > light).drop("n").collect()  # at most rows/light groups
+    hot = checkpointed(counts.where(F.col("n") > light).drop("n"))
+    any_hot = not hot.isEmpty()
     rest = base
-    if hot:
-        spark = df.sparkSession
-        schema = df.select(*group).schema
-        ids = spark.createDataFrame([tuple(h) + (i,) for i, h in enumerate(hot)], schema.add("grp", "long"))
-        tagged = lookup_join(base, ids, group, "left")
+    if any_hot:
+        tagged = lookup_join(base, number_rows(hot, group, "grp"), group, "left")
         rest = tagged.where("grp is null").drop("grp")
     small = rest.groupBy(*group).applyInPandas(_light_kernel(metric, cut), RESULT)
-    if not hot:
+    if not any_hot:
         return small
     pool = tagged.where("grp is not null").select("grp", "row", "payload")
     return small.unionByName(_hot_rounds(pool, metric, cut, offer, block))

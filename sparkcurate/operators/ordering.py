@@ -4,6 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
+from ..functions.columns import let
+
+# Rows that one slice may hold before the table is cut, and sampled rows per slice.
+SLICE_ROWS = 20_000
+SAMPLES_PER_SLICE = 40
+
 
 def keep_first_rank(key: list[Column | str], order: list[Column | str]) -> Column:
     return F.row_number().over(Window.partitionBy(*key).orderBy(*order))
@@ -54,20 +60,9 @@ def running_total(
     bounds give the same totals. They compare the whole order struct, so a first column
     that is equal for many rows does not keep those rows together.
     """
-    slices = slices or max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    key = F.struct(*order)
-    sample = (
-        df.select(*order).withColumn("_r", F.xxhash64(*order)).orderBy("_r").limit(40 * slices)
-        .orderBy(*order).drop("_r").collect()
-    )
-    step = max(1, len(sample) // slices)
-    cuts = sample[step::step][: slices - 1]
+    cuts = _bounds(df, order, slices)
     types = {f.name: f.dataType for f in df.select(*order).schema.fields}
-    bounds = F.array(
-        *[F.struct(*[_literal(c[o]).cast(types[o]).alias(o) for o in order]) for c in cuts]
-    )
-    at = F.size(F.filter(bounds, lambda c: c <= key)) if cuts else F.lit(0)
-    placed = df.withColumn("_v", value).withColumn("_slice", at)
+    placed = df.withColumn("_v", value).withColumn("_slice", _position(cuts, order, types))
     sums = placed.groupBy("_slice").agg(F.sum("_v").alias("_s"))
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select("_slice", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_off"))
@@ -80,6 +75,40 @@ def running_total(
     )
 
 
+def _bounds(df: DataFrame, order: list[str], slices: int | None) -> list[Row]:
+    """Sorted sampled bounds; none when the table is small enough for one slice."""
+    wanted = slices or max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    n = df.select(*order).count()
+    if slices is None:
+        wanted = min(wanted, n // SLICE_ROWS + 1)
+    if wanted == 1 or n == 0:
+        return []
+    share = min(1.0, SAMPLES_PER_SLICE * wanted / n)
+    sample = df.select(*order)
+    if share < 1.0:
+        sample = sample.sample(share, seed=7)
+    rows = sample.orderBy(*order).collect()  # about SAMPLES_PER_SLICE rows per slice
+    step = max(1, len(rows) // wanted)
+    return rows[step::step][: wanted - 1]
+
+
+def _position(cuts: list[Row], order: list[str], types: dict) -> Column:
+    """Number of bounds at or before the row, by binary search over the literal bounds."""
+    if not cuts:
+        return F.lit(0)
+    bounds = F.array(*[F.struct(*[_literal(c[o]).cast(types[o]).alias(o) for o in order]) for c in cuts])
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(cuts).bit_length()))])
+
+    def search(key: Column) -> Column:
+        def move(at: Column, by: Column) -> Column:
+            return F.when(F.get(bounds, at + by - 1) <= key, at + by).otherwise(at)
+
+        return F.aggregate(steps, F.lit(0), move)
+
+    # Never null, so that no null check on it is pushed below and computed a second time.
+    return F.coalesce(let(F.struct(*order), search), F.lit(0))
+
+
 def _literal(value) -> Column:
     """A literal of a scalar or of a struct of scalars."""
     if isinstance(value, Row):

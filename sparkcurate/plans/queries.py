@@ -266,7 +266,7 @@ def status_funnel(spark: SparkSession, sf: str) -> DataFrame:
 WITH r AS (SELECT event_type AS stage, count(*) AS n FROM events WHERE value < 5 GROUP BY 1),
 s AS (SELECT event_type AS stage, row_number() OVER (ORDER BY event_type) AS step FROM (SELECT DISTINCT event_type FROM events WHERE event_type IN ('click', 'error', 'view')))
 SELECT step::INT AS step, stage, coalesce(n, 0) AS rejected,
-  (SELECT count(*) FROM events) - sum(coalesce(n, 0)) OVER (ORDER BY step) AS passed FROM s LEFT JOIN r USING (stage)""")
+  ((SELECT count(*) FROM events) - sum(coalesce(n, 0)) OVER (ORDER BY step))::BIGINT AS passed FROM s LEFT JOIN r USING (stage)""")
 def reject_funnel(spark: SparkSession, sf: str) -> DataFrame:
     """Survivors after each stage from the reject counts."""
     ev = read_table(spark, sf, "events").select("event_type", "value")
