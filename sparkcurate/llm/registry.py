@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import ngram_join
+from . import brown_lm, chat_format, decontaminate, licenses, merkle, mixing, ngram_join, quality_mil, secret_scan, sharding
 
-MODULES = (ngram_join,)
+MODULES = (merkle, ngram_join, quality_mil, decontaminate, sharding, mixing, licenses, chat_format, secret_scan, brown_lm)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
