@@ -44,12 +44,6 @@ def as_float(c: Column | str) -> Column:
     return nan_to_null(col(c).cast("string").try_cast("double"))
 
 
-def as_text(c: Column | str) -> Column:
-    """String or null; a floating NaN becomes null."""
-    s = col(c).cast("string")
-    return F.when(s == "NaN", F.lit(None)).otherwise(s)
-
-
 def parses_as_int(c: Column | str) -> Column:
     return F.coalesce(col(c).rlike(INT_SYNTAX), F.lit(False))
 

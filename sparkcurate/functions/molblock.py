@@ -1,7 +1,7 @@
-"""V2000 connection tables read and written with Column expressions.
+"""V2000 and V3000 connection tables read and written with Column expressions.
 
-A block holds at most 999 atoms and 999 bonds by its format, so every array built
-here is bounded by the record.
+A V2000 block counts up to 999 atoms and bonds in fixed-width fields; larger records are
+written and read in the V3000 form. Every array built here belongs to one record.
 """
 
 from __future__ import annotations
@@ -22,15 +22,43 @@ def _fields(line: Column) -> Column:
     return F.split(F.btrim(line, F.lit(" \t\r")), r"\s+")
 
 
+def _plain_lines(lines: Column) -> Column:
+    """The lines with a V3000 table turned into the same fields in V2000 order.
+
+    Atoms and bonds become blank-separated fields; the counts line holds both counts.
+    """
+    inside = lambda tag: F.slice(
+        lines, F.greatest(F.array_position(lines, f"M  V30 BEGIN {tag}"), F.lit(1)) + 1,
+        F.greatest(F.array_position(lines, f"M  V30 END {tag}") - F.array_position(lines, f"M  V30 BEGIN {tag}") - 1, F.lit(0)),
+    )
+    charge = lambda v: F.regexp_extract(v, r" CHG=(-?\d+)", 1)
+
+    def atom(f: Column) -> Column:
+        return F.concat_ws(" ", F.get(f, F.lit(4)), F.get(f, F.lit(5)), F.get(f, F.lit(6)), F.get(f, F.lit(3)), F.lit("0 0"))
+
+    def bond(f: Column) -> Column:
+        return F.concat_ws(" ", F.get(f, F.lit(4)), F.get(f, F.lit(5)), F.get(f, F.lit(3)), F.lit("0"))
+
+    counts = F.get(F.filter(lines, lambda v: v.startswith("M  V30 COUNTS ")), F.lit(0))
+    charged = F.filter(F.transform(inside("ATOM"), lambda v, i: F.when(charge(v) != "", F.concat(F.lit("M  CHG  1 "), (i + 1).cast("string"), F.lit(" "), charge(v)))), lambda v: v.isNotNull())
+    plain = F.concat(
+        F.slice(lines, 1, 3), F.array(F.array_join(F.slice(_fields(counts), 4, 2), " ")),
+        F.transform(inside("ATOM"), lambda v: atom(_fields(v))), F.transform(inside("BOND"), lambda v: bond(_fields(v))), charged,
+    )
+    return F.when(F.get(lines, F.lit(3)).contains("V3000"), plain).otherwise(lines)
+
+
 def _with_lines(block: Column | str, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a struct with the lines ``l`` and the declared atom count ``n``."""
+    """``body`` of a struct with the lines ``l``, the declared atom count ``n`` and ``wide``: fields are not
+    in fixed columns."""
 
-    def counted(lines: Column) -> Column:
-        first = F.get(_fields(F.get(lines, F.lit(3))), F.lit(0))
+    def counted(s: Column) -> Column:
+        first = F.get(_fields(F.get(s["l"], F.lit(3))), F.lit(0))
         n = F.when(first.rlike(r"^[+-]?\d+$"), first.try_cast("int"))
-        return let(F.struct(lines.alias("l"), n.alias("n")), body)
+        return let(F.struct(s["l"].alias("l"), n.alias("n"), s["wide"].alias("wide")), body)
 
-    return let(F.split(col(block), "\n"), counted)
+    read = lambda lines: F.struct(_plain_lines(lines).alias("l"), F.get(lines, F.lit(3)).contains("V3000").alias("wide"))
+    return let(let(F.split(col(block), "\n"), read), counted)
 
 
 def atom_rows(block: Column | str) -> Column:
@@ -77,13 +105,15 @@ def n_atoms(block: Column | str) -> Column:
 
 def bonds(block: Column | str) -> Column:
     """ARRAY<STRUCT<a,b,order>> with 1-based atom numbers, from the fixed-width bond lines."""
-    field = lambda s, at: F.trim(F.substring(s, at, 3)).try_cast("int")
-
     def parse(s: Column) -> Column:
-        declared = field(F.get(s["l"], F.lit(3)), 4)
+        def field(row: Column, k: int) -> Column:
+            text = F.when(s["wide"], F.get(_fields(row), F.lit(k))).otherwise(F.trim(F.substring(row, 3 * k + 1, 3)))
+            return text.try_cast("int")
+
+        declared = field(F.get(s["l"], F.lit(3)), 1)
         rows = F.slice(s["l"], F.greatest(s["n"], F.lit(0)) + 5, F.greatest(declared, F.lit(0)))
         parsed = F.transform(
-            rows, lambda r: F.struct(field(r, 1).alias("a"), field(r, 4).alias("b"), field(r, 7).alias("order"))
+            rows, lambda r: F.struct(field(r, 0).alias("a"), field(r, 1).alias("b"), field(r, 2).alias("order"))
         )
         enough = F.size(s["l"]) >= 4 + s["n"] + declared
         broken = lambda e: e["a"].isNull() | e["b"].isNull() | e["order"].isNull()
@@ -97,9 +127,9 @@ def formal_charges(block: Column | str) -> Column:
     codes = F.create_map(*[F.lit(x) for kv in CHARGE_CODES.items() for x in kv])
 
     def listed(s: Column) -> Column:
-        lines = F.filter(F.split(s["b"], "\n"), lambda v: v.startswith("M  CHG"))
-        # Fields: M CHG count, then atom and charge in turn.
-        tail = F.flatten(F.transform(lines, lambda v: F.slice(_fields(v), F.lit(4), F.lit(2 * MAX_ATOMS))))
+        lines = F.filter(s["b"], lambda v: v.startswith("M  CHG"))
+        # Fields: M CHG count, then atom and charge in turn, to the end of the line.
+        tail = F.flatten(F.transform(lines, lambda v: F.slice(_fields(v), F.lit(4), F.length(v))))
         numbers = F.transform(tail, lambda v: v.try_cast("int"))
 
         def pick(m: Column) -> Column:
@@ -115,7 +145,7 @@ def formal_charges(block: Column | str) -> Column:
 
         return let(F.struct(numbers.alias("v")), pick)
 
-    return let(F.struct(col(block).alias("b"), atom_rows(block).alias("r")), listed)
+    return let(F.struct(_with_lines(block, lambda s: s["l"]).alias("b"), atom_rows(block).alias("r")), listed)
 
 
 def heavy_coords(block: Column | str) -> Column:
@@ -191,7 +221,8 @@ def true_zwitterion(charges: Column, edges: Column, labels: Column) -> Column:
 
 
 def build_block(title: Column, syms: Column, xyz: Column, edges: Column) -> Column:
-    """V2000 text of atoms, coordinates and 1-based bonds; null beyond the format's limits."""
+    """V2000 text of atoms, coordinates and 1-based bonds, V3000 beyond its 999 entries; null when
+    symbols and coordinates differ in number."""
     num = lambda v: F.lpad(F.format_string("%.4f", v.cast("double")), 10, " ")
     w3 = lambda v: F.lpad(v.cast("string"), 3, " ")
 
@@ -205,7 +236,21 @@ def build_block(title: Column, syms: Column, xyz: Column, edges: Column) -> Colu
         links = F.transform(s["e"], lambda e: F.concat(w3(e["a"]), w3(e["b"]), w3(e["order"]), F.lit("  0")))
         counts = F.concat(w3(F.size(s["s"])), w3(F.size(s["e"])), F.lit("  0  0  0  0  0  0  0  0999 V2000"))
         head = F.array(title, F.lit("     sparkcurate"), F.lit(""), counts)
-        fits = (F.size(s["s"]) <= MAX_ATOMS) & (F.size(s["e"]) <= MAX_ATOMS) & (F.size(s["s"]) == F.size(s["p"]))
-        return F.when(fits, F.array_join(F.concat(head, atoms, links, F.array(F.lit("M  END"))), "\n"))
+        fits = (F.size(s["s"]) <= MAX_ATOMS) & (F.size(s["e"]) <= MAX_ATOMS)
+        v30 = lambda *parts: F.concat(F.lit("M  V30 "), *parts)
+        place = lambda v: F.format_string("%.4f", v.cast("double"))
+        text = lambda v: v.cast("string")
+        blank = F.lit(" ")
+        wide_atoms = F.transform(
+            F.arrays_zip(s["s"].alias("s"), s["p"].alias("p")),
+            lambda a, i: v30(text(i + 1), blank, a["s"], blank, place(a["p"][0]), blank, place(a["p"][1]), blank, place(a["p"][2]), F.lit(" 0")))
+        wide_links = F.transform(s["e"], lambda e, i: v30(text(i + 1), blank, text(e["order"]), blank, text(e["a"]), blank, text(e["b"])))
+        wide = F.concat(
+            F.array(title, F.lit("     sparkcurate"), F.lit(""), F.lit("  0  0  0     0  0            999 V3000"), v30(F.lit("BEGIN CTAB")),
+                    v30(F.lit("COUNTS "), text(F.size(s["s"])), blank, text(F.size(s["e"])), F.lit(" 0 0 0")), v30(F.lit("BEGIN ATOM"))),
+            wide_atoms, F.array(v30(F.lit("END ATOM")), v30(F.lit("BEGIN BOND"))), wide_links,
+            F.array(v30(F.lit("END BOND")), v30(F.lit("END CTAB")), F.lit("M  END")))
+        narrow = F.concat(head, atoms, links, F.array(F.lit("M  END")))
+        return F.when(F.size(s["s"]) == F.size(s["p"]), F.array_join(F.when(fits, narrow).otherwise(wide), "\n"))
 
     return let(F.struct(syms.alias("s"), xyz.alias("p"), edges.alias("e")), text)

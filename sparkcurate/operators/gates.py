@@ -248,15 +248,15 @@ def composition_filter(
 def exclude_rules(df: DataFrame, rules: list[str]) -> DataFrame:
     """Drop rows with ``COL=VALUE`` for any rule.
 
-    Values compare as text, a null as ``None``; an unknown column never matches unless the
-    value is empty; of two rules on one column the later counts.
+    Both sides are stripped, and a rule without ``=`` is passed over. Values compare as text,
+    a null as ``None``; an unknown column never matches unless the value is empty; of two
+    rules on one column the later counts.
     """
     parsed: dict[str, str] = {}
     for rule in rules:
         name, sep, value = rule.partition("=")
-        if not sep:
-            raise ValueError(f"exclude rule must be COL=VALUE: {rule!r}")
-        parsed[name] = value
+        if sep:
+            parsed[name.strip()] = value.strip()
     hits = []
     for name, value in parsed.items():
         if name in df.columns:
@@ -365,6 +365,27 @@ def reconcile(metrics: DataFrame, order: str = "step") -> DataFrame:
     )
 
 
+def run_anomalies(counters: DataFrame) -> DataFrame:
+    """The four findings about a run: ``stage, kind, n`` of those that are not zero.
+
+    ``counters`` has one row per stage: ``stage, total, kept, removed, complexes, mol_corrupt,
+    topology_warning, id_repeats, energy_positive``; a null counts as zero.
+    """
+    n = lambda c: F.coalesce(F.col(c).cast("bigint"), F.lit(0))
+    # The stages the findings belong to.
+    found = [
+        ("stereo", "skipped_no_smiles", F.greatest(n("total") - n("kept") - n("removed") - n("complexes"), F.lit(0))),
+        ("filter", "non_ok_rows_kept", n("mol_corrupt") + n("topology_warning")),
+        ("validate", "id_repeats", n("id_repeats")),
+        ("energy", "energy_positive", n("energy_positive")),
+    ]
+    rows = F.array(*[
+        F.when(F.col("stage") == stage, F.struct(F.lit(kind).alias("kind"), value.cast("bigint").alias("n"))) for stage, kind, value in found
+    ])
+    hits = F.filter(rows, lambda r: r.isNotNull() & (r["n"] > 0))
+    return counters.select("stage", F.explode(hits).alias("r")).select("stage", "r.kind", "r.n")
+
+
 def guard_threshold(value: float, low: float, high: float, what: str) -> float:
     if not low <= value <= high:
         raise ValueError(f"{what} threshold {value} outside [{low}, {high}]")

@@ -202,7 +202,7 @@ def near_dedup(
     found = checkpointed(found)
     joined = df.join(found.withColumnsRenamed({"row": row, "rep": "rep_row", "d": "rep_distance"}), row)
     reps = joined.where(F.col("rep_row") == F.col(row)).select(*group, row)
-    numbers = number_clusters(reps, group, row).select(F.col(row).alias("rep_row"), F.col("cluster_id").cast("int"))
+    numbers = number_clusters(reps, group, row).select(F.col(row).alias("rep_row"), "cluster_id")
     return joined.join(numbers, "rep_row").withColumn(
         status, F.when(F.col("rep_row") == F.col(row), "kept").otherwise("near_dup")
     )

@@ -11,10 +11,6 @@ SLICE_ROWS = 20_000
 SAMPLES_PER_SLICE = 40
 
 
-def keep_first_rank(key: list[Column | str], order: list[Column | str]) -> Column:
-    return F.row_number().over(Window.partitionBy(*key).orderBy(*order))
-
-
 def keep_first(
     df: DataFrame,
     key: str,

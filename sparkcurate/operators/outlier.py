@@ -62,13 +62,27 @@ def exact_median(df: DataFrame, value: Column, count: int | None = None) -> floa
         if new_lo == new_hi:
             return float(new_lo)
         if inside >= size:
-            break
+            return _counted_median(vals.where(F.col("v").between(new_lo, new_hi)), [r - less for r in ranks])
         lo, hi, below, size = new_lo, new_hi, less, inside
     band = vals if lo is None else vals.where(F.col("v").between(lo, hi))
     got = band.orderBy("v").offset(ranks[0] - below).limit(ranks[1] - ranks[0] + 1).collect()
     return float(sum(r["v"] for r in got) / len(got))
 
 
+def _counted_median(band: DataFrame, ranks: list[int]) -> float:
+    """The mean of the values at two ranks of a band that few values fill.
+
+    Quantiles do not narrow such a band. Rows are counted per value (combined map-side) and the
+    counts run up from the smallest value; only the two values reach the driver.
+    """
+    from .ordering import running_total
+
+    counted = checkpointed(band.groupBy("v").agg(F.count(F.lit(1)).alias("c")))
+    upto = running_total(counted, ["v"], F.col("c"), "upto")
+    at = [upto.where(F.col("upto") > r).agg(F.min("v")).first()[0] for r in ranks]
+    return float(sum(at) / 2)
+
+
 def fit_no_intercept(df: DataFrame, features: list[str], y: str) -> Fit:
     """Minimum-norm least squares from the k x k sums, then median and MAD of the residuals.
 
@@ -113,6 +127,8 @@ def label_outliers(
     usable = ~bad & ~missing & ~F.coalesce(positive, F.lit(False))
     # The fit reads its narrow input several times; the source is computed once.
     fit = fit_no_intercept(checkpointed(df.where(usable).select(*features, y)), features, y)
+    if fit.n == 0 and df.limit(1).count():
+        raise ValueError("no row is usable for the energy fit")
     z = F.when(usable, fit.z(y))
     out = df.withColumn("_z", z).withColumn(
         status,

@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import molblock
 from ..functions.columns import fixed6
-from ..session import lookup_join
-from ..sources.sdf import block_of
+from ..sources.sdf import block_of, unix_text
 
 
 def formal_charge(charges: Column | str) -> Column:
@@ -16,52 +15,27 @@ def formal_charge(charges: Column | str) -> Column:
     return F.rint(F.aggregate(c, F.lit(0.0), lambda acc, q: acc + q.cast("double"))).cast("int")
 
 
-def bounded_groups(rows: DataFrame, key: str, limit: int = molblock.MAX_ATOMS) -> tuple[DataFrame, DataFrame]:
-    """(rows of keys with at most ``limit`` rows, the other keys with their counts).
-
-    A connection table cannot hold more than ``limit`` entries, so longer groups are found
-    by a combined count and set aside before anything is collected or sorted per key; at
-    most rows/limit keys are.
-    """
-    over = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit)
-    fit = lookup_join(rows, over.select(key, F.lit(1).alias("_over")), key).where("_over is null").drop("_over")
-    return fit, over
-
-
-def group_children(rows: DataFrame, key: str, order: list[str], fields: list[str], out: str, limit: int) -> tuple[DataFrame, DataFrame]:
-    """(lists, oversized): ordered child lists per key, and the keys set aside."""
-    fit, over = bounded_groups(rows, key, limit)
-    lists = fit.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(*order, *fields))).alias(out))
-    return lists, over
+def group_children(rows: DataFrame, key: str, order: list[str], fields: list[str], out: str) -> DataFrame:
+    """Ordered child lists per key. A list is one record, as long as the record is."""
+    return rows.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(*order, *fields))).alias(out))
 
 
 def assemble(
     main: DataFrame, atoms: DataFrame, bonds: DataFrame, key: str, atom_order: list[str], atom_fields: list[str],
-    bond_fields: tuple[str, str] = ("atom1", "atom2"), status: str | None = "energy_status", limit: int = molblock.MAX_ATOMS,
+    bond_fields: tuple[str, str] = ("atom1", "atom2"), status: str | None = "energy_status",
 ) -> DataFrame:
     """Main rows with their ordered ``atoms`` and ``bonds``.
 
     Main rows without atoms are left out; without bonds they stay with an empty list. Rows
-    with a status other than ``ok`` are left out when the status column exists. A row whose
-    group is too large for a connection table stays, with ``assembly`` = ``too_large``.
+    with a status other than ``ok`` are left out when the status column exists.
     """
     if status and status in main.columns:
         main = main.where(F.col(status) == "ok")
-    atom_lists, big_atoms = group_children(atoms, key, atom_order, atom_fields, "atoms", limit)
-    bond_lists, big_bonds = group_children(bonds, key, list(bond_fields), [], "bonds", limit)
+    atom_lists = group_children(atoms, key, atom_order, atom_fields, "atoms")
+    bond_lists = group_children(bonds, key, list(bond_fields), [], "bonds")
     none = F.expr(f"cast(array() as {dict(bond_lists.dtypes)['bonds']})")
-    joined = main.join(atom_lists, key, "inner").join(bond_lists, key, "left").join(
-        big_bonds.select(key, F.lit(1).alias("_big")), key, "left"
-    )
-    fit = joined.withColumns({
-        "bonds": F.coalesce("bonds", none),
-        "assembly": F.when(F.col("_big").isNull(), "ok").otherwise("too_large"),
-    }).drop("_big")
-    empty = F.expr(f"cast(array() as {dict(atom_lists.dtypes)['atoms']})")
-    large = main.join(big_atoms.select(key), key, "left_semi").withColumns(
-        {"atoms": empty, "bonds": none, "assembly": F.lit("too_large")}
-    )
-    return fit.unionByName(large)
+    joined = main.join(atom_lists, key, "inner").join(bond_lists, key, "left")
+    return joined.withColumn("bonds", F.coalesce("bonds", none))
 
 
 def atom_bond_records(main: DataFrame, atoms: DataFrame, bonds: DataFrame) -> DataFrame:
@@ -72,7 +46,7 @@ def atom_bond_records(main: DataFrame, atoms: DataFrame, bonds: DataFrame) -> Da
     atom2`` (from 1). Bonds are written as single.
     """
     key = "Zinc_id"
-    got = assemble(main, atoms, bonds, key, ["pos"], ["atom", "final_x", "final_y", "final_z", "charge"]).where("assembly = 'ok'")
+    got = assemble(main, atoms, bonds, key, ["pos"], ["atom", "final_x", "final_y", "final_z", "charge"])
     edges = F.transform("bonds", lambda b: F.struct(b["atom1"].cast("int").alias("a"), b["atom2"].cast("int").alias("b"), F.lit(1).alias("order")))
     block = molblock.build_block(
         F.col(key), F.transform("atoms", lambda a: a["atom"]),
@@ -106,7 +80,7 @@ def summary_records(spark: SparkSession, summary: DataFrame, folder: str, sample
         summary = summary.orderBy(*(order or ids)).limit(sample)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.sdf").load(folder)
     a, b = path_keys("path")
-    blocks = files.select(a.alias(ids[0]), b.alias(ids[1]), block_of(F.decode("content", "UTF-8")).alias("mol_block"))
+    blocks = files.select(a.alias(ids[0]), b.alias(ids[1]), block_of(unix_text(F.col("content"))).alias("mol_block"))
     got = summary.join(blocks, ids, "inner").where(molblock.atom_rows("mol_block").isNotNull())
     name = F.concat_ws("_", *ids)
     d8 = lambda c: F.format_string("%.8f", F.col(c).cast("double"))

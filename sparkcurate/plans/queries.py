@@ -264,14 +264,14 @@ def status_funnel(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""
 WITH r AS (SELECT event_type AS stage, count(*) AS n FROM events WHERE value < 5 GROUP BY 1),
-s AS (SELECT event_type AS stage, row_number() OVER (ORDER BY event_type) AS step FROM (SELECT DISTINCT event_type FROM events WHERE event_type IN ('click', 'error', 'view')))
+s AS (SELECT event_type AS stage, row_number() OVER (ORDER BY event_type) AS step FROM (SELECT DISTINCT event_type FROM events))
 SELECT step::INT AS step, stage, coalesce(n, 0) AS rejected,
   ((SELECT count(*) FROM events) - sum(coalesce(n, 0)) OVER (ORDER BY step))::BIGINT AS passed FROM s LEFT JOIN r USING (stage)""")
 def reject_funnel(spark: SparkSession, sf: str) -> DataFrame:
     """Survivors after each stage from the reject counts."""
     ev = read_table(spark, sf, "events").select("event_type", "value")
     rejects = ev.where("value < 5").withColumnRenamed("event_type", "stage")
-    return gates.reject_funnel(rejects, ["click", "error", "view"], ev.count())
+    return gates.reject_funnel(rejects, ["click", "error", "purchase", "signup", "view"], ev.count())
 
 
 @query("""
@@ -439,7 +439,7 @@ def molecules(spark: SparkSession, sf: str) -> DataFrame:
     """Orders with ordered atoms (line items) and bonds (neighbouring lines with one flag)."""
     from pyspark.sql import Window
 
-    li, over = convert.bounded_groups(lines(spark, sf), "l_orderkey")
+    li = lines(spark, sf)
     after = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
     placed = li.withColumns({
         "pos": F.row_number().over(after), "next": F.lead("l_returnflag").over(after),
@@ -448,12 +448,7 @@ def molecules(spark: SparkSession, sf: str) -> DataFrame:
         "o_orderkey", F.col("pos").alias("atom1"), (F.col("pos") + 1).alias("atom2")
     )
     orders = read_table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority", "o_custkey")
-    got = convert.assemble(orders, placed, bonds, "o_orderkey", ["pos"], ["l_returnflag", "l_linestatus", "l_partkey", "l_quantity"])
-    none = lambda c: F.expr(f"cast(array() as {dict(got.dtypes)[c]})")
-    large = orders.join(over.select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey", "left_semi").withColumns(
-        {"atoms": none("atoms"), "bonds": none("bonds"), "assembly": F.lit("too_large")}
-    )
-    return got.unionByName(large)
+    return convert.assemble(orders, placed, bonds, "o_orderkey", ["pos"], ["l_returnflag", "l_linestatus", "l_partkey", "l_quantity"])
 
 
 MOLECULES_SQL = """
@@ -730,7 +725,7 @@ r(label, k, vec_id, rep, reps) AS (
   JOIN pd ON pd.a = o.vec_id AND list_contains(r.reps, pd.b) GROUP BY o.label, o.k, o.vec_id, r.reps) x),
 g AS (SELECT label, min(vec_id) AS g0 FROM v GROUP BY label),
 n AS (SELECT r.vec_id, row_number() OVER (ORDER BY g0, r.vec_id) AS cid FROM r JOIN g USING (label) WHERE r.rep = r.vec_id)
-SELECT r.vec_id, r.rep AS rep_row, CASE WHEN r.rep = r.vec_id THEN 'kept' ELSE 'near_dup' END AS dedup_status, cid::INT AS cluster_id
+SELECT r.vec_id, r.rep AS rep_row, CASE WHEN r.rep = r.vec_id THEN 'kept' ELSE 'near_dup' END AS dedup_status, cid::BIGINT AS cluster_id
 FROM r JOIN n ON n.vec_id = r.rep""")
 def near_dup_cluster(spark: SparkSession, sf: str) -> DataFrame:
     """Keep-first clustering: nearest earlier representative within the threshold."""

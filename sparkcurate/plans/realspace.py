@@ -103,7 +103,7 @@ def identity(
                        F.format_string("%.4f", "rep_distance"), F.lit(f" A < {threshold} A)"))),
     })
     bad = base.where("geometry_id is null").withColumns({
-        "dedup_status": F.lit("error"), "cluster_id": F.lit(None).cast("int"), "reason": F.lit("row decode failed"),
+        "dedup_status": F.lit("error"), "cluster_id": F.lit(None).cast("bigint"), "reason": F.lit("row decode failed"),
     })
     cols = [*base.columns, "dedup_status", "cluster_id", "reason"]
     return done.select(*cols).unionByName(bad.select(*cols)).drop("_row")

@@ -7,10 +7,39 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions import molblock
 from ..functions.columns import as_float, int_value, let, parses_as_int
 
-RECORD_END = "$$$$\n"
+# A record ends with a line of four dollar signs; the scan cuts before them, so both line ends fit.
+RECORD_END = "\n$$$$"
 TAG = r"(?s)>[^\n<]*<([^>\n]+)>[^\n]*\n(.*?)(?:\n[ \t]*\n|\n?\z)"
 
 
+def unix_text(content: Column) -> Column:
+    """Bytes or text as valid UTF-8 with plain line ends; null when the bytes are no UTF-8."""
+    return F.regexp_replace(F.try_validate_utf8(content.cast("string")), "\r\n?", "\n")
+
+
+def _record(value: Column) -> Column:
+    """A scanned record without the rest of the line that ended the one before.
+
+    Only the first record of a file has no such rest; it may begin with an empty title, which shows
+    by its counts line being the fourth.
+    """
+    text = unix_text(value)
+    titled = text.rlike(r"^\n[^\n]*\n[^\n]*\n[^\n]*V[23]000")
+    return F.when(titled, text).otherwise(F.regexp_replace(text, r"^[ \t]*\n", ""))
+
+
+def _scan(spark: SparkSession, path: str) -> DataFrame:
+    """Rows ``batch_file, _at, _id, value`` of the records below a path; blank ones are left out.
+
+    A record that is no valid UTF-8 has a null value.
+    """
+    raw = spark.read.option("lineSep", RECORD_END).text(path)
+    return raw.select(
+        F.col("_metadata.file_name").alias("batch_file"), F.col("_metadata.file_block_start").alias("_at"),
+        F.monotonically_increasing_id().alias("_id"), _record(F.col("value")).alias("value"),
+    ).where(F.col("value").isNull() | F.col("value").rlike(r"\S"))
+
+
 def split_tags(record: Column | str) -> Column:
     """MAP of tag name to text; of a repeated tag the last value counts."""
     record = F.col(record) if isinstance(record, str) else record
@@ -52,21 +81,25 @@ def read_sdf(spark: SparkSession, path: str) -> DataFrame:
     Large files are split at record ends. ``row_index`` (first byte of the split, number in
     the scan) orders the records of one file.
     """
-    raw = spark.read.option("lineSep", RECORD_END).text(path)
-    rows = raw.select(
-        F.col("_metadata.file_name").alias("batch_file"),
-        F.col("_metadata.file_block_start").alias("_at"),
-        F.monotonically_increasing_id().alias("_id"),
-        "value",
-    ).where(F.trim(F.regexp_replace("value", r"\s+", "")) != "")
+    rows = _scan(spark, path)
     rows = rows.withColumn("row_index", F.struct(F.col("_at").alias("block"), F.col("_id").alias("no")))
     return parse_records(rows).drop("value", "_at", "_id")
 
 
+def wide_tags(df: DataFrame) -> DataFrame:
+    """Parsed records with an integer tag that does not fit its column, with ``reject_reason``."""
+    tag = lambda k: F.element_at("tags", F.lit(k))
+    wide = lambda k: F.when(
+        parses_as_int(tag(k)) & tag(k).try_cast("double").isNotNull() & ~tag(k).try_cast("double").between(-(2.0**31), 2.0**31 - 1),
+        F.concat(F.lit(f"{k} out of range: "), tag(k)))
+    return df.where("parsed").withColumn("reject_reason", F.coalesce(wide("FormalCharge"), wide("Multiplicity"))).where("reject_reason IS NOT NULL")
+
+
 def extract_rows(df: DataFrame) -> DataFrame:
-    """Molecule rows of parsed records; missing optional tags are null."""
+    """Molecule rows of parsed records; missing optional tags are null, and so are integers that do
+    not fit (see ``wide_tags``)."""
     tag = lambda k: F.element_at("tags", F.lit(k))
-    as_int = lambda k: F.when(parses_as_int(tag(k)), int_value(tag(k))).cast("int")
+    as_int = lambda k: F.when(parses_as_int(tag(k)), int_value(tag(k))).try_cast("int")
     return df.where("parsed").select(
         *[c for c in df.columns if c not in ("tags", "parsed", "mol_block")],
         "mol_block",
@@ -83,8 +116,4 @@ def extract_rows(df: DataFrame) -> DataFrame:
 
 def count_records(spark: SparkSession, path: str) -> DataFrame:
     """Records per SDF file: ``file, n``."""
-    raw = spark.read.option("lineSep", RECORD_END).text(path)
-    return (
-        raw.where(F.regexp_replace("value", r"\s+", "") != "")
-        .groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count(F.lit(1)).alias("n"))
-    )
+    return _scan(spark, path).groupBy(F.col("batch_file").alias("file")).agg(F.count(F.lit(1)).alias("n"))

@@ -16,7 +16,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.columns import fixed6
-from ..functions.elements import atomic_numbers
 
 # Header key syntax, default columns, required widths, largest file.
 NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
@@ -122,7 +121,7 @@ def _explode_texts(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out = []
         for name, text in zip(pdf["source_file"], pdf["text"]):
             if text is None:
-                out.append((name, None, None, None, None, None, "file too large for one value"))
+                out.append((name, None, None, None, None, None, "file too large for one value, or not valid UTF-8"))
                 continue
             try:
                 got = list(frames_of(text))
@@ -144,7 +143,7 @@ def read_xyz(spark: SparkSession, path: str, pattern: str = "*.xyz") -> DataFram
     return parse_texts(
         files.select(
             F.element_at(F.split("path", "/"), -1).alias("source_file"),
-            F.when(F.col("length") <= MAX_BYTES, F.decode("content", "UTF-8")).alias("text"),
+            F.when(F.col("length") <= MAX_BYTES, F.try_validate_utf8(F.col("content").cast("string"))).alias("text"),
         )
     )
 
@@ -186,14 +185,13 @@ def header_int(header: Column, key: str, default: int) -> tuple[Column, Column]:
     raw = F.element_at(header, F.lit(key))
     num = F.trim(raw).try_cast("double")
     quoted = F.concat(F.lit("'"), raw, F.lit("'"))
-    whole = num.isNotNull() & (num == F.floor(num)) & ~F.isnan(num)
-    value = F.when(raw.isNull(), F.lit(default)).when(whole, num.cast("int"))
+    whole = num.isNotNull() & (num % 1 == 0)  # false for NaN and the infinities
+    fits = num.between(-(2.0**31), 2.0**31 - 1)
+    value = F.when(raw.isNull(), F.lit(default)).when(whole & fits, num.try_cast("int"))
     reason = (
         F.when(raw.isNotNull() & num.isNull(), F.concat(F.lit(f"non-numeric {key} in header: "), quoted))
-        .when(raw.isNotNull() & ~whole, F.concat(F.lit(f"non-integer {key} in header: "), quoted))
+        .when(raw.isNotNull() & ~F.coalesce(whole, F.lit(False)), F.concat(F.lit(f"non-integer {key} in header: "), quoted))
+        .when(raw.isNotNull() & ~fits, F.concat(F.lit(f"{key} in header out of range: "), quoted))
     )
     return value, reason
 
-
-def known_symbols(symbols: Column) -> Column:
-    return ~F.exists(atomic_numbers(symbols), lambda z: z.isNull())

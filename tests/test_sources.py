@@ -5,8 +5,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from sparkcurate import registry
 from sparkcurate.chem import backend
-from sparkcurate.functions import columns as C
+from sparkcurate.functions import columns as C, molblock
 from sparkcurate.operators import ordering
 from sparkcurate.plans import convert, graph, realspace
 from sparkcurate.sources import sdf, sinks, tables, xyz
@@ -109,7 +110,7 @@ def test_batches_and_sinks(spark, tmp_path):
     df = ordering.split_batches(spark.range(25).withColumn("Energy_Ha", F.col("id").cast("double")), ["id"], 10)
     sinks.write_batches(df, str(tmp_path / "b"))
     back = tables.read_batches(spark, str(tmp_path / "b"))
-    assert back.count() == 25 and back.select("batch_file").distinct().count() == 3 and back.columns[0] == "mol_block"
+    assert back.count() == 25 and back.select("batch_file").distinct().count() == 3 and back.columns[0] == "Energy_Ha"
     sinks.write_rejects(df.where("id < 3"), str(tmp_path / "r"), "02")
     sinks.write_rejects(df.where("id > 20"), str(tmp_path / "r"), "03")
     assert {(r["stage"], r["count"]) for r in spark.read.parquet(str(tmp_path / "r")).groupBy("stage").count().collect()} == {(2, 3), (3, 4)}
@@ -134,8 +135,64 @@ def test_converter(spark):
     assert set(got) == {"z1", "z4"} and got["z1"]["FormalCharge"] == -2 and got["z4"]["FormalCharge"] == 2
     assert got["z1"]["Energy_Ha"] == "-1.00000000" and got["z1"]["PartialCharges"] == "-1.000000 -0.500000"
     assert "  1  2  1  0" in got["z1"]["mol_block"] and " C   0" in got["z1"]["mol_block"].split("\n")[4]
-    small = convert.assemble(main, atoms, bonds, "Zinc_id", ["pos"], ["atom"], limit=1)
-    assert {r["Zinc_id"]: r["assembly"] for r in small.collect()} == {"z1": "too_large", "z4": "ok"}
+
+
+def test_large_record_keeps_all_atoms(spark):
+    """Beyond 999 entries a block is written and read in the V3000 form."""
+    main = spark.createDataFrame([("z", "C", -1.0, 1.0, 2.0, 3.0)], "Zinc_id string, smile string, `Internal_E(0K)` double, HOMO double, LUMO double, HL_gap double")
+    n = 1500
+    atoms = spark.createDataFrame([("z", i, "CNO"[i % 3], i * 1.0, 0.5, -0.25, 0.0) for i in range(n)],
+                                  "Zinc_id string, pos int, atom string, final_x double, final_y double, final_z double, charge double")
+    bonds = spark.createDataFrame([("z", i, i + 1) for i in range(1, n)], "Zinc_id string, atom1 int, atom2 int")
+    got = convert.atom_bond_records(main, atoms, bonds)
+    row = got.select(
+        "mol_block", molblock.n_atoms("mol_block").alias("n"), F.size(molblock.bonds("mol_block")).alias("b"), molblock.symbols("mol_block").alias("s"),
+        molblock.coords("mol_block").alias("p"), F.get(molblock.bonds("mol_block"), F.lit(700)).alias("e"), molblock.formal_charges("mol_block").alias("q")).first()
+    assert "V3000" in row.mol_block and (row.n, row.b) == (n, n - 1)
+    assert row.s == ["CNO"[i % 3] for i in range(n)] and row.p[1234] == [1234.0, 0.5, -0.25]
+    assert (row.e.a, row.e.b, row.e.order) == (701, 702, 1) and row.q == [0] * n
+    charged = row.mol_block.replace("M  V30 3 O 2.0000 0.5000 -0.2500 0", "M  V30 3 O 2.0000 0.5000 -0.2500 0 CHG=-1")
+    q = spark.createDataFrame([(charged,)], "b string").select(molblock.formal_charges("b").alias("q")).first().q
+    assert q[2] == -1 and sum(map(abs, q)) == 1
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("last", [True, False])
+def test_line_ends_and_last_record(spark, tmp_path, end, last):
+    body = record("a") + record("") + record("c")
+    body = body if last else body.removesuffix("\n")
+    (tmp_path / "x.sdf").write_bytes(body.replace("\n", end).encode())
+    rows = sdf.read_sdf(spark, str(tmp_path)).orderBy("row_index").collect()
+    assert len(rows) == 3 and all(r.parsed for r in rows)
+    assert [r.mol_block.split("\n")[0] for r in rows] == ["a", "", "c"] and all("\r" not in r.mol_block for r in rows)
+    assert [r.tags["SourceID"] for r in rows] == ["a", "", "c"] and all(r.tags["Energy_Ha"] == "-1.5" for r in rows)
+    assert sdf.count_records(spark, str(tmp_path)).first().n == 3
+
+
+def test_bad_values_do_not_end_the_job(spark, tmp_path):
+    good = record("g")
+    wide = record("w", extra=">  <FormalCharge>\n3000000000\n\n")
+    (tmp_path / "a.sdf").write_bytes((good + wide).encode() + b"bad \xff\xfe bytes\n$$$$\n" + good.encode())
+    rows = sdf.read_sdf(spark, str(tmp_path))
+    assert sorted(r.parsed for r in rows.collect()) == [False, True, True, True]
+    got = sdf.extract_rows(rows.select("mol_block", "tags", "parsed")).collect()
+    assert len(got) == 3 and sum(r.FormalCharge is None for r in got) >= 1
+    assert [r.reject_reason for r in sdf.wide_tags(rows).collect()] == ["FormalCharge out of range: 3000000000"]
+    head = spark.createDataFrame([("1e12",), ("1",), ("nan",), ("1.5",), ("x",), ("-inf",)], "v string").select("v", F.create_map(F.lit("charge"), "v").alias("h"))
+    value, reason = xyz.header_int(F.col("h"), "charge", 0)
+    found = {r.v: (r.x, r.y) for r in head.select("v", value.alias("x"), reason.alias("y")).collect()}
+    assert found["1"] == (1, None) and all(found[v][0] is None and found[v][1] for v in ("1e12", "nan", "1.5", "x", "-inf"))
+    (tmp_path / "f.xyz").write_bytes(b"1\n\nH 0 0 0\n")
+    (tmp_path / "g.xyz").write_bytes(b"1\n\xff\nH 0 0 0\n")
+    got = {r.source_file: r.error for r in xyz.read_xyz(spark, str(tmp_path)).collect()}
+    assert got["f.xyz"] is None and "UTF-8" in got["g.xyz"]
+
+
+def test_conform_keeps_going(spark):
+    df = spark.createDataFrame([("1.5", "2", "x"), ("abc", "3", "y")], "Energy_Ha string, FormalCharge string, extra string")
+    rows = registry.conform(df, registry.GRAPH).collect()
+    assert [r.Energy_Ha for r in rows] == [1.5, None] and rows[0].asDict().keys() >= {"AtropisomerKey", "dedup_reason", "extra"}
+    assert [r.reject_reason for r in registry.unreadable(df, registry.GRAPH).collect()] == ["not readable: Energy_Ha"]
 
 
 def test_summary_converter(spark, tmp_path):
