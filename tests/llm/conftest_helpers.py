@@ -1,8 +1,26 @@
 """Plain-Python versions shared by the tests of this folder."""
 
+import re
+from zlib import crc32
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
 
 def shingle_sets(text, k):
     words = (text or "").encode().lower().split()
     if len(words) < k:
         return frozenset([tuple(words)] if words else [])
     return frozenset(tuple(words[i : i + k]) for i in range(len(words) - k + 1))
+
+
+def lower(text):
+    """A-Z as a-z and nothing else."""
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+def words(text):
+    return WORD.findall(lower(text))
+
+
+def fold(doc_id, parts):
+    return crc32(b"" if doc_id is None else str(doc_id).encode()) % parts
