@@ -16,6 +16,7 @@ HEADLINE = [
     "ols_mad_outliers", "hist50", "js_divergence", "descriptor_summary", "assemble_children", "atom_counts",
     "fragments", "mirror_pairs", "geometry_key", "extxyz_delivery", "env_frequency", "coverage_report",
     "pair_coverage", "group_maxmin", "near_dup_cluster", "global_maxmin", "tanimoto_nn",
+    "realspace_identity", "conformer_filter", "budgeted_selection", "set_cover_curve", "selection_reports",
 ]
 # Runs beyond this many seconds are timed once.
 LONG = 20.0

@@ -77,12 +77,21 @@ def _nearest_pairs(same: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray
 
 def conformer_rmsd(za: np.ndarray, a: np.ndarray, zb: np.ndarray, b: np.ndarray) -> float:
     """RMSD over rotations, translations and same-element permutations (greedy matching)."""
-    if len(za) != len(zb) or not np.array_equal(np.sort(za), np.sort(zb)):
+    return _matched_rmsd(*_profiled(za, a), *_profiled(zb, b))
+
+
+def _profiled(zs: np.ndarray, xyz: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = _profile_order(zs, xyz)
+    return zs[order], xyz[order]
+
+
+def _matched_rmsd(za: np.ndarray, a: np.ndarray, zb: np.ndarray, b: np.ndarray) -> float:
+    """:func:`conformer_rmsd` of structures whose atoms are in profile order already."""
+    if not np.array_equal(za, zb):  # the profile order sorts by element first
         return float("inf")
     if len(za) == 0:
         return 0.0
-    oa, ob = _profile_order(za, a), _profile_order(zb, b)
-    a, b, z = a[oa], b[ob], za[oa]
+    z = za
     same = z[:, None] == z[None, :]
     partner, tried, best = np.arange(len(z)), [], float("inf")
     while len(tried) <= REMATCHES and not any(np.array_equal(partner, t) for t in tried):
@@ -99,14 +108,29 @@ class Metric:
     """A distance between payloads, and a feature that never differs by more than it.
 
     ``feature`` may be scaled: two payloads closer than ``thr`` have features that differ
-    by less than ``reach(thr)``.
+    by less than ``reach(thr)``. ``prepare`` turns a list of payloads once into an array that
+    can be indexed, and ``between`` gives the distances of two such arrays.
     """
 
     pairwise: Callable[[list, list], np.ndarray]
     feature: Callable[[list], np.ndarray]
     reach: Callable[[float], float]
+    prepare: Callable[[list], np.ndarray]
+    between: Callable[[np.ndarray, np.ndarray], np.ndarray]
     vectorized: bool = True
 
+    def near(self, made: np.ndarray, features: np.ndarray, i: int, others: np.ndarray, cut: float) -> np.ndarray:
+        """Distances of prepared payload ``i`` to ``others`` below ``cut``; else infinite."""
+        if self.vectorized:
+            m = self.between(made[[i]], made[others])[0]
+            return np.where(m < cut, m, np.inf)
+        out = np.full(len(others), np.inf)
+        close = np.flatnonzero(np.abs(features[others] - features[i]) <= self.reach(cut) * (1 + 1e-9))
+        if len(close):
+            m = self.between(made[[i]], made[others[close]])[0]
+            out[close] = np.where(m < cut, m, np.inf)
+        return out
+
     def within(self, xs: list, ys: list, cut: float) -> np.ndarray:
         """Distances below ``cut``; other entries are infinite.
 
@@ -119,13 +143,22 @@ class Metric:
             return np.where(m < cut, m, np.inf)
         gap = np.abs(self.feature(xs)[:, None] - self.feature(ys)[None, :])
         out = np.full(gap.shape, np.inf)
+        a, b = self.prepare(xs), self.prepare(ys)
         for i, j in zip(*np.nonzero(gap <= self.reach(cut) * (1 + 1e-9))):
-            d = self.pairwise([xs[i]], [ys[j]])[0, 0]
+            d = self.between(a[[i]], b[[j]])[0, 0]
             if d < cut:
                 out[i, j] = d
         return out
 
 
+def _ragged(items: list) -> np.ndarray:
+    """Items of different shapes as an array that can be indexed."""
+    out = np.empty(len(items), dtype=object)
+    for i, x in enumerate(items):
+        out[i] = x
+    return out
+
+
 def _matrix(fn: Callable) -> Callable[[list, list], np.ndarray]:
     def run(xs: list, ys: list) -> np.ndarray:
         out = np.empty((len(xs), len(ys)))
@@ -153,8 +186,10 @@ def _spread(xyz: np.ndarray) -> float:
 def ordered_rmsd(normalized: bool = False, transposed: bool = False) -> Metric:
     """Kabsch RMSD of payloads ``[[x,y,z], ...]`` in one atom order."""
 
-    def pairwise(ps: list, qs: list) -> np.ndarray:
-        xs, ys = [_points(p) for p in ps], [_points(q) for q in qs]
+    def prepare(ps: list) -> np.ndarray:
+        return _ragged([_points(p) for p in ps])
+
+    def between(xs: np.ndarray, ys: np.ndarray) -> np.ndarray:
         shapes = {x.shape for x in (*xs, *ys)}
         if len(shapes) == 1 and len(xs[0]):
             d = _stacked_rmsd(np.stack(xs), np.stack(ys), transposed)
@@ -167,7 +202,7 @@ def ordered_rmsd(normalized: bool = False, transposed: bool = False) -> Metric:
         xs = [_points(p) for p in ps]
         return np.array([_spread(x) / (np.sqrt(len(x)) if normalized and len(x) else 1.0) for x in xs])
 
-    return Metric(pairwise, feature, lambda t: t)
+    return Metric(lambda ps, qs: between(prepare(ps), prepare(qs)), feature, lambda t: t, prepare, between)
 
 
 def permuted_rmsd() -> Metric:
@@ -176,10 +211,16 @@ def permuted_rmsd() -> Metric:
     The root mean square distance to the centroid is unchanged by rigid motion and
     permutation, and differs by at most the RMSD between two structures.
     """
+    def prepare(ps: list) -> np.ndarray:
+        return _ragged([_profiled(*_atoms(p)) for p in ps])
+
+    between = _matrix(lambda p, q: _matched_rmsd(*p, *q))
     return Metric(
-        _matrix(lambda p, q: conformer_rmsd(*_atoms(p), *_atoms(q))),
+        lambda ps, qs: between(prepare(ps), prepare(qs)),
         lambda ps: np.array([_spread(_atoms(p)[1]) for p in ps]),
         lambda t: t,
+        prepare,
+        between,
         vectorized=False,
     )
 
@@ -199,6 +240,8 @@ def cosine() -> Metric:
         lambda xs, ys: 1.0 - unit(xs) @ unit(ys).T if len(xs) and len(ys) else np.zeros((len(xs), len(ys))),
         lambda ps: unit(ps)[:, 0],
         lambda t: float(np.sqrt(2.0 * max(t, 0.0))),
+        unit,
+        lambda a, b: 1.0 - a @ b.T,
     )
 
 
@@ -215,10 +258,16 @@ def tanimoto_distance() -> Metric:
     def pairwise(xs: list, ys: list) -> np.ndarray:
         if not len(xs) or not len(ys):
             return np.zeros((len(xs), len(ys)))
-        width = 1 + max((int(max(p)) for p in (*xs, *ys) if len(p)), default=0)
-        a, b = dense(xs, width), dense(ys, width)
+        width = widest([*xs, *ys])
+        return between(dense(xs, width), dense(ys, width))
+
+    def widest(ps: list) -> int:
+        return 1 + max((int(max(p)) for p in ps if len(p)), default=0)
+
+    def between(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         both = (a @ b.T).astype(float)
         union = a.sum(axis=1, dtype=float)[:, None] + b.sum(axis=1, dtype=float)[None, :] - both
         return 1.0 - np.divide(both, union, out=np.zeros_like(both), where=union > 0)
 
-    return Metric(pairwise, lambda ps: np.array([float(len(p)) for p in ps]), lambda t: t)
+    return Metric(
+        pairwise, lambda ps: np.array([float(len(p)) for p in ps]), lambda t: t, lambda ps: dense(ps, widest(ps)), between)

@@ -166,6 +166,7 @@ def pick_from(cands: pd.DataFrame, rule: Rule, bound: tuple | None, budget: int,
     """
     rows = cands["row"].to_numpy()
     payloads = cands["payload"].tolist()
+    made = rule.metric.prepare(payloads) if rule.metric is not None else None
     d = cands["d"].to_numpy(dtype=float).copy()
     alive = np.ones(len(rows), dtype=bool)
     gain, rarest = np.zeros(len(rows)), np.zeros(len(rows))
@@ -211,7 +212,7 @@ def pick_from(cands: pd.DataFrame, rule: Rule, bound: tuple | None, budget: int,
                     "d": float(d[best]), "gain": float(-k0[best]), "closed": closed,
                     "er": list(cands["er"].iloc[best]) if rule.uses_envs else []})
         if rule.metric is not None:
-            d = np.minimum(d, rule.metric.pairwise(payloads, [payloads[best]])[:, 0])
+            d = np.minimum(d, rule.metric.between(made, made[[best]])[:, 0])
     return out
 
 

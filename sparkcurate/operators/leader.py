@@ -37,12 +37,13 @@ def _light_kernel(metric: Metric, cut: float):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("row").reset_index(drop=True)
         rows, items = pdf["row"].to_numpy(), pdf["payload"].tolist()
+        made, features = metric.prepare(items), metric.feature(items)
         kept: list[int] = []
         rep = rows.copy()
         gap = np.full(len(rows), np.nan)
         for i in range(len(rows)):
             if kept:
-                near = metric.within([items[i]], [items[j] for j in kept], cut)[0]
+                near = metric.near(made, features, i, np.array(kept), cut)
                 best = int(near.argmin())
                 if near[best] < cut:
                     rep[i], gap[i] = rows[kept[best]], near[best]
@@ -61,11 +62,12 @@ def _decide_kernel(metric: Metric, cut: float):
         horizon = pdf["horizon"].min()
         pdf = pdf[pdf["row"] <= horizon].sort_values("row").reset_index(drop=True)
         items, own = pdf["payload"].tolist(), (pdf["home"] == home).to_numpy()
+        made, features = metric.prepare(items), metric.feature(items)
         sure: list[int] = []
         open_: list[int] = []
 
         def near(i: int, others: list[int]) -> bool:
-            return bool(np.isfinite(metric.within([items[i]], [items[j] for j in others], cut)).any())
+            return bool(others) and bool(np.isfinite(metric.near(made, features, i, np.array(others), cut)).any())
 
         for i in range(len(pdf)):
             if near(i, sure):

@@ -733,6 +733,27 @@ def near_dup_cluster(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("vec_id", "rep_row", "dedup_status", "cluster_id")
 
 
+# The same results by the paths that large groups and large pools take.
+
+
+@query(ORACLES["group_maxmin"])
+def group_maxmin_rounds(spark: SparkSession, sf: str) -> DataFrame:
+    """MaxMin per group with every group spread over all tasks."""
+    got = farthest_first(vectors(spark, sf), ["label"], "vec_id", "e", cosine(), cut=0.9, light=0)
+    return got.select(
+        F.col("row").alias("vec_id"),
+        F.when(F.col("number").isNotNull(), "kept").otherwise("removed_conformer").alias("conformer_status"),
+        F.col("near").alias("cluster_id"),
+    )
+
+
+@query(ORACLES["near_dup_cluster"])
+def near_dup_cluster_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """Keep-first clustering with every group cut into cells."""
+    out = near_dedup(vectors(spark, sf), ["label"], "vec_id", "e", cosine(), 0.7, light=0)
+    return out.select("vec_id", "rep_row", "dedup_status", "cluster_id")
+
+
 @query()
 def realspace_identity(spark: SparkSession, sf: str) -> DataFrame:
     """Exact and near-duplicate identity of frames by permutation-aware RMSD."""
@@ -856,6 +877,13 @@ def tanimoto_nn(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumn("max_tanimoto", F.round("max_tanimoto", 9))
 
 
+@query(ORACLES["tanimoto_nn"])
+def tanimoto_nn_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """The same by thresholds and blocks, as for a pool of any size."""
+    out = nearest.tanimoto_nearest(document_bits(spark, sf), "doc_id", "bits", light=0)
+    return out.withColumn("max_tanimoto", F.round("max_tanimoto", 9))
+
+
 @query(f"""
 WITH {TOKENS_SQL}, {BITS_SQL}
 SELECT doc_id, round(len(list_intersect(b, q)) / greatest(len(b) + len(q) - len(list_intersect(b, q)), 1), 9) AS sim

@@ -62,7 +62,15 @@ def test_exclude_rules(spark):
     ids = lambda rules: sorted(r["id"] for r in gates.exclude_rules(df, rules).collect())
     assert ids(["s=rejected"]) == ["x", "z"] and ids(["s=None"]) == ["y", "z"]
     assert ids(["nope=rejected"]) == ["x", "y", "z"] and ids(["s=rejected", "s=ok"]) == ["x", "y"]
-    assert ids(["nope="]) == []
+    assert ids(["nope="]) == [] and ids([" s = rejected ", "no rule"]) == ["x", "z"]
+
+
+def test_run_anomalies(spark):
+    rows = spark.createDataFrame(
+        [("stereo", 10, 6, 2, 1, None, None, None, None), ("filter", 9, 9, 0, 0, 2, 1, None, None), ("validate", 9, 9, 0, 0, 0, 0, 4, None), ("energy", 9, 9, 0, 0, None, None, None, 0)],
+        "stage string, total long, kept long, removed long, complexes long, mol_corrupt long, topology_warning long, id_repeats long, energy_positive long")
+    got = {(r.stage, r.kind, r.n) for r in gates.run_anomalies(rows).collect()}
+    assert got == {("stereo", "skipped_no_smiles", 1), ("filter", "non_ok_rows_kept", 3), ("validate", "id_repeats", 4)}
 
 
 def test_funnel_counts_first_failure(spark):
