@@ -26,6 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -45,7 +46,8 @@ ADD, ADD_CLASS = 0.1, 0.5
 SWEEPS = 12
 PART_TOKENS = 1 << 20  # tokens counted together when candidates are sought
 FLUSH = 1 << 20  # postings packed together
-BUCKETS, KEY_BUCKETS, BUCKET_DOCS = 1024, 512, 500
+BUCKETS, BUCKET_DOCS = 1024, 500
+STATS_TARGETS = 64
 
 
 @dataclass
@@ -144,13 +146,17 @@ def count_symbols(train: DataFrame, ranked: np.ndarray) -> tuple[np.ndarray, np.
         yield pa.RecordBatch.from_arrays(
             [pa.array([*used, -1, -2], pa.int64()), pa.array([*rows_, count.tobytes(), ends.tobytes()], pa.binary())], names=["i", "row"])
 
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        i = pdf.i.iloc[0]
-        total = (np.maximum if i == -2 else np.add).reduce([np.frombuffer(r, np.int64) for r in pdf.row], axis=0)
-        return pd.DataFrame({"i": [i], "row": [total.tobytes()]})
-
-    # Summed per row of the matrix: a row is a fixed number of bytes, one per task and symbol.
-    summed = train.mapInArrow(run, "i bigint, row binary").groupBy("i").applyInPandas(add, "i bigint, row binary")
+    def add(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total: dict[int, np.ndarray] = {}
+        for frame in frames:
+            for i, row in zip(frame.i, frame.row, strict=True):
+                part = np.frombuffer(row, np.int64)
+                total[i] = part.copy() if i not in total else (np.maximum if i == -2 else np.add)(total[i], part)
+        yield pd.DataFrame({"i": list(total), "row": [v.tobytes() for v in total.values()]})
+
+    # Each task sends a row of fixed size per symbol; the receiving tasks stream them into sums, so
+    # they hold their part of one matrix, however many tasks send.
+    summed = train.mapInArrow(run, "i bigint, row binary").repartition("i").mapInPandas(add, "i bigint, row binary")
     pairs = np.zeros((_SYMBOLS, _SYMBOLS), dtype=np.int64)
     count, ends = np.zeros((2, len(frequent)), dtype=np.int64)
     for r in summed.toLocalIterator():  # _SYMBOLS + 2 rows
@@ -294,8 +300,11 @@ def _unpack(types: int, data: bytes) -> tuple[np.ndarray, ...]:
 _SUMS = "target bigint, data binary"
 
 
-def _count_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Counts of one bucket of words; per document key the sums its rare words add."""
+def _count_bucket(pdf: pd.DataFrame, buckets: int) -> pd.DataFrame:
+    """Counts of one bucket of words; per document key the sums its rare words add.
+
+    Negative targets take the words and tokens per class.
+    """
     word, cls, key, tf = (np.concatenate(c) for c in zip(*[_unpack(t, d) for t, d in zip(pdf.types, pdf.data, strict=True)], strict=True))
     types, first, back = np.unique(word, return_index=True, return_inverse=True)
     count = np.bincount(back, np.maximum(tf, 0), len(types))
@@ -307,11 +316,11 @@ def _count_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
     sums = np.stack([
         np.bincount(back_key, n * np.log10(count[back] + ADD), len(keys)), np.bincount(back_key, n * seen[back], len(keys)),
         np.bincount(back_key, n, len(keys))], axis=1)
-    target = (mix(keys.view(_U)) % _U(KEY_BUCKETS)).astype(np.int64)
+    target = (mix(keys.view(_U)) % _U(buckets)).astype(np.int64)
     order = np.argsort(target, kind="stable")
     keys, sums, target = keys[order], sums[order], target[order]
     cuts = np.flatnonzero(np.r_[True, target[1:] != target[:-1]])
-    out = [(-1, by_class.tobytes())]
+    out = [(-1 - int(pdf.bucket.iloc[0]) % STATS_TARGETS, by_class.tobytes())]
     for a, b in zip(cuts, np.r_[cuts[1:], len(target)], strict=True):
         small = sums[a:b, 1:].astype(np.int32)
         out.append((int(target[a]), keys[a:b].tobytes() + sums[a:b, 0].tobytes() + small.tobytes()))
@@ -322,7 +331,7 @@ _PARTS = "key bigint, s double, known bigint, n bigint, cls int"
 
 
 def _sum_keys(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Per document key the sums over all buckets; for target -1 the words and tokens per class."""
+    """Per document key the sums over all buckets; for negative targets words and tokens per class."""
     if pdf.target.iloc[0] < 0:
         total = np.sum([np.frombuffer(d, np.float64).reshape(CLASSES, 2) for d in pdf.data], axis=0)
         return pd.DataFrame({"key": 0, "s": 0.0, "known": total[:, 0].astype(np.int64), "n": total[:, 1].astype(np.int64), "cls": np.arange(CLASSES, dtype=np.int32)})
@@ -401,9 +410,9 @@ def score_corpus(docs: DataFrame, train: Column) -> DataFrame:
     total = docs.count()
     buckets = max(BUCKETS, -(-total // BUCKET_DOCS))
     rare = checkpointed(
-        _rare_postings(docs, model, buckets).groupBy("bucket").applyInPandas(_count_bucket, _SUMS)
+        _rare_postings(docs, model, buckets).groupBy("bucket").applyInPandas(partial(_count_bucket, buckets=buckets), _SUMS)
         .groupBy("target").applyInPandas(_sum_keys, _PARTS))
-    for r in rare.where("cls >= 0").collect():  # one row per class
+    for r in rare.where("cls >= 0").groupBy("cls").agg(F.sum("known").alias("known")).collect():  # one row per class
         model.class_words[r.cls] = r.known
     model.types = int(model.class_words.sum() + (count > 0).sum() + (class_tokens[CLASSES - 1] > 0))
     own = np.where(symbol >= 0, symbol, CLUSTERED + ends)[count > 0]

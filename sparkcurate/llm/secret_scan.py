@@ -30,6 +30,7 @@ from .common import table
 
 _SPANS = "array<struct<start:int,rank:int,end:int,kind:string>>"
 MAX_ALTERNATIVES = 64
+SMALL_CLASS = 8  # a class of so many characters is written out
 
 
 @dataclass(frozen=True)
@@ -79,7 +80,7 @@ def _expand(items: list, budget: int = MAX_ALTERNATIVES) -> list[list[str]]:
     for op, arg in items:
         if op is sre.LITERAL:
             times([[chr(arg).lower()]])
-        elif op is sre.IN and all(o is sre.LITERAL for o, _ in arg) and len(arg) <= 3:
+        elif op is sre.IN and all(o is sre.LITERAL for o, _ in arg) and len(arg) <= SMALL_CLASS:
             times([[c] for c in dict.fromkeys(chr(x).lower() for _, x in arg)])
         elif op is sre.SUBPATTERN:
             times(_expand(list(arg[3]), budget))

@@ -3,7 +3,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from conftest import prose
+from conftest_helpers import prose
 from sparkcurate.llm import decontaminate as D
 
 

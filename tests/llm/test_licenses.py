@@ -4,7 +4,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from conftest import DOCS, prose
+from conftest_helpers import DOCS, prose
 from conftest_helpers import lower
 from sparkcurate.llm import licenses as L
 
@@ -67,7 +67,7 @@ def test_against_brute_force(spark, tmp_path):
 def test_one_statement_is_one_detection(spark):
     df = spark.createDataFrame([("x", LINES[0]), ("y", LINES[2])], "doc_id string, text string").withColumn("joined", F.lit(1)).withColumn("found", F.lit(2))
     got = {r.doc_id: [(d.start, d.end, d.label) for d in r.found] for r in L.scan(df).collect()}
-    assert got == {"x": [(0, 8, "apache-2.0")], "y": [(3, 11, "gpl-3.0")]}
+    assert got == {"x": [(0, 8, "apache-2.0")], "y": [(3, 12, "gpl-3.0")]}
 
 
 def test_rules_and_empty(none):

@@ -2,7 +2,7 @@ from collections import Counter
 
 
 import corpus_pipeline as P
-from conftest import DOCS
+from conftest_helpers import DOCS
 from sparkcurate.llm import decontaminate, quality_mil
 from test_decontaminate import distance
 from test_mixing import size_of, targets

@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import DOCS, prose
+from conftest_helpers import DOCS, prose
 from sparkcurate.llm import secret_scan as S
 
 SEEDS = [
