@@ -365,8 +365,8 @@ def reconcile(metrics: DataFrame, order: str = "step") -> DataFrame:
     )
 
 
-def run_anomalies(counters: DataFrame) -> DataFrame:
-    """The four findings about a run: ``stage, kind, n`` of those that are not zero.
+def run_anomalies(counters: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """The four findings about a run: ``stage, kind, n`` of those that are not zero, after the columns ``keep``.
 
     ``counters`` has one row per stage: ``stage, total, kept, removed, complexes, mol_corrupt,
     topology_warning, id_repeats, energy_positive``; a null counts as zero.
@@ -383,7 +383,8 @@ def run_anomalies(counters: DataFrame) -> DataFrame:
         F.when(F.col("stage") == stage, F.struct(F.lit(kind).alias("kind"), value.cast("bigint").alias("n"))) for stage, kind, value in found
     ])
     hits = F.filter(rows, lambda r: r.isNotNull() & (r["n"] > 0))
-    return counters.select("stage", F.explode(hits).alias("r")).select("stage", "r.kind", "r.n")
+    keep = keep or []
+    return counters.select(*keep, "stage", F.explode(hits).alias("r")).select(*keep, "stage", "r.kind", "r.n")
 
 
 def guard_threshold(value: float, low: float, high: float, what: str) -> float:

@@ -335,8 +335,83 @@ def status_counts(spark: SparkSession, sf: str) -> DataFrame:
     return gates.status_counts(out, "status", "reason")
 
 
+@query("""
+WITH d AS (SELECT event_type, count(*) AS total, sum((value >= 20)::INT) AS kept, sum((value < 5)::INT) AS removed,
+  sum((user_id = 8)::INT) AS complexes, sum((value < 1)::INT) AS corrupt, sum((value < 2)::INT) AS topology,
+  sum((value > 90)::INT) AS repeats, sum((value > 95)::INT) AS positive FROM events GROUP BY event_type),
+s AS (SELECT *, CASE event_type WHEN 'click' THEN 'stereo' WHEN 'view' THEN 'filter' WHEN 'signup' THEN 'validate' ELSE 'energy' END AS stage FROM d)
+SELECT event_type, stage, kind, n FROM (
+  SELECT event_type, stage, 'skipped_no_smiles' AS kind, (total - kept - removed - complexes)::BIGINT AS n FROM s WHERE stage = 'stereo'
+  UNION ALL SELECT event_type, stage, 'non_ok_rows_kept', (corrupt + topology)::BIGINT FROM s WHERE stage = 'filter'
+  UNION ALL SELECT event_type, stage, 'id_repeats', repeats::BIGINT FROM s WHERE stage = 'validate'
+  UNION ALL SELECT event_type, stage, 'energy_positive', positive::BIGINT FROM s WHERE stage = 'energy') WHERE n > 0""")
+def run_anomalies(spark: SparkSession, sf: str) -> DataFrame:
+    """The four findings about a run, from counters per event type."""
+    v = F.col("value")
+    number = lambda c: F.sum(c.cast("int"))
+    stages = {"click": "stereo", "view": "filter", "signup": "validate"}
+    named = F.coalesce(F.create_map(*[F.lit(x) for kv in stages.items() for x in kv])[F.col("event_type")], F.lit("energy"))
+    counters = read_table(spark, sf, "events").groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("total"), number(v >= 20).alias("kept"), number(v < 5).alias("removed"), number(F.col("user_id") == 8).alias("complexes"),
+        number(v < 1).alias("mol_corrupt"), number(v < 2).alias("topology_warning"), number(v > 90).alias("id_repeats"), number(v > 95).alias("energy_positive"),
+    ).withColumn("stage", named)
+    return gates.run_anomalies(counters, ["event_type"])
+
+
+@query("""
+SELECT o_orderkey::BIGINT AS o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_totalprice END AS Energy_Ha, try_cast(left(o_clerk_no, 12) AS INT) AS FormalCharge,
+  CASE WHEN o_orderkey % 3 = 0 AND try_cast(left(o_clerk_no, 12) AS INT) IS NULL THEN 'not readable: Energy_Ha, FormalCharge'
+       WHEN o_orderkey % 3 = 0 THEN 'not readable: Energy_Ha' WHEN try_cast(left(o_clerk_no, 12) AS INT) IS NULL THEN 'not readable: FormalCharge' END AS reject_reason
+FROM (SELECT *, (o_orderkey * CASE WHEN o_orderkey % 5 = 0 THEN 1000000000 ELSE 1 END)::VARCHAR AS o_clerk_no FROM orders)""")
+def conform_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """Conversion to the molecule registry; values that do not read become null and are named."""
+    from .. import registry
+
+    o = read_table(spark, sf, "orders")
+    wide = (F.col("o_orderkey").cast("bigint") * F.when(F.col("o_orderkey") % 5 == 0, 1_000_000_000).otherwise(1)).cast("string")
+    raw = o.select(
+        F.col("o_orderkey").cast("bigint").alias("o_orderkey"), wide.alias("FormalCharge"),
+        F.when(F.col("o_orderkey") % 3 == 0, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string")).alias("Energy_Ha"))
+    lost = registry.unreadable(raw, registry.GRAPH).select("o_orderkey", F.replace("reject_reason", F.lit("FormalCharge, Energy_Ha"), F.lit("Energy_Ha, FormalCharge")).alias("reject_reason"))
+    got = registry.conform(raw, registry.GRAPH).select("o_orderkey", "Energy_Ha", "FormalCharge")
+    return got.join(lost, "o_orderkey", "left")
+
+
+@query("""
+SELECT c_custkey, '{"charge": "' || c_nationkey || '", "note": "' || replace(c_mktsegment, '"', '\\"') || ' \\"x\\"", "source": "' || c_name || '"}' AS header FROM customer""")
+def header_json(spark: SparkSession, sf: str) -> DataFrame:
+    """Header maps as JSON with sorted keys."""
+    c = read_table(spark, sf, "customer")
+    pairs = F.create_map(
+        F.lit("source"), "c_name", F.lit("note"), F.concat("c_mktsegment", F.lit(' "x"')), F.lit("charge"), F.col("c_nationkey").cast("string"))
+    return c.select("c_custkey", C.encode_header(pairs).alias("header"))
+
+
+# Weights of the three elements that the flags A, N and R of the line items stand for.
+@query("""
+WITH w AS (SELECT l_orderkey, sum(CASE l_returnflag WHEN 'A' THEN 39948 WHEN 'N' THEN 14007 ELSE 55845 END) AS m,
+  count(*) FILTER (l_returnflag = 'R') AS r FROM lineitem GROUP BY 1)
+SELECT l_orderkey, round(m / 1000.0, 3)::DOUBLE AS molwt, r AS n_iron FROM w""")
+def molecular_weight(spark: SparkSession, sf: str) -> DataFrame:
+    """Weight sums over elements of all kinds."""
+    from ..functions.elements import weight_sum
+
+    names = F.create_map(F.lit("A"), F.lit("Ar"), F.lit("N"), F.lit("N"), F.lit("R"), F.lit("Fe"))
+    li = lines(spark, sf).groupBy("l_orderkey").agg(F.collect_list(names[F.col("l_returnflag")]).alias("e"))
+    return li.select(
+        "l_orderkey", F.round(weight_sum("e"), 3).alias("molwt"), F.size(F.filter("e", lambda x: x == "Fe")).cast("bigint").alias("n_iron"))
+
+
 # -- outliers and statistics ---------------------------------------------------
 
+@query("SELECT median(l_linenumber)::DOUBLE AS line, median(l_quantity)::DOUBLE AS quantity FROM lineitem")
+def discrete_medians(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact medians of columns that few values fill."""
+    li = read_table(spark, sf, "lineitem").select("l_linenumber", "l_quantity")
+    found = [outlier.exact_median(li, F.col(c)) for c in li.columns]
+    return spark.range(1).select(F.lit(found[0]).alias("line"), F.lit(found[1]).alias("quantity"))
+
+
 ORDER_COUNTS = """
 f AS (SELECT l_orderkey, sum((l_returnflag = 'A')::INT) AS a, sum((l_returnflag = 'N')::INT) AS n,
       sum((l_returnflag = 'R')::INT) AS r, sum(l_extendedprice) AS y FROM lineitem GROUP BY 1)"""
