@@ -1,12 +1,13 @@
 """XYZ and extXYZ text: frames as rows, errors as rows.
 
-The atom count of a frame decides where the next one starts, so a file is read as one text
-and a malformed frame rejects its whole file. A file is therefore limited to Spark's size
-of one value (2 GB); a larger one is reported as an error row, never cut.
+The atom count of a frame decides where the next one starts, so the frames of a file are read
+in order, and a malformed frame rejects its whole file. Small files are one value each; the
+lines of larger ones are sorted and streamed, so a file may have any size.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 import shlex
@@ -16,12 +17,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.columns import fixed6
+from ..session import checkpointed
 
-# Header key syntax, default columns, required widths, largest file.
+# Header key syntax, default columns, required widths.
 NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 PLAIN_COLUMNS = [("species", 1), ("pos", 3)]
 WIDTHS = {"species": 1, "pos": 3, "charge": 1}
-MAX_BYTES = 2_000_000_000
+# Files up to this size are read as one value.
+VALUE_BYTES = 256_000_000
+FRAMES_AT_ONCE = 1000
 
 FRAME = (
     "source_file string, source_index int, symbols array<string>, coords array<array<double>>, "
@@ -76,60 +80,70 @@ def _number(text: str, at: int) -> float:
     return v
 
 
-def frames_of(text: str) -> Iterator[tuple[list, list, list | None, dict]]:
-    """(symbols, coords, charges, header) of every frame; raises :class:`FrameError`."""
-    lines = text.splitlines()
-    at = 0
-    while True:
-        while at < len(lines) and not lines[at].strip():
-            at += 1
-        if at == len(lines):
-            return
-        if not re.fullmatch(r"\s*[+-]?\d+(_\d+)*\s*", lines[at]):
-            raise FrameError(f"line {at + 1}: atom count is not an integer: {lines[at].strip()!r}")
-        n = int(lines[at])
-        if n < 0:
-            raise FrameError(f"line {at + 1}: negative atom count: {n}")
-        if at + 1 >= len(lines):
-            raise FrameError(f"line {at + 2}: missing comment line")
-        header = header_of(lines[at + 1])
-        cols = columns_of(header.get("Properties"), at + 2)
-        offset, start = {}, 0
-        for name, width in cols:
-            offset[name] = start
-            start += width
-        body = lines[at + 2 : at + 2 + n]
-        if len(body) < n:
-            raise FrameError(f"line {len(lines)}: end of file, expected {n} atom lines")
-        symbols, coords, charges = [], [], []
-        for i, line in enumerate(body, at + 3):
-            cells = line.split()
-            if len(cells) != start:
-                raise FrameError(f"line {i}: {len(cells)} columns, expected {start}")
-            symbols.append(cells[offset["species"]])
-            p = offset["pos"]
-            coords.append([_number(c, i) for c in cells[p : p + 3]])
-            if "charge" in offset:
-                charges.append(_number(cells[offset["charge"]], i))
-        yield symbols, coords, charges if "charge" in offset else None, header
-        at += 2 + n
+def frames_of(lines: str | Iterable[str]) -> Iterator[tuple[list, list, list | None, dict]]:
+    """(symbols, coords, charges, header) of every frame of a text or of its lines, read one by one.
+
+    Only the lines of one frame are held. Raises :class:`FrameError` at the first bad line.
+    """
+    rest = enumerate(lines.splitlines() if isinstance(lines, str) else lines, 1)
+    for at, line in rest:
+        if line.strip():
+            yield _frame(at, line, rest)
+
+
+def _frame(at: int, first: str, rest: Iterator[tuple[int, str]]) -> tuple[list, list, list | None, dict]:
+    """The frame that begins with the count line ``first``; takes its other lines from ``rest``."""
+    if not re.fullmatch(r"\s*[+-]?\d+(_\d+)*\s*", first):
+        raise FrameError(f"line {at}: no atom count in {first.strip()!r}")
+    n = int(first)
+    if n < 0:
+        raise FrameError(f"line {at}: count {n} below zero")
+    _, comment = next(rest, (0, None))
+    if comment is None:
+        raise FrameError(f"line {at + 1}: the comment line is missing")
+    header = header_of(comment)
+    columns = columns_of(header.get("Properties"), at + 1)
+    # Slice of a split atom line per column.
+    place, width = {}, 0
+    for name, count in columns:
+        place[name] = slice(width, width + count)
+        width += count
+    body = list(itertools.islice(rest, n))
+    if len(body) < n:
+        raise FrameError(f"line {at + 1 + len(body)}: the file ends, {n} atom lines expected")
+    cells = [(k, line.split()) for k, line in body]
+    for k, c in cells:
+        if len(c) != width:
+            raise FrameError(f"line {k}: {len(c)} columns, expected {width}")
+    symbols = [c[place["species"]][0] for _, c in cells]
+    coords = [[_number(v, k) for v in c[place["pos"]]] for k, c in cells]
+    charges = [_number(c[place["charge"]][0], k) for k, c in cells] if "charge" in place else None
+    return symbols, coords, charges, header
+
+
+_NAMES = [part.split()[0] for part in FRAME.split(", ")]
+NOT_TEXT = "not valid UTF-8"
+
+
+def _file_rows(name: str, lines: str | Iterable[str] | None) -> Iterator[tuple]:
+    """Frame rows of one file, at the first error one row that tells it."""
+    if lines is None:
+        yield (name, None, None, None, None, None, NOT_TEXT)
+        return
+    try:
+        for i, (s, c, q, h) in enumerate(frames_of(lines)):
+            yield (name, i, s, c, q, h, None)
+    except FrameError as exc:
+        yield (name, None, None, None, None, None, str(exc))
 
 
 def _explode_texts(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    names = [part.split()[0] for part in FRAME.split(", ")]
     for pdf in batches:
         out = []
         for name, text in zip(pdf["source_file"], pdf["text"]):
-            if text is None:
-                out.append((name, None, None, None, None, None, "file too large for one value, or not valid UTF-8"))
-                continue
-            try:
-                got = list(frames_of(text))
-            except FrameError as exc:
-                out.append((name, None, None, None, None, None, str(exc)))
-                continue
-            out += [(name, i, s, c, q, h, None) for i, (s, c, q, h) in enumerate(got)]
-        yield pd.DataFrame(out, columns=names)
+            rows = list(_file_rows(name, text))
+            out += rows[-1:] if rows and rows[-1][-1] is not None else rows
+        yield pd.DataFrame(out, columns=_NAMES)
 
 
 def parse_texts(df: DataFrame) -> DataFrame:
@@ -137,15 +151,53 @@ def parse_texts(df: DataFrame) -> DataFrame:
     return df.select("source_file", "text").mapInPandas(_explode_texts, FRAME)
 
 
-def read_xyz(spark: SparkSession, path: str, pattern: str = "*.xyz") -> DataFrame:
-    """All frames below ``path``. Order columns: ``source_file, source_index``."""
+def _explode_lines(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Frames of lines that come sorted by file; a batch of rows at a time."""
+    def checked(lines: Iterable[tuple]) -> Iterator[str]:
+        for at, (_, value) in enumerate(lines, 1):
+            if value is None:
+                raise FrameError(f"line {at}: {NOT_TEXT}")
+            yield value
+
+    pairs = (pair for pdf in batches for pair in zip(pdf["source_file"], pdf["value"]))
+    rows = (row for name, lines in itertools.groupby(pairs, key=lambda p: p[0]) for row in _file_rows(name, checked(lines)))
+    while part := list(itertools.islice(rows, FRAMES_AT_ONCE)):
+        yield pd.DataFrame(part, columns=_NAMES)
+
+
+def read_large(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Frames of files of any size: lines are sorted by file and place, and read as a stream.
+
+    A file with an error is rejected whole: the errors are found first, and lines of such
+    files are left out before frames are read.
+    """
+    raw = spark.read.text(paths).select(
+        F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("source_file"), F.col("_metadata.file_block_start").alias("_at"),
+        F.monotonically_increasing_id().alias("_id"), F.try_validate_utf8("value").alias("value"))
+
+    def parsed(lines: DataFrame) -> DataFrame:
+        placed = lines.repartition("source_file").sortWithinPartitions("source_file", "_at", "_id")
+        return placed.select("source_file", "value").mapInPandas(_explode_lines, FRAME)
+
+    errors = checkpointed(parsed(raw).where("error IS NOT NULL"))  # one row per bad file
+    return parsed(raw.join(errors.select("source_file"), "source_file", "left_anti")).unionByName(errors)
+
+
+def read_xyz(spark: SparkSession, path: str, pattern: str = "*.xyz", value_bytes: int = VALUE_BYTES) -> DataFrame:
+    """All frames below ``path``. Order columns: ``source_file, source_index``.
+
+    Files up to ``value_bytes`` are read as one value each, without a shuffle; larger ones
+    line by line.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
-    return parse_texts(
-        files.select(
+    small = parse_texts(
+        files.where(F.col("length") <= value_bytes).select(
             F.element_at(F.split("path", "/"), -1).alias("source_file"),
-            F.when(F.col("length") <= MAX_BYTES, F.try_validate_utf8(F.col("content").cast("string"))).alias("text"),
+            F.try_validate_utf8(F.col("content").cast("string")).alias("text"),
         )
     )
+    large = [r.path for r in files.where(F.col("length") > value_bytes).select("path").collect()]  # names only
+    return small.unionByName(read_large(spark, large)) if large else small
 
 
 def frame_text(symbols: Column, coords: Column, charges: Column | None, comment: Column) -> Column:

@@ -44,6 +44,25 @@ def test_malformed_frames(text):
         list(xyz.frames_of(text))
 
 
+def test_large_files_line_by_line(spark, folder, tmp_path):
+    """The same rows whether a file is one value or is read by lines, also cut into several splits."""
+    key = lambda r: (r.source_file, -1 if r.source_index is None else r.source_index)
+    want = sorted(xyz.read_xyz(spark, folder).collect(), key=key)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40")
+    try:
+        got = sorted(xyz.read_xyz(spark, folder, value_bytes=0).collect(), key=key)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [(*key(r), r.symbols, r.coords, r.charges, r.header, r.error) for r in got] == [(*key(r), r.symbols, r.coords, r.charges, r.header, r.error) for r in want]
+    many = tmp_path / "many.xyz"
+    many.write_text((HEH + PLAIN) * 700)
+    (tmp_path / "bad.xyz").write_text(HEH * 1500 + "x")
+    rows = xyz.read_xyz(spark, str(tmp_path), value_bytes=0).collect()
+    assert sorted(r.source_index for r in rows if r.source_file == "many.xyz") == list(range(1400))
+    assert [r.source_index for r in rows if r.source_file == "bad.xyz"] == [None]
+
+
 def test_extra_columns_are_ignored():
     got = list(xyz.frames_of("1\nProperties=species:S:1:mass:R:2:pos:R:3\nH 9 9 1 2 3\n\n\n0\n\n"))
     assert got[0][:3] == (["H"], [[1.0, 2.0, 3.0]], None) and got[1][0] == []
