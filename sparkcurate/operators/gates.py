@@ -387,6 +387,11 @@ def run_anomalies(counters: DataFrame, keep: list[str] | None = None) -> DataFra
     return counters.select(*keep, "stage", F.explode(hits).alias("r")).select(*keep, "stage", "r.kind", "r.n")
 
 
+def leftover(df: DataFrame, status: str = "filter_status", value: str = "rejected") -> DataFrame:
+    """Rows that an earlier stage rejected and that are still present: one count."""
+    return df.agg(F.coalesce(F.sum(F.coalesce((F.col(status) == value).cast("bigint"), F.lit(0))), F.lit(0)).alias("leftover"))
+
+
 def guard_threshold(value: float, low: float, high: float, what: str) -> float:
     if not low <= value <= high:
         raise ValueError(f"{what} threshold {value} outside [{low}, {high}]")

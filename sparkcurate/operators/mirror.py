@@ -51,8 +51,3 @@ def stereo_labels(
         )
         .drop("bucket", "first_key")
     )
-
-
-def robust_groups(df: DataFrame, flat: str, special: Column) -> DataFrame:
-    """Flat groups with a spiro or axis stereo member, which need the pairwise check."""
-    return df.groupBy(flat).agg(F.max(special).alias("robust"))

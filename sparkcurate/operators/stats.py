@@ -132,15 +132,33 @@ def band_shares(df: DataFrame, size: str, bands: list[tuple[int, int]] = SIZE_BA
 
 
 def similarity_summary(df: DataFrame, sim: str = "max_tanimoto") -> DataFrame:
-    """Mean, maximum, and the counts equal to 1 and above the similarity cut."""
+    """Mean, median, maximum, and the counts equal to 1 and above the similarity cut."""
+    from .outlier import exact_median
+
     s = F.col(sim)
     return df.agg(
-        F.avg(s).alias("mean"), F.max(s).alias("max"),
+        F.avg(s).alias("mean"), F.lit(exact_median(df, s)).cast("double").alias("median"), F.max(s).alias("max"),
         F.sum((s == 1.0).cast("long")).alias("n_identical"),
         F.sum((s > SIMILAR).cast("long")).alias("n_similar"),
     )
 
 
+def polar_share(df: DataFrame, tpsa: str = "tpsa", cut: float = TPSA_CUT) -> DataFrame:
+    """Percent of the rows with a polar surface that lies below the cut."""
+    known = df.where(F.col(tpsa).isNotNull())
+    return known.agg(F.count(F.lit(1)).alias("n"), share(F.col(tpsa) < cut).alias("percent"))
+
+
+def perfect_twins(df: DataFrame, identity: str, smiles: str, sim: str = "max_tanimoto", limit: int | None = None) -> DataFrame:
+    """Twin groups among rows with a similarity of 1, each identity once.
+
+    ``limit`` keeps the first groups by skeleton, as a report shows them.
+    """
+    once = df.where(F.col(sim) == 1.0).groupBy(identity).agg(F.min(smiles).alias(smiles))
+    groups = twin_groups(once, F.col(smiles), F.col(identity))
+    return groups if limit is None else groups.orderBy("skeleton").limit(limit)
+
+
 def twin_groups(df: DataFrame, smiles: Column, identity: Column, stripped: Column | None = None) -> DataFrame:
     """Rows with a perfect match grouped by their marker-free skeleton.
 

@@ -499,6 +499,47 @@ def twin_groups(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("skeleton", "n_rows", "n_ids", "kind")
 
 
+@query("""
+WITH c AS (SELECT c_name AS id, regexp_replace(c_mktsegment || '@' || (c_nationkey % 7), '@+', '', 'g') AS skeleton FROM customer WHERE c_acctbal > 3000),
+g AS (SELECT skeleton, count(*) AS n_rows, count(DISTINCT id) AS n_ids FROM c GROUP BY 1)
+SELECT skeleton, n_rows, n_ids, CASE WHEN n_rows = 1 THEN 'singleton' WHEN n_ids > 1 THEN 'stereo' ELSE 'identical' END AS kind
+FROM g ORDER BY skeleton LIMIT 20""")
+def perfect_twins(spark: SparkSession, sf: str) -> DataFrame:
+    """The first twin groups among rows with a similarity of 1."""
+    c = read_table(spark, sf, "customer").select(
+        F.col("c_name").alias("id"), F.concat("c_mktsegment", F.lit("@"), (F.col("c_nationkey") % 7).cast("string")).alias("smiles"),
+        F.when(F.col("c_acctbal") > 3000, 1.0).otherwise(0.5).alias("max_tanimoto"))
+    return stats.perfect_twins(c, "id", "smiles", limit=20).select("skeleton", "n_rows", "n_ids", "kind")
+
+
+@query("""
+SELECT count(*) AS n, round(100.0 * sum((p_size * 5 < 140)::INT) / count(*), 6) AS percent FROM part""")
+def polar_share(spark: SparkSession, sf: str) -> DataFrame:
+    """Percent of rows below the polar surface cut."""
+    p = read_table(spark, sf, "part").select((F.col("p_size") * 5).alias("tpsa"))
+    return stats.polar_share(p).withColumn("percent", F.round("percent", 6))
+
+
+@query("SELECT coalesce(sum((n_chars < 150)::INT), 0)::BIGINT AS leftover FROM documents")
+def leftover_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Rejected rows that are still present."""
+    d = read_table(spark, sf, "documents").select(F.when(F.col("n_chars") < 150, "rejected").alias("filter_status"))
+    return gates.leftover(d)
+
+
+@query("""
+WITH e AS (SELECT l_orderkey, CASE l_returnflag WHEN 'A' THEN 'S' WHEN 'N' THEN 'C' ELSE 'Br' END AS e, l_quantity AS q FROM lineitem)
+SELECT l_orderkey, string_agg(DISTINCT e, ',' ORDER BY e) AS elements, coalesce(string_agg(DISTINCT e, ',' ORDER BY e) FILTER (e <> 'C'), '') AS rare
+FROM e GROUP BY 1 HAVING max(q) >= 40""")
+def skipped_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that could not be described, with their elements."""
+    names = F.create_map(F.lit("A"), F.lit("S"), F.lit("N"), F.lit("C"), F.lit("R"), F.lit("Br"))
+    li = read_table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
+        F.collect_list(names[F.col("l_returnflag")]).alias("e"), F.max("l_quantity").alias("q"))
+    out = selection.skipped_rows(li, F.col("q") < 40, F.col("e"), ["l_orderkey"])
+    return out.select("l_orderkey", F.array_join("elements", ",").alias("elements"), F.array_join("rare", ",").alias("rare"))
+
+
 @query("SELECT c_custkey, regexp_replace(c_name || '@@' || c_mktsegment || '@x', '@+', '', 'g') AS flat FROM customer")
 def chirality_strip(spark: SparkSession, sf: str) -> DataFrame:
     """Text without chirality marks."""
@@ -952,6 +993,17 @@ def tanimoto_nn(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumn("max_tanimoto", F.round("max_tanimoto", 9))
 
 
+@query(f"""
+WITH t AS ({ORACLES["tanimoto_nn"]})
+SELECT round(avg(max_tanimoto), 6) AS mean, round(median(max_tanimoto), 6) AS median, max(max_tanimoto) AS max,
+  sum((max_tanimoto = 1)::INT)::BIGINT AS n_identical, sum((max_tanimoto > {stats.SIMILAR})::INT)::BIGINT AS n_similar FROM t""")
+def similarity_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Summary of the nearest similarities of all documents."""
+    near = checkpointed(tanimoto_nn(spark, sf))
+    out = stats.similarity_summary(near)
+    return out.withColumns({"mean": F.round("mean", 6), "median": F.round("median", 6)})
+
+
 @query(ORACLES["tanimoto_nn"])
 def tanimoto_nn_blocks(spark: SparkSession, sf: str) -> DataFrame:
     """The same by thresholds and blocks, as for a pool of any size."""

@@ -296,6 +296,12 @@ def describe(
     return out.select(*DESCRIPTORS, *[c for c in order if c not in DESCRIPTORS]), gates.scope_counts(labelled)
 
 
+def skipped_rows(rows: DataFrame, described: Column, symbols: Column, keep: list[str]) -> DataFrame:
+    """Rows that could not be described: the columns ``keep``, their elements and the rare ones among them."""
+    return rows.where(~F.coalesce(described, F.lit(False))).select(
+        *keep, F.array_sort(F.array_distinct(symbols)).alias("elements"), elements.rare_elements(symbols).alias("rare"))
+
+
 def prepare(descriptors: DataFrame, order: list[str], fp: str = "morgan_fp") -> DataFrame:
     """Number the rows and unfold their environments; materialized once."""
     df = number_rows(descriptors, order, "_no").withColumn("row", F.col("_no") - 1).drop("_no")

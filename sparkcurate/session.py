@@ -102,10 +102,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def balanced(df: DataFrame) -> DataFrame:
-    """Spread rows over the cores when the input has fewer files than there are cores.
+    """Spread rows over the cores when the scan has fewer splits than there are cores.
 
-    A small file is one task however heavy the work per row is. Large inputs have more
-    files than cores and are left as they are, without a shuffle.
+    A small file is one task however heavy the work per row is. A large file has many splits,
+    so large inputs are left as they are, without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
