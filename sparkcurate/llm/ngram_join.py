@@ -42,10 +42,11 @@ from .textvec import mix, shingles, text_blocks, words
 
 _U = np.uint64
 FLUSH_POSTINGS = 1 << 20  # postings a task combines before it sends them
-GROUP_SHINGLES = 4_000_000  # shingles of one search in memory
+GROUP_SHINGLES = 1_000_000  # shingles of a block; a search holds two
 BUCKET_DOCS = 250  # documents per bucket of postings
-# DivideSkip: the number of long lists is T / (MU * log2(longest list) + 1).
-MU = 0.01
+# DivideSkip: the number of long lists is T / (MU * log2(longest list) + 1). A posting is merged some
+# ten times faster than a list is probed, so most lists are merged.
+MU = 1.0
 PIVOT_FROM = 64  # groups of so many sets first compare all with a few pivots
 
 
@@ -209,11 +210,12 @@ def t_occurrence(sets: list[np.ndarray], percent: int, queries: np.ndarray | Non
     n = len(sets)
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
     flat = np.concatenate(sets) if n else np.zeros(0, _U)
-    owner = np.repeat(np.arange(n), sizes)
-    order = np.lexsort((owner, flat))
-    posting, token = owner[order], flat[order]
+    order = np.argsort(flat, kind="stable")  # equal tokens stay in the order of their sets
+    posting, token = np.repeat(np.arange(n, dtype=np.int32), sizes)[order], flat[order]
+    del order
     starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]]) if len(token) else np.zeros(0, np.int64)
     keys, bounds = token[starts], np.r_[starts, len(token)]
+    del token, starts
     first = np.r_[0, np.cumsum(sizes)]
     group = _Union(n)
     wanted = np.ones(n, dtype=bool) if queries is None else queries
@@ -349,7 +351,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
         "doc_id", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id")))
     buckets = max(1024, -(-sized.count() // BUCKET_DOCS))
     blobs = docs.mapInArrow(partial(_postings, k=k, percent=percent, buckets=buckets), "bucket bigint, sigs binary, recs binary")
-    met = blobs.groupBy("bucket").applyInPandas(_meet, "a bigint, b bigint")
+    met = blobs.groupBy("bucket").applyInPandas(_meet, "a bigint, b bigint").distinct()
     # Records stand for their class from here on.
     moved = named.where("doc_id <> class_id").select("doc_id", "class_id").distinct()
     for side in ("a", "b"):
@@ -364,7 +366,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
     if total[0] is None:
         links = None
     else:
-        packs = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total[0] // (GROUP_SHINGLES // 4) + 1)
+        packs = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total[0] // (GROUP_SHINGLES // 2) + 1)
         text = lookup_join(docs.where("doc_id IS NOT NULL"), rows.where("blocks = 1").select("doc_id", "grp"), "doc_id", "inner")
         run = partial(_search, k=k, percent=percent)
         links = (
