@@ -5,10 +5,10 @@ Two documents link when their sets of k-word shingles have Jaccard similarity >=
 1. Every text is scanned once for its set size and a 128-bit digest of the set; equal sets
    become one class, named by its smallest doc_id (an aggregate, combined map-side).
 2. Routing. Linked sets of sizes a <= b differ in at most h = floor((1 - t) / t * a) shingles, so
-   of h + 1 parts of the shingle universe at least one holds the same shingles in both. A
+   of h + 1 + z parts of the shingle universe at least 1 + z hold the same shingles in both. A
    signature per part (size interval, part, its shingles) brings linked sets together. Parts
-   with no shingle carry no signature; sets with such a part also send the smallest hashes
-   that a prefix filter needs, under that part. Texts that merely share a passage almost never
+   with no shingle carry no signature; a set with more than z such parts also sends the
+   smallest hashes that a prefix filter needs, under each of them. Texts that merely share a passage almost never
    agree on a whole part, so frequent passages make no groups. Postings are packed into
    arrays and combined before the shuffle: a signature common to a third of all rows costs
    one posting per flush of a task. Each signature gives a star of edges to its smallest
@@ -47,6 +47,7 @@ BUCKET_DOCS = 250  # documents per bucket of postings
 # DivideSkip: the number of long lists is T / (MU * log2(longest list) + 1). A posting is merged some
 # ten times faster than a list is probed, so most lists are merged.
 MU = 1.0
+SPARE_PARTS = 2  # parts beyond those that must agree, and one more per hundred
 PIVOT_FROM = 64  # groups of so many sets first compare all with a few pivots
 
 
@@ -103,6 +104,8 @@ def signatures(s: np.ndarray, percent: int) -> np.ndarray:
         if upper == 0:
             continue
         parts = upper * (100 - percent) // percent + 1
+        spare = SPARE_PARTS + parts // 100
+        parts += spare
         at = (scattered % _U(parts)).astype(np.int64)
         size = np.bincount(at, minlength=parts)
         # Sums of 32-bit halves stay below 2**53, so they are exact.
@@ -111,12 +114,26 @@ def signatures(s: np.ndarray, percent: int) -> np.ndarray:
         full = size > 0
         out.append(mix(tag[full] + mix(one[full]) + mix(two[full] + _U(1 << 60)) * _U(3)))
         empty = tag[~full]
-        if len(empty):
+        if len(empty) > spare:
             prefix = np.sort(mix(s))[: n - -(-percent * n // 100) + 1]
             out.append(mix((mix(empty + _U(77))[:, None] + prefix[None, :]).ravel()))
     return np.concatenate(out) if out else s[:0]
 
 
+def _coded(rec: np.ndarray) -> bytes:
+    """Sorted record numbers as their first one and two-byte steps where these fit."""
+    steps = np.diff(rec)
+    if len(steps) and steps.max() < 1 << 16 and rec[-1] - rec[0] >= 0:
+        return rec[:1].tobytes() + steps.astype(np.uint16).tobytes()
+    return rec.tobytes()
+
+
+def _decoded(data: bytes, count: int) -> np.ndarray:
+    if len(data) == 8 * count:
+        return np.frombuffer(data, np.int64)
+    return np.cumsum(np.r_[np.frombuffer(data, np.int64, 1), np.frombuffer(data, np.uint16, count - 1, 8).astype(np.int64)])
+
+
 def _pack(sig: np.ndarray, rec: np.ndarray, buckets: int) -> tuple[pa.RecordBatch, pa.RecordBatch]:
     """Postings combined per signature: its smallest record goes on, the others get an edge to it."""
     order = np.lexsort((rec, sig))
@@ -127,11 +144,11 @@ def _pack(sig: np.ndarray, rec: np.ndarray, buckets: int) -> tuple[pa.RecordBatc
     pairs = np.unique(np.stack([rec, hub], axis=1)[~new & (rec != hub)], axis=0)
     sig, rec = sig[new], rec[new]
     bucket = (mix(sig) % _U(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
+    order = np.lexsort((rec, bucket))
     sig, rec, bucket = sig[order], rec[order], bucket[order]
     cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.zeros(0, np.int64)
     ends = np.r_[cuts[1:], len(bucket)]
-    blobs = [(int(bucket[a]), sig[a:b].tobytes(), rec[a:b].tobytes()) for a, b in zip(cuts, ends, strict=True)]
+    blobs = [(int(bucket[a]), sig[a:b].tobytes(), _coded(rec[a:b])) for a, b in zip(cuts, ends, strict=True)]
     if len(pairs):  # edges found here travel with the rest, to a bucket chosen by their record
         to = (mix(pairs[:, 0].astype(_U)) % _U(buckets)).astype(np.int64)
         order = np.argsort(to, kind="stable")
@@ -171,7 +188,7 @@ def _meet(pdf: pd.DataFrame) -> pd.DataFrame:
     full = [(s, r) for s, r in zip(pdf.sigs, pdf.recs, strict=True) if len(s)]
     if full:
         sig = np.concatenate([np.frombuffer(s, _U) for s, _ in full])
-        rec = np.concatenate([np.frombuffer(r, np.int64) for _, r in full])
+        rec = np.concatenate([_decoded(r, len(s) // 8) for s, r in full])
         order = np.lexsort((rec, sig))
         sig, rec = sig[order], rec[order]
         new = np.ones(len(sig), dtype=bool)
@@ -387,10 +404,15 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
 
     Rows with a null doc_id are kept as they are.
     """
-    found = jaccard_components(docs, k, percent).where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where(F.col("doc_id").isNotNull())
-    kept = named.join(found.withColumnRenamed("doc_id", "_keep"), named.doc_id == F.col("_keep"), "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+    found = checkpointed(jaccard_components(docs, k, percent).where("doc_id IS NOT NULL").select("doc_id", "component_id"))
+    per_id = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.first("component_id").alias("component_id"))
+    # Only ids that go, or that repeat, are named; texts move only when these are too many to broadcast.
+    marked = per_id.where("doc_id <> component_id OR rows > 1").select(
+        F.col("doc_id").alias("__id"), (F.col("doc_id") == F.col("component_id")).alias("__stays"))
+    rows = lookup_join(docs.withColumn("__id", F.col("doc_id").cast("bigint")), marked, "__id", "left")
+    single = rows.where("__stays IS NULL").select(docs.columns)
+    several = rows.where("__stays").dropDuplicates(["__id"]).select(docs.columns)
+    return single.unionAll(several)
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
