@@ -140,13 +140,13 @@ def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float =
     for p in range(max(1, int(-(-cap // 1)))):
         uses = uses + F.when(goal - F.col("before") - F.col("source_size") * p > 0, 1).otherwise(0)
     uses = F.when(F.col("size") == 0, F.lit(1)).otherwise(uses)
-    counts = plan.groupBy(F.col("_h").alias("_k"), F.col("source").alias("_src")).agg(
-        F.sum(uses).cast("int").alias("_uses"), F.count(F.lit(1)).alias("_rows")).where("_uses > 0")
-    rows = docs.select("*", _row_key().alias("_k1"), F.col("source").cast("string").alias("_src1"))
-    joined = rows.join(counts, (F.col("_k1") == F.col("_k")) & F.col("_src1").eqNullSafe(F.col("_src")))
-    single = joined.where("_rows = 1")
-    several = joined.where("_rows > 1").dropDuplicates(["_k1", "_src1"])
-    return single.unionAll(several).withColumn("_use", F.explode(F.sequence(F.lit(1), F.col("_uses")))).select(*docs.columns)
+    counts = plan.groupBy(F.col("_h").alias("__plan_key"), F.col("source").alias("__plan_source")).agg(
+        F.sum(uses).cast("int").alias("__uses"), F.count(F.lit(1)).alias("__rows")).where("__uses > 0")
+    rows = docs.select("*", _row_key().alias("__key"), F.col("source").cast("string").alias("__source"))
+    joined = rows.join(counts, (F.col("__key") == F.col("__plan_key")) & F.col("__source").eqNullSafe(F.col("__plan_source")))
+    single = joined.where("__rows = 1")
+    several = joined.where("__rows > 1").dropDuplicates(["__key", "__source"])
+    return single.unionAll(several).withColumn("__use", F.explode(F.sequence(F.lit(1), F.col("__uses")))).select(*docs.columns)
 
 
 def op6_mix_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
