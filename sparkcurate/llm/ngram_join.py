@@ -425,10 +425,11 @@ ORACLES = {
         WITH RECURSIVE d AS (
             SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
-        s AS (
-            SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[])
-                WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
-                ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END)) AS g FROM d),
+        t AS (SELECT doc_id, len(w) AS n, unnest(w) AS a, generate_subscripts(w, 1) AS i FROM d),
+        l AS (
+            SELECT doc_id, n, i, a, lead(a, 1) OVER v AS b, lead(a, 2) OVER v AS c, lead(a, 3) OVER v AS e FROM t
+            WINDOW v AS (PARTITION BY doc_id ORDER BY i)),
+        s AS (SELECT DISTINCT doc_id, concat_ws(' ', a, b, c, e) AS g FROM l WHERE e IS NOT NULL OR (n < 4 AND i = 1)),
         n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
         p AS (
             SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
