@@ -120,14 +120,21 @@ def with_neighbours(docs: DataFrame) -> DataFrame:
 
     Texts move once: both joins use the same shuffle by doc_id.
     """
-    docs = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    order = _id_order(docs)
-    to = order.select(F.col("doc_id").alias("_for"), F.col("next_id").alias("_from"), F.col("need").alias("_need"))
-    head = docs.join(to, docs.doc_id.eqNullSafe(F.col("_from"))).select(
-        "_for", F.struct(F.expr("substring(text, 1, _need)").alias("head"), F.xxhash64("text").alias("h"), pieces(F.col("text")).alias("pieces")).alias("_next"))
-    nearest = head.groupBy("_for").agg(F.min_by("_next", F.struct("_next.head", "_next.h")).alias("_next"))
-    return docs.join(nearest, docs.doc_id.eqNullSafe(F.col("_for"))).select(
-        "doc_id", "text", F.col("_next.head").alias("next_head"), F.col("_next.pieces").alias("next_pieces"))
+    kind = dict(docs.dtypes)["doc_id"]
+    order = _id_order(docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")))
+    # Ids as text that is never null: plain equality lets the joins and the aggregate share one partitioning.
+    rows = docs.select(_name("doc_id").alias("key"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    to = order.select(_name("doc_id").alias("for"), _name("next_id").alias("from"), "need")
+    head = rows.join(to, F.col("key") == F.col("from")).select(
+        "for", F.struct(F.expr("substring(text, 1, need)").alias("head"), F.xxhash64("text").alias("h"), pieces(F.col("text")).alias("pieces")).alias("next"))
+    nearest = head.groupBy("for").agg(F.min_by("next", F.struct("next.head", "next.h")).alias("next"))
+    return rows.join(nearest, F.col("key") == F.col("for")).select(
+        F.when(F.col("key") != "", F.col("key")).cast(kind).alias("doc_id"), "text",
+        F.col("next.head").alias("next_head"), F.col("next.pieces").alias("next_pieces"))
+
+
+def _name(doc_id: str) -> Column:
+    return F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
 
 
 def edited(text: Column, head: Column) -> Column:
