@@ -80,6 +80,7 @@ class Index:
     need: np.ndarray
     budget: np.ndarray
     codes: list
+    texts: list
     ids: list
     short: list
 
@@ -110,7 +111,7 @@ def build_index(items: list[tuple[int, str]], q: int = Q, error_rate: float = ER
     maybe = np.zeros(1 << LOOKUP_BITS, dtype=bool)
     maybe[(flat >> _U(64 - LOOKUP_BITS)).astype(np.int64)] = True
     return Index(flat[start], np.r_[start, len(flat)], item, offset, maybe, need, budget, codes,
-                 [i for i, _ in texts], [(i, t) for i, t in items if 0 < len(t) < q])
+                 [t for _, t in texts], [i for i, _ in texts], [(i, t) for i, t in items if 0 < len(t) < q])
 
 
 def banded_distance(item: np.ndarray, text: np.ndarray, low: int, high: int, budget: int) -> tuple[int, int, int]:
@@ -130,9 +131,9 @@ def banded_distance(item: np.ndarray, text: np.ndarray, low: int, high: int, bud
         char = text[np.clip(at - 1, 0, max(0, len(text) - 1))] if len(text) else np.zeros(width, np.uint32)
         diag = row + np.where(inside & (char == item[i - 1]), 0, 1)
         diag[~inside] = far
-        up = np.r_[row[1:], far] + 1  # a character of the item is missing in the text
+        up = np.append(row[1:], far) + 1  # a character of the item is missing in the text
         take = up < diag
-        new, origin = np.where(take, up, diag), np.where(take, np.r_[begin[1:], 0], begin)
+        new, origin = np.where(take, up, diag), np.where(take, np.append(begin[1:], 0), begin)
         new = np.where((at >= 0) & (at <= len(text)), new, far)
         # Extra characters of the text move right along the row: a running minimum of cost minus index.
         slid = np.minimum.accumulate(new - d) + d
@@ -193,6 +194,10 @@ def leaks_in(texts: list[str], index: Index, q: int = Q) -> list[tuple[int, int,
         low, high = base - k, base + 2 * (k + 1) + k
         item_codes = index.codes[x]
         a, e = max(0, low), min(int(lens[r]), high + len(item_codes) + 1)
+        exact = texts[r].find(index.texts[x], a, e)
+        if exact >= 0:  # nothing can be closer
+            found.append((int(r), index.ids[x], exact, exact + len(item_codes), 0))
+            continue
         text = codes[begins[r] + a : begins[r] + e]
         dist, start, end = banded_distance(item_codes, text, low - a, high - a, k)
         if dist <= k:
