@@ -28,8 +28,9 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from functools import partial
+from functools import lru_cache, partial
 
 import numpy as np
 import pandas as pd
@@ -47,7 +48,6 @@ BUCKET_DOCS = 250  # documents per bucket of postings
 # DivideSkip: the number of long lists is T / (MU * log2(longest list) + 1). A posting is merged some
 # ten times faster than a list is probed, so most lists are merged.
 MU = 1.0
-SPARE_PARTS = 2  # parts beyond those that must agree, and one more per hundred
 PIVOT_FROM = 64  # groups of so many sets first compare all with a few pivots
 
 
@@ -93,6 +93,17 @@ def _intervals(n: int, percent: int) -> tuple[int, int, int]:
         i, low, before = i + 1, high + 1, high
 
 
+@lru_cache(maxsize=None)
+def _parts(upper: int, percent: int) -> tuple[int, int]:
+    """(parts, spare parts) of a level: so many spare ones that few sets have more empty parts."""
+    differ, low = upper * (100 - percent) // percent, upper * percent / 100
+    spare = 0
+    for _ in range(6):
+        empty = (differ + 1 + spare) * math.exp(-low / (differ + 1 + spare))
+        spare = math.ceil(empty + 3 * math.sqrt(empty))
+    return differ + 1 + spare, spare
+
+
 def signatures(s: np.ndarray, percent: int) -> np.ndarray:
     """Signatures such that any two linked sets share at least one."""
     n = len(s)
@@ -103,9 +114,7 @@ def signatures(s: np.ndarray, percent: int) -> np.ndarray:
     for level, upper in ((i, high), (i - 1, before)):
         if upper == 0:
             continue
-        parts = upper * (100 - percent) // percent + 1
-        spare = SPARE_PARTS + parts // 100
-        parts += spare
+        parts, spare = _parts(upper, percent)
         at = (scattered % _U(parts)).astype(np.int64)
         size = np.bincount(at, minlength=parts)
         # Sums of 32-bit halves stay below 2**53, so they are exact.
