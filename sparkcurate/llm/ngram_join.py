@@ -346,7 +346,7 @@ def _big_groups(rows: DataFrame, k: int, percent: int) -> DataFrame:
         .groupBy("grp").agg(F.max_by("label", F.struct("m", "label")).alias("main"))
     )
     others = named.join(main, "grp").where("label <> main")
-    parts = others.groupBy("grp").agg(F.greatest(F.lit(1), F.ceil(F.sum("n") / (GROUP_SHINGLES // 2))).cast("bigint").alias("parts"))
+    parts = others.groupBy("grp").agg(F.greatest(F.lit(1), F.ceil(F.sum("n") / GROUP_SHINGLES)).cast("bigint").alias("parts"))
     others = checkpointed(others.join(parts, "grp").select("grp", "doc_id", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("parts")).alias("part")))
     asked = (
         cut.join(others, ["grp", "doc_id"])
