@@ -19,6 +19,10 @@ Two documents link when their sets of k-word shingles have Jaccard similarity >=
    component already known need no check, so a mass of near copies costs little more than
    one star. Groups above ``GROUP_SHINGLES`` are cut into blocks; see ``_big_groups``.
 
+``jaccard_links`` also counts links. There every pair of classes of a group is decided: nothing is
+left out because its component is known, and large groups are cut by set size, so that each pair of
+blocks that can link meets once; see ``link_counts`` and ``_big_links``.
+
 Edge cases: null and empty texts, and texts of white space, have an empty set, link with nothing
 and are their own component. Fewer than k words: the whole sequence is one shingle. Repeated rows
 of one doc_id are one node, linked when any of its texts is. A null doc_id is no name: such
@@ -29,13 +33,13 @@ table gives an empty result.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache, partial
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import checkpointed, lookup_join
 from .common import components, table
@@ -49,6 +53,7 @@ BUCKET_DOCS = 250  # documents per bucket of postings
 # ten times faster than a list is probed, so most lists are merged.
 MU = 1.0
 PIVOT_FROM = 64  # groups of so many sets first compare all with a few pivots
+LONG_LIST = 32  # where all links are counted, lists longer than this and than a 64th of the sets are kept as bits
 
 
 def _sets(batch: pa.RecordBatch, k: int) -> Iterator[tuple[object, np.ndarray]]:
@@ -306,6 +311,141 @@ def t_occurrence(sets: list[np.ndarray], percent: int, queries: np.ndarray | Non
     return group.roots()
 
 
+def link_counts(sets: list[np.ndarray], weights: np.ndarray, percent: int, left: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(component number, links) of each set; a link counts with the weight of the set at its other end.
+
+    All sets are non-empty and different. With ``left`` (a mask) only pairs of a set inside and one
+    outside it count. Sets are taken by size, so partners not yet met follow within a range. The
+    short lists are merged; the long ones are bits per set, and only the sets that can still reach the
+    required overlap have theirs compared.
+    """
+    n = len(sets)
+    order = np.argsort([len(s) for s in sets], kind="stable")
+    sizes = np.array([len(sets[i]) for i in order], dtype=np.int64)
+    weights = weights[order]
+    side = None if left is None else left[order]
+    flat = np.concatenate([sets[i] for i in order])
+    owner = np.repeat(np.arange(n), sizes)
+    by = np.argsort(flat, kind="stable")
+    token, posting = flat[by], owner[by]
+    starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+    length = np.diff(np.r_[starts, len(token)])
+    lists = np.empty(len(flat), dtype=np.int64)  # list of each shingle
+    lists[by] = np.repeat(np.arange(len(starts)), length)
+    del flat, by, token
+    long_ = length > max(LONG_LIST, n >> 6)
+    short = ~long_ & (length > 1)
+    is_long = long_[lists]
+    width = max(1, -(-int(long_.sum()) // 64))
+    bits = np.zeros(n * width, dtype=_U)
+    place = (np.cumsum(long_) - 1)[lists[is_long]]
+    np.bitwise_or.at(bits, owner[is_long] * width + (place >> 6), _U(1) << (place & 63).astype(_U))
+    bits = bits.reshape(n, width)
+    n_long = np.bincount(owner[is_long], minlength=n)
+    first = np.r_[0, np.cumsum(sizes)]
+    ends = np.searchsorted(sizes, sizes * 100 // percent, side="right")
+    needs = -(-2 * percent * sizes // (100 + percent))  # least overlap with a set of at least this size
+    group, links = _Union(n), np.zeros(n, dtype=np.int64)
+    for x in range(n - 1):
+        low, end = x + 1, int(ends[x])
+        if end <= low:
+            continue
+        own = lists[first[x] : first[x + 1]]
+        own = own[short[own]]
+        count = length[own]
+        to = np.cumsum(count)
+        merged = posting[np.repeat(starts[own] - to + count, count) + np.arange(to[-1] if len(to) else 0)]
+        merged = merged[(merged >= low) & (merged < end)]
+        least = int(needs[x] - n_long[x])
+        if least > 0 and 8 * len(merged) < end - low:
+            part, seen = np.unique(merged, return_counts=True)
+        else:
+            part, seen = np.arange(low, end), np.bincount(merged - low, minlength=end - low)
+        if least > 0:
+            part, seen = part[seen >= least], seen[seen >= least]
+        if side is not None:
+            other = side[part] != side[x]
+            part, seen = part[other], seen[other]
+        if not len(part):
+            continue
+        overlap = seen + np.bitwise_count(bits[part] & bits[x]).sum(axis=1, dtype=np.int64)
+        part = part[100 * overlap >= percent * (sizes[x] + sizes[part] - overlap)]
+        if len(part):
+            links[x] += weights[part].sum()
+            links[part] += weights[x]
+            for y in np.unique(group.up[part]):
+                group.join(x, int(y))
+            group.up[part] = group.root(x)
+    roots, counted = np.empty(n, dtype=np.int64), np.empty(n, dtype=np.int64)
+    roots[order], counted[order] = order[group.roots()], links
+    return roots, counted
+
+
+_LINKS = "a bigint, b bigint, links bigint"
+
+
+def _count(pdf: pd.DataFrame, k: int, percent: int) -> pd.DataFrame:
+    """(a, b, links): each record of the pack, the smallest record of its component and its links, per group.
+
+    A group with a column ``is_left`` that differs between rows is a pair of blocks.
+    """
+    out = [np.zeros((3, 0), dtype=np.int64)]
+    for _, part in pdf.groupby("grp", sort=False):
+        part = part.drop_duplicates(["doc_id", "text"])
+        batch = pa.RecordBatch.from_arrays([pa.array(part.doc_id, pa.int64()), pa.array(part.text, pa.string())], names=["doc_id", "text"])
+        rows = {}  # repeated rows of one record with one set are one
+        for at, (i, s) in enumerate(_sets(batch, k)):
+            if len(s):
+                rows.setdefault((i, _digest(s)), (at, s))
+        if not rows:
+            continue
+        ids, at = np.array([i for i, _ in rows], dtype=np.int64), [a for a, _ in rows.values()]
+        left = part.is_left.to_numpy(bool)[at] if "is_left" in part else None
+        if left is not None and left.all():  # a block with itself
+            left = None
+        roots, links = link_counts([s for _, s in rows.values()], part.w.to_numpy(np.int64)[at], percent, left)
+        low = np.full(len(ids), np.iinfo(np.int64).max)
+        np.minimum.at(low, roots, ids)
+        out.append(np.stack([ids, low[roots], links]))
+    a, b, links = np.concatenate(out, axis=1)
+    return pd.DataFrame({"a": a, "b": b, "links": links})
+
+
+def _big_links(rows: DataFrame, percent: int, k: int, largest: int) -> DataFrame:
+    """Links of groups that are too large for one search: columns grp, doc_id, text, n, w.
+
+    Linked sets are in one size interval or in neighbouring ones (``_intervals``). Each interval of a
+    group is cut into blocks by hash, and each pair of blocks of one or of neighbouring intervals is
+    searched once.
+    """
+    uppers, low = [], 1
+    while low <= largest:
+        uppers.append(low * 100 // percent)
+        low = uppers[-1] + 1
+    level = F.size(F.filter(F.array(*[F.lit(u).cast("bigint") for u in uppers]), lambda u: u < F.col("n")))
+    cut = rows.withColumn("level", level)
+    held = checkpointed(cut.select("grp", "level", "doc_id", "n").distinct().groupBy("grp", "level").agg(
+        F.ceil(F.sum("n") / GROUP_SHINGLES).cast("bigint").alias("blocks")))
+    near = held.select("grp", (F.col("level") + 1).alias("level"), F.col("blocks").alias("before")).join(held, ["grp", "level"], "full").join(
+        held.select("grp", (F.col("level") - 1).alias("level"), F.col("blocks").alias("after")), ["grp", "level"], "left").where("blocks IS NOT NULL")
+    blk = F.pmod(F.xxhash64("doc_id"), F.col("blocks"))
+
+    def pairs(count: Column, to_pair: Callable[[Column], Column]) -> Column:
+        return F.when(count > 0, F.transform(F.sequence(F.lit(0).cast("bigint"), count - 1), to_pair)).otherwise(F.array())
+
+    def pair(la: Column, a: Column, lb: Column, b: Column, is_left: Column) -> Column:
+        return F.struct(la.alias("la"), a.alias("ba"), lb.alias("lb"), b.alias("bb"), is_left.alias("is_left"))
+
+    here, yes, no = F.col("level"), F.lit(True), F.lit(False)
+    meets = F.concat(
+        pairs(F.col("blocks"), lambda j: pair(here, F.least("blk", j), here, F.greatest("blk", j), F.col("blk") <= j)),
+        pairs(F.col("after"), lambda j: pair(here, F.col("blk"), here + 1, j, yes)),
+        pairs(F.col("before"), lambda j: pair(here - 1, j, here, F.col("blk"), no)))
+    dealt = lookup_join(cut, near, ["grp", "level"], "inner").withColumn("blk", blk).withColumn("m", F.explode(meets)).select(
+        "grp", "m.la", "m.ba", "m.lb", "m.bb", "m.is_left", "doc_id", "text", "w")
+    return dealt.groupBy("grp", "la", "ba", "lb", "bb").applyInPandas(partial(_count, k=k, percent=percent), _LINKS)
+
+
 def _search(pdf: pd.DataFrame, k: int, percent: int) -> pd.DataFrame:
     """(a, b): each record of the pack and the smallest record of its component, per group."""
     out_a, out_b = [], []
@@ -362,19 +502,14 @@ def _big_groups(rows: DataFrame, k: int, percent: int) -> DataFrame:
     return first.unionAll(checkpointed(second)).where("a <> b").distinct()
 
 
-def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, class_id, component_id) of every row of ``docs`` (doc_id, text).
-
-    ``class_id`` is the smallest doc_id with an equal set; ``component_id`` the smallest doc_id
-    reachable by links.
-    """
-    spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def _routed(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(every row as doc_id, n_shingles, class_id, c rows of the class; the classes that others may link with, their
+    group and its size: doc_id, grp, n, w, total, blocks)."""
     sized = checkpointed(set_sizes(docs, k))
     alike = sized.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("d1", "d2", "n_shingles").agg(
-        F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
+        F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("c")).where("c > 1")
     named = checkpointed(sized.join(alike, ["d1", "d2", "n_shingles"], "left").select(
-        "doc_id", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id")))
+        "doc_id", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("c", F.lit(1)).cast("bigint").alias("c")))
     buckets = max(1024, -(-sized.count() // BUCKET_DOCS))
     blobs = docs.mapInArrow(partial(_postings, k=k, percent=percent, buckets=buckets), "bucket bigint, sigs binary, recs binary")
     met = blobs.groupBy("bucket").applyInPandas(_meet, "a bigint, b bigint").distinct()
@@ -384,30 +519,73 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFr
         to = moved.select(F.col("doc_id").alias(side), F.col("class_id").alias("to"))
         met = met.join(to, side, "left").withColumn(side, F.coalesce("to", side)).drop("to")
     groups = components(met)
-    member = named.where("doc_id = class_id AND n_shingles > 0").groupBy("doc_id").agg(F.sum("n_shingles").alias("n"))
+    member = named.where("doc_id = class_id AND n_shingles > 0").groupBy("doc_id").agg(F.sum("n_shingles").alias("n"), F.max("c").alias("w"))
     rows = groups.select(F.col("node").alias("doc_id"), F.col("label").alias("grp")).join(member, "doc_id")
     sizes = rows.groupBy("grp").agg(F.sum("n").alias("total"), F.ceil(F.sum("n") / GROUP_SHINGLES).cast("bigint").alias("blocks"))
-    rows = checkpointed(rows.join(sizes, "grp"))
+    return named, checkpointed(rows.join(sizes, "grp"))
+
+
+def _typed(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def _packs(spark: SparkSession, total: int) -> int:
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // (GROUP_SHINGLES // 2) + 1)
+
+
+def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, class_id, component_id) of every row of ``docs`` (doc_id, text).
+
+    ``class_id`` is the smallest doc_id with an equal set; ``component_id`` the smallest doc_id
+    reachable by links.
+    """
+    spark = docs.sparkSession
+    docs = _typed(docs)
+    named, rows = _routed(docs, k, percent)
+    named = named.drop("c")
     total = rows.agg(F.sum("n"), F.max("blocks")).first()
     if total[0] is None:
-        links = None
-    else:
-        packs = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total[0] // (GROUP_SHINGLES // 2) + 1)
-        text = lookup_join(docs.where("doc_id IS NOT NULL"), rows.where("blocks = 1").select("doc_id", "grp"), "doc_id", "inner")
-        run = partial(_search, k=k, percent=percent)
-        links = (
-            text.withColumn("pack", F.pmod(F.xxhash64("grp"), F.lit(packs))).groupBy("pack").applyInPandas(run, "a bigint, b bigint")
-        ).where("a <> b")
-        if total[1] > 1:
-            big = lookup_join(docs.where("doc_id IS NOT NULL"), rows.where("blocks > 1").select("doc_id", "grp", "blocks", "n"), "doc_id", "inner")
-            links = links.unionAll(_big_groups(big, k, percent))
-        links = components(links).select(F.col("node").alias("class_id"), F.col("label").alias("component_id"))
-    if links is None:
         return named.withColumn("component_id", F.col("class_id"))
+    text = lookup_join(docs.where("doc_id IS NOT NULL"), rows.where("blocks = 1").select("doc_id", "grp"), "doc_id", "inner")
+    run = partial(_search, k=k, percent=percent)
+    links = (
+        text.withColumn("pack", F.pmod(F.xxhash64("grp"), F.lit(_packs(spark, total[0])))).groupBy("pack").applyInPandas(run, "a bigint, b bigint")
+    ).where("a <> b")
+    if total[1] > 1:
+        big = lookup_join(docs.where("doc_id IS NOT NULL"), rows.where("blocks > 1").select("doc_id", "grp", "blocks", "n"), "doc_id", "inner")
+        links = links.unionAll(_big_groups(big, k, percent))
+    links = components(links).select(F.col("node").alias("class_id"), F.col("label").alias("component_id"))
     return named.join(links, "class_id", "left").select(
         "doc_id", "n_shingles", "class_id", F.coalesce("component_id", "class_id").alias("component_id"))
 
 
+def jaccard_links(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, class_id, component_id, n_links) of every row of ``docs`` (doc_id, text).
+
+    As ``jaccard_components``, and ``n_links`` is the number of other rows (with a doc_id) that the row
+    links with, rows with an equal set among them; it is null for a null doc_id. Every link is verified.
+    """
+    spark = docs.sparkSession
+    docs = _typed(docs)
+    named, rows = _routed(docs, k, percent)
+    equal = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n_shingles") > 0, F.col("c") - 1).otherwise(F.lit(0)))
+    total = rows.agg(F.sum("n"), F.max("blocks"), F.max("n")).first()
+    if total[0] is None:
+        return named.select("doc_id", "n_shingles", "class_id", F.col("class_id").alias("component_id"), equal.cast("bigint").alias("n_links"))
+    text = lookup_join(docs.where("doc_id IS NOT NULL"), rows.where("blocks = 1").select("doc_id", "grp", "w"), "doc_id", "inner")
+    found = text.withColumn("pack", F.pmod(F.xxhash64("grp"), F.lit(_packs(spark, total[0])))).groupBy("pack").applyInPandas(
+        partial(_count, k=k, percent=percent), _LINKS)
+    if total[1] > 1:
+        big = lookup_join(docs.where("doc_id IS NOT NULL"), rows.where("blocks > 1").select("doc_id", "grp", "n", "w"), "doc_id", "inner")
+        found = found.unionAll(_big_links(big, percent, k, int(total[2])))
+    found = checkpointed(found.where("links > 0"))
+    counts = found.groupBy(F.col("a").alias("class_id")).agg(F.sum("links").alias("links"))
+    comp = components(found.select("a", "b").where("a <> b")).select(F.col("node").alias("class_id"), F.col("label").alias("component_id"))
+    return named.join(counts, "class_id", "left").join(comp, "class_id", "left").select(
+        "doc_id", "n_shingles", "class_id", F.coalesce("component_id", "class_id").alias("component_id"),
+        (equal + F.coalesce("links", F.lit(0))).cast("bigint").alias("n_links"))
+
+
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` whose doc_id is the smallest of its component; each such doc_id once.
 
@@ -428,7 +606,11 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), k=4, percent=85)
 
 
-QUERIES = {"op2_ngram_jaccard_join": op2_ngram_jaccard_join}
+def op2_ngram_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_links(table(spark, sf_dir, "documents"), k=4, percent=85)
+
+
+QUERIES = {"op2_ngram_jaccard_join": op2_ngram_jaccard_join, "op2_ngram_jaccard_links": op2_ngram_jaccard_links}
 ORACLES = {
     "op2_ngram_jaccard_join": r"""
         WITH RECURSIVE d AS (
@@ -456,3 +638,6 @@ ORACLES = {
                 SELECT doc_id, string_agg(g, chr(1) ORDER BY g) AS g FROM s GROUP BY doc_id) q USING (doc_id))) k USING (doc_id)
     """,
 }
+# The same with the number of links of each document.
+ORACLES["op2_ngram_jaccard_links"] = ORACLES["op2_ngram_jaccard_join"].replace(
+    "m.component_id AS component_id,", "m.component_id AS component_id, (SELECT count(*) FROM e WHERE e.x = d.doc_id) AS n_links,")

@@ -122,3 +122,54 @@ def test_groups_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "GROUP_SHINGLES", 800)
     got = ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id bigint, text string"), 4, 85).collect()
     assert {r.doc_id: r.component_id for r in got} == want
+
+
+def counted(rows, k, percent):
+    """Per row, the number of other rows with a linked set."""
+    sets = [(i, shingle_sets(t, k)) for i, t, *_ in rows]
+    return Counter((i, sum(linked(s, other, percent) for at, (_, other) in enumerate(sets) if at != me)) for me, (i, s) in enumerate(sets))
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+@pytest.mark.parametrize("long_list", [0, 32])
+def test_link_counts(percent, long_list, monkeypatch):
+    monkeypatch.setattr(ngram_join, "LONG_LIST", long_list)
+    rng = random.Random(4)
+    sets = list({s.tobytes(): s for s in families(rng, 50)}.values())
+    base = [rng.getrandbits(64) for _ in range(40)]
+    sets += [np.unique(np.array([*base[:j], rng.getrandbits(64), *base[j + 1 :]], dtype=np.uint64)) for j in range(40)]
+    plain = [set(s.tolist()) for s in sets]
+    weights = np.array([rng.randrange(1, 5) for _ in sets])
+    left = np.array([rng.random() < 0.5 for _ in sets])
+    for mask in (None, left):
+        want = [sum(int(weights[y]) for y in range(len(sets)) if y != x and (mask is None or left[x] != left[y]) and linked(plain[x], plain[y], percent)) for x in range(len(sets))]
+        roots, got = ngram_join.link_counts(sets, weights, percent, mask)
+        assert got.tolist() == want and max(want) > 30
+        if mask is None:
+            assert len(set(roots.tolist())) == len(set(ngram_join.t_occurrence(sets, percent).tolist()))
+
+
+@pytest.mark.parametrize(("k", "percent"), [(4, 85), (5, 80)])
+def test_links(docs, rows, k, percent):
+    want, _ = brute(rows, k, percent)
+    got = ngram_join.jaccard_links(docs, k, percent).collect()
+    assert Counter((r.doc_id, r.n_links) for r in got) == counted(rows, k, percent)
+    assert all(r.component_id == want[r.doc_id] for r in got)
+
+
+def test_links_in_blocks(spark, monkeypatch, none):
+    """All links of a mass of near copies of several sizes, cut into blocks, are counted."""
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(120):
+        own = base[: rng.randrange(50, 61)]
+        for _ in range(rng.randrange(0, 3)):
+            own[rng.randrange(len(own))] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(own)))
+    want = counted(rows, 4, 85)
+    monkeypatch.setattr(ngram_join, "GROUP_SHINGLES", 800)
+    got = ngram_join.jaccard_links(spark.createDataFrame(rows, "doc_id bigint, text string"), 4, 85).collect()
+    assert Counter((r.doc_id, r.n_links) for r in got) == want
+    assert {r.doc_id: r.component_id for r in got} == brute(rows, 4, 85)[0]
+    assert ngram_join.jaccard_links(none).collect() == []
