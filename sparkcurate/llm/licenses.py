@@ -101,8 +101,9 @@ FORMS = [
     (3, 0.85, r"under (?:the )?{n}"),
     (2, 0.6, r"{n}"),
 ]
-# A text without any of these, as written or in capitals, has no license statement.
-GENERAL = ("licen", "cc0", "creative commons", "wtfpl", "copyright", "public domain")
+# A text without any of these, as written or in capitals, has no license statement. Each is part of one word, so
+# punctuation and line ends between words do not hide it, and every rule has one outside its optional parts.
+GENERAL = ("licen", "cc0", "commons", "attribution", "wtfpl", "copyright", "domain")
 # Signatures of their own: priority, confidence, label, keyword, expression.
 OTHERS = [
     (3, 0.7, "copyright-notice", "copyright", r"copyright(?: c)? (?:19|20)\d\d"),
