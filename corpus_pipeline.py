@@ -40,9 +40,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, size, text_crc32, old_shard, shard, slot) of every use of a document."""
+    """(doc_id, size, text_crc32, old_shard, shard, slot) of every use of a document, read from the rewritten shards."""
     place = sharding.key_shard(F.col("doc_id"), sharding.OLD_SHARDS)
-    return sharding.reshard(docs, place, sharding.OLD_SHARDS, sharding.NEW_SHARDS)
+    return sharding.resharded(docs, place, sharding.OLD_SHARDS, sharding.NEW_SHARDS)
 
 
 STAGES = [

@@ -7,20 +7,26 @@ nodes as there are shards. It tells how many bytes of old shard i go to new shar
 of an old shard lie on a line in hash order, and runs of that line become the transfers. A document
 that lies across the end of a run (at most one per run) goes to the new shard that misses most.
 
+``resharded`` carries the plan out: the new shards that gain or lose documents are written to the shared folder,
+and what it returns is read from there.
+
 Documents are cut into blocks by hash for the running sums, so a shard that holds a third of all
 rows is not one task, and the slots of a new shard are numbered the same way.
 
 Edge cases: null and empty texts have size 1 (the extra byte) and crc32 0. A null doc_id is hashed
 as empty text. Repeated rows are documents of their own; rows equal in doc_id and text may
-change places. An empty table gives an empty result. Other columns are ignored; ``rewrite`` keeps them.
+change places. An empty table gives an empty result. Other columns do not matter for the plan. ``rewrite`` keeps
+them, but for old columns named shard, slot and old_shard: the new place stands there.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..session import checkpointed
-from .common import fold, table
+from ..session import checkpointed, ensure_checkpoint_dir, lookup_join
+from .common import fold, table, written
 from .prefix import block_sums
 
 OLD_SHARDS, NEW_SHARDS = 12, 16
@@ -73,20 +79,37 @@ def _row_key() -> Column:
     return F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("text_crc32").cast("string"), F.col("size").cast("string")))
 
 
+def _content() -> Column:
+    return F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
+
+
+def _size() -> Column:
+    return (F.octet_length(_content()) + 1).cast("bigint")
+
+
+def _row_hash(docs: DataFrame) -> Column:
+    """A hash of all columns; the last part tells nulls in different columns apart."""
+    def plain(c: str, kind: str) -> Column:
+        col = F.col(f"`{c}`")
+        return F.to_json(F.struct(col), {"ignoreNullFields": "false"}) if kind.startswith(("array", "struct", "map", "variant")) else col
+
+    cols = [plain(c, kind) for c, kind in docs.dtypes]
+    return F.md5(F.concat_ws(":", F.xxhash64(*cols).cast("string"), F.xxhash64(F.lit(1), *cols).cast("string"), *[c.isNull().cast("int").cast("string") for c in cols]))
+
+
 def reshard(
     docs: DataFrame, old_shard: Column, n_old: int, n_new: int,
     capacities: list[int] | None = None, cost: list[list[int]] | None = None,
 ) -> DataFrame:
-    """(doc_id, size, text_crc32, old_shard, shard, slot) of every row of ``docs``.
+    """(doc_id, size, text_crc32, old_shard, row_hash, shard, slot) of every row of ``docs``.
 
-    ``old_shard`` is the present place, 0 to n_old - 1; ``capacities`` are bytes per new shard,
+    ``row_hash`` is equal for rows equal in all columns. ``old_shard`` is the present place, 0 to n_old - 1; ``capacities`` are bytes per new shard,
     near-equal by default. A shard keeps its number. Slots count from 0 in each new shard.
     """
     spark = docs.sparkSession
-    raw = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
     narrow = docs.select(
-        F.col("doc_id"), (F.octet_length(raw) + 1).cast("bigint").alias("size"), F.crc32(raw).alias("text_crc32"),
-        old_shard.cast("int").alias("old_shard")).withColumn("_h", _row_key())
+        F.col("doc_id"), _size().alias("size"), F.crc32(_content()).alias("text_crc32"),
+        old_shard.cast("int").alias("old_shard"), _row_hash(docs).alias("row_hash")).withColumn("_h", _row_key())
     placed = checkpointed(block_sums(narrow, ["old_shard"], F.substring("_h", 1, BLOCK_DIGITS), [F.col("_h")], {"before": F.col("size")}).drop("_block"))
     held = {r.old_shard: r.s for r in placed.groupBy("old_shard").agg(F.sum("size").alias("s")).collect()}  # one row per old shard
     supply = [held.get(i, 0) for i in range(n_old)]
@@ -119,7 +142,7 @@ def reshard(
         chosen.append((r.old_shard, r._r, j))
     loose = F.broadcast(spark.createDataFrame(chosen, "old_shard int, _r int, _to int"))
     done = cut.join(loose, ["old_shard", "_r"], "left").select(
-        "doc_id", "size", "text_crc32", "old_shard", "_h", F.when(F.col("_r") == F.col("_last"), F.col("_t")).otherwise(F.col("_to")).alias("shard"))
+        "doc_id", "size", "text_crc32", "old_shard", "row_hash", "_h", F.when(F.col("_r") == F.col("_last"), F.col("_t")).otherwise(F.col("_to")).alias("shard"))
     block = F.concat(F.substring("_h", 1, BLOCK_DIGITS), F.col("old_shard").cast("string"))
     return block_sums(done, ["shard"], block, [F.col("_h"), F.col("old_shard")], {"slot": F.lit(1).cast("bigint")}).drop("_block", "_h")
 
@@ -132,21 +155,52 @@ def key_shard(doc_id: Column, shards: int) -> Column:
 def rewrite(docs: DataFrame, plan: DataFrame, path: str) -> list[int]:
     """Write the new shards that gain or lose documents, with all columns, below ``path``; their numbers.
 
-    ``docs`` needs a unique doc_id. Shards whose documents all stay are not touched.
+    ``plan`` is a stored result of ``reshard(docs, ...)``. Shards whose documents all stay are not touched.
+    Rows meet their places by a hash of all columns. Rows equal in all columns share one content, which
+    goes to each of their places, so each is written once however often a document occurs.
     """
     changed = plan.where("shard <> old_shard").select(F.explode(F.array("shard", "old_shard")).alias("s")).distinct()
     numbers = sorted(r.s for r in changed.collect())  # at most one row per shard
-    place = plan.select(F.col("doc_id").alias("_id"), "shard", "slot").where(F.col("shard").isin(numbers))
-    rows = docs.join(place, docs.doc_id.eqNullSafe(F.col("_id"))).drop("_id")
-    # Many writers per shard: rows are dealt by shard and by ranges of slots.
-    part = F.pmod(F.xxhash64("slot"), F.lit(8))
-    rows.repartition("shard", part).write.mode("append").partitionBy("shard").parquet(path)
+    if not numbers:
+        return numbers
+    kept = [c for c in docs.columns if c not in ("shard", "slot", "old_shard")]
+    rows = docs.select(_row_hash(docs).alias("_k"), *[F.col(f"`{c}`") for c in kept])
+    several = written(plan.groupBy(F.col("row_hash").alias("_k")).agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("_k", F.lit(True).alias("_several")))
+    place = lookup_join(plan.select(F.col("row_hash").alias("_k"), "old_shard", "shard", "slot").where(F.col("shard").isin(numbers)), several, "_k")
+    rows = lookup_join(rows, several, "_k")
+    single = place.where("_several IS NULL").drop("_several").join(rows.where("_several IS NULL").drop("_several"), "_k")
+    # Texts are never broadcast; a document with very many places is a hot key of the narrow side.
+    one = rows.where("_several").drop("_several").dropDuplicates(["_k"])
+    many = lookup_join(place.where("_several").drop("_several"), one, "_k", "inner", max_rows=0)
+    out = [*[F.col(f"`{c}`") for c in kept], "old_shard", "slot", "shard"]
+    # Tasks write their part of each shard as they have it: texts are shuffled once, by row.
+    single.select(out).unionAll(many.select(out)).write.mode("append").partitionBy("shard").parquet(path)
     return numbers
 
 
+def resharded(docs: DataFrame, old_shard: Column, n_old: int, n_new: int) -> DataFrame:
+    """(doc_id, size, text_crc32, old_shard, shard, slot) of every row of ``docs`` after the move.
+
+    The affected shards are written to the shared folder; their rows of the result are read from there. Rows of
+    shards that are not touched come from the plan.
+    """
+    spark = docs.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/shards-{uuid.uuid4().hex}"
+    plan = written(reshard(docs, old_shard, n_old, n_new))
+    numbers = rewrite(docs, plan, path)
+    columns = ["doc_id", "size", "text_crc32", "old_shard", "shard", "slot"]
+    stay = plan.where(~F.col("shard").isin(numbers)).select(columns)
+    if not numbers:
+        return stay
+    kinds = {f.name: f.dataType for f in [*docs.schema, *plan.schema] if f.name in ("doc_id", "text")} | {c: plan.schema[c].dataType for c in ("old_shard", "slot", "shard")}
+    moved = spark.read.schema(T.StructType([T.StructField(c, t) for c, t in kinds.items()])).parquet(path)
+    return moved.select("doc_id", _size().alias("size"), F.crc32(_content()).alias("text_crc32"), "old_shard", "shard", "slot").unionAll(stay)
+
+
 def op5_shard_min_cost_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return reshard(docs, key_shard(F.col("doc_id"), OLD_SHARDS), OLD_SHARDS, NEW_SHARDS).select(
+    return resharded(docs, key_shard(F.col("doc_id"), OLD_SHARDS), OLD_SHARDS, NEW_SHARDS).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "old_shard")
 

@@ -89,3 +89,39 @@ def test_rewrite(spark, tmp_path):
 def test_capacities(total):
     got = S.even_capacities(total, 8)
     assert sum(got) == total and max(got) - min(got) <= 1
+
+
+def test_texts_move_once_however_often_a_row_occurs(spark, tmp_path, docs, rows):
+    """A document that occurs n times is written n times, with its own other columns and every slot once."""
+    base = [(i, "y" * (i % 17), f"k{i}") for i in range(300)] + [(5, "y" * 5, "other"), (None, None, "k"), (None, None, None)]
+    rows = [*base, *base[:40] * 3, (7, "changed", "k7")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, extra string")
+    plan = S.reshard(docs, S.key_shard(F.col("doc_id"), 3), 3, 4)
+    plan = spark.createDataFrame(plan.collect(), plan.schema)
+    changed = S.rewrite(docs, plan, str(tmp_path / "out"))
+    got = spark.read.parquet(str(tmp_path / "out")).collect()
+    at = {(r.shard, r.slot): (r.doc_id, r.size, r.text_crc32, r.old_shard) for r in plan.collect()}
+    assert len({(r.shard, r.slot) for r in got}) == len(got) == sum(s in changed for s, _ in at)
+    for r in got:
+        raw = (r.text or "").encode()
+        assert at[r.shard, r.slot] == (r.doc_id, len(raw) + 1, crc32(raw), r.old_shard)
+    assert changed == [0, 1, 2, 3] and Counter((r.doc_id, r.text, r.extra) for r in got) == Counter(rows)
+
+
+def test_op5_and_pipeline_write_the_shards(spark, folder, docs, rows):
+    from pathlib import Path
+
+    import corpus_pipeline
+
+    S.ensure_checkpoint_dir(spark)
+    top = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    for run in (lambda: S.op5_shard_min_cost_flow(spark, folder), lambda: corpus_pipeline.shards(spark, docs, folder)):
+        before = set(top.glob("shards-*"))
+        got = run().collect()
+        new = set(top.glob("shards-*")) - before
+        assert len(new) == 1
+        files = spark.read.parquet(str(new.pop()))
+        moved = {s for r in got if r.shard != r.old_shard for s in (r.shard, r.old_shard)}
+        assert moved and Counter((r.doc_id, r.shard, r.slot) for r in got if r.shard in moved) == Counter((r.doc_id, r.shard, r.slot) for r in files.collect())
+        assert Counter((r.doc_id, r.text, r.lang, r.source, r.n_chars) for r in files.collect()) <= Counter(rows)
+        check(rows, got, 16)
