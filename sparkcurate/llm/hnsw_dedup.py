@@ -10,14 +10,15 @@
    the similarity of the threshold, and compares their links with those of a full scan. The beam
    is the narrowest of ``BEAMS`` that reaches ``RECALL`` in both, summed over all shards; if none
    does, shards are scanned.
-4. Every class queries every shard: each pair of shards meets once, in one task that searches both
-   ways and unites what it finds. Candidates are verified by their cosine in double precision. A beam
-   that is full of links may hide more, so such a query is compared with the whole shard. Links
-   are counted where they are found; only the edges that join components leave the task,
-   at most one per vector, so a group of copies with a third of all rows makes no list of pairs.
+4. All shards are queried: each pair of shards meets once, in one task where the classes of the one query
+   the graph of the other, and a link counts for both ends. Candidates are verified by their cosine in
+   double precision. A beam that is full of links may hide more, so such a query is compared with
+   the whole shard. Links are counted where they are found; only the edges that join components
+   leave the task, at most one per vector, so a group of copies with a third of all rows makes no list of
+   pairs.
 5. The edges are united into components on Spark (``common.components``).
 
-A task holds two shards and one bit matrix between them, whatever the data; the pairs of shards grow with
+A task holds two shards and the links of one batch of queries, whatever the data; the pairs of shards grow with
 the square of the rows over ``SHARD_ROWS``, which is the price of querying every shard, so
 ``shard_rows`` should grow with the memory of a task.
 
@@ -39,7 +40,7 @@ from ..session import lookup_join
 from .common import components, table, written
 
 COSINE = 0.9
-SHARD_ROWS = 8192
+SHARD_ROWS = 16384
 M = 16  # links that a new vector chooses; layer 0 keeps twice as many per vector
 BUILD_BEAM, BATCH = 64, 512
 BEAMS = (16, 32, 64, 128, 256)
@@ -209,18 +210,16 @@ class Shard:
     def linked(self, queries: np.ndarray, width: int | None, cosine: float) -> np.ndarray:
         """Bit matrix (query, vector) of the pairs found at or above ``cosine``; without a width all pairs are compared."""
         out = np.zeros((len(queries), len(self.nodes)), dtype=bool)
-        for a in range(0, len(queries), BATCH):
-            block = queries[a : a + BATCH]
-            full = np.arange(len(block))
-            if width is not None:
-                at, like = self.graph.nearest(block.astype(np.float32), min(width, len(self.nodes)))
-                row, col = np.nonzero(like >= cosine - _SLACK)
-                target = at[row, col]
-                true = np.einsum("ij,ij->i", block[row], self.exact[target]) >= cosine
-                out[a + row[true], target[true]] = True
-                full = np.flatnonzero((like >= cosine - _SLACK).all(axis=1))
-            if full.size:
-                out[a + full] = block[full] @ self.exact.T >= cosine
+        full = np.arange(len(queries))
+        if width is not None:
+            at, like = self.graph.nearest(queries.astype(np.float32), min(width, len(self.nodes)))
+            row, col = np.nonzero(like >= cosine - _SLACK)
+            target = at[row, col]
+            true = np.einsum("ij,ij->i", queries[row], self.exact[target]) >= cosine
+            out[row[true], target[true]] = True
+            full = np.flatnonzero((like >= cosine - _SLACK).all(axis=1))
+        if full.size:
+            out[full] = queries[full] @ self.exact.T >= cosine
         return out
 
 
@@ -282,9 +281,11 @@ def beam_width(rows: list, recall: float = RECALL) -> int | None:
     return min((b for b, ok in passed.items() if ok), default=None)
 
 
-def _joining(found: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Edges (row, column) of a bit matrix that keep what its set bits connect; at most one per row and column."""
-    label = np.arange(found.shape[1])
+def _joining(found: np.ndarray, label: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Edges (row, column) of a bit matrix that keep what its set bits connect; one per row, and one per joined column.
+
+    ``label`` numbers the components of the columns and goes on from matrix to matrix.
+    """
     for row in np.flatnonzero(found.any(axis=1)).tolist():
         columns = np.flatnonzero(found[row])
         names, first = np.unique(label[columns], return_index=True)
@@ -295,30 +296,26 @@ def _joining(found: np.ndarray) -> Iterator[tuple[int, int]]:
 
 
 def _pair(width: int | None, cosine: float) -> Callable[[tuple, pd.DataFrame, pd.DataFrame], pd.DataFrame]:
-    def search_both(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def search_pair(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         a = Shard(left.iloc[0])
         b = a if right.empty else Shard(right.iloc[0])
-        found = b.linked(a.exact, width, cosine)
-        if right.empty:
-            found |= found.T
-            np.fill_diagonal(found, False)
-        else:
-            found |= a.linked(b.exact, width, cosine).T
-        counts = np.zeros(len(a.nodes), dtype=np.int64)
-        others = np.zeros(len(b.nodes), dtype=np.int64)
-        for i in range(0, len(found), BATCH):
-            bits = found[i : i + BATCH].astype(np.float64)
-            counts[i : i + BATCH] = bits @ b.weights
+        counts, others = np.zeros(len(a.nodes), dtype=np.int64), np.zeros(len(b.nodes), dtype=np.int64)
+        label, edges = np.arange(len(b.nodes)), []
+        for i in range(0, len(a.nodes), BATCH):
+            found = b.linked(a.exact[i : i + BATCH], width, cosine)
+            if right.empty:  # each pair of a shard once, and no vector with itself
+                found &= np.arange(len(b.nodes)) > np.arange(i, i + len(found))[:, None]
+            bits = found.astype(np.float64)
+            counts[i : i + BATCH] += (bits @ b.weights).astype(np.int64)
             others += (a.weights[i : i + BATCH] @ bits).astype(np.int64)
-        edges = np.array(list(_joining(found)), dtype=np.int64).reshape(-1, 2)
-        parts = [(a.nodes[edges[:, 0]], b.nodes[edges[:, 1]], np.zeros(len(edges), np.int64)), (a.nodes, a.nodes, counts)]
-        if not right.empty:
-            parts.append((b.nodes, b.nodes, others))
-        x, y, n = (np.concatenate(c) for c in zip(*parts, strict=True))
+            edges += [(i + x, y) for x, y in _joining(found, label)]
+        x, y = np.array(edges, dtype=np.int64).reshape(-1, 2).T
+        x, y = np.concatenate([a.nodes[x], a.nodes, b.nodes]), np.concatenate([b.nodes[y], a.nodes, b.nodes])
+        n = np.concatenate([np.zeros(len(edges), np.int64), counts, others])
         use = (n > 0) | (x != y)
         return pd.DataFrame({"a": x[use], "b": y[use], "n": n[use]})
 
-    return search_both
+    return search_pair
 
 
 def found_links(shards: DataFrame, width: int | None, cosine: float = COSINE) -> DataFrame:
