@@ -18,11 +18,12 @@ from ..functions import columns as C, elements, molblock
 from ..functions.elements import weight_sum
 from ..functions.geometry import tanimoto_distance
 from ..operators import coverage, gates, stats
-from ..operators.greedy import FOLD_AT, START, Pending, Rule, fold, pick_rounds
+from ..operators.cover import greedy_cover, lazy_rounds
+from ..operators.greedy import START, Rule, pick_rounds
 from ..operators.maxmin import assign_nearest, farthest_first
 from ..operators.ordering import keep_first, number_rows, running_total
 from ..registry import DESCRIPTORS
-from ..session import checkpointed, lookup_join
+from ..session import checkpointed, lookup_join, stored
 
 # Name of the family without a scaffold, the pass names, the cosine guard.
 ACYCLIC = "__acyclic__"
@@ -43,6 +44,10 @@ class Budget:
     depth_nn_sim: float = 0.6
     tier1_min: int = 50
     ff: float = 0.30
+    # Gains count environments instead of their instances.
+    distinct: bool = False
+    # Families share the tier's budget exactly instead of one pick each at least.
+    capped: bool = False
 
     def __post_init__(self) -> None:
         for p in self.passes:
@@ -70,7 +75,7 @@ def instances(atom_envs: str = "atom_envs", elements: str = "heavy_elements") ->
 
 def rank_envs(freq: DataFrame, k: int | None = None) -> DataFrame:
     """Environments numbered from the rarest: ``env_id, rank, n_mols``."""
-    chosen = freq if k is None else coverage.rarest(freq, k)
+    chosen = stored(freq if k is None else coverage.rarest(freq, k))  # numbering reads it several times
     return number_rows(chosen, coverage.rarity_order(), "rank").select("env_id", "rank", "n_mols")
 
 
@@ -99,66 +104,62 @@ def env_pool(rows: DataFrame, ranked: DataFrame, carried: DataFrame | None = Non
     )
 
 
-def floor_pass(pool: DataFrame, n_forced_envs: int, budget: int, w: float) -> DataFrame:
-    """Forced carriers of single-carrier environments, then weighted greedy picks.
+def env_pairs(pool: DataFrame, target: int = 1, distinct: bool = False) -> DataFrame:
+    """The pool inverted, on disk in order of rank: ``row, rank, n, b`` of environments carried by fewer than ``target`` picks."""
+    each = pool.select("row", F.explode(F.arrays_zip("er", "en", "eb")).alias("x")).select(
+        "row", F.col("x.er").alias("rank"), (F.lit(1) if distinct else F.col("x.en")).cast("bigint").alias("n"), F.col("x.eb").alias("b"))
+    return stored(each.where(F.col("b") < target).repartitionByRange(F.col("rank")).sortWithinPartitions("rank"))
 
-    Single-carrier environments come first in rarity, so a record is forced exactly when
-    its smallest rank is among them, and records are forced in the order of that rank.
+
+def forced_rows(pairs: DataFrame, n_forced_envs: int) -> DataFrame:
+    """(row, number) of the carriers of single-carrier environments, in order of rarity.
+
+    These environments come first in rarity, so a record is forced exactly when its smallest rank is
+    among them, and records are forced in the order of that rank.
     """
-    rule = Rule("floor", tanimoto_distance(), w=w)
-    spark = pool.sparkSession
-    first = F.array_min("er")
-    forced = pool.where(first <= n_forced_envs).orderBy(first).limit(budget)
-    rows, pending, held = [], {}, 0
-    state = pool
-    for p in forced.select("row", "payload", "er").toLocalIterator():
-        one = pending.setdefault(0, Pending())
-        one.payloads.append(p["payload"])
-        one.numbers.append(len(rows) + 1)
-        one.rows.add(p["row"])
-        for r in p["er"]:
-            one.carried[r] = one.carried.get(r, 0) + 1
-        rows.append((p["row"], len(rows) + 1, None))
-        held += 1
-        if held >= FOLD_AT:
-            state, pending, held = fold(state, rule, pending), {}, 0
-    state = fold(state, rule, pending)
-    log, _, _ = pick_rounds(state, rule, budget - len(rows), first_number=len(rows) + 1)
-    return spark.createDataFrame(rows, PICKS).unionByName(log.select("row", "number", "score"))
+    first = pairs.where(F.col("rank") <= n_forced_envs).groupBy("row").agg(F.min("rank").alias("_first"))
+    return stored(number_rows(stored(first), ["_first"], "number").select("row", "number"))
+
+
+def floor_pass(pool: DataFrame, n_forced_envs: int, budget: int | None, w: float, distinct: bool = False) -> DataFrame:
+    """Forced carriers of single-carrier environments, then weighted greedy picks: ``row, number, score``."""
+    pairs = env_pairs(pool, distinct=distinct)
+    forced = forced_rows(pairs, n_forced_envs)
+    if budget is not None:
+        forced = forced.where(F.col("number") <= budget)
+    n_forced = forced.count()
+    log = forced.select("row", F.col("number").cast("int").alias("number"), F.lit(None).cast("double").alias("score"))
+    left = (2**31 - 1 if budget is None else budget) - n_forced
+    if left <= 0:
+        return log
+    covered = lookup_join(pairs, forced.select("row"), "row", "inner").select("rank").distinct()
+    pairs = stored(pairs.join(covered, "rank", "left_anti").repartitionByRange(F.col("rank")).sortWithinPartitions("rank"))
+    free = pool.join(forced.select("row"), "row", "left_anti")
+    picks = lookup_join(pool.select("row", "payload"), forced, "row", "inner").select(F.lit(0).cast("bigint").alias("grp"), "row", "number", "payload")
+    near = assign_nearest(free.select("grp", "row", "payload"), picks, tanimoto_distance())
+    rows = stored(near.select("row", "payload", F.least("d", F.lit(1.0)).alias("d")))
+    chosen = lazy_rounds(rows, pairs, Rule("floor", tanimoto_distance(), w=w), left, first_number=n_forced + 1)
+    return log.unionByName(chosen)
 
 
 def set_cover_curve(pool: DataFrame, n_forced_envs: int) -> DataFrame:
     """``molecules, covered``: environments covered after each pick of the pure greedy cover.
 
     The forced part is a running sum over the first record that covers each environment;
-    the rest comes from the greedy rounds.
+    the rest is decided by rounds of picks that share no environment.
     """
-    first = F.array_min("er")
-    forced = checkpointed(
-        number_rows(pool.where(first <= n_forced_envs).withColumn("_first", first), ["_first"], "number")
-        .select("row", "number", "er")
-    )
-    covers = forced.select("number", F.explode("er").alias("rank")).groupBy("rank").agg(F.min("number").alias("number"))
-    new = forced.select("number").join(
+    pairs = env_pairs(pool)
+    forced = forced_rows(pairs, n_forced_envs)
+    covers = stored(lookup_join(pairs, forced, "row", "inner").groupBy("rank").agg(F.min("number").alias("number")))
+    new = stored(forced.select("number").join(
         covers.groupBy("number").agg(F.count(F.lit(1)).alias("new")), "number", "left"
-    ).withColumn("new", F.coalesce("new", F.lit(0)))
+    ).withColumn("new", F.coalesce("new", F.lit(0))))
     head = running_total(new, ["number"], F.col("new"), "covered").select(F.col("number").alias("molecules"), "covered")
-    done = lookup_join(
-        pool.select("row", F.posexplode("er").alias("i", "rank")), covers.select("rank", F.lit(1).alias("hit")), "rank"
-    ).where("hit = 1").groupBy("row").agg(F.collect_set("rank").alias("gone"))
-    left = pool.join(forced.select("row"), "row", "left_anti").join(done, "row", "left")
-    keep = F.filter(F.arrays_zip("er", "en"), lambda x: ~F.coalesce(F.array_contains("gone", x["er"]), F.lit(False)))
-    left = checkpointed(
-        left.withColumn("_z", keep)
-        .withColumns({"er": F.col("_z.er"), "en": F.col("_z.en"), "eb": F.transform("_z", lambda x: F.lit(0).cast("bigint"))})
-        .drop("_z", "gone").where(F.size("er") > 0)
-    )
     n_forced, n_covered = forced.count(), covers.count()
-    log, _, _ = pick_rounds(left.select(*pool.columns), Rule("cover"), None, first_number=n_forced + 1)
-    tail = running_total(log.select("number", "closed"), ["number"], F.col("closed").cast("bigint"), "c")
-    return head.unionByName(
-        tail.select(F.col("number").cast("bigint").alias("molecules"), (F.col("c") + n_covered).alias("covered"))
-    )
+    chosen = greedy_cover(pairs.join(covers.select("rank"), "rank", "left_anti").select("row", "rank", "n"))
+    order = stored(number_rows(stored(chosen.withColumn("fall", -F.col("gain"))), ["fall", "row"], "number"))
+    tail = running_total(order.select("number", "closed"), ["number"], F.col("closed"), "c")
+    return head.unionByName(tail.select((F.col("number") + n_forced).alias("molecules"), (F.col("c") + n_covered).alias("covered")))
 
 
 def centroid_seeds(rows: DataFrame, group: list[str]) -> DataFrame:
@@ -200,26 +201,36 @@ def maxmin_pass(rows: DataFrame, k: int) -> DataFrame:
     return log.select("row", "number", F.when(F.col("row") != seed, 1.0 - F.col("d")).alias("score"))
 
 
-def family_budgets(rows: DataFrame, budget: int, tier1_min: int, ff: float, family: str = "family") -> DataFrame:
+def family_budgets(
+    rows: DataFrame, budget: int, tier1_min: int, ff: float, family: str = "family", capped: bool = False
+) -> DataFrame:
     """Families larger than ``tier1_min`` and their picks, in proportion to the root of size.
 
     Each family gets at least one and at most all of its rows, so many small shares can
-    add up to more than ``floor(ff * budget)``.
+    add up to more than ``floor(ff * budget)``. With ``capped`` they never do: each family gets the whole
+    part of its share, and the picks left over go to the largest remainders, the first family on ties.
     """
     big = rows.groupBy(family).agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > tier1_min)
     k1 = math.floor(ff * budget)
     total = big.agg(F.sum(F.sqrt("m")).alias("t"))
-    share = F.greatest(F.lit(1), F.rint(F.lit(float(k1)) * F.sqrt("m") / total.scalar()).cast("int"))
+    exact = F.lit(float(k1)) * F.sqrt("m") / total.scalar()
+    if capped:
+        # Rounded, so that equal families have equal remainders.
+        part = stored(big.withColumn("_x", F.round(exact, 9)).withColumn("_k", F.floor("_x")).withColumn("_rest", F.col("_k") - F.col("_x")))
+        over = k1 - (part.agg(F.sum("_k")).first()[0] or 0)
+        k = F.col("_k") + F.when(F.col("_no") <= over, 1).otherwise(0)
+        return number_rows(part, ["_rest", family], "_no").withColumn("k", F.least(k, F.col("m")).cast("int")).drop("_x", "_k", "_rest", "_no")
+    share = F.greatest(F.lit(1), F.rint(exact).cast("int"))
     return big.withColumn("k", F.least(share, F.col("m").cast("int")))
 
 
-def diversity_pass(rows: DataFrame, budget: int, tier1_min: int, ff: float) -> DataFrame:
+def diversity_pass(rows: DataFrame, budget: int, tier1_min: int, ff: float, capped: bool = False) -> DataFrame:
     """Picks of both tiers: ``row, number, score, tier``."""
     spark = rows.sparkSession
     empty = spark.createDataFrame([], PICKS + ", tier string")
     if budget <= 0 or rows.isEmpty():
         return empty
-    fam = checkpointed(family_budgets(rows, budget, tier1_min, ff))
+    fam = checkpointed(family_budgets(rows, budget, tier1_min, ff, capped=capped).where("k > 0"))
     tier1 = lookup_join(rows, fam, "family", "inner")
     seeds = centroid_seeds(tier1.select("family", "row", "payload"), ["family"]).select("row", F.lit(True).alias("seed"))
     tier1 = checkpointed(tier1.join(seeds, "row", "left").withColumn("seed", F.coalesce("seed", F.lit(False))))
@@ -253,15 +264,14 @@ def depth_pass(rows: DataFrame, selected: DataFrame, ranked: DataFrame, b: Budge
     chosen = marked.where("_s = 1")
     others = marked.where("_s is null").drop("_s")
     carried = coverage.carriers(chosen, "envs", "row").groupBy("env_id").agg(F.count(F.lit(1)).alias("mult"))
-    pool = env_pool(others, ranked, carried).drop("d", "near")
+    pool = stored(env_pool(others, ranked, stored(carried)))
     picks = lookup_join(chosen.select("row", "payload"), selected.select("row", "number"), "row", "inner").select(
         F.lit(0).cast("bigint").alias("grp"), "row", "number", "payload"
     )
-    near = assign_nearest(pool, picks, tanimoto_distance())
-    pool = near.withColumn("d", F.least("d", F.lit(1.0))).select("grp", "row", "payload", "d", "near", "er", "en", "eb")
+    near = assign_nearest(pool.select("grp", "row", "payload"), picks, tanimoto_distance())
+    free = stored(near.select("row", "payload", F.least("d", F.lit(1.0)).alias("d")))
     rule = Rule("depth", tanimoto_distance(), cut=b.depth_nn_sim, target=b.target_mult)
-    log, _, _ = pick_rounds(checkpointed(pool), rule, b.n_depth)
-    return log.select("row", "number", "score")
+    return lazy_rounds(free, env_pairs(pool, b.target_mult, b.distinct), rule, b.n_depth)
 
 
 def describe(
@@ -304,7 +314,7 @@ def skipped_rows(rows: DataFrame, described: Column, symbols: Column, keep: list
 
 def prepare(descriptors: DataFrame, order: list[str], fp: str = "morgan_fp") -> DataFrame:
     """Number the rows and unfold their environments; materialized once."""
-    df = number_rows(descriptors, order, "_no").withColumn("row", F.col("_no") - 1).drop("_no")
+    df = number_rows(stored(descriptors), order, "_no").withColumn("row", F.col("_no") - 1).drop("_no")
     return checkpointed(
         df.withColumn("payload", F.col(fp)).withColumn("envs", instances())
         .withColumn("family", F.coalesce(F.when(F.col("scaffold") != "NaN", F.col("scaffold")), F.lit(ACYCLIC)))
@@ -329,14 +339,14 @@ def select(rows: DataFrame, budget: Budget) -> DataFrame:
     count = 0
     if "floor" in budget.passes:
         target = ranked if budget.floor_k is None else ranked.where(F.col("rank") <= budget.floor_k)
-        limit = budget.n_floor if budget.floor_k is None else 2**31 - 1
+        limit = budget.n_floor if budget.floor_k is None else None
         forced = target.where("n_mols = 1").count()
         pool = checkpointed(env_pool(slim, target))
-        add(floor_pass(pool, forced, limit, budget.w), "floor", F.lit(""))
+        add(floor_pass(pool, forced, limit, budget.w, budget.distinct), "floor", F.lit(""))
     if "diversity" in budget.passes:
         left = max(0, budget.n - count - budget.n_depth)
         free = lookup_join(slim, out.select("row", F.lit(1).alias("_s")), "row", "left").where("_s is null").drop("_s", "envs")
-        add(diversity_pass(free, left, budget.tier1_min, budget.ff), "diversity", F.col("tier"))
+        add(diversity_pass(free, left, budget.tier1_min, budget.ff, budget.capped), "diversity", F.col("tier"))
     if "depth" in budget.passes:
         picked = out.select("row", F.col("selection_order").alias("number"))
         # Numbers continue from the passes before.

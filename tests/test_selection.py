@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sparkcurate.operators import coverage, greedy
+from sparkcurate.operators import cover, coverage, greedy
 from sparkcurate.plans import selection as S
 
 
@@ -140,6 +140,10 @@ def window(request, monkeypatch):
     defaults = tuple(request.param if v == greedy.WINDOW else v for v in greedy.pick_rounds.__defaults__)
     monkeypatch.setattr(greedy.pick_rounds, "__defaults__", defaults)
     monkeypatch.setattr(greedy, "FOLD_AT", 2048 if request.param > 5 else 6)
+    monkeypatch.setattr(cover, "FOLD_AT", 2048 if request.param > 5 else 6)
+    defaults = tuple(request.param if v == greedy.WINDOW else v for v in cover.lazy_rounds.__defaults__)
+    monkeypatch.setattr(cover.lazy_rounds, "__defaults__", defaults)
+    monkeypatch.setattr(cover, "SMALL_PAIRS", 2_000_000 if request.param > 5 else 0)
     return request.param
 
 
