@@ -18,7 +18,7 @@ from ..functions.geometry import cosine, ordered_rmsd, tanimoto_distance
 from ..operators import coverage, gates, mirror, nearest, ordering, outlier, stats
 from ..operators.leader import near_dedup
 from ..operators.maxmin import farthest_first
-from ..session import balanced, checkpointed, lookup_join, read_table
+from ..session import balanced, checkpointed, lookup_join, read_table, stored
 from ..sources import sdf, xyz
 from . import convert, realspace, selection
 
@@ -1076,19 +1076,106 @@ def budgeted_selection(spark: SparkSession, sf: str) -> DataFrame:
     return selection.assemble(rows, picks).drop("smiles", "mol_block")
 
 
-@query()
+# Pairs of record and environment, ranks by rarity, and the carriers of single-carrier environments in that order.
+COVER_SQL = """
+pr AS (SELECT doc_id AS r, env_id AS e, count(*) AS n FROM inst GROUP BY 1, 2),
+rk AS (SELECT env_id AS e, n_mols, row_number() OVER (ORDER BY n_mols, n_atoms, env_id) AS rank FROM freq),
+fo AS (SELECT r, row_number() OVER (ORDER BY min(rank)) AS number FROM pr JOIN rk USING (e) WHERE n_mols = 1 GROUP BY r)"""
+
+
+@query(f"""
+WITH RECURSIVE {TOKENS_SQL}, {ENVS_SQL}, {COVER_SQL},
+cv AS (SELECT e, min(number) AS number FROM pr JOIN fo USING (r) GROUP BY e),
+hd AS (SELECT fo.number AS molecules, sum(count(cv.e)) OVER (ORDER BY fo.number) AS covered FROM fo LEFT JOIN cv USING (number) GROUP BY fo.number),
+g(step, r, e, n, closed) AS (
+ SELECT * FROM (SELECT 0, r, e, n, 0::BIGINT FROM pr WHERE e NOT IN (SELECT e FROM cv) UNION ALL SELECT 0, NULL, NULL, 0, 0)
+ UNION ALL
+ SELECT step + 1, r, e, n, cnt FROM (
+  SELECT *, max((r = top)::INT) OVER (PARTITION BY e) AS hit, sum((r = top)::INT) OVER () AS cnt FROM (
+   SELECT *, first_value(r) OVER (ORDER BY gain DESC, r) AS top FROM (SELECT *, sum(n) OVER (PARTITION BY r) AS gain FROM g)))
+ WHERE top IS NOT NULL AND (e IS NULL OR hit = 0)),
+tl AS (SELECT step, sum(closed) OVER (ORDER BY step) AS c FROM (SELECT DISTINCT step, closed FROM g WHERE step > 0))
+SELECT molecules::BIGINT AS molecules, covered::BIGINT AS covered FROM hd
+UNION ALL SELECT (step + (SELECT count(*) FROM fo))::BIGINT, (c + (SELECT count(*) FROM cv))::BIGINT FROM tl""")
 def set_cover_curve(spark: SparkSession, sf: str) -> DataFrame:
     """Environments covered after each pick of the pure greedy cover."""
     rows = selection_rows(spark, sf)
     ranked = selection.rank_envs(coverage.env_frequency(rows, "envs", "row"))
-    ranked = checkpointed(ranked)
-    pool = checkpointed(selection.env_pool(rows, ranked))
-    return selection.set_cover_curve(pool, ranked.where("n_mols = 1").count())
+    return selection.set_cover_curve(stored(selection.env_pool(rows, ranked)), ranked.where("n_mols = 1").count())
+
+
+# One step of a greedy pass: rows of kind 0 are records with their bits, rows of kind 1 are their open pairs.
+STEP_SQL = """
+g(step, kind, r, e, n, rank, m, b, near, picked, score) AS (
+ SELECT * FROM (
+  SELECT 0, 0, r, NULL::BIGINT, 0::BIGINT, NULL::BIGINT, 0::BIGINT, b, near, 0, NULL::DOUBLE FROM start
+  UNION ALL SELECT 0, 1, r, e, n, rank, m, NULL, NULL, 0, NULL FROM open)
+ UNION ALL
+ SELECT step + 1, kind, r, e, n, rank, m + coalesce(hit, 0), b,
+  CASE WHEN kind = 0 THEN greatest(near, len(list_intersect(b, pb)) / greatest(len(b) + len(pb) - len(list_intersect(b, pb)), 1)) END,
+  CASE WHEN kind = 0 AND r = pid THEN step + 1 ELSE picked END, CASE WHEN kind = 0 AND r = pid THEN value ELSE score END FROM (
+  SELECT *, CASE WHEN kind = 1 THEN max((r = pid)::INT) OVER (PARTITION BY e) END AS hit FROM (
+   SELECT *, first_value(r) OVER w AS pid, first_value(b) OVER w AS pb FROM (
+    SELECT *, {value} AS value, kind = 0 AND picked = 0 AND gain > 0 AND near <= {cut} AS ok FROM (
+     SELECT *, sum(n) OVER (PARTITION BY r) AS gain, min(rank) OVER (PARTITION BY r) AS rare FROM g WHERE step < 20))
+   WINDOW w AS (ORDER BY ok DESC, {order}, r)) WHERE true)
+ WHERE kind = 0 OR (r <> pid AND m + hit < {target}))"""
 
 
-@query()
+@query(f"""
+WITH RECURSIVE {TOKENS_SQL}, {BITS_SQL}, {ENVS_SQL}, {COVER_SQL},
+start AS (SELECT doc_id AS r, b, 0.0::DOUBLE AS near FROM bits),
+open AS (SELECT r, e, n, rank, 0::BIGINT AS m FROM pr JOIN rk USING (e) WHERE n_mols > 1),
+{STEP_SQL.format(value="0.4 * gain + (1.0 - 0.4) * (1.0 - near)", cut="1", order="value DESC, rare", target=1)}
+SELECT r AS doc_id, picked::INT AS number, round(score, 9) AS score FROM g WHERE step = 20 AND picked > 0""")
+def floor_choices(spark: SparkSession, sf: str) -> DataFrame:
+    """Twenty weighted greedy picks over the environments that several documents carry."""
+    rows = selection_rows(spark, sf)
+    ranked = selection.rank_envs(coverage.env_frequency(rows, "envs", "row")).where("n_mols > 1")
+    out = selection.floor_pass(stored(selection.env_pool(rows, ranked)), 0, 20, 0.4)
+    return lookup_join(rows, out, "row", "inner").select(F.col("CompoundID").alias("doc_id"), "number", F.round("score", 9).alias("score"))
+
+
+@query(f"""
+WITH RECURSIVE {TOKENS_SQL}, {BITS_SQL}, {ENVS_SQL}, {COVER_SQL}, {QUALITY_SQL},
+sb AS (SELECT unnest(list(b)) AS pb FROM bits WHERE doc_id IN (SELECT doc_id FROM sel)),
+start AS (SELECT doc_id AS r, any_value(b) AS b, coalesce(max(len(list_intersect(b, pb)) / greatest(len(b) + len(pb) - len(list_intersect(b, pb)), 1)), 0.0) AS near
+ FROM bits LEFT JOIN sb ON true WHERE doc_id NOT IN (SELECT doc_id FROM sel) GROUP BY 1),
+mu AS (SELECT e, count(*) AS m FROM pr WHERE r IN (SELECT doc_id FROM sel) GROUP BY e),
+open AS (SELECT r, e, n, rank, coalesce(m, 0) AS m FROM pr JOIN rk USING (e) LEFT JOIN mu USING (e) WHERE r NOT IN (SELECT doc_id FROM sel) AND coalesce(m, 0) < 2),
+{STEP_SQL.format(value="gain", cut="0.6 + 1e-12", order="value DESC, near", target=2)}
+SELECT r AS doc_id, picked::INT AS number, round(score, 9) AS score FROM g WHERE step = 20 AND picked > 0""")
+def depth_picks(spark: SparkSession, sf: str) -> DataFrame:
+    """Twenty picks that deepen the environments which fewer than two quality documents carry."""
+    rows = selection_rows(spark, sf)
+    ranked = selection.rank_envs(coverage.env_frequency(rows, "envs", "row"))
+    marked = with_quality(rows.select("row", F.col("CompoundID").alias("doc_id")), spark, sf)
+    selected = stored(ordering.number_rows(marked.where("selected").select("row"), ["row"], "number"))
+    out = selection.depth_pass(rows.select("row", "payload", "envs"), selected, ranked, selection.Budget(n=200))
+    return lookup_join(rows, out, "row", "inner").select(F.col("CompoundID").alias("doc_id"), "number", F.round("score", 9).alias("score"))
+
+
+@query("""
+WITH g AS (SELECT l_partkey AS family, count(*) AS m FROM lineitem GROUP BY 1 HAVING count(*) > 20),
+x AS (SELECT *, round(floor(0.3 * (SELECT count(*) FROM part)) * sqrt(m) / (SELECT sum(sqrt(m)) FROM g), 9) AS x FROM g),
+r AS (SELECT *, row_number() OVER (ORDER BY floor(x) - x, family) AS no, sum(floor(x)) OVER () AS given FROM x)
+SELECT family, m, least(m, floor(x) + (no <= floor(0.3 * (SELECT count(*) FROM part)) - given)::INT)::INT AS k FROM r""")
+def family_budgets_capped(spark: SparkSession, sf: str) -> DataFrame:
+    """Root-proportional budgets of the large families by largest remainders: never above the tier's budget."""
+    d = read_table(spark, sf, "lineitem").select(F.col("l_partkey").alias("family"))
+    return selection.family_budgets(d, read_table(spark, sf, "part").count(), 20, 0.3, capped=True)
+
+
+@query(f"""
+WITH {TOKENS_SQL}, {ENVS_SQL}, {COVER_SQL},
+hit AS (SELECT DISTINCT e AS env_id FROM pr JOIN fo USING (r) WHERE fo.number <= 15),
+el AS (SELECT DISTINCT element AS key, env_id FROM inst),
+bd AS (SELECT env_id, CASE WHEN n_mols = 1 THEN '1' WHEN n_mols <= 5 THEN '2-5' WHEN n_mols <= 20 THEN '6-20' WHEN n_mols <= 100 THEN '21-100' ELSE '>100' END AS key FROM freq)
+SELECT dimension, key, count(*) AS n_envs_pool, count(h)::BIGINT AS n_envs_selected, round(count(h) / count(*), 9) AS coverage FROM (
+ SELECT 'element' AS dimension, key, hit.env_id AS h FROM el LEFT JOIN hit USING (env_id)
+ UNION ALL SELECT 'band', key, hit.env_id FROM bd LEFT JOIN hit USING (env_id)) GROUP BY 1, 2""")
 def selection_reports(spark: SparkSession, sf: str) -> DataFrame:
-    """Coverage of the pool by a floor selection, per element and band."""
+    """Coverage of the pool by a floor selection of fifteen forced documents, per element and band."""
     rows = selection_rows(spark, sf)
     picks = selection.select(rows, selection.Budget(n=100, passes=("floor",)))
-    return selection.reports(rows, picks, ("molwt",))["coverage"]
+    return selection.reports(rows, picks, ("molwt",))["coverage"].withColumn("coverage", F.round("coverage", 9))
