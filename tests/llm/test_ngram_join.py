@@ -131,9 +131,10 @@ def counted(rows, k, percent):
 
 
 @pytest.mark.parametrize("percent", [80, 85])
-@pytest.mark.parametrize("long_list", [0, 32])
-def test_link_counts(percent, long_list, monkeypatch):
-    monkeypatch.setattr(ngram_join, "LONG_LIST", long_list)
+@pytest.mark.parametrize("mu", [0.0, 1.0, 50.0])
+def test_link_counts(percent, mu, monkeypatch):
+    """From most lists probed to all merged."""
+    monkeypatch.setattr(ngram_join, "MU", mu)
     rng = random.Random(4)
     sets = list({s.tobytes(): s for s in families(rng, 50)}.values())
     base = [rng.getrandbits(64) for _ in range(40)]
@@ -173,3 +174,39 @@ def test_links_in_blocks(spark, monkeypatch, none):
     assert Counter((r.doc_id, r.n_links) for r in got) == want
     assert {r.doc_id: r.component_id for r in got} == brute(rows, 4, 85)[0]
     assert ngram_join.jaccard_links(none).collect() == []
+
+
+@pytest.mark.parametrize("lists", [2000, 6])
+def test_one_id_with_different_texts(spark, lists, monkeypatch):
+    """Texts of one id that equal those of other ids keep all their links, in short and in long posting lists."""
+    monkeypatch.setattr(ngram_join, "LIST_SETS", lists)
+    monkeypatch.setattr(ngram_join, "HOT_LIST", lists // 2)
+    a, b = [f"a{i}" for i in range(60)], [f"b{i}" for i in range(60)]
+    near = [*a[:30], "x", *a[31:]]
+    rows = [(5, " ".join(a)), (5, " ".join(b)), (3, " ".join(b)), (7, " ".join(near)), (9, "c d"), (9, None), (2, " ".join(b[:58]))]
+    rows += [(20 + i, " ".join([*a[: i + 8], "y", *a[i + 9 :]])) for i in range(25)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want, _ = brute(rows, 5, 80)
+    assert want[7] == want[5] == want[3] == 2
+    got = ngram_join.jaccard_links(docs, 5, 80).collect()
+    assert all(r.component_id == want[r.doc_id] for r in got)
+    assert Counter((r.doc_id, r.n_links) for r in got) == counted(rows, 5, 80)
+    assert {r.doc_id: r.component_id for r in ngram_join.jaccard_components(docs, 5, 80).collect()} == want
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_bitmaps_lose_no_link_and_stop_shared_passages(percent):
+    import pandas as pd
+    rng = random.Random(percent)
+    sets = list({s.tobytes(): s for s in families(rng, 60)}.values())
+    passage = [rng.getrandbits(64) for _ in range(60)]
+    shared = [np.unique(np.array(passage + [rng.getrandbits(64) for _ in range(240)], dtype=np.uint64)) for _ in range(40)]
+    rows = [(0, i, len(s), ngram_join._bitmap(s)) for i, s in enumerate([*sets, *shared])]
+    found = ngram_join._bit_search(pd.DataFrame(rows, columns=["grp", "class", "n", "bits"]), percent)
+    label = dict(zip(found.a, found.b, strict=True))
+    plain = [set(s.tolist()) for s in sets]
+    for x in range(len(sets)):
+        for y in range(x):
+            if linked(plain[x], plain[y], percent):
+                assert label.get(x, x) == label.get(y, y)
+    assert not any(i in label for i in range(len(sets), len(rows)))
