@@ -1,10 +1,11 @@
 """Chat formatting in budgeted windows with loss masks.
 
 A conversation becomes windows of whole turns. The running sum of the turns' tokens decides where a
-window ends: it takes turns while the budget holds (a turn above the budget fills a window alone).
-Every window begins with the conversation's system turn, then repeats the last turns of the
-window before, as many as fit in the history budget. Repeated turns are masked: only the first
-time an assistant text appears does it count for the loss.
+window ends: it takes turns while the budget holds. Every window begins with the conversation's
+system turn, then repeats the last turns of the window before, as many as fit in the history budget
+and leave room for the next turn. So no window is above the budget but one that holds a single new turn,
+which with the system turn alone is above it; such a window repeats nothing else. Repeated turns are
+masked: only the first time an assistant text appears does it count for the loss.
 
 Template, per turn: ``### role:``, a line end, the text, ``</turn>``, a line end. Control strings inside
 roles and texts are escaped with a backslash (``ESCAPES``), so they never appear raw and
@@ -119,7 +120,8 @@ def format_windows(
                 elif len(window.turns) > window.repeated and window.sums[-1] + turn[2] > budget:
                     flush()
                     kept = [system] if system else []
-                    kept += window.history(history, len(kept) if window.turns[:1] == kept else 0)
+                    room = budget - turn[2] - sum(t[2] for t in kept)
+                    kept += window.history(min(history, room), len(kept) if window.turns[:1] == kept else 0)
                     window = _Window(kept, len(kept))
                 window.add(turn)
             if out:

@@ -66,19 +66,36 @@ def test_windows(spark):
             fresh = found[w.repeated :]
             assert fresh and fresh == [t[1:] for t in turns[at : at + len(fresh)]]
             cost = [C.word_tokens(x) for _, x in found]
-            assert sum(cost) <= C.BUDGET or len(fresh) == 1 or turns[0][1] == "system"
             system = turns[0][1] == "system" and w.window > 0
             if system:
                 assert found[0] == turns[0][1:]
             history = found[system : w.repeated]
             assert history == [t[1:] for t in turns[at - len(history) : at]]
             assert sum(cost[system : w.repeated]) <= C.HISTORY
+            assert sum(cost) <= C.BUDGET or (len(fresh) == 1 and not history)
             at += len(fresh)
         assert at == len(turns)
         if c is not None and c > 4:
             break
 
 
+def test_history_gives_way_to_the_next_turn(spark):
+    """Turns of up to 480 tokens: a window is above the budget only when the system turn and one turn are."""
+    rng = random.Random(6)
+    rows = []
+    for c in range(12):
+        rows += [(c, 0, "system", " ".join(["s"] * rng.choice([5, 60])))]
+        rows += [(c, t, rng.choice(["user", "assistant"]), " ".join(["w"] * rng.choice([20, 90, 476, 440]))) for t in range(1, 30)]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string")
+    above = repeats = 0
+    for w in C.format_windows(df).collect():
+        cost = [C.word_tokens(x) for _, x in C.read_turns(w.text)]
+        above += sum(cost) > C.BUDGET
+        repeats += w.repeated > 1
+        assert sum(cost) <= C.BUDGET or (len(cost) == 2 and w.repeated == 1)
+    assert above and repeats
+
+
 def test_query_and_empty(spark, tmp_path):
     spark.createDataFrame([], "conv_id bigint, turn int, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
     (r,) = C.op8_chat_windows(spark, str(tmp_path)).collect()
