@@ -26,13 +26,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import table
+from .common import table, written
 from .textvec import mix
 
 _U = np.uint64
@@ -97,8 +98,9 @@ def build_index(items: list[tuple[int, str]], q: int = Q, error_rate: float = ER
     _, back, count = np.unique(flat, return_inverse=True, return_counts=True)
     many = count[back] if len(flat) else count
     keep = np.ones(len(flat), dtype=bool)
+    first = np.concatenate([[0], np.cumsum([len(g) for g in grams])]).astype(np.int64)
     for x in range(len(grams)):
-        own = np.flatnonzero(item == x)
+        own = np.arange(first[x], first[x + 1])
         spare = int(need[x] - max(1, np.ceil(KEEP_BOUND * need[x])))
         often = own[np.argsort(-many[own], kind="stable")]
         often = often[many[often] > 1][: max(0, spare)]
@@ -154,8 +156,9 @@ def leaks_in(texts: list[str], index: Index, q: int = Q) -> list[tuple[int, int,
     for i, short in index.short:
         for r, t in enumerate(texts):
             at = t.find(short)
-            if at >= 0:
+            while at >= 0:
                 found.append((r, i, at, at + len(short), 0))
+                at = t.find(short, at + len(short))
     lens = np.array([len(t) for t in texts], dtype=np.int64)
     gap = q  # code point 0 between texts, so no q-gram of an item spans two of them
     codes = np.frombuffer(("\0" * gap).join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -241,12 +244,19 @@ def _grouped(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, item_id, start, end, distance): the leaking regions, positions in the normalized text."""
+    """(doc_id, item_id, start, end, distance): the leaking regions, positions in the normalized text.
+
+    Where the benchmark has several blocks, each is scanned for and stored before the next one is sent, so
+    the executors hold one index.
+    """
     schema = "doc_id bigint, item_id bigint, start bigint, end bigint, distance bigint"
     source = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    out = None
+    parts, before = [], None
     for block in item_blocks(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(build_index(block))  # at most ITEM_CHARS characters
+        if before is not None:
+            parts[-1] = written(parts[-1])
+            before.unpersist()
+        before = shared = docs.sparkSession.sparkContext.broadcast(build_index(block))  # at most ITEM_CHARS characters
 
         def scan(frames: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             for frame in frames:
@@ -257,9 +267,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 yield pd.DataFrame({n: pd.array([None if v is None or v != v else int(v) for v in c], dtype="Int64")
                                     for n, c in zip(("doc_id", "item_id", "start", "end", "distance"), cols, strict=True)})
 
-        part = source.mapInPandas(scan, schema)
-        out = part if out is None else out.unionAll(part)
-    return out if out is not None else docs.sparkSession.createDataFrame([], schema)
+        parts.append(source.mapInPandas(scan, schema))
+    return reduce(DataFrame.unionAll, parts) if parts else docs.sparkSession.createDataFrame([], schema)
 
 
 def drop_leaking(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

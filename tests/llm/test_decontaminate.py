@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -70,6 +71,16 @@ def test_blocks_of_items(spark, docs, monkeypatch):
     assert sorted(map(tuple, D.leaks(one, bench).collect())) == want
 
 
+def test_short_items_at_all_places(spark):
+    docs = spark.createDataFrame([(1, "Tiny, a tiny TINY\ttinytiny thing"), (2, "none")], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(7, "tiny"), (8, "a long passage that no document has at all")], "item_id bigint, text string")
+    got = sorted((r.doc_id, r.item_id, r.start, r.end, r.distance) for r in D.leaks(docs, bench).collect())
+    text = D.normalize("Tiny, a tiny TINY\ttinytiny thing")
+    want = [m.start() for m in re.finditer("tiny", text)]
+    assert got == [(1, 7, a, a + 4, 0) for a in want] and len(want) == 5
+    assert [r.doc_id for r in D.drop_leaking(docs, bench).collect()] == [2]
+
+
 def test_edges(spark, docs, none, rows):
     bench = spark.createDataFrame([(1, "a passage that no document has, not even in part")], "item_id bigint, text string")
     assert D.leaks(docs, bench).collect() == []
