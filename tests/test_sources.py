@@ -63,6 +63,34 @@ def test_large_files_line_by_line(spark, folder, tmp_path):
     assert [r.source_index for r in rows if r.source_file == "bad.xyz"] == [None]
 
 
+@pytest.mark.parametrize(("block", "split"), [(1, "1000000"), (3, "37"), (100_000, "37")])
+def test_both_readers_agree_on_the_same_bytes(spark, tmp_path, monkeypatch, block, split):
+    """Blocks and splits of any size, equal names in two folders, all line ends, odd names, every kind of error."""
+    frame = "2\n{}\nH 0 0 0\nHe 0 0 {}\n"
+    texts = {
+        "a/x.xyz": frame.format("one", 1) + frame.format("", 2), "b/x.xyz": "\n \n" + frame.format("two", 3) * 9 + "\n\n0\n\n0\nlast\n",
+        "c/u.xyz": frame.format("x\u2028y", 1), "c/f.xyz": frame.format("x", 1).replace("\n", "\x0c"), "c/cr.xyz": frame.format("x", 1).replace("\n", "\r\n") * 3,
+        "c/a b+c%20.xyz": frame.format("q", 5), "c/one.xyz": "1\nk=v\nH 1 2 3", "c/none.xyz": "", "c/blank.xyz": "\n\n \n", "c/ints.xyz": "3\n3\nH 1 1 1\nH 2 2 2\nH 3 3 3\n" * 5,
+        "d/short.xyz": frame.format("x", 1) * 3 + "4\n\nH 0 0 0\n", "d/word.xyz": frame.format("x", 1) + "two\n" + frame.format("x", 1), "d/minus.xyz": "-1\n\n",
+        "d/comment.xyz": frame.format("x", 1) + "1", "d/number.xyz": frame.format("x", 1) + frame.format("x", "nan") + "bad\n", "d/wide.xyz": frame.format("x", "1 2"), "d/end.xyz": "0\x0b",
+    }
+    for name, text in texts.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(text.encode())
+    (tmp_path / "d/bytes.xyz").write_bytes(b"x\n1\n\xff\n")
+    key = lambda r: repr((r.source_file, r.source_index, r.symbols, r.coords, r.charges, r.header, r.error))
+    folders = str(tmp_path / "*")
+    want = sorted(map(key, xyz.read_xyz(spark, folders).collect()))
+    monkeypatch.setattr(xyz, "BLOCK_LINES", block)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        got = sorted(map(key, xyz.read_xyz(spark, folders, value_bytes=0).collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == want and len(want) > 30
+
+
 def test_extra_columns_are_ignored():
     got = list(xyz.frames_of("1\nProperties=species:S:1:mass:R:2:pos:R:3\nH 9 9 1 2 3\n\n\n0\n\n"))
     assert got[0][:3] == (["H"], [[1.0, 2.0, 3.0]], None) and got[1][0] == []
