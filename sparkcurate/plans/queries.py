@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions import columns as C, molblock
+from ..functions import columns as C, molblock, structure
 from ..functions.elements import FIT_ELEMENTS, atomic_numbers
 from ..functions.geometry import cosine, ordered_rmsd, tanimoto_distance
 from ..operators import coverage, gates, mirror, nearest, ordering, outlier, stats
@@ -1179,3 +1179,99 @@ def selection_reports(spark: SparkSession, sf: str) -> DataFrame:
     rows = selection_rows(spark, sf)
     picks = selection.select(rows, selection.Budget(n=100, passes=("floor",)))
     return selection.reports(rows, picks, ("molwt",))["coverage"].withColumn("coverage", F.round("coverage", 9))
+
+
+# -- structure of bonded records -----------------------------------------------
+
+
+def ring_molecules(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as bonded records: each line hangs on an earlier one, and may close a ring with another."""
+    li = read_table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(
+        "l_linenumber", "l_returnflag", "l_linestatus", F.col("l_partkey").alias("p"), F.col("l_suppkey").alias("q")))).alias("l"))
+    back = lambda x, i, f: (F.lit(1) + x[f] % i).cast("int")  # noqa: E731  # i lines stand before line i + 1
+
+    def bonds(x: Column, i: Column) -> Column:
+        tree = F.struct(back(x, i, "p").alias("a"), (i + 1).alias("b"), F.lit(1).alias("order"))
+        ring = F.struct(back(x, i, "q").alias("a"), (i + 1).alias("b"), F.when(x["l_linestatus"] == "O", 2).otherwise(1).alias("order"))
+        return F.when(i == 0, F.array().cast("array<struct<a:int,b:int,order:int>>")).when(back(x, i, "p") == back(x, i, "q"), F.array(tree)).otherwise(F.array(tree, ring))
+
+    return li.select(
+        "l_orderkey", F.transform("l", lambda x: x["l_returnflag"]).alias("symbols"), F.flatten(F.transform("l", bonds)).alias("bonds"))
+
+
+RINGS_SQL = """
+ra AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_returnflag, l_linestatus, l_partkey, l_suppkey) AS i FROM lineitem),
+rp AS (SELECT l_orderkey AS k, i, l_returnflag AS e, CASE WHEN i > 1 THEN 1 + l_partkey % (i - 1) END AS p,
+ CASE WHEN i > 1 THEN 1 + l_suppkey % (i - 1) END AS q, CASE WHEN l_linestatus = 'O' THEN 2 ELSE 1 END AS o FROM ra),
+rb AS (SELECT k, p AS a, i AS b, 1 AS o FROM rp WHERE p IS NOT NULL UNION ALL SELECT k, q, i, o FROM rp WHERE q <> p),
+nb AS (SELECT k, a AS i, b AS j, o FROM rb UNION ALL SELECT k, b, a, o FROM rb),
+c0 AS (SELECT k, i, ('0x' || substr(md5(e || '|' || (SELECT count(*) FROM nb WHERE nb.k = rp.k AND nb.i = rp.i)), 1, 8))::BIGINT AS c FROM rp)"""
+
+
+def _codes_sql(rounds: int) -> str:
+    step = """
+c{1} AS (SELECT x.k, x.i, ('0x' || substr(md5(any_value(x.c) || '(' || coalesce(string_agg(o || ':' || y.c, ',' ORDER BY o || ':' || y.c), '') || ')'), 1, 8))::BIGINT AS c
+ FROM c{0} x LEFT JOIN nb ON nb.k = x.k AND nb.i = x.i LEFT JOIN c{0} y ON y.k = nb.k AND y.i = nb.j GROUP BY x.k, x.i)"""
+    return ",".join([RINGS_SQL, *(step.format(r, r + 1) for r in range(rounds))])
+
+
+@query(f"WITH {_codes_sql(2)} SELECT k AS l_orderkey, i::INT AS atom, c0.c AS env_0, c1.c AS env_1, c2.c AS env_2 FROM c0 JOIN c1 USING (k, i) JOIN c2 USING (k, i)")
+def atom_environments(spark: SparkSession, sf: str) -> DataFrame:
+    """Environments of radius 0 to 2 of every atom, by iterated hashing of neighbourhoods."""
+    m = ring_molecules(spark, sf).select("l_orderkey", F.posexplode(structure.environments(F.col("symbols"), F.col("bonds"))).alias("i", "x"))
+    return m.select("l_orderkey", (F.col("i") + 1).alias("atom"), *[F.get("x", r).alias(f"env_{r}") for r in range(3)])
+
+
+@query(f"""
+WITH {_codes_sql(2)}, al AS (SELECT * FROM c0 UNION ALL SELECT * FROM c1 UNION ALL SELECT * FROM c2)
+SELECT k AS l_orderkey, string_agg(bit::VARCHAR, ',' ORDER BY bit) AS bits FROM (SELECT DISTINCT k, c % 2048 AS bit FROM al) GROUP BY k""")
+def structure_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
+    """Folded environments of every record as on-bits."""
+    m = ring_molecules(spark, sf).withColumn("envs", structure.environments(F.col("symbols"), F.col("bonds")))
+    return m.select("l_orderkey", F.array_join(structure.fingerprint(F.col("envs")), ",").alias("bits"))
+
+
+@query(f"""
+WITH {_codes_sql(13)} SELECT k AS l_orderkey, i::INT AS atom, (min(i) OVER (PARTITION BY k, c))::INT AS same_as FROM c13""")
+def refined_classes(spark: SparkSession, sf: str) -> DataFrame:
+    """Per atom, the first atom that colour refinement cannot tell from it."""
+    m = ring_molecules(spark, sf).select("l_orderkey", F.posexplode(structure.refined_classes(F.col("symbols"), F.col("bonds"))).alias("i", "same_as"))
+    return m.select("l_orderkey", (F.col("i") + 1).alias("atom"), "same_as")
+
+
+def _core_sql(rounds: int) -> str:
+    step = """
+e{1} AS (SELECT k, i, j FROM (SELECT *, count(*) OVER (PARTITION BY k, i) AS x, count(*) OVER (PARTITION BY k, j) AS y FROM e{0}) WHERE x > 1 AND y > 1)"""
+    return ",".join([RINGS_SQL, " e0 AS (SELECT k, i, j FROM nb)", *(step.format(r, r + 1) for r in range(rounds))])
+
+
+@query(f"""
+WITH RECURSIVE {_core_sql(13)},
+r(k, i, j, z) AS (SELECT k, i, j, i FROM e13 WHERE i < j
+ UNION SELECT r.k, r.i, r.j, e13.j FROM r JOIN e13 ON e13.k = r.k AND e13.i = r.z AND NOT (e13.i = r.i AND e13.j = r.j) AND NOT (e13.i = r.j AND e13.j = r.i)),
+ring AS (SELECT k, count(*) AS n FROM r WHERE z = j GROUP BY k),
+bond AS (SELECT k, count(*) AS n FROM e13 WHERE i < j GROUP BY k),
+atom AS (SELECT k, string_agg(i::VARCHAR, ',' ORDER BY i) AS atoms FROM (SELECT DISTINCT k, i FROM e13) GROUP BY k)
+SELECT k AS l_orderkey, coalesce(atoms, '') AS scaffold_atoms, coalesce(ring.n, 0)::INT AS ring_bonds, (coalesce(bond.n, 0) - coalesce(ring.n, 0))::INT AS linker_bonds
+FROM (SELECT DISTINCT k FROM rp) LEFT JOIN atom USING (k) LEFT JOIN ring USING (k) LEFT JOIN bond USING (k)""")
+def ring_scaffold(spark: SparkSession, sf: str) -> DataFrame:
+    """Atoms of the ring scaffold of every record, and its bonds in rings and between them."""
+    n = F.size("symbols")
+    m = ring_molecules(spark, sf).withColumn("core", structure.core_bonds(n, F.col("bonds")))
+    m = m.withColumn("ring", F.size(structure.ring_bonds(n, F.col("core"))))
+    return m.select("l_orderkey", F.array_join(structure.atoms_of(F.col("core")), ",").alias("scaffold_atoms"),
+                    F.col("ring").alias("ring_bonds"), (F.size("core") - F.col("ring")).alias("linker_bonds"))
+
+
+@query()
+def identity_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Records per identity key; the key of every record is that of its atoms in reverse order too."""
+    m = ring_molecules(spark, sf)
+    turned = m.withColumn("order", F.reverse(F.sequence(F.lit(1), F.size("symbols"))))
+    s, b = structure.reordered(F.col("symbols"), F.col("bonds"), F.col("order"))
+    both = m.withColumn("form", structure.canonical_form(F.col("symbols"), F.col("bonds"))).select("l_orderkey", "form")
+    back = turned.select("l_orderkey", s.alias("symbols"), b.alias("bonds")).select(
+        "l_orderkey", structure.canonical_form(F.col("symbols"), F.col("bonds"))["key"].alias("turned"))
+    return both.join(back, "l_orderkey").groupBy(F.col("form.key").alias("key")).agg(
+        F.count(F.lit(1)).alias("n_records"), F.min("l_orderkey").alias("first"), 
+        F.min((F.col("form.key") == F.col("turned")).cast("int")).alias("turned_equal"))
