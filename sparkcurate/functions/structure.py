@@ -27,6 +27,15 @@ from .columns import feature_id, let
 from .molblock import fragment_labels
 
 RADIUS, BITS = 2, 2048
+# Covalent radii in Angstrom (Cordero et al. 2008), hydrogen to xenon in order of atomic number.
+COVALENT_RADII = dict(zip(
+    "H He Li Be B C N O F Ne Na Mg Al Si P S Cl Ar K Ca Sc Ti V Cr Mn Fe Co Ni Cu Zn Ga Ge As Se Br Kr "
+    "Rb Sr Y Zr Nb Mo Tc Ru Rh Pd Ag Cd In Sn Sb Te I Xe".split(),
+    (0.31, 0.28, 1.28, 0.96, 0.84, 0.76, 0.71, 0.66, 0.57, 0.58, 1.66, 1.41, 1.21, 1.11, 1.07, 1.05, 1.02, 1.06, 2.03, 1.76, 1.70, 1.60,
+     1.53, 1.39, 1.39, 1.32, 1.26, 1.24, 1.32, 1.22, 1.22, 1.20, 1.19, 1.20, 1.20, 1.16, 2.20, 1.95, 1.90, 1.75, 1.64, 1.54, 1.47, 1.46,
+     1.42, 1.39, 1.45, 1.44, 1.42, 1.39, 1.39, 1.38, 1.39, 1.40), strict=True))
+# Two atoms are bonded up to the sum of their radii and this.
+SLACK = 0.45
 
 
 def _numbers(n: Column) -> Column:
@@ -118,6 +127,47 @@ def atoms_of(bonds: Column) -> Column:
     return F.array_sort(F.array_distinct(F.flatten(F.transform(bonds, lambda e: F.array(e["a"].cast("int"), e["b"].cast("int"))))))
 
 
+# -- bonds from coordinates ----------------------------------------------------
+
+
+def perceived_bonds(symbols: Column, coords: Column, slack: float = SLACK) -> Column:
+    """Bonds (a < b) of atoms that stand no farther apart than their covalent radii and ``slack``.
+
+    Null for a record with a symbol outside the table, without coordinates, or with another number of them.
+    Atoms are first limited to those within the largest reach along the first axis.
+    """
+    table = F.create_map(*[F.lit(x) for pair in COVALENT_RADII.items() for x in pair])
+    apart = lambda p, q: F.sqrt(sum(((F.get(p, k) - F.get(q, k)) * (F.get(p, k) - F.get(q, k)) for k in (1, 2)), (F.get(p, 0) - F.get(q, 0)) * (F.get(p, 0) - F.get(q, 0))))
+
+    def found(s: Column) -> Column:
+        atoms = F.zip_with(s["r"], s["p"], lambda r, p: F.struct(r.alias("r"), p.alias("p")))
+        placed = F.transform(atoms, lambda x, i: F.struct((i + 1).alias("i"), x["r"].alias("r"), x["p"].alias("p")))
+
+        def of(x: Column, rest: Column, widest: Column) -> Column:
+            near = F.filter(rest, lambda y: (y["i"] > x["i"]) & (F.abs(F.get(y["p"], 0) - F.get(x["p"], 0)) <= x["r"] + widest + slack))
+            hit = F.filter(near, lambda y: apart(x["p"], y["p"]) <= x["r"] + y["r"] + slack)
+            return F.transform(hit, lambda y: F.struct(x["i"].alias("a"), y["i"].alias("b"), F.lit(1).alias("order")))
+
+        def all_of(t: Column) -> Column:
+            return F.flatten(F.transform(t["a"], lambda x: of(x, t["a"], t["w"])))
+
+        bonds = let(F.struct(placed.alias("a"), F.array_max(s["r"]).alias("w")), all_of)
+        whole = F.forall(s["r"], lambda r: r.isNotNull()) & (F.size(s["r"]) == F.size(s["p"]))
+        return F.when(whole, bonds)
+
+    radii = F.transform(symbols, lambda x: F.element_at(table, x))
+    return F.when(symbols.isNotNull() & coords.isNotNull(), let(F.struct(radii.alias("r"), coords.alias("p")), found))
+
+
+def topology_differences(listed: Column, perceived: Column) -> Column:
+    """STRUCT<missing, extra>: listed bonds that the coordinates do not show, and shown ones that are not listed; null without either."""
+    pairs = lambda bonds: F.array_distinct(F.transform(bonds, lambda e: F.struct(
+        F.least(e["a"], e["b"]).cast("int").alias("a"), F.greatest(e["a"], e["b"]).cast("int").alias("b"))))
+    both = F.struct(pairs(listed).alias("l"), pairs(perceived).alias("p"))
+    return F.when(listed.isNotNull() & perceived.isNotNull(), let(both, lambda s: F.struct(
+        F.size(F.array_except(s["l"], s["p"])).alias("missing"), F.size(F.array_except(s["p"], s["l"])).alias("extra"))))
+
+
 # -- canonical order -----------------------------------------------------------
 
 

@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..chem import backend
-from ..functions import columns as C, molblock
+from ..functions import columns as C, molblock, structure
 from ..functions.columns import let
 from ..functions.elements import CNSO, FIT_ELEMENTS
 from ..operators import gates, mirror, outlier
@@ -38,6 +38,7 @@ class Options:
     max_heavy: int | None = None
     min_fragments: int | None = None
     max_fragments: int | None = None
+    topology: bool = False
     skip_integrity: bool = False
     remove_enantiomers: bool = False
     rmsd_threshold: float | None = None
@@ -112,7 +113,8 @@ def chemistry_gate(rows: DataFrame, o: Options) -> DataFrame:
     """Composition first; then net charge and true zwitterions of the given bonds and charges.
 
     Radical counts need valence perception: with a preset that asks for them, the column
-    ``n_radicals`` is used when present, else the toolkit is required.
+    ``n_radicals`` is used when present, else the toolkit is required. With ``topology``, rows that pass are
+    labelled ``topology_warning`` where the bonds that their coordinates show are not the listed ones.
     """
     if o.preset not in gates.CHEMISTRY_PRESETS:
         raise ValueError(f"unknown preset {o.preset!r}")
@@ -135,10 +137,20 @@ def chemistry_gate(rows: DataFrame, o: Options) -> DataFrame:
             checks.append(gates.Check(F.col("n_radicals") > 0, F.concat(F.lit("radicals="), F.col("n_radicals").cast("string"))))
     later = gates.first_failing(composed, checks, "_s", "_r")
     open_ = F.col("filter_status") == "ok"
-    return later.withColumns({
+    later = later.withColumns({
         "filter_reason": F.when(open_, F.col("_r")).otherwise(F.col("filter_reason")),
         "filter_status": F.when(open_, F.col("_s")).otherwise(F.col("filter_status")),
-    }).drop("_s", "_r", "_symbols", "_heavy", "_net", "_zw")
+    }).drop("_s", "_r", "_heavy", "_net", "_zw")
+    if o.topology:
+        shown = structure.perceived_bonds(F.col("_symbols"), molblock.coords("mol_block"))
+        later = later.withColumn("_t", structure.topology_differences(molblock.bonds("mol_block"), shown))
+        warned = (F.col("filter_status") == "ok") & (F.coalesce(F.col("_t.missing") + F.col("_t.extra"), F.lit(0)) > 0)
+        reason = F.format_string("%d listed bonds not seen, %d seen not listed", F.col("_t.missing"), F.col("_t.extra"))
+        later = later.withColumns({
+            "filter_reason": F.when(warned, reason).otherwise(F.col("filter_reason")),
+            "filter_status": F.when(warned, F.lit("topology_warning")).otherwise(F.col("filter_status")),
+        }).drop("_t")
+    return later.drop("_symbols")
 
 
 def identify(rows: DataFrame) -> DataFrame:

@@ -1263,6 +1263,23 @@ def ring_scaffold(spark: SparkSession, sf: str) -> DataFrame:
                     F.col("ring").alias("ring_bonds"), (F.size("core") - F.col("ring")).alias("linker_bonds"))
 
 
+@query(f"""
+WITH {FRAMES_SQL},
+am AS (SELECT vec_id, unnest(atoms) AS x, generate_subscripts(atoms, 1) AS i FROM fr),
+rd AS (SELECT vec_id, i, 4 * x.x AS x, 4 * x.y AS y, 4 * x.w AS w, CASE x.s {" ".join(f"WHEN '{s}' THEN {structure.COVALENT_RADII[s]}" for s in ATOM_NAMES)} END::DOUBLE AS r FROM am),
+bd AS (SELECT a.vec_id, a.i AS p, b.i AS q FROM rd a JOIN rd b ON a.vec_id = b.vec_id AND a.i < b.i
+ AND sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.w - b.w) * (a.w - b.w)) <= a.r + b.r + {structure.SLACK})
+SELECT e.vec_id, count(p)::INT AS n_bonds, (15 - count(p) FILTER (q = p + 1))::INT AS missing, (count(p) FILTER (q > p + 1))::INT AS extra
+FROM embeddings e LEFT JOIN bd ON bd.vec_id = e.vec_id GROUP BY e.vec_id""")
+def bond_perception(spark: SparkSession, sf: str) -> DataFrame:
+    """Bonds that the coordinates of a frame show, against its chain of listed bonds."""
+    f = frames(spark, sf).withColumn("xyz", F.transform("coords", lambda p: F.transform(p, lambda v: v * 4)))
+    chain = F.transform(F.sequence(F.lit(1), F.lit(15)), lambda i: F.struct(i.alias("a"), (i + 1).alias("b"), F.lit(1).alias("order")))
+    shown = f.select("vec_id", structure.perceived_bonds(F.col("symbols"), F.col("xyz")).alias("b"))
+    diff = structure.topology_differences(chain, F.col("b"))
+    return shown.select("vec_id", F.size("b").alias("n_bonds"), diff.alias("t")).select("vec_id", "n_bonds", "t.missing", "t.extra")
+
+
 @query()
 def identity_keys(spark: SparkSession, sf: str) -> DataFrame:
     """Records per identity key; the key of every record is that of its atoms in reverse order too."""

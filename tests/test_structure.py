@@ -138,3 +138,27 @@ def test_canonical_order_ignores_numbering(spark, cases):
     syms, bonds = S.reordered(F.col("symbols"), F.col("bonds"), F.col("f.order"))
     a, b = df.select(syms.alias("s"), bonds.alias("b"), "f.key").collect()
     assert ([*a.s], [tuple(x) for x in a.b]) == renumbered(*star, S.canonical(*star)[0]) and b.key is None
+
+
+def test_bonds_from_coordinates(spark):
+    methane = (["C", "H", "H", "H", "H"], [[0.0, 0.0, 0.0], [0.63, 0.63, 0.63], [-0.63, -0.63, 0.63], [-0.63, 0.63, -0.63], [0.63, -0.63, -0.63]])
+    water = (["O", "H", "H"], [[0.0, 0.0, 0.0], [0.96, 0.0, 0.0], [-0.24, 0.93, 0.0]])
+    rows = [(1, *methane, [(1, i, 1) for i in range(2, 6)]), (2, *water, [(2, 1, 1), (2, 3, 1)]), (3, ["Xx"], [[0.0] * 3], []), (4, ["H"], None, []), (5, [], [], []), (6, ["H", "H"], [[0.0] * 3], [])]
+    df = spark.createDataFrame(rows, "id int, s array<string>, p array<array<double>>, l array<struct<a:int,b:int,order:int>>").withColumn("b", S.perceived_bonds(F.col("s"), F.col("p")))
+    got = {r.id: r for r in df.withColumn("t", S.topology_differences(F.col("l"), F.col("b"))).collect()}
+    assert [tuple(x) for x in got[1].b] == [(1, i, 1) for i in range(2, 6)] and tuple(got[1].t) == (0, 0)
+    assert [tuple(x)[:2] for x in got[2].b] == [(1, 2), (1, 3)] and tuple(got[2].t) == (1, 1)
+    assert got[3].b is None and got[3].t is None and got[4].b is None and got[5].b == [] and tuple(got[5].t) == (0, 0) and got[6].b is None
+
+
+def test_topology_warning_in_the_gate(spark):
+    from sparkcurate.functions import molblock
+    from sparkcurate.plans import graph
+    xyz = [[0.0, 0.0, 0.0], [0.96, 0.0, 0.0], [-0.24, 0.93, 0.0]]
+    rows = [(1, ["O", "H", "H"], xyz, [(1, 2, 1), (1, 3, 1)]), (2, ["O", "H", "H"], [[3 * v for v in p] for p in xyz], [(1, 2, 1), (1, 3, 1)])]
+    df = spark.createDataFrame(rows, "row_index int, s array<string>, p array<array<double>>, e array<struct<a:int,b:int,order:int>>")
+    block = df.withColumn("mol_block", molblock.build_block(F.lit("t"), F.col("s"), F.col("p"), F.col("e"))).select("row_index", "mol_block")
+    for on, want in ((False, ["ok", "ok"]), (True, ["ok", "topology_warning"])):
+        out = graph.chemistry_gate(block, graph.Options(preset="neutral", topology=on, max_fragments=None)).orderBy("row_index").collect()
+        assert [r.filter_status for r in out] == want
+    assert out[1].filter_reason == "2 listed bonds not seen, 0 seen not listed"
