@@ -43,6 +43,7 @@ class Options:
     remove_enantiomers: bool = False
     rmsd_threshold: float | None = None
     rmsd_mode: str = "raw"
+    legacy_rotation: bool = False
     energy_aware: bool = True
     coverage_guarantee: bool = False
     force_keep: bool = False
@@ -50,6 +51,24 @@ class Options:
     exclude: list[str] = field(default_factory=list)
 
 
+# The two collections that the chain is made for; only the family written into frames differs.
+RECIPES = {"qm40": Options(family="QM40"), "qmugs": Options(family="QMUGS")}
+
+
+def steps(o: Options = Options()) -> list[tuple[str, dict]]:
+    """The chain that ``run`` would do with these options, in order, without running it: (step, its settings)."""
+    of = lambda *names: {n: getattr(o, n) for n in names}
+    return [
+        ("contract", of("lenient")), ("split", of("batch_size")),
+        ("energy_prefilter", of("skip_outliers", "z_cut", "check_positive", "atom_types", "force_keep")),
+        ("chemistry_gate", {"checks": sorted(gates.CHEMISTRY_PRESETS[o.preset]), **of(
+            "preset", "allowed_elements", "min_heavy", "max_heavy", "min_fragments", "max_fragments", "topology", "force_keep")}),
+        ("identify", of("force_keep")), ("integrity", of("skip_integrity")), ("stereo", of("remove_enantiomers")),
+        ("conformers", of("rmsd_threshold", "rmsd_mode", "energy_aware", "coverage_guarantee", "legacy_rotation", "force_keep")),
+        ("extxyz", of("family", "exclude")),
+    ]
+
+
 def contract(records: DataFrame, lenient: bool = False) -> tuple[DataFrame, DataFrame]:
     """(passed, rejected) parsed SDF records."""
     checked = gates.validate_tags(records, lenient=lenient, parsed=F.col("parsed"))
@@ -198,7 +217,7 @@ def conformers(rows: DataFrame, o: Options) -> DataFrame:
     work = checkpointed(number_rows(rows, ORDER, "_row").withColumn("_xyz", molblock.heavy_coords("mol_block")))
     out = conformer_filter(
         work, "CompoundID", "_row", "_xyz", "Energy_Ha" if o.energy_aware else None, o.rmsd_threshold, o.rmsd_mode,
-        o.coverage_guarantee,
+        o.coverage_guarantee, o.legacy_rotation,
     )
     return out.drop("_row", "_xyz")
 

@@ -12,6 +12,8 @@ BROADCAST_ROWS = 200_000
 SALTS = 64
 # Keys with more rows than this are salted, the most frequent ones first.
 HOT_ROWS = 1_000_000
+# Inputs below this per core are spread by a shuffle.
+SPREAD_BYTES = 64_000_000
 HOT_KEYS = 1000
 
 
@@ -116,10 +118,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def balanced(df: DataFrame) -> DataFrame:
-    """Spread rows over the cores when the scan has fewer splits than there are cores.
+    """Spread rows over the cores when the input is small.
 
-    A small file is one task however heavy the work per row is. A large file has many splits,
-    so large inputs are left as they are, without a shuffle.
+    The row groups of a file bound its parallelism, however many splits there are, so a small file is
+    one task however heavy the work per row is. Large inputs are left as they are, without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * SPREAD_BYTES else df

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
+import os
 import platform
 import subprocess
+import sys
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -87,6 +89,10 @@ def mark(spark, path: str, kind: str, count: int) -> bool:
     return True
 
 
+# Scheduler and thread variables that a run record keeps where they are set.
+RUN_VARIABLES = ("SLURM_JOB_ID", "SLURM_JOB_NAME", "SLURM_NTASKS", "SLURM_CPUS_PER_TASK", "OMP_NUM_THREADS", "CUDA_VISIBLE_DEVICES")
+
+
 def record_run(spark, path: str, pipeline: str, stage: str, params: dict, counts: dict) -> None:
     """Append one stage record; readers take the metadata of a pipeline from its first record."""
     def git(*args: str) -> str | None:
@@ -100,9 +106,10 @@ def record_run(spark, path: str, pipeline: str, stage: str, params: dict, counts
         pipeline, stage, json.dumps(params, default=str), json.dumps(counts, default=str),
         datetime.now(timezone.utc).isoformat(), platform.node(), git("rev-parse", "HEAD"),
         None if status is None else bool(status), json.dumps({"python": platform.python_version(), "spark": spark.version}),
+        json.dumps({k: os.environ[k] for k in RUN_VARIABLES if os.environ.get(k)}), json.dumps(sys.argv), os.getcwd(),
     )
     schema = (
         "pipeline string, stage string, params string, counts string, started_at string, "
-        "hostname string, git_commit string, git_dirty boolean, versions string"
+        "hostname string, git_commit string, git_dirty boolean, versions string, environment string, argv string, cwd string"
     )
     spark.createDataFrame([row], schema).coalesce(1).write.mode("append").json(path)

@@ -180,6 +180,22 @@ def test_everything_when_budget_exceeds_pool(rows):
     assert picks.select("row").distinct().count() == picks.count()
 
 
+def test_distinct_counts_environments_once(spark, rows, recs):
+    """With ``distinct`` the passes act as if each record carried each environment once."""
+    brute = Brute([(sorted(set(e)), b, f or S.ACYCLIC) for e, b, f in recs])
+    brute.order = Brute([(e, b, f) for e, b, f in recs]).order
+    picks = S.select(rows, S.Budget(n=40, passes=("floor",), floor_budget=0.3, distinct=True))
+    assert [r["row"] for r in picks.orderBy("selection_order").collect()] == brute.floor(12, 0.4)
+
+
+def test_capped_budgets_never_overshoot(spark):
+    data = [(f"f{i}",) for i in range(30) for _ in range(60 + i)]
+    df = spark.createDataFrame(data, "family string")
+    free = S.family_budgets(df, 40, 50, 0.3).agg(F.sum("k")).first()[0]
+    got = S.family_budgets(df, 40, 50, 0.3, capped=True)
+    assert free == 30 and got.agg(F.sum("k")).first()[0] == 12 and got.columns == ["family", "m", "k"]
+
+
 def test_unknown_pass():
     with pytest.raises(ValueError):
         S.Budget(passes=("floor", "width"))

@@ -272,6 +272,31 @@ def test_graph_chain(spark, tmp_path):
     assert graph.status_funnel(out["rows"]).count() == 5
 
 
+def test_recipes_and_steps():
+    assert {k: o.family for k, o in graph.RECIPES.items()} == {"qm40": "QM40", "qmugs": "QMUGS"}
+    listed = graph.steps(graph.Options(rmsd_threshold=0.5, preset="neutral", batch_size=7))
+    assert [name for name, _ in listed] == ["contract", "split", "energy_prefilter", "chemistry_gate", "identify", "integrity", "stereo", "conformers", "extxyz"]
+    settings = dict(listed)
+    assert settings["split"] == {"batch_size": 7} and settings["conformers"]["rmsd_threshold"] == 0.5 and settings["chemistry_gate"]["checks"] == ["charge"]
+    for name, values in listed:
+        assert callable(getattr(graph, name)) and values is not None
+
+
+def test_run_record_keeps_scheduler_variables(spark, tmp_path, monkeypatch):
+    import json
+
+    monkeypatch.setenv("SLURM_JOB_ID", "17")
+    monkeypatch.setenv("OMP_NUM_THREADS", "2")
+    monkeypatch.delenv("SLURM_NTASKS", raising=False)
+    for stage in ("a", "b"):
+        sinks.record_run(spark, str(tmp_path / "runs"), "p", stage, {"x": 1}, {"rows": 2})
+    got = spark.read.json(str(tmp_path / "runs")).orderBy("stage").collect()
+    assert [r.stage for r in got] == ["a", "b"]
+    kept = json.loads(got[0].environment)
+    assert kept["SLURM_JOB_ID"] == "17" and kept["OMP_NUM_THREADS"] == "2" and "SLURM_NTASKS" not in kept
+    assert json.loads(got[0].argv) and got[0].cwd
+
+
 @pytest.mark.skipif(backend.Chem is not None, reason="toolkit present")
 def test_toolkit_is_required(spark):
     with pytest.raises(backend.BackendUnavailable):
