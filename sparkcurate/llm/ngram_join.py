@@ -51,7 +51,8 @@ from .common import components, table, written
 from .textvec import mix, shingles, text_blocks, words
 
 _U = np.uint64
-FLUSH_POSTINGS = 1 << 20  # postings a task combines before it sends them
+FLUSH_POSTINGS = 1 << 18  # postings a task combines before it sends them
+BLOCK_BYTES = 1 << 18  # texts hashed together
 GROUP_SHINGLES = 1_000_000  # shingles of a block; a search holds two
 GROUP_SETS = 2000  # sets of a block
 BUCKET_DOCS = 250  # documents per bucket of postings
@@ -66,7 +67,7 @@ PIVOT_FROM = 64  # groups of so many sets first compare all with a few pivots
 def _sets(batch: pa.RecordBatch, k: int) -> Iterator[tuple[object, np.ndarray]]:
     """(doc_id, shingle set) of each row of a batch with columns doc_id, text."""
     ids = batch.column(0)
-    for row, raw, bounds in text_blocks(batch.column(1)):
+    for row, raw, bounds in text_blocks(batch.column(1), BLOCK_BYTES):
         _, _, hashes, first = words(raw, bounds)
         for r, s in enumerate(shingles(hashes, first, k)):
             yield ids[row + r].as_py(), s
