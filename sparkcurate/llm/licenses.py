@@ -3,7 +3,8 @@
 A text becomes its words (lower case, letters and digits), joined by single blanks, so
 signatures hold across punctuation and line ends; positions are word numbers. A rule has a
 regular expression over that form, a keyword that every match contains, a label, a priority and a
-confidence. Rules are built from license names (``NAMES``) and statement forms (``FORMS``).
+confidence. Rules are built from license names (``NAMES``) and statement forms (``FORMS``); short names with
+versions and sentences of the license texts themselves are rules of their own (``SHORT``, ``BODIES``).
 
 1. Prefilter: only texts with one of the few general keywords are turned into words and looked
    at, and of the rules only those whose own keyword occurs.
@@ -36,7 +37,8 @@ GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 # Label, keyword that every form of the name contains, name as a regular expression over blank-joined words,
 # and the identifier as words.
-_V = r"(?: version| v)?"
+# What may stand before a version number: "version 2", "v 2", "v2" or the number alone.
+_V = r"(?: version| v)? v?"
 NAMES = [
     ("mit", "mit", r"(?:the )?mit(?: x11)?(?: open source)? license", "mit"),
     ("mit-0", "mit", r"mit no attribution(?: license)?", "mit 0"),
@@ -47,34 +49,34 @@ NAMES = [
     ("bsd-3-clause", "bsd", r"(?:new bsd|modified bsd|revised bsd|bsd 3 clause|3 clause bsd|three clause bsd) license", "bsd 3 clause"),
     ("bsd-4-clause", "bsd", r"(?:original bsd|bsd 4 clause|4 clause bsd) license", "bsd 4 clause"),
     ("bsd", "bsd", r"bsd(?: style)? license", "bsd"),
-    ("apache-1.1", "apache", rf"apache(?: software)? license{_V} 1 1", "apache 1 1"),
-    ("apache-2.0", "apache", rf"apache(?: software)? license{_V} 2(?: 0)?", "apache 2 0"),
+    ("apache-1.1", "apache", rf"apache(?: software)? license{_V}1 1", "apache 1 1"),
+    ("apache-2.0", "apache", rf"apache(?: software)? license{_V}2(?: 0)?", "apache 2 0"),
     ("apache", "apache", r"apache(?: software)? license", "apache"),
-    ("gpl-1.0", "general public", rf"(?:gnu )?general public license{_V} 1(?: 0)?", "gpl 1 0"),
-    ("gpl-2.0", "general public", rf"(?:gnu )?general public license{_V} 2(?: 0)?", "gpl 2 0"),
-    ("gpl-3.0", "general public", rf"(?:gnu )?general public license{_V} 3(?: 0)?", "gpl 3 0"),
+    ("gpl-1.0", "general public", rf"(?:gnu )?general public license{_V}1(?: 0)?", "gpl 1 0"),
+    ("gpl-2.0", "general public", rf"(?:gnu )?general public license{_V}2(?: 0)?", "gpl 2 0"),
+    ("gpl-3.0", "general public", rf"(?:gnu )?general public license{_V}3(?: 0)?", "gpl 3 0"),
     ("gpl", "general public", r"(?:gnu )?general public license", "gpl"),
-    ("lgpl-2.1", "general public", rf"(?:gnu )?(?:lesser|library) general public license{_V} 2(?: 1)?", "lgpl 2 1"),
-    ("lgpl-3.0", "general public", rf"(?:gnu )?lesser general public license{_V} 3(?: 0)?", "lgpl 3 0"),
+    ("lgpl-2.1", "general public", rf"(?:gnu )?(?:lesser|library) general public license{_V}2(?: 1)?", "lgpl 2 1"),
+    ("lgpl-3.0", "general public", rf"(?:gnu )?lesser general public license{_V}3(?: 0)?", "lgpl 3 0"),
     ("lgpl", "general public", r"(?:gnu )?(?:lesser|library) general public license", "lgpl"),
-    ("agpl-3.0", "general public", rf"(?:gnu )?affero general public license(?:{_V} 3(?: 0)?)?", "agpl 3 0"),
-    ("gfdl-1.3", "documentation", rf"(?:gnu )?free documentation license(?:{_V} 1 3)?", "gfdl 1 3"),
-    ("mpl-1.1", "mozilla", rf"mozilla public license{_V} 1 1", "mpl 1 1"),
-    ("mpl-2.0", "mozilla", rf"mozilla public license(?:{_V} 2(?: 0)?)?", "mpl 2 0"),
-    ("epl-1.0", "eclipse", rf"eclipse public license{_V} 1(?: 0)?", "epl 1 0"),
-    ("epl-2.0", "eclipse", rf"eclipse public license(?:{_V} 2(?: 0)?)?", "epl 2 0"),
-    ("eupl-1.2", "european", rf"european union public license(?:{_V} 1 2)?", "eupl 1 2"),
-    ("cddl-1.0", "common development", rf"common development and distribution license(?:{_V} 1 0)?", "cddl 1 0"),
+    ("agpl-3.0", "general public", rf"(?:gnu )?affero general public license(?:{_V}3(?: 0)?)?", "agpl 3 0"),
+    ("gfdl-1.3", "documentation", rf"(?:gnu )?free documentation license(?:{_V}1 3)?", "gfdl 1 3"),
+    ("mpl-1.1", "mozilla", rf"mozilla public license{_V}1 1", "mpl 1 1"),
+    ("mpl-2.0", "mozilla", rf"mozilla public license(?:{_V}2(?: 0)?)?", "mpl 2 0"),
+    ("epl-1.0", "eclipse", rf"eclipse public license{_V}1(?: 0)?", "epl 1 0"),
+    ("epl-2.0", "eclipse", rf"eclipse public license(?:{_V}2(?: 0)?)?", "epl 2 0"),
+    ("eupl-1.2", "european", rf"european union public license(?:{_V}1 2)?", "eupl 1 2"),
+    ("cddl-1.0", "common development", rf"common development and distribution license(?:{_V}1 0)?", "cddl 1 0"),
     ("ms-pl", "microsoft", r"microsoft public license", "ms pl"),
     ("ms-rl", "microsoft", r"microsoft reciprocal license", "ms rl"),
-    ("bsl-1.0", "boost", rf"boost software license(?:{_V} 1 0)?", "bsl 1 0"),
+    ("bsl-1.0", "boost", rf"boost software license(?:{_V}1 0)?", "bsl 1 0"),
     ("zlib", "zlib", r"zlib(?: libpng)? license", "zlib"),
-    ("artistic-1.0", "artistic", rf"artistic license{_V} 1(?: 0)?", "artistic 1 0"),
-    ("artistic-2.0", "artistic", rf"artistic license(?:{_V} 2(?: 0)?)?", "artistic 2 0"),
-    ("osl-3.0", "open software", rf"open software license(?:{_V} 3 0)?", "osl 3 0"),
-    ("afl-3.0", "academic free", rf"academic free license(?:{_V} 3 0)?", "afl 3 0"),
-    ("ofl-1.1", "font", rf"(?:sil )?open font license(?:{_V} 1 1)?", "ofl 1 1"),
-    ("odbl-1.0", "database", rf"open (?:data commons open )?database license(?:{_V} 1 0)?", "odbl 1 0"),
+    ("artistic-1.0", "artistic", rf"artistic license{_V}1(?: 0)?", "artistic 1 0"),
+    ("artistic-2.0", "artistic", rf"artistic license(?:{_V}2(?: 0)?)?", "artistic 2 0"),
+    ("osl-3.0", "open software", rf"open software license(?:{_V}3 0)?", "osl 3 0"),
+    ("afl-3.0", "academic free", rf"academic free license(?:{_V}3 0)?", "afl 3 0"),
+    ("ofl-1.1", "font", rf"(?:sil )?open font license(?:{_V}1 1)?", "ofl 1 1"),
+    ("odbl-1.0", "database", rf"open (?:data commons open )?database license(?:{_V}1 0)?", "odbl 1 0"),
     ("pddl-1.0", "public domain dedication", r"public domain dedication and license", "pddl 1 0"),
     ("cc0-1.0", "cc0", r"(?:creative commons )?cc0(?: 1 0)?(?: universal)?", "cc0 1 0"),
     ("cc-by", "commons attribution", r"creative commons attribution(?: (?:2|3|4) \d)?(?: international)?(?: license)?", "cc by 4 0"),
@@ -85,7 +87,7 @@ NAMES = [
     ("wtfpl", "wtfpl", r"wtfpl", "wtfpl"),
     ("postgresql", "postgresql", r"postgresql license", "postgresql"),
     ("python-2.0", "python", r"python(?: software foundation)? license(?: 2 0)?", "python 2 0"),
-    ("php-3.01", "php", rf"php license(?:{_V} 3 01)?", "php 3 01"),
+    ("php-3.01", "php", rf"php license(?:{_V}3 01)?", "php 3 01"),
     ("ruby", "ruby", r"ruby license", "ruby"),
     ("ncsa", "ncsa", r"(?:university of illinois )?ncsa open source license", "ncsa"),
     ("openssl", "openssl", r"openssl license", "openssl"),
@@ -103,7 +105,38 @@ FORMS = [
 ]
 # A text without any of these, as written or in capitals, has no license statement. Each is part of one word, so
 # punctuation and line ends between words do not hide it, and every rule has one outside its optional parts.
-GENERAL = ("licen", "cc0", "commons", "attribution", "wtfpl", "copyright", "domain")
+GENERAL = ("licen", "cc0", "commons", "attribution", "wtfpl", "copyright", "domain", "gpl", "hereby", "redistribut", "endorse", "liable")
+# Short names: label and expression; the keyword is "gpl".
+SHORT = [
+    ("agpl-3.0", r"(?:gnu )?agpl ?(?:version )?v? ?3(?: 0)?"),
+    ("lgpl-2.1", r"(?:gnu )?lgpl ?(?:version )?v? ?2 1"),
+    ("lgpl-3.0", r"(?:gnu )?lgpl ?(?:version )?v? ?3(?: 0)?"),
+    ("gpl-1.0", r"(?:gnu )?gpl ?(?:version )?v? ?1(?: 0)?"),
+    ("gpl-2.0", r"(?:gnu )?gpl ?(?:version )?v? ?2(?: 0)?"),
+    ("gpl-3.0", r"(?:gnu )?gpl ?(?:version )?v? ?3(?: 0)?"),
+]
+# Sentences of the license texts and of their usual headers: label, keyword, expression.
+BODIES = [
+    ("mit", "hereby granted", r"permission is hereby granted free of charge to any person obtaining a copy of this software(?: and associated documentation files)?"),
+    ("bsl-1.0", "hereby granted", r"permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation"),
+    ("isc", "hereby granted", r"permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted"),
+    ("bsd", "redistribution and use", r"redistribution and use in source and binary forms with or without modification are permitted"),
+    ("bsd-3-clause", "endorse or promote", r"neither the names? of (?:\S+ ){1,24}may be used to endorse or promote products derived from this software"),
+    ("bsd-4-clause", "endorse or promote", r"all advertising materials mentioning features or use of this software must display the following acknowledge?ment(?: \S+){1,60} endorse or promote"),
+    ("apache-2.0", "applicable law", r"unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis"),
+    ("gpl-2.0", "free software foundation", r"you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation (?:either )?version 2"),
+    ("gpl-3.0", "free software foundation", r"you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation (?:either )?version 3"),
+    ("lgpl-2.1", "free software foundation", r"you can redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public license as published by the free software foundation (?:either )?version 2(?: 1)?"),
+    ("lgpl-3.0", "free software foundation", r"you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation (?:either )?version 3"),
+    ("agpl-3.0", "free software foundation", r"you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation (?:either )?version 3"),
+    ("gpl", "everyone is permitted", r"everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed"),
+    ("mpl-2.0", "source code form", r"this source code form is subject to the terms of the mozilla public license v(?:ersion)? ?2 0"),
+    ("zlib", "held liable", r"in no event will the authors be held liable for any damages arising from the use of this software"),
+    ("unlicense", "unencumbered", r"this is free and unencumbered software released into the public domain"),
+    ("wtfpl", "what the", r"do what the fuck you want to public license"),
+    ("cc0-1.0", "dedicated the work", r"has dedicated the work to the public domain by waiving all of (?:his or her|their) rights"),
+    ("ofl-1.1", "font software", r"this font software is licensed under the sil open font license"),
+]
 # Signatures of their own: priority, confidence, label, keyword, expression.
 OTHERS = [
     (3, 0.7, "copyright-notice", "copyright", r"copyright(?: c)? (?:19|20)\d\d"),
@@ -119,7 +152,9 @@ def rules() -> list[dict]:
          "pattern": "(?<= )" + form.format(n=f"(?:{name})", i=ident) + "(?= )"}
         for p, c, form in FORMS for label, label_key, name, ident in NAMES
     ]
-    made += [{"priority": p, "confidence": c, "label": label, "keyword": k, "pattern": f"(?<= ){x}(?= )"} for p, c, label, k, x in OTHERS]
+    more = [(3, 0.85, label, "gpl", rf"{x}(?: (?:only|or later|or any later version))?") for label, x in SHORT]
+    more += [(6, 0.99, label, k, x) for label, k, x in BODIES]
+    made += [{"priority": p, "confidence": c, "label": label, "keyword": k, "pattern": f"(?<= ){x}(?= )"} for p, c, label, k, x in [*OTHERS, *more]]
     made.sort(key=lambda r: -r["priority"])
     return [r | {"number": i} for i, r in enumerate(made)]
 

@@ -101,3 +101,35 @@ def test_every_rule_has_a_general_keyword_in_one_word():
         needed = re.sub(r"\(\?:[^()]*\|[^()]*\)", "", needed)  # no keyword out of alternatives
         assert any(g in needed for g in L.GENERAL), r
     assert not any(" " in g for g in L.GENERAL)
+
+
+# Written by hand: what stands in files, and the labels that must be found.
+RECALL = [
+    ("Apache License v2.0", "apache-2.0"), ("Apache License V2", "apache-2.0"), ("Apache Software License, Version 1.1", "apache-1.1"),
+    ("GNU General Public License v3.0", "gpl-3.0"), ("GNU General Public License, v 2", "gpl-2.0"), ("licensed under GPLv3", "gpl-3.0"),
+    ("License: GPL-2.0-or-later", "gpl-2.0"), ("GPL v2 or later", "gpl-2.0"), ("LGPLv2.1", "lgpl-2.1"), ("distributed under the GNU LGPL version 3", "lgpl-3.0"),
+    ("AGPL-3.0", "agpl-3.0"), ("GNU AGPLv3", "agpl-3.0"), ("Mozilla Public License v2.0", "mpl-2.0"), ("Eclipse Public License v1.0", "epl-1.0"),
+    ("Permission is hereby granted, free of charge, to any person obtaining a copy\n of this software and associated documentation files (the \"Software\")", "mit"),
+    ("Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted", "isc"),
+    ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that", "bsd"),
+    ("* Neither the name of the copyright holder nor the names of its\n contributors may be used to endorse or promote products derived from\n this software", "bsd-3-clause"),
+    ("Unless required by applicable law or agreed to in writing, software\ndistributed under the License is distributed on an \"AS IS\" BASIS,", "apache-2.0"),
+    ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by\n"
+     "# the Free Software Foundation, either version 3 of the License, or", "gpl-3.0"),
+    ("you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1", "lgpl-2.1"),
+    ("Everyone is permitted to copy and distribute verbatim copies\n of this license document, but changing it is not allowed.", "gpl"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "mpl-2.0"),
+    ("In no event will the authors be held liable for any damages\narising from the use of this software.", "zlib"),
+    ("This is free and unencumbered software released into the public domain.", "unlicense"),
+    ("Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by", "bsl-1.0"),
+]
+CLEAN = ["He was held for a while and granted nothing.", "permission was granted to the person", "version 2.0 of the program", "a general public, licensed drivers", "redistribute the wealth",
+         "The authors endorse no product.", "gplus 3", "x GPL"]
+
+
+def test_recall_of_written_statements(spark):
+    rows = [(i, t) for i, (t, _) in enumerate(RECALL)] + [(1000 + i, "before. " + t + " after") for i, (t, _) in enumerate(RECALL)] + [(-1 - i, t) for i, t in enumerate(CLEAN)]
+    got = {r.doc_id: {d.label for d in r.found} for r in L.scan(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    for i, (_, label) in enumerate(RECALL):
+        assert label in got[i] and label in got[1000 + i], RECALL[i]
+    assert not any(got[-1 - i] for i in range(len(CLEAN)))
