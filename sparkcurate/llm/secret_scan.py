@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.columns import let
-from ..session import lookup_join
+from ..session import checkpointed, lookup_join
 from .common import table
 
 _SPANS = "array<struct<start:int,rank:int,end:int,kind:string>>"
@@ -161,7 +161,7 @@ def find(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
     docs = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     if asked:
         grams = sorted({g for q in asked.values() for a in q for g in a})
-        hits = candidates(postings(docs, grams), asked)
+        hits = checkpointed(candidates(postings(docs, grams), asked))  # read twice: counted, then joined
         docs = lookup_join(docs, hits, "doc_id", "left")
         everything = F.array(*[F.lit(i) for i in asked])
         docs = docs.withColumn("rules", F.when(F.col("doc_id").isNull(), everything).otherwise(F.coalesce("rules", F.array().cast("array<int>"))))
