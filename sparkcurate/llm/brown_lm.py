@@ -2,31 +2,34 @@
 
 P(w | before) = P(class(w) | class(before)) * P(w | class(w)), both with additive smoothing.
 
-* Symbols. The ``CLUSTERED`` most frequent training words are symbols of their own; all other words
-  form groups by their ending. Exchange clustering moves each symbol to the class that raises
-  the likelihood of the class bigrams most, until few move. A word has the class of its symbol,
-  so every word, seen or not, has one. The end of a text is a word and a class of its own, and the
-  context of the first word.
-* Counts cover all training texts: the matrix of symbol bigrams has a fixed size and is summed over
-  tasks; the counts of the ``FREQUENT`` most frequent words are a fixed array. All other words
-  meet their counts in a shuffle by word, packed into arrays, and the sums per document come
-  back in a second one. A word common to a third of all texts is a frequent word, so no bucket
-  grows with it.
+* Classes. Their number is the fourth root of the training tokens. Exchange clustering starts with
+  the ``CLUSTERED`` most frequent training words and the groups of word endings as symbols: each symbol moves to the class
+  that raises the likelihood of the class bigrams most, until few move. Then every other training word makes its
+  own exchange on Spark: the classes that stand before and after it, counted over all training
+  texts, choose its class against the table of class bigrams; it stays in the class of its ending unless another raises
+  the likelihood by more than ``STAY``. Only words that no training text has keep the class of their ending. The
+  end of a text is a word and a class of its own, and the context of the first word.
+* Counts cover all training texts: the ``FREQUENT`` most frequent words are a fixed array; all
+  other words meet their contexts and counts in a shuffle by word, packed into arrays. Classes and counts go back to
+  the texts in a second one, where each text becomes its sequence of classes. These are stored once:
+  the class bigrams are counted over them, and then they are scored. A word common to a third of all
+  texts is a frequent word, so no bucket grows with it; copies of a row are sent once by each flush of a task.
 * The candidates for frequent words are found exactly: a word with at least a share ``HEAVY`` of
   all tokens has that share in at least one part of the corpus.
 
 Words are handled as 64-bit hashes; two words with one hash would count as one.
 
 Edge cases: null, empty and white-space texts are one end token. A null doc_id is hashed as empty
-text for the fold. Repeated rows are scored each and count each in training. Other columns are ignored.
+text for the fold. Repeated rows are scored each and count each in training. Ties between classes go to the
+smaller number. A very long text costs memory of some 20 bytes a word in the task that holds it. Other columns are ignored.
 An empty table gives an empty result; without training texts all counts are zero and N and V are 0.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -39,35 +42,47 @@ from .textvec import mix, text_blocks, words
 
 _U = np.uint64
 FOLDS = 10
-CLUSTERED, ENDINGS, CLASSES = 1024, 128, 32
+CLUSTERED, ENDINGS = 1024, 128
+STAY = 2.0  # nats
 FREQUENT = 16_384
 HEAVY = 4e-6
 ADD, ADD_CLASS = 0.1, 0.5
 SWEEPS = 12
 PART_TOKENS = 1 << 20  # tokens counted together when candidates are sought
-FLUSH = 1 << 20  # postings packed together
+FLUSH = 3 << 18  # postings or words packed together
+TOGETHER = 256  # words whose contexts are summed together
 BUCKETS, BUCKET_DOCS = 1024, 500
 STATS_TARGETS = 64
 
 
 @dataclass
 class Model:
-    """What every task needs: fixed sizes, whatever the corpus."""
+    """What every task needs: at most ``FREQUENT`` words, and tables of the classes."""
 
     frequent: np.ndarray  # sorted hashes
-    symbol: np.ndarray  # symbol of each frequent word, or -1 where its ending decides
     count: np.ndarray  # training count of each frequent word
-    class_of: np.ndarray  # class per symbol
-    log_next: np.ndarray  # log10 P(class | class before)
-    class_words: np.ndarray  # distinct training words per class
-    class_tokens: np.ndarray
+    class_of: np.ndarray  # class of each frequent word
+    by_ending: np.ndarray  # class of each group of endings
+    affinity: np.ndarray  # log of observed against expected bigrams: class before, then class after, by own class
     tokens: int
-    types: int
+    log_next: np.ndarray | None = None  # log10 P(class | class before)
+    class_words: np.ndarray | None = None  # distinct training words per class
+    class_tokens: np.ndarray | None = None
+    types: int = 0
+
+    @property
+    def classes(self) -> int:
+        return self.affinity.shape[1]
 
     def log_room(self) -> np.ndarray:
         return np.log10(self.class_tokens + ADD * (self.class_words + 1))
 
 
+def class_number(tokens: int) -> int:
+    """Number of classes, with the one of the end."""
+    return max(4, math.ceil(tokens**0.25))
+
+
 def _ending(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Group of a word by its last two bytes, in lower case, and whether it is long."""
     last = raw[ends - 1].astype(np.uint64)
@@ -181,7 +196,7 @@ def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1))
 
 
-def exchange_clusters(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) -> np.ndarray:
+def exchange_clusters(pairs: np.ndarray, classes: int, sweeps: int = SWEEPS) -> np.ndarray:
     """Class of each symbol; the last symbol (the end) keeps the last class alone.
 
     In a sweep each symbol, the most frequent first, leaves its class and joins the one with the
@@ -234,157 +249,352 @@ def exchange_clusters(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = S
     return class_of
 
 
+def affinities(moves: np.ndarray) -> np.ndarray:
+    """What a neighbour adds to the likelihood of a class: one row per class before, then one per class after."""
+    seen = moves + ADD_CLASS
+    pull = np.log(seen) - np.log(seen.sum(1, keepdims=True)) - np.log(seen.sum(0, keepdims=True)) + np.log(seen.sum())
+    return np.concatenate([pull, pull.T])
+
+
+def choose(code: np.ndarray, n: np.ndarray, start: np.ndarray, affinity: np.ndarray) -> np.ndarray:
+    """Class of each word after its exchange.
+
+    ``code``, sorted: word * 2 * classes + row of ``affinity``, with ``n`` occurrences; ``start``: class of each word before.
+    """
+    k = affinity.shape[1]
+    word, side = code // (2 * k), code % (2 * k)
+    out = start.copy()
+    for first in range(0, len(start), TOGETHER):
+        i, j = np.searchsorted(word, [first, first + TOGETHER])
+        if i == j:
+            continue
+        new = np.flatnonzero(np.r_[True, word[i + 1 : j] != word[i : j - 1]])
+        gain = np.add.reduceat(affinity[side[i:j]] * n[i:j, None], new, axis=0)
+        gain[:, k - 1] = -np.inf
+        who, best, at = word[i:j][new], gain.argmax(1), np.arange(len(new))
+        moves = gain[at, best] > gain[at, start[who]] + STAY
+        out[who[moves]] = best[moves]
+    return out
+
+
+def _places(hashes: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """Place of each word among the frequent words, or -1."""
+    if not len(frequent):
+        return np.full(len(hashes), -1)
+    at = np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)
+    return np.where(frequent[at] == hashes, at, -1)
+
+
+def _neighbours(model: Model, place: np.ndarray, ending: np.ndarray, doc: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Classes before and after each word, as of before the exchange on Spark for words that are not frequent."""
+    known = place >= 0
+    cls = model.by_ending[ending]
+    cls[known] = model.class_of[place[known]]
+    flow = np.full(len(cls) + rows + 1, model.classes - 1)
+    at = np.arange(len(cls)) + doc + 1
+    flow[at] = cls
+    return flow[at - 1], flow[at + 1]
+
+
+def frequent_exchange(train: DataFrame, model: Model, settled: np.ndarray) -> np.ndarray:
+    """Classes of the frequent words after their exchange; ``settled`` ones stay where they are."""
+    shared = train.sparkSession.sparkContext.broadcast(model)
+    k2 = 2 * model.classes
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m, held, size = shared.value, [], 0
+
+        def pack() -> pa.RecordBatch:
+            code, n = np.unique(np.concatenate(held), return_counts=True)
+            part = code // (TOGETHER * k2)
+            cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+            spans = list(zip(cuts, np.r_[cuts[1:], len(code)], strict=True))
+            return pa.RecordBatch.from_arrays([
+                pa.array(part[cuts]), pa.array([code[a:b].tobytes() for a, b in spans], pa.binary()),
+                pa.array([n[a:b].tobytes() for a, b in spans], pa.binary())], names=["part", "code", "n"])
+
+        for batch in batches:
+            for _, rows, hashes, first, ending in _blocks(batch):
+                place, doc = _places(hashes, m.frequent), np.repeat(np.arange(rows), np.diff(first))
+                before, after = _neighbours(m, place, ending, doc, rows)
+                hit = place >= 0
+                if hit.any():
+                    held.append(np.concatenate([place[hit] * k2 + before[hit], place[hit] * k2 + m.classes + after[hit]]))
+                    size += len(held[-1])
+            if size >= FLUSH:
+                yield pack()
+                held, size = [], 0
+        if size:
+            yield pack()
+
+    def add(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        m, total = shared.value, {}
+        for frame in frames:
+            for part, code, n in zip(frame.part, frame.code, frame.n, strict=True):
+                sums = total.setdefault(part, np.zeros(TOGETHER * k2, np.int64))
+                sums[np.frombuffer(code, np.int64) - part * TOGETHER * k2] += np.frombuffer(n, np.int64)
+        for part, sums in total.items():
+            code = np.flatnonzero(sums)
+            start = m.class_of[part * TOGETHER : (part + 1) * TOGETHER]
+            yield pd.DataFrame({"place": part * TOGETHER + np.arange(len(start)), "cls": choose(code, sums[code], start, m.affinity)})
+
+    moved = train.mapInArrow(run, "part bigint, code binary, n binary").repartition("part").mapInPandas(add, "place bigint, cls bigint").toPandas()
+    out = model.class_of.copy()  # at most FREQUENT rows
+    out[moved.place.to_numpy(np.int64)] = moved.cls.to_numpy(np.int64)
+    return np.where(settled, model.class_of, out)
+
+
 def _row_key(doc_id: Column, text: Column) -> Column:
     return F.xxhash64(doc_id, text)
 
 
+def _rare(hashes: np.ndarray, doc: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words that are not frequent, by text and hash: (their places in the block, first of each run, number of the run in its text)."""
+    rare = np.flatnonzero(place < 0)
+    at = rare[np.lexsort((hashes[rare], doc[rare]))]
+    if not len(at):
+        return at, at, at
+    w, d = hashes[at], doc[at]
+    new = np.flatnonzero(np.r_[True, (w[1:] != w[:-1]) | (d[1:] != d[:-1])])
+    return at, new, np.arange(len(new)) - np.searchsorted(d[new], d[new])
+
+
+def _spans(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Indices of all spans, one after the other."""
+    return np.arange(length.sum()) + np.repeat(start - np.r_[0, np.cumsum(length)[:-1]], length)
+
+
 def _rare_postings(docs: DataFrame, model: Model, buckets: int) -> DataFrame:
-    """Packed postings of the words that are not frequent: columns bucket, data."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.frequent, model.symbol, model.class_of))
+    """Packed postings of the words that are not frequent: per word and text the occurrences with their neighbours' classes."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def pack(held: list[tuple]) -> pa.RecordBatch:
-        word, key, tf, cls = (np.concatenate(c) for c in zip(*held, strict=True))
+    def pack(held: list[tuple], near: list[np.ndarray]) -> pa.RecordBatch:
+        word, key, number, tf, end = (np.concatenate(c) for c in zip(*held, strict=True))
+        around = np.concatenate(near)
         bucket = (mix(word) % _U(buckets)).astype(np.int64)
         order = np.lexsort((word, bucket))
-        word, key, tf, cls, bucket = word[order], key[order], tf[order], cls[order], bucket[order]
+        size = np.abs(tf)
+        start = (np.cumsum(size) - size)[order]
+        word, key, number, tf, end, bucket, size = word[order], key[order], number[order], tf[order], end[order], bucket[order], size[order]
         cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
         out = []
         for a, b in zip(cuts, np.r_[cuts[1:], len(bucket)], strict=True):
             w = word[a:b]
             new = np.flatnonzero(np.r_[True, w[1:] != w[:-1]])
             reps = np.diff(np.r_[new, len(w)]).astype(np.int32)
-            out.append((int(bucket[a]), len(new), w[new].tobytes() + cls[a:b][new].tobytes() + reps.tobytes() + key[a:b].tobytes() + tf[a:b].tobytes()))
+            parts = [w[new], key[a:b], end[a:b][new], reps, number[a:b], tf[a:b], around[_spans(start[a:b], size[a:b])]]
+            out.append((int(bucket[a]), len(new), b - a, b"".join(x.tobytes() for x in parts)))
         cols = list(zip(*out, strict=True))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.binary())], names=["bucket", "types", "data"])
+        return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.binary())], names=["bucket", "types", "n", "data"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, symbol, class_of = shared.value
-        held, size = [], 0
+        m, held, near, size = shared.value, [], [], 0
         for batch in batches:
             keys = batch.column(1).to_numpy(zero_copy_only=False)
             train = batch.column(2).to_numpy(zero_copy_only=False)
             for row, rows, hashes, first, ending in _blocks(batch):
-                sym, place = _symbols(hashes, ending, frequent, symbol)
-                rare = np.flatnonzero(place < 0)
-                doc = np.repeat(np.arange(rows), np.diff(first))[rare]
-                word, cls = hashes[rare], class_of[sym[rare]].astype(np.int16)
-                order = np.lexsort((word, doc))
-                word, doc, cls = word[order], doc[order], cls[order]
-                new = np.flatnonzero(np.r_[True, (word[1:] != word[:-1]) | (doc[1:] != doc[:-1])]) if len(word) else np.zeros(0, np.int64)
-                tf = np.diff(np.r_[new, len(word)])
-                doc = doc[new] + row
+                place, doc = _places(hashes, m.frequent), np.repeat(np.arange(rows), np.diff(first))
+                before, after = _neighbours(m, place, ending, doc, rows)
+                at, new, number = _rare(hashes, doc, place)
+                if not len(at):
+                    continue
+                tf = np.diff(np.r_[new, len(at)])
+                of = doc[at[new]] + row
                 # The sign tells training texts (positive) from the others.
-                held.append((word[new], keys[doc], np.where(train[doc], tf, -tf).astype(np.int32), cls[new]))
+                held.append((hashes[at[new]], keys[of], number.astype(np.int32), np.where(train[of], tf, -tf).astype(np.int32), ending[at[new]].astype(np.int32)))
+                near.append(np.stack([before[at], after[at]], axis=1).astype(np.int16))
                 size += len(new)
                 if size >= FLUSH:
-                    yield pack(held)
-                    held, size = [], 0
+                    yield pack(held, near)
+                    held, near, size = [], [], 0
         if size:
-            yield pack(held)
+            yield pack(held, near)
 
-    return docs.select("text", "key", "train").mapInArrow(run, "bucket bigint, types bigint, data binary")
+    return docs.select("text", "key", "train").mapInArrow(run, "bucket bigint, types bigint, n bigint, data binary")
 
 
-def _unpack(types: int, data: bytes) -> tuple[np.ndarray, ...]:
-    at = types * 8
+def _unpack(types: int, n: int, data: bytes) -> tuple[np.ndarray, ...]:
+    """(hash, key, ending, number in the text, occurrences) of each posting, and the classes around each occurrence."""
     word = np.frombuffer(data, _U, types)
-    cls = np.frombuffer(data, np.int16, types, at)
-    reps = np.frombuffer(data, np.int32, types, at + types * 2)
-    at += types * 6
-    n = int(reps.sum())
-    key = np.frombuffer(data, np.int64, n, at)
-    return np.repeat(word, reps), np.repeat(cls, reps), key, np.frombuffer(data, np.int32, n, at + n * 8)
+    key = np.frombuffer(data, np.int64, n, types * 8)
+    at = (types + n) * 8
+    end, reps = np.frombuffer(data, np.int32, types, at), np.frombuffer(data, np.int32, types, at + types * 4)
+    at += types * 8
+    number, tf = np.frombuffer(data, np.int32, n, at), np.frombuffer(data, np.int32, n, at + n * 4)
+    return np.repeat(word, reps), key, np.repeat(end, reps), number, tf, np.frombuffer(data, np.int16, -1, at + n * 8).reshape(-1, 2)
 
 
-_SUMS = "target bigint, data binary"
+_TO_TEXT = "target bigint, n bigint, flow boolean, data binary"
 
 
-def _count_bucket(pdf: pd.DataFrame, buckets: int) -> pd.DataFrame:
-    """Counts of one bucket of words; per document key the sums its rare words add.
+def _settle_bucket(pdf: pd.DataFrame, model: Model, buckets: int) -> pd.DataFrame:
+    """Counts and classes of one bucket of words, sent to the texts that have them.
 
-    Negative targets take the words and tokens per class.
+    Negative targets take the number of training words per class.
     """
-    word, cls, key, tf = (np.concatenate(c) for c in zip(*[_unpack(t, d) for t, d in zip(pdf.types, pdf.data, strict=True)], strict=True))
+    word, key, end, number, tf, around = (
+        np.concatenate(c) for c in zip(*[_unpack(t, n, d) for t, n, d in zip(pdf.types, pdf.n, pdf.data, strict=True)], strict=True))
     types, first, back = np.unique(word, return_index=True, return_inverse=True)
-    count = np.bincount(back, np.maximum(tf, 0), len(types))
-    seen = count > 0
-    by_class = np.zeros((CLASSES, 2))
-    np.add.at(by_class, cls[first[seen]], np.stack([np.ones(seen.sum()), count[seen]], axis=1))
-    n = np.abs(tf).astype(np.float64)
-    keys, back_key = np.unique(key, return_inverse=True)
-    sums = np.stack([
-        np.bincount(back_key, n * np.log10(count[back] + ADD), len(keys)), np.bincount(back_key, n * seen[back], len(keys)),
-        np.bincount(back_key, n, len(keys))], axis=1)
-    target = (mix(keys.view(_U)) % _U(buckets)).astype(np.int64)
-    order = np.argsort(target, kind="stable")
-    keys, sums, target = keys[order], sums[order], target[order]
+    count = np.bincount(back, np.maximum(tf, 0), len(types)).astype(np.int64)
+    size = np.abs(tf)
+    use = np.repeat(tf > 0, size)
+    owner, around = np.repeat(back, size)[use] * (2 * model.classes), around[use].astype(np.int64)
+    code, n = np.unique(np.concatenate([owner + around[:, 0], owner + model.classes + around[:, 1]]), return_counts=True)
+    cls = choose(code, n, model.by_ending[end[first]], model.affinity)
+    by_class = np.bincount(cls[count > 0], minlength=model.classes).astype(np.int64)
+    out = [(-1 - int(pdf.bucket.iloc[0]) % STATS_TARGETS, 0, False, by_class.tobytes())]
+    target = (mix(key.view(_U)) % _U(buckets)).astype(np.int64)
+    order = np.lexsort((number, key, target))
+    order = order[np.r_[True, (np.diff(key[order]) != 0) | (np.diff(number[order]) != 0)]]  # rows that occur twice
+    key, number, target, of = key[order], number[order], target[order], back[order]
     cuts = np.flatnonzero(np.r_[True, target[1:] != target[:-1]])
-    out = [(-1 - int(pdf.bucket.iloc[0]) % STATS_TARGETS, by_class.tobytes())]
     for a, b in zip(cuts, np.r_[cuts[1:], len(target)], strict=True):
-        small = sums[a:b, 1:].astype(np.int32)
-        out.append((int(target[a]), keys[a:b].tobytes() + sums[a:b, 0].tobytes() + small.tobytes()))
-    return pd.DataFrame(out, columns=["target", "data"])
+        parts = [key[a:b], count[of[a:b]], number[a:b], cls[of[a:b]].astype(np.int16)]
+        out.append((int(target[a]), b - a, False, b"".join(x.tobytes() for x in parts)))
+    return pd.DataFrame(out, columns=["target", "n", "flow", "data"])
 
 
-_PARTS = "key bigint, s double, known bigint, n bigint, cls int"
+def _flows(docs: DataFrame, model: Model, buckets: int) -> DataFrame:
+    """Texts as packed sequences: place of a frequent word, or -1 - number of another word in its text."""
+    shared = docs.sparkSession.sparkContext.broadcast(model.frequent)
 
-
-def _sum_keys(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Per document key the sums over all buckets; for negative targets words and tokens per class."""
-    if pdf.target.iloc[0] < 0:
-        total = np.sum([np.frombuffer(d, np.float64).reshape(CLASSES, 2) for d in pdf.data], axis=0)
-        return pd.DataFrame({"key": 0, "s": 0.0, "known": total[:, 0].astype(np.int64), "n": total[:, 1].astype(np.int64), "cls": np.arange(CLASSES, dtype=np.int32)})
-    keys, s, small = [], [], []
-    for d in pdf.data:
-        n = len(d) // 24
-        keys.append(np.frombuffer(d, np.int64, n))
-        s.append(np.frombuffer(d, np.float64, n, n * 8))
-        small.append(np.frombuffer(d, np.int32, 2 * n, n * 16).reshape(n, 2))
-    key, value, pair = np.concatenate(keys), np.concatenate(s), np.concatenate(small)
-    # Added in a fixed order, so reruns agree to the last digit.
-    order = np.lexsort((value, key))
-    key, value, pair = key[order], value[order], pair[order]
-    new = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-    return pd.DataFrame({
-        "key": key[new], "s": np.add.reduceat(value, new), "known": np.add.reduceat(pair[:, 0], new, dtype=np.int64),
-        "n": np.add.reduceat(pair[:, 1], new, dtype=np.int64), "cls": np.full(len(new), -1, np.int32)})
-
-
-def _local_sums(docs: DataFrame, model: Model) -> DataFrame:
-    """Per row what classes and frequent words give, without the rare words' counts."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    def pack(held: dict[int, list]) -> pa.RecordBatch:
+        keys = np.array(list(held), dtype=np.int64)
+        target = (mix(keys.view(_U)) % _U(buckets)).astype(np.int64)
+        order = np.argsort(target, kind="stable")
+        cuts = np.flatnonzero(np.r_[True, np.diff(target[order]) != 0])
+        out = []
+        for a, b in zip(cuts, np.r_[cuts[1:], len(order)], strict=True):
+            mine = keys[order[a:b]]
+            copies = np.array([held[k][0] for k in mine.tolist()], np.int64)
+            flows = [held[k][1] for k in mine.tolist()]
+            parts = [mine, copies, np.array([len(f) for f in flows], np.int64), *flows]
+            out.append((int(target[order[a]]), b - a, True, b"".join(x.tobytes() for x in parts)))
+        cols = list(zip(*out, strict=True))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2]), pa.array(cols[3], pa.binary())], names=["target", "n", "flow", "data"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        room = m.log_room()
-        own = np.log10(m.count + ADD)
-        end_count = m.class_tokens[CLASSES - 1]
+        held, size = {}, 0
         for batch in batches:
-            parts = []
-            for _, rows, hashes, first, ending in _blocks(batch):
-                sym, place = _symbols(hashes, ending, m.frequent, m.symbol)
-                doc = np.repeat(np.arange(rows), np.diff(first))
-                cls = m.class_of[sym]
-                flow = np.full(len(sym) + rows + 1, CLASSES - 1)
-                flow[np.arange(len(sym)) + doc + 1] = cls
-                step = m.log_next[flow[:-1], flow[1:]] - room[flow[1:]]
-                ends = first[1:] + np.arange(1, rows + 1)
-                moves = np.bincount(np.repeat(np.arange(rows), np.diff(np.r_[0, ends])), step, rows)
-                hit = place >= 0
-                known = np.bincount(doc[hit], m.count[place[hit]] > 0, rows)
-                emitted = np.bincount(doc[hit], own[place[hit]], rows)
-                rare = np.bincount(doc[~hit], minlength=rows)
-                parts.append(np.stack([np.diff(first) + 1.0, known + (end_count > 0), emitted + np.log10(end_count + ADD), moves, rare], axis=1))
-            if parts:
-                x = np.concatenate(parts)
-                whole = x[:, [0, 1, 4]].astype(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(1), batch.column(2), batch.column(3), *map(pa.array, whole.T), pa.array(x[:, 2]), pa.array(x[:, 3])],
-                    names=["doc_id", "key", "train", "n_tokens", "known", "rare", "emitted", "moves"])
+            keys = batch.column(1).to_numpy(zero_copy_only=False).tolist()
+            train = batch.column(2).to_numpy(zero_copy_only=False)
+            for row, rows, hashes, first, _ in _blocks(batch):
+                place, doc = _places(hashes, shared.value), np.repeat(np.arange(rows), np.diff(first))
+                at, new, number = _rare(hashes, doc, place)
+                flow = place.astype(np.int32)
+                flow[at] = -1 - np.repeat(number, np.diff(np.r_[new, len(at)]))
+                for i in range(rows):
+                    # Copies of a row share key and fold; the sign tells training texts from the others.
+                    one = held.setdefault(keys[row + i], [0, flow[first[i] : first[i + 1]].copy()])
+                    one[0] += 1 if train[row + i] else -1
+                    size += len(one[1]) + 8
+                if size >= 2 * FLUSH:
+                    yield pack(held)
+                    held, size = {}, 0
+        if held:
+            yield pack(held)
+
+    return docs.select("text", "key", "train").mapInArrow(run, _TO_TEXT)
 
-    return docs.select("text", "doc_id", "key", "train").mapInArrow(
-        run, "doc_id bigint, key bigint, train boolean, n_tokens bigint, known bigint, rare bigint, emitted double, moves double")
+
+_CLASSED = "key bigint, copies bigint, n_tokens bigint, n_known bigint, emitted double, flow binary, words array<bigint>"
+
+
+def _class_texts(pdf: pd.DataFrame, model: Model) -> pd.DataFrame:
+    """Per text its sequence of classes and the sum of the logarithms of its counts."""
+    if pdf.target.iloc[0] < 0:
+        total = np.sum([np.frombuffer(d, np.int64) for d in pdf.data], axis=0)
+        return pd.DataFrame({"key": [None], "copies": 0, "n_tokens": 0, "n_known": 0, "emitted": 0.0, "flow": b"", "words": [total]})
+    settled, flows, copies = [], {}, {}
+    for n, is_flow, d in zip(pdf.n, pdf.flow, pdf.data, strict=True):
+        key = np.frombuffer(d, np.int64, n)
+        if not is_flow:
+            settled.append((key, np.frombuffer(d, np.int64, n, n * 8), np.frombuffer(d, np.int32, n, n * 16), np.frombuffer(d, np.int16, n, n * 20)))
+            continue
+        cuts = np.r_[0, np.cumsum(np.frombuffer(d, np.int64, n, n * 16))]
+        flow = np.frombuffer(d, np.int32, -1, n * 24)
+        for i, (k, c) in enumerate(zip(key.tolist(), np.frombuffer(d, np.int64, n, n * 8).tolist(), strict=True)):
+            copies[k] = copies.get(k, 0) + c
+            flows.setdefault(k, flow[cuts[i] : cuts[i + 1]])
+    none = np.zeros(0, np.int64)
+    key, count, number, cls = (np.concatenate(c) for c in zip(*settled, strict=True)) if settled else (none, none, none, none)
+    order = np.lexsort((number, key))
+    key, count, cls = key[order], count[order], cls[order]
+    out = []
+    for k in sorted(flows):
+        flow, base = flows[k].astype(np.int64), np.searchsorted(key, k)
+        hit = flow >= 0
+        seq, n = np.empty(len(flow), np.int16), np.empty(len(flow), np.int64)
+        seq[hit], n[hit] = model.class_of[flow[hit]], model.count[flow[hit]]
+        at = base - 1 - flow[~hit]
+        seq[~hit], n[~hit] = cls[at], count[at]
+        out.append((k, copies[k], len(flow) + 1, int((n > 0).sum()), float(np.log10(n + ADD).sum()), seq.tobytes(), None))
+    return pd.DataFrame(out, columns=["key", "copies", "n_tokens", "n_known", "emitted", "flow", "words"])
+
+
+def _steps(flow: bytes, end: int) -> np.ndarray:
+    return np.concatenate([[end], np.frombuffer(flow, np.int16), [end]])
+
+
+def class_moves(classed: DataFrame, classes: int) -> np.ndarray:
+    """Class bigrams of all training texts."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(classes * classes, np.int64)
+        for frame in frames:
+            if not len(frame):
+                continue
+            steps = [_steps(f, classes - 1) for f in frame.flow]
+            code = np.concatenate([s[:-1] * classes + s[1:] for s in steps])
+            weight = np.repeat(frame.copies.to_numpy(), [len(s) - 1 for s in steps])
+            total += np.bincount(code, weight, len(total)).astype(np.int64)
+        at = np.flatnonzero(total)
+        yield pd.DataFrame({"at": at, "n": total[at]})
+
+    found = classed.where("copies > 0").select("copies", "flow").mapInPandas(run, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
+    moves = np.zeros(classes * classes, np.int64)  # one row per pair of classes
+    moves[found["at"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
+    return moves.reshape(classes, classes)
+
+
+def learn(docs: DataFrame) -> tuple[Model, DataFrame]:
+    """The model, and the distinct rows (key, copies, n_tokens, n_known, emitted, flow) as sequences of classes; docs: text, key, train."""
+    train = docs.where("train").select("text")
+    ranked = frequent_words(train)
+    pairs, count, ends = count_symbols(train, ranked)
+    tokens = int(pairs.sum())
+    classes = class_number(tokens)
+    frequent = np.sort(ranked)
+    symbol = _ranks(ranked, frequent)
+    of_symbol = exchange_clusters(pairs, classes)
+    one = np.zeros((_SYMBOLS, classes))
+    one[np.arange(_SYMBOLS), of_symbol] = 1
+    start = of_symbol[np.where(symbol >= 0, symbol, CLUSTERED + ends)]
+    model = Model(frequent, count, start, of_symbol[CLUSTERED:_END], affinities(one.T @ pairs @ one), tokens)
+    model.class_of = frequent_exchange(train, model, symbol >= 0)
+    buckets = max(BUCKETS, -(-docs.count() // BUCKET_DOCS))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    settled = _rare_postings(docs, model, buckets).groupBy("bucket").applyInPandas(lambda p: _settle_bucket(p, shared.value, buckets), _TO_TEXT)
+    classed = checkpointed(
+        settled.unionByName(_flows(docs, model, buckets)).groupBy("target").applyInPandas(lambda p: _class_texts(p, shared.value), _CLASSED))
+    words_ = np.zeros(classes, np.int64)
+    for r in classed.where("key IS NULL").select("words").collect():  # at most STATS_TARGETS rows
+        words_ += np.array(r.words)
+    words_ += np.bincount(model.class_of[count > 0], minlength=classes)
+    classed = classed.where("key IS NOT NULL").drop("words")
+    moves = class_moves(classed, classes)
+    words_[classes - 1] += int(moves[:, classes - 1].sum() > 0)
+    model.log_next = np.log10((moves + ADD_CLASS) / (moves.sum(1, keepdims=True) + ADD_CLASS * classes))
+    model.class_words, model.class_tokens, model.types = words_, moves.sum(0), int(words_.sum())
+    return model, classed
+
+
+def keyed(docs: DataFrame, train: Column) -> DataFrame:
+    """doc_id, text, train and the key of the row: equal rows share it."""
+    return docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+        F.coalesce(train, F.lit(False)).alias("train")).withColumn("key", _row_key(F.col("doc_id"), F.col("text")))
 
 
 def score_corpus(docs: DataFrame, train: Column) -> DataFrame:
@@ -392,43 +602,27 @@ def score_corpus(docs: DataFrame, train: Column) -> DataFrame:
 
     Learns from the rows where ``train`` holds and scores all.
     """
-    docs = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-        F.coalesce(train, F.lit(False)).alias("train")).withColumn("key", _row_key(F.col("doc_id"), F.col("text")))
-    learn = docs.where("train").select("text")
-    ranked = frequent_words(learn)
-    pairs, count, ends = count_symbols(learn, ranked)
-    frequent = np.sort(ranked)
-    symbol = _ranks(ranked, frequent)
-    class_of = exchange_clusters(pairs)
-    one = np.zeros((_SYMBOLS, CLASSES))
-    one[np.arange(_SYMBOLS), class_of] = 1
-    moves = one.T @ pairs @ one
-    log_next = np.log10((moves + ADD_CLASS) / (moves.sum(1, keepdims=True) + ADD_CLASS * CLASSES))
-    class_tokens = moves.sum(0).astype(np.int64)
-    model = Model(frequent, symbol, count, class_of, log_next, np.zeros(CLASSES, np.int64), class_tokens, int(pairs.sum()), 0)
-    total = docs.count()
-    buckets = max(BUCKETS, -(-total // BUCKET_DOCS))
-    rare = checkpointed(
-        _rare_postings(docs, model, buckets).groupBy("bucket").applyInPandas(partial(_count_bucket, buckets=buckets), _SUMS)
-        .groupBy("target").applyInPandas(_sum_keys, _PARTS))
-    for r in rare.where("cls >= 0").groupBy("cls").agg(F.sum("known").alias("known")).collect():  # one row per class
-        model.class_words[r.cls] = r.known
-    model.types = int(model.class_words.sum() + (count > 0).sum() + (class_tokens[CLASSES - 1] > 0))
-    own = np.where(symbol >= 0, symbol, CLUSTERED + ends)[count > 0]
-    np.add.at(model.class_words, class_of[own], 1)
-    model.class_words[CLASSES - 1] += int(class_tokens[CLASSES - 1] > 0)
-    sums = rare.where("cls < 0").select("key", "s", F.col("known").alias("rare_known"), "n")
+    docs = keyed(docs, train)
+    model, classed = learn(docs)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        m = shared.value
+        room, end = m.log_room(), m.classes - 1
+        for frame in frames:
+            moves = []
+            for flow in frame.flow:
+                s = _steps(flow, end)
+                moves.append(float((m.log_next[s[:-1], s[1:]] - room[s[1:]]).sum()))
+            yield frame[["key", "n_tokens", "n_known", "emitted"]].assign(moves=np.array(moves, dtype=float))
+
+    scored = classed.mapInPandas(run, "key bigint, n_tokens bigint, n_known bigint, emitted double, moves double")
+    end = int(model.class_tokens[-1])
+    emitted = F.col("emitted") + F.lit(float(np.log10(end + ADD)))
     base_room = float(np.log10(model.tokens + ADD * (model.types + 1)))
-    # Equal rows share a key: their sums are divided by how often the row occurs.
-    share = F.when(F.col("n") > 0, F.col("rare") / F.col("n")).otherwise(0.0)
-    joined = _local_sums(docs, model).join(sums, "key", "left")
-    s = F.coalesce(F.col("s") * share, F.lit(0.0))
-    known = F.coalesce(F.round(F.col("rare_known") * share), F.lit(0)).cast("bigint")
-    out = joined.select(
-        "doc_id", "train", "n_tokens", (F.col("known") + known).alias("n_known"), F.lit(model.tokens).cast("bigint").alias("train_tokens"),
-        (F.col("emitted") + s - F.col("n_tokens") * F.lit(base_room)).alias("base_score"),
-        (F.col("emitted") + s + F.col("moves")).alias("score"))
+    out = docs.select("doc_id", "train", "key").join(scored, "key").select(
+        "doc_id", "train", "n_tokens", (F.col("n_known") + F.lit(int(end > 0))).alias("n_known"), F.lit(model.tokens).cast("bigint").alias("train_tokens"),
+        (emitted - F.col("n_tokens") * F.lit(base_room)).alias("base_score"), (emitted + F.col("moves")).alias("score"))
     return out.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
 
 
