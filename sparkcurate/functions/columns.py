@@ -102,7 +102,33 @@ def fixed3(thousandth: Column) -> Column:
 
 
 def fixed6(x: Column) -> Column:
-    return F.format_string("%.6f", x.cast("double"))
+    """``%.6f`` of the exact binary value; real ties go to even.
+
+    The JVM rounds the shortest decimal text half up, which differs where that text ends in a 5 behind the sixth
+    decimal. There the fraction is scaled by a power of two, which loses nothing, and compared in integer decimals.
+    """
+    x = x.cast("double")
+    a = F.abs(x)
+    scaled = (a % 1) * 1e6
+    near_tie = F.abs(scaled % 1 - 0.5) < 1e-6 + a * 1e-9  # wider than half the spacing of doubles there
+
+    def text(s: Column) -> Column:
+        # Bits of a fraction this near to a tie end at 2**-73, of one above 2**-10 at 2**-62.
+        small = s["frac"] < 2.0**-10
+        bits = (s["frac"] * F.when(small, F.lit(2.0**73)).otherwise(F.lit(2.0**62))).cast("bigint").cast("decimal(20,0)")
+        unit = F.when(small, F.lit(str(2**73)).cast("decimal(23,0)")).otherwise(F.lit(str(2**62)).cast("decimal(23,0)"))
+        twice = (bits * F.lit(2_000_000).cast("decimal(7,0)")).cast("decimal(30,0)")
+        half = ((s["low"] * 2 + 1).cast("decimal(7,0)") * unit).cast("decimal(30,0)")
+        up = (twice > half) | ((twice == half) & (s["low"] % 2 == 1))
+        return let(
+            s["whole"] * 1_000_000 + s["low"] + F.when(up, 1).otherwise(0),
+            lambda n: F.concat(F.floor(n / 1_000_000).cast("string"), F.lit("."), F.lpad((n % 1_000_000).cast("string"), 6, "0")),
+        )
+
+    # The millionths of values below 2**43 fit; above, the JVM's text stays.
+    parts = F.struct(F.floor(a).alias("whole"), (a % 1).alias("frac"), F.floor(scaled).alias("low"))
+    exact = F.concat(F.when(x < 0, "-").otherwise(""), let(parts, text))
+    return F.when(near_tie & (a < 2.0**43), exact).otherwise(F.format_string("%.6f", x))
 
 
 # -- codecs --------------------------------------------------------------------

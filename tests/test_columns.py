@@ -25,6 +25,17 @@ def test_thousandths_rounds_the_binary_value(spark):
         assert r["t"] == f"{round(r['x'], 3) + 0.0:.3f}", r
 
 
+def test_six_decimals_round_the_binary_value(spark):
+    rng = Random(2)
+    values = [0.0703125, -0.0703125, 5e-7, -5e-7, 1.5e-6, 0.9999995, -0.9999995, 0.0, -0.0, 1e300, -1e-300, 2.0**53 + 1]
+    values += [sign * (whole + m / 128) for whole in (0, 3, 1000, 2**30 + 5) for m in range(1, 128, 2) for sign in (1, -1)]
+    values += [(2 * rng.randrange(10**k) + 1) / 2e6 for k in range(1, 15) for _ in range(200)]
+    values += [rng.uniform(-1, 1) * 10 ** rng.randrange(-8, 9) for _ in range(1000)]
+    for r in spark.createDataFrame([(v,) for v in values], "x double").select("x", C.fixed6(F.col("x")).alias("t")).collect():
+        if abs(r["x"]) < 2.0**53:
+            assert r["t"] == f"{r['x']:.6f}", r
+
+
 def test_geometry_key_golden(spark):
     rows = [
         ("g1", ["He", "H"], [[0.0, 0.0, 0.0], [0.772, 0.0, 0.0]], 1), ("g2", ["H", "He"], [[0.772, 0.0, 0.0], [0.0, 0.0, 0.0]], 1),
