@@ -114,3 +114,19 @@ def test_tanimoto_nearest(spark, light, block):
         assert got[i] == pytest.approx(best, abs=1e-12), i
     lone = spark.createDataFrame([(1, [1]), (2, None)], "id long, bits array<int>")
     assert [r["max_tanimoto"] for r in tanimoto_nearest(lone, "id", "bits").collect()] == [None, None]
+
+
+def test_tanimoto_blocks_hold_each_set_once(spark, monkeypatch):
+    """However many pairs of blocks meet, the sets are written once."""
+    from sparkcurate.operators import nearest
+
+    tables, write = [], nearest.stored
+    monkeypatch.setattr(nearest, "stored", lambda df: tables.append(write(df)) or tables[-1])
+    rng = np.random.default_rng(5)
+    sets = [sorted(set(rng.choice(300, size=40).tolist())) for _ in range(120)]
+    df = spark.createDataFrame(list(enumerate(sets)), "id long, bits array<int>")
+    got = {r["id"]: r["max_tanimoto"] for r in tanimoto_nearest(df, "id", "bits", block=10, light=0).collect()}
+    packed = [t for t in tables if "best" in t.columns][0].collect()
+    assert len(packed) == 12 and sum(len(r["bits"]) for r in packed) == 8 * sum(map(len, sets))
+    for i, a in enumerate(sets):
+        assert got[i] == max(len(set(a) & set(b)) / len(set(a) | set(b)) for j, b in enumerate(sets) if j != i)
