@@ -199,3 +199,14 @@ def test_capped_budgets_never_overshoot(spark):
 def test_unknown_pass():
     with pytest.raises(ValueError):
         S.Budget(passes=("floor", "width"))
+
+
+def test_pool_counts_inside_the_record(spark):
+    """Environments of a record are counted without a shuffle, and no payload is in the pool."""
+    envs = [[7, 3, 7, 7, 1], [], [3, 3]]
+    rows = spark.createDataFrame([(i, [(e, "C") for e in r]) for i, r in enumerate(envs)], "row bigint, envs array<struct<env:bigint,element:string>>")
+    counts = rows.select("row", S.env_counts().alias("c"))
+    assert "Exchange" not in counts._jdf.queryExecution().executedPlan().toString()
+    assert {r["row"]: [tuple(x) for x in r["c"]] for r in counts.collect()} == {0: [(1, 1), (3, 1), (7, 3)], 1: [], 2: [(3, 2)]}
+    ranked = spark.createDataFrame([(1, 1, 1), (7, 2, 1), (3, 3, 2)], "env_id bigint, rank bigint, n_mols bigint")
+    assert sorted(map(tuple, S.env_pool(rows, ranked).collect())) == [(0, 1, 1, 0), (0, 2, 3, 0), (0, 3, 1, 0), (2, 3, 2, 0)]
