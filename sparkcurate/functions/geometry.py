@@ -9,6 +9,8 @@ import numpy as np
 
 # Fixed value: refinements after the first pairing of a permutation-aware RMSD.
 REMATCHES = 5
+# Entries of the distance matrices that one step of stacked structures holds.
+STACKED = 500_000
 
 
 def _superpose(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -52,14 +54,12 @@ def _stacked_rmsd(xs: np.ndarray, ys: np.ndarray, transposed: bool) -> np.ndarra
 
 def _profile_order(zs: np.ndarray, xyz: np.ndarray) -> np.ndarray:
     """Atom order by element, sorted distances to each element, then position."""
+    if not len(zs):
+        return np.zeros(0, dtype=int)
     gaps = np.linalg.norm(xyz[:, None, :] - xyz[None, :, :], axis=2)
-    kinds = np.unique(zs)
-    keys = []
-    for i in range(len(zs)):
-        others = np.arange(len(zs)) != i
-        profile = [tuple(np.sort(gaps[i][others & (zs == k)])) for k in kinds]
-        keys.append((int(zs[i]), profile, tuple(xyz[i])))
-    return np.array(sorted(range(len(zs)), key=keys.__getitem__), dtype=int)
+    np.fill_diagonal(gaps, np.inf)  # the atom itself comes last, for all atoms of its element alike
+    profile = np.concatenate([np.sort(gaps[:, zs == k], axis=1) for k in np.unique(zs)], axis=1)
+    return np.lexsort((*xyz.T[::-1], *profile.T[::-1], zs))
 
 
 def _nearest_pairs(same: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -103,13 +103,85 @@ def _matched_rmsd(za: np.ndarray, a: np.ndarray, zb: np.ndarray, b: np.ndarray)
     return best
 
 
+def _stacked_pairs(same: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """:func:`_nearest_pairs` of two stacks of structures, item by item.
+
+    A free pair that is the shortest of both its atoms is taken by the shortest-first rule too, so all
+    of those are taken at once.
+    """
+    gap = np.zeros((len(a), *same.shape))
+    for k in range(3):
+        gap += (a[:, :, None, k] - b[:, None, :, k]) ** 2
+    gap = np.sqrt(gap)
+    gap[:, ~same] = np.inf
+    partner = np.full(a.shape[:2], -1)
+    left = np.arange(len(a))
+    while len(left):
+        to, back = gap.argmin(axis=2), gap.argmin(axis=1)
+        mutual = (np.take_along_axis(back, to, axis=1) == np.arange(len(same))) & np.isfinite(gap.min(axis=2))
+        item, i = np.nonzero(mutual)
+        if not len(item):
+            break
+        j = to[item, i]
+        partner[left[item], i] = j
+        gap[item, i, :] = np.inf
+        gap[item, :, j] = np.inf
+        more = (partner[left] < 0).any(axis=1)
+        left, gap = left[more], gap[more]
+    return partner
+
+
+def _stacked_matched(z: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """:func:`_matched_rmsd` of two stacks of structures with the same elements, item by item."""
+    n = len(z)
+    best = np.full(len(a), np.inf if n else 0.0)
+    if not n:
+        return best
+    same = z[:, None] == z[None, :]
+    at, tried = np.arange(len(a)), []
+    partner = np.tile(np.arange(n), (len(a), 1))
+    pick = lambda ps: np.take_along_axis(b, ps[:, :, None], axis=1)
+    for turn in range(REMATCHES + 1):
+        tried.append(partner)
+        ma, mb = a.mean(axis=1, keepdims=True), pick(partner).mean(axis=1, keepdims=True)
+        u, _, vt = np.linalg.svd(np.swapaxes(pick(partner) - mb, 1, 2) @ (a - ma))
+        u[np.linalg.det(u @ vt) < 0, :, 2] *= -1
+        b = (b - mb) @ (u @ vt) + ma
+        best[at] = np.minimum(best[at], np.sqrt(((a - pick(partner)) ** 2).sum(axis=(1, 2)) / n))
+        if turn == REMATCHES:
+            break
+        partner = _stacked_pairs(same, a, b)
+        new = ~np.any([(partner == t).all(axis=1) for t in tried], axis=0)
+        at, a, b, partner, tried = at[new], a[new], b[new], partner[new], [t[new] for t in tried]
+        if not len(at):
+            break
+    return best
+
+
+def _matched_items(xs: np.ndarray, ys: np.ndarray) -> np.ndarray:
+    """:func:`_matched_rmsd` of ``xs[k]`` and ``ys[k]`` for all k; items of one composition go through numpy together."""
+    out = np.full(len(xs), np.inf)
+    kinds: dict[bytes, list[int]] = {}
+    for k, ((za, _), (zb, _)) in enumerate(zip(xs, ys, strict=True)):
+        if za is zb or np.array_equal(za, zb):
+            kinds.setdefault(za.tobytes(), []).append(k)
+    for rows in kinds.values():
+        z = xs[rows[0]][0]
+        step = max(1, STACKED // max(1, len(z)) ** 2)
+        for lo in range(0, len(rows), step):
+            part = rows[lo : lo + step]
+            out[part] = _stacked_matched(z, np.stack([xs[k][1] for k in part]), np.stack([ys[k][1] for k in part]))
+    return out
+
+
 @dataclass(frozen=True)
 class Metric:
     """A distance between payloads, and a feature that never differs by more than it.
 
     ``feature`` may be scaled: two payloads closer than ``thr`` have features that differ
     by less than ``reach(thr)``. ``prepare`` turns a list of payloads once into an array that
-    can be indexed, and ``between`` gives the distances of two such arrays.
+    can be indexed, and ``between`` gives the distances of two such arrays. A metric that is not
+    ``vectorized`` has ``items``: the distances of two such arrays item by item.
     """
 
     pairwise: Callable[[list, list], np.ndarray]
@@ -118,6 +190,7 @@ class Metric:
     prepare: Callable[[list], np.ndarray]
     between: Callable[[np.ndarray, np.ndarray], np.ndarray]
     vectorized: bool = True
+    items: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None
 
     def near(self, made: np.ndarray, features: np.ndarray, i: int, others: np.ndarray, cut: float) -> np.ndarray:
         """Distances of prepared payload ``i`` to ``others`` below ``cut``; else infinite."""
@@ -127,14 +200,14 @@ class Metric:
         out = np.full(len(others), np.inf)
         close = np.flatnonzero(np.abs(features[others] - features[i]) <= self.reach(cut) * (1 + 1e-9))
         if len(close):
-            m = self.between(made[[i]], made[others[close]])[0]
+            m = self.items(made[np.full(len(close), i)], made[others[close]])
             out[close] = np.where(m < cut, m, np.inf)
         return out
 
     def within(self, xs: list, ys: list, cut: float) -> np.ndarray:
         """Distances below ``cut``; other entries are infinite.
 
-        A distance computed pair by pair is left out where the features already exclude it.
+        A distance computed item by item is left out where the features already exclude it.
         """
         if not len(xs) or not len(ys):
             return np.full((len(xs), len(ys)), np.inf)
@@ -144,10 +217,11 @@ class Metric:
         gap = np.abs(self.feature(xs)[:, None] - self.feature(ys)[None, :])
         out = np.full(gap.shape, np.inf)
         a, b = self.prepare(xs), self.prepare(ys)
-        for i, j in zip(*np.nonzero(gap <= self.reach(cut) * (1 + 1e-9))):
-            d = self.between(a[[i]], b[[j]])[0, 0]
-            if d < cut:
-                out[i, j] = d
+        ii, jj = np.nonzero(gap <= self.reach(cut) * (1 + 1e-9))
+        for lo in range(0, len(ii), 4096):
+            i, j = ii[lo : lo + 4096], jj[lo : lo + 4096]
+            m = self.items(a[i], b[j])
+            out[i, j] = np.where(m < cut, m, np.inf)
         return out
 
 
@@ -159,17 +233,6 @@ def _ragged(items: list) -> np.ndarray:
     return out
 
 
-def _matrix(fn: Callable) -> Callable[[list, list], np.ndarray]:
-    def run(xs: list, ys: list) -> np.ndarray:
-        out = np.empty((len(xs), len(ys)))
-        for i, x in enumerate(xs):
-            for j, y in enumerate(ys):
-                out[i, j] = fn(x, y)
-        return out
-
-    return run
-
-
 def _points(payload) -> np.ndarray:
     return np.asarray([list(p) for p in payload], dtype=float).reshape(-1, 3)
 
@@ -214,7 +277,9 @@ def permuted_rmsd() -> Metric:
     def prepare(ps: list) -> np.ndarray:
         return _ragged([_profiled(*_atoms(p)) for p in ps])
 
-    between = _matrix(lambda p, q: _matched_rmsd(*p, *q))
+    def between(xs: np.ndarray, ys: np.ndarray) -> np.ndarray:
+        return _matched_items(np.repeat(xs, len(ys)), np.tile(ys, len(xs))).reshape(len(xs), len(ys))
+
     return Metric(
         lambda ps, qs: between(prepare(ps), prepare(qs)),
         lambda ps: np.array([_spread(_atoms(p)[1]) for p in ps]),
@@ -222,6 +287,7 @@ def permuted_rmsd() -> Metric:
         prepare,
         between,
         vectorized=False,
+        items=_matched_items,
     )
 
 

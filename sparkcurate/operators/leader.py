@@ -24,12 +24,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.geometry import Metric
-from ..session import checkpointed, lookup_join
+from ..session import checkpointed, lookup_join, spread
 from .ordering import number_clusters, number_rows
 
 LIGHT = 2000
 OFFER = 256
-BLOCK = 4096
+BLOCK = 1024
+# Rows of a small group that are compared with its kept rows at once.
+PART = 256
 RESULT = "row bigint, rep bigint, d double"
 
 
@@ -41,14 +43,20 @@ def _light_kernel(metric: Metric, cut: float):
         kept: list[int] = []
         rep = rows.copy()
         gap = np.full(len(rows), np.nan)
-        for i in range(len(rows)):
-            if kept:
-                near = metric.near(made, features, i, np.array(kept), cut)
-                best = int(near.argmin())
-                if near[best] < cut:
+        for lo in range(0, len(rows), PART):
+            part = slice(lo, lo + PART)
+            # What was kept before is compared with many rows at once, only what the part itself keeps row by row.
+            before = metric.within(items[part], [items[k] for k in kept], cut)
+            old = len(kept)
+            for i in range(lo, min(lo + PART, len(rows))):
+                near = before[i - lo]
+                if len(kept) > old:
+                    near = np.concatenate([near, metric.near(made, features, i, np.array(kept[old:]), cut)])
+                if len(near) and near.min() < cut:
+                    best = int(near.argmin())
                     rep[i], gap[i] = rows[kept[best]], near[best]
-                    continue
-            kept.append(i)
+                else:
+                    kept.append(i)
         return pd.DataFrame({"row": rows, "rep": rep, "d": gap})
 
     return run
@@ -146,13 +154,13 @@ def _hot_rounds(pool: DataFrame, metric: Metric, cut: float, offer: int, block:
         ).select("grp", "home", F.coalesce("horizon", F.lit(2**62)).alias("horizon"))
         offers = firsts.where(F.col("_n") <= offer).drop("_n").join(horizon, ["grp", "home"])
         seen = offers.withColumn("cell", F.explode(F.array(F.col("home") - 1, F.col("home"), F.col("home") + 1)))
-        new = seen.groupBy("grp", "cell").applyInPandas(
+        new = spread(seen, "grp", "cell").groupBy("grp", "cell").applyInPandas(
             _decide_kernel(metric, cut), f"grp bigint, home bigint, row bigint, payload {ptype}"
         )
         new = checkpointed(new)
         if new.isEmpty():
             break
-        spread = (
+        known = (
             new.withColumn("cell", F.explode(F.array(F.col("home") - 1, F.col("home"), F.col("home") + 1)))
             .join(blocks.withColumnRenamed("home", "cell"), ["grp", "cell"])
             .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -164,8 +172,8 @@ def _hot_rounds(pool: DataFrame, metric: Metric, cut: float, offer: int, block:
             "salt", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int")
         ).drop("blocks").select("grp", "home", "salt", "row", "payload", "d", "rep")
         state = checkpointed(
-            salted.groupBy("grp", "home", "salt")
-            .cogroup(spread.groupBy("grp", "home", "salt"))
+            spread(salted, "grp", "home", "salt").groupBy("grp", "home", "salt")
+            .cogroup(spread(known, "grp", "home", "salt").groupBy("grp", "home", "salt"))
             .applyInPandas(_compare_kernel(metric, cut), schema)
         )
         found = new.select("row", F.col("row").alias("rep"), F.lit(None).cast("double").alias("d"))
@@ -187,7 +195,7 @@ def leader_clusters(
     if any_hot:
         tagged = lookup_join(base, number_rows(hot, group, "grp"), group, "left")
         rest = tagged.where("grp is null").drop("grp")
-    small = rest.groupBy(*group).applyInPandas(_light_kernel(metric, cut), RESULT)
+    small = spread(rest, *group).groupBy(*group).applyInPandas(_light_kernel(metric, cut), RESULT)
     if not any_hot:
         return small
     pool = tagged.where("grp is not null").select("grp", "row", "payload")

@@ -51,6 +51,7 @@ def test_stacked_equals_single():
 ])
 def test_feature_never_differs_by_more_than_the_reach(metric, make):
     rng = np.random.default_rng(5)
+
     items = [make(rng) for _ in range(12)]
     d, f = metric.pairwise(items, items), metric.feature(items)
     for i in range(12):
@@ -61,3 +62,19 @@ def test_feature_never_differs_by_more_than_the_reach(metric, make):
 def test_tanimoto_distance():
     d = G.tanimoto_distance().pairwise([[0, 1, 2], []], [[2, 3], [0, 1, 2], [], [9]])
     assert d.tolist() == [[0.75, 0.0, 1.0, 1.0], [1.0, 1.0, 1.0, 1.0]]
+
+
+def test_stacked_distances_equal_those_pair_by_pair():
+    rng = np.random.default_rng(5)
+
+    def structure(n):
+        return [[float(z), *p] for z, p in zip(rng.integers(1, 4, n), np.round(rng.normal(size=(n, 3)), int(rng.integers(0, 3))))]
+
+    items = [structure(n) for n in (0, 1, 2, 5, 5, 9, 9, 9) for _ in range(3)]
+    items += [[items[-1][i] for i in rng.permutation(9)], items[-2], []]
+    m = G.permuted_rmsd()
+    made = m.prepare(items)
+    i, j = np.divmod(np.arange(len(items) ** 2), len(items))
+    want = [G.conformer_rmsd(*(np.array(items[k]).reshape(-1, 4)[:, s] for k in (a, b) for s in (0, slice(1, 4)))) for a, b in zip(i, j)]
+    assert m.items(made[i], made[j]).tolist() == want
+    assert m.pairwise(items, items).ravel().tolist() == want
