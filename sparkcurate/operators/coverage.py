@@ -2,14 +2,24 @@
 
 A record carries an array of environments ``ARRAY<STRUCT<env BIGINT, element STRING>>``,
 one entry per instance. Counting never collects the carriers of a common environment:
-instances and carriers are two sums of one exploded pass, combined map-side.
+the instances of a block of records are folded to one row per environment inside the task
+(:func:`folded`), and Spark sums these rows over all blocks.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import lookup_join
+from ..session import lookup_join, stored
+
+# Instances that are folded at once; a record with more is a block of its own.
+BLOCK_INSTANCES = 1_000_000
 
 # Carrier bands of the coverage report.
 BANDS = [(1, 1, "1"), (2, 5, "2-5"), (6, 20, "6-20"), (21, 100, "21-100"), (101, None, ">100")]
@@ -24,32 +34,146 @@ def unfold(df: DataFrame, array: Column, name: str, *keep: Column | str) -> Data
     return df.select(F.explode_outer(array).alias(name), *keep).where(F.col(name).isNotNull())
 
 
-def env_frequency(df: DataFrame, envs: str = "envs", order: str = "row_index") -> DataFrame:
+@dataclass(frozen=True)
+class Read:
+    """Environments that tasks make from a text column; ``lists`` turns an array of texts into the arrays of
+    (env, element). So they need not be made and carried as columns."""
+
+    column: str
+    lists: Callable[[pa.Array], pa.Array]
+
+
+Envs = str | Read
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], envs: Envs) -> Iterator[pa.RecordBatch]:
+    """Runs of records with about ``BLOCK_INSTANCES`` instances, four bytes of a text counted as one."""
+    for batch in batches:
+        x = batch.column("x")
+        sizes = pc.binary_length(x) if isinstance(envs, Read) else pc.list_value_length(x)
+        ends = np.cumsum(pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        most, lo = BLOCK_INSTANCES * (4 if isinstance(envs, Read) else 1), 0
+        while lo < len(ends):
+            hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + most, side="right")))
+            yield batch.slice(lo, hi - lo)
+            lo = hi
+
+
+def _rank(values: pa.Array) -> np.ndarray:
+    """Dense ranks from 0, nulls first."""
+    return pc.rank(values, sort_keys="ascending", null_placement="at_start", tiebreaker="dense").to_numpy().astype(np.int64) - 1
+
+
+def _sorted(*keys: np.ndarray) -> np.ndarray:
+    """Order by the keys, the first one first; keys are not negative."""
+    wide = [int(k.max(initial=0)) + 1 for k in keys]
+    if np.prod([float(w) for w in wide]) >= 2.0**62:
+        return np.lexsort(keys[::-1])
+    one = keys[0].astype(np.int64)
+    for k, w in zip(keys[1:], wide[1:], strict=True):
+        one = one * w + k
+    return np.argsort(one)
+
+
+class _Block:
+    """The instances of a block of records, sorted by environment, order of the record and place in it."""
+
+    def __init__(self, batch: pa.RecordBatch, envs: Envs) -> None:
+        lists = envs.lists(batch.column("x")) if isinstance(envs, Read) else batch.column("x")
+        lens = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = lists.flatten()
+        coded = pc.struct_field(flat, "env").dictionary_encode(null_encoding="encode")
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        rec = np.repeat(np.arange(len(batch)), lens)
+        place = np.arange(len(rec)) - np.repeat(np.cumsum(lens) - lens, lens)
+        self.rank = _rank(batch.column("o"))
+        at = np.empty(len(batch), np.int64)
+        at[np.argsort(self.rank, kind="stable")] = np.arange(len(batch))
+        order = _sorted(codes, at[rec], place)
+        self.codes, self.rec = codes[order], rec[order]
+        names = pc.struct_field(flat, "element").dictionary_encode()
+        self.names, self.named = names.dictionary, names.indices.take(pa.array(order))
+        new = np.ones(len(order), dtype=bool)
+        new[1:] = self.codes[1:] != self.codes[:-1]
+        self.first = np.flatnonzero(new)
+        end = np.r_[self.first[1:], len(order)][: len(self.first)] - 1
+        self.n_atoms = end - self.first + 1
+        # Each (environment, record) once.
+        pair = new.copy()
+        pair[1:] |= self.rec[1:] != self.rec[:-1]
+        self.pairs = np.flatnonzero(pair)
+        self.n_mols = np.add.reduceat(pair.astype(np.int64), self.first) if len(order) else np.zeros(0, np.int64)
+        self.ids = coded.dictionary.take(pa.array(self.codes[self.first]))
+        # The last instance; among records of one order the place decides.
+        if len(order) and self.rank.max() + 1 < len(batch):
+            end = _sorted(codes, self.rank[rec], place)[end]
+        else:
+            end = order[end]
+        self.end_rec, self.end_place, self.end_name = rec[end], place[end], names.indices.take(pa.array(end))
+
+    def most(self, per_record: np.ndarray) -> np.ndarray:
+        """Per environment, the largest value of its records."""
+        return np.maximum.reduceat(per_record[self.rec], self.first) if len(self.first) else np.zeros(0, np.int64)
+
+    def elements(self) -> pa.Array:
+        """Per environment, its distinct elements; null ones are left out."""
+        kinds, sorted_ = len(self.names), pc.array_sort_indices(self.names)  # one order in all blocks
+        at = np.empty(kinds + 1, np.int64)
+        at[sorted_.to_numpy()], at[kinds] = np.arange(kinds), kinds
+        at = at[pc.fill_null(self.named, kinds).to_numpy(zero_copy_only=False)]
+        pairs = np.unique(self.codes.astype(np.int64) * (kinds + 1) + at)
+        pairs = pairs[pairs % (kinds + 1) < kinds]
+        bounds = np.searchsorted(pairs // (kinds + 1), self.codes[self.first])
+        return pa.ListArray.from_arrays(pa.array(np.r_[bounds, len(pairs)], pa.int32()), self.names.take(sorted_).take(pa.array(pairs % (kinds + 1))))
+
+
+def _source(envs: Envs) -> Column:
+    return (F.col(envs.column).cast("string") if isinstance(envs, Read) else F.col(envs)).alias("x")
+
+
+def folded(df: DataFrame, envs: Envs, order: str, carrier: str | None = None, selected: Column | None = None, elements: bool = False) -> DataFrame:
+    """One row per environment of a block of records: ``env, n`` (instances), ``m`` (carriers) and ``w``, the last
+    instance (order, place, element).
+
+    With ``selected`` also ``hit`` (a carrier is selected); with ``carrier`` the orders ``lo, hi`` of the
+    first and last carrier, the last carrier's ``c`` and whether it is ``covered``; with ``elements`` all ``els``.
+    """
+    kind = dict(df.dtypes)
+    schema = f"env bigint, n bigint, m bigint, w struct<o:{kind[order]},i:int,e:string>, hit boolean"
+    schema += f", lo {kind[order]}, hi {kind[order]}, c {kind[carrier]}, covered boolean" if carrier else ""
+    schema += ", els array<string>" if elements else ""
+    flag = F.lit(False) if selected is None else F.coalesce(selected, F.lit(False))
+    rows = df.select(F.col(order).alias("o"), flag.alias("s"), *([F.col(carrier).alias("c")] if carrier else []), _source(envs))
+
+    def fold(batch: pa.RecordBatch) -> pa.RecordBatch:
+        b, o = _Block(batch, envs), batch.column("o")
+        s = batch.column("s").to_numpy(zero_copy_only=False).astype(np.int64)
+        last = pa.StructArray.from_arrays(
+            [o.take(pa.array(b.end_rec)), pa.array(b.end_place, pa.int32()), b.names.take(b.end_name)], names=["o", "i", "e"])
+        out = {"env": b.ids, "n": pa.array(b.n_atoms, pa.int64()), "m": pa.array(b.n_mols, pa.int64()), "w": last, "hit": pa.array(b.most(s) > 0)}
+        if carrier:
+            # Records by order, then by carrier, as the largest of both names the carrier.
+            by = np.lexsort((_rank(batch.column("c")), b.rank))
+            at = np.empty(len(by), np.int64)
+            at[by] = np.arange(len(by))
+            out |= {"lo": o.take(pa.array(b.rec[b.first])), "hi": out["w"].field(0), "c": batch.column("c").take(pa.array(by[b.most(at)])),
+                    "covered": pa.array(b.most(b.rank * 2 + s) % 2 == 1)}
+        if elements:
+            out["els"] = b.elements()
+        return pa.RecordBatch.from_arrays(list(out.values()), names=list(out))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _blocks(batches, envs):
+            yield fold(batch)
+
+    return rows.mapInArrow(run, schema)
+
+
+def env_frequency(df: DataFrame, envs: Envs = "envs", order: str = "row_index") -> DataFrame:
     """Per environment: element of its last instance, instance count, carrier count."""
-    inst = F.transform(
-        F.col(envs),
-        lambda e, i: F.struct(
-            e["env"].alias("env"), F.lit(1).alias("a"), F.lit(0).alias("m"),
-            F.struct(F.col(order).alias("o"), i.alias("i"), e["element"].alias("e")).alias("w"),
-        ),
-    )
-    once = F.transform(
-        F.array_distinct(F.transform(F.col(envs), lambda e: e["env"])),
-        lambda v: F.struct(
-            v.alias("env"), F.lit(0).alias("a"), F.lit(1).alias("m"),
-            F.lit(None).cast(_writer_type(df, order)).alias("w"),
-        ),
+    return folded(df, envs, order).groupBy(F.col("env").alias("env_id")).agg(
+        F.max("w")["e"].alias("element"), F.sum("n").alias("n_atoms"), F.sum("m").alias("n_mols"),
     )
-    flat = unfold(df, F.concat(inst, once), "r").select("r.*")
-    return flat.groupBy(F.col("env").alias("env_id")).agg(
-        F.max("w")["e"].alias("element"),
-        F.sum("a").cast("long").alias("n_atoms"),
-        F.sum("m").cast("long").alias("n_mols"),
-    )
-
-
-def _writer_type(df: DataFrame, order: str) -> str:
-    return f"struct<o:{dict(df.dtypes)[order]},i:int,e:string>"
 
 
 def rarity_order() -> list[str]:
@@ -67,21 +191,45 @@ def carriers(df: DataFrame, envs: str, row_id: str, extra: list[str] | None = No
     return unfold(df, distinct, "env_id", row_id, *(extra or []))
 
 
+def rare_carriers(df: DataFrame, envs: Envs, row_id: str, order: str, most: int) -> DataFrame:
+    """``env_id, o, c``: each (environment, carrying record) of the environments that at most ``most`` records carry.
+
+    An environment with more carriers inside one block of records has too many already; others may come in
+    part, so the result is joined to the counted environments.
+    """
+    kind = dict(df.dtypes)
+
+    def few(batch: pa.RecordBatch) -> pa.RecordBatch:
+        b = _Block(batch, envs)
+        at = np.repeat(np.arange(len(b.first)), b.n_mols)
+        keep = np.repeat(b.n_mols, b.n_mols) <= most
+        rec = pa.array(b.rec[b.pairs[keep]])
+        return pa.RecordBatch.from_arrays(
+            [b.ids.take(pa.array(at[keep])), batch.column("o").take(rec), batch.column("c").take(rec)], names=["env_id", "o", "c"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _blocks(batches, envs):
+            yield few(batch)
+
+    rows = df.select(F.col(order).alias("o"), F.col(row_id).cast("string").alias("c"), _source(envs))
+    return rows.mapInArrow(run, f"env_id bigint, o {kind[order]}, c string")
+
+
 def choice_table(
-    df: DataFrame, freq: DataFrame, envs: str, row_id: str, order: str, max_carriers: int = 10
+    df: DataFrame, freq: DataFrame, envs: Envs, row_id: str, order: str, max_carriers: int = 10
 ) -> DataFrame:
     """Environments with few carriers: forced (one) or choice, and the carriers in row order.
 
     Only environments within ``max_carriers`` reach the collecting aggregate, so a list
     never exceeds that bound.
     """
-    few = freq.where(F.col("n_mols") <= max_carriers)
-    hits = lookup_join(carriers(df, envs, row_id, [] if order == row_id else [order]), few, "env_id", "inner")
-    lists = hits.groupBy("env_id").agg(
+    few = stored(freq.where(F.col("n_mols") <= max_carriers))  # the join counts it before it reads it
+    # Both sides are dealt by the environment, of which none has many rows: the most a block passes on is its bound.
+    lists = rare_carriers(df, envs, row_id, order, max_carriers).join(few, "env_id").groupBy("env_id").agg(
         F.first("element").alias("element"),
         F.first("n_mols").alias("n_mols"),
         F.first("n_atoms").alias("n_atoms"),
-        F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(row_id).cast("string").alias("c")))).alias("l"),
+        F.array_sort(F.collect_list(F.struct("o", "c"))).alias("l"),
     )
     return lists.select(
         "env_id", "element", "n_mols", "n_atoms",
@@ -100,21 +248,16 @@ def element_summary(freq: DataFrame, max_carriers: int = 10) -> DataFrame:
     )
 
 
-def coverage_report(df: DataFrame, selected: Column, envs: str = "envs") -> DataFrame:
+def coverage_report(df: DataFrame, selected: Column, envs: Envs = "envs") -> DataFrame:
     """Pool and selected environments per element and per carrier band.
 
-    One scan and one combined aggregate give, per environment, its carriers, whether a
-    selected record has it, and its elements (at most as many as there are elements); the
-    report is counted from that table.
+    One scan and one aggregate of folded blocks give, per environment, its carriers, whether a
+    selected record has it, and its elements (sets of them, at most as many as there are elements
+    in sets); the report is counted from that table.
     """
-    sel = F.coalesce(selected, F.lit(False)).cast("int")
-    inst = F.transform(F.col(envs), lambda e: F.struct(e["env"].alias("env"), F.lit(0).alias("m"), e["element"].alias("el")))
-    once = F.transform(
-        F.array_distinct(F.transform(F.col(envs), lambda e: e["env"])),
-        lambda v: F.struct(v.alias("env"), F.lit(1).alias("m"), F.lit(None).cast("string").alias("el")),
-    )
-    per_env = unfold(df, F.concat(inst, once), "r", sel.alias("s")).groupBy("r.env").agg(
-        F.sum("r.m").alias("n"), F.max("s").alias("hit"), F.collect_set("r.el").alias("els")
+    each = folded(df.withColumn("_o", F.monotonically_increasing_id()), envs, "_o", selected=selected, elements=True)
+    per_env = each.groupBy("env").agg(
+        F.sum("m").alias("n"), F.max(F.col("hit").cast("int")).alias("hit"), F.array_distinct(F.flatten(F.collect_set("els"))).alias("els")
     )
     band = F.coalesce(
         *[
@@ -131,20 +274,16 @@ def coverage_report(df: DataFrame, selected: Column, envs: str = "envs") -> Data
     )
 
 
-def thin_coverage(df: DataFrame, selected: Column, envs: str, row_id: str, order: str) -> DataFrame:
+def thin_coverage(df: DataFrame, selected: Column, envs: Envs, row_id: str, order: str) -> DataFrame:
     """Environments with a single carrier, that carrier, and whether it is selected."""
-    sel = F.coalesce(selected, F.lit(False))
-    numbered = F.transform(F.col(envs), lambda e, i: F.struct(i.alias("i"), e.alias("e")))
-    inst = unfold(
-        df, numbered, "x", F.col(order).alias("o"), F.col(row_id).alias("carrier_id"), sel.alias("covered")
-    ).select("x.*", "o", "carrier_id", "covered")
     return (
-        inst.groupBy(F.col("e.env").alias("env_id"))
+        folded(df, envs, order, row_id, selected)
+        .groupBy(F.col("env").alias("env_id"))
         .agg(
-            F.min("o").alias("lo"), F.max("o").alias("hi"),
-            F.max(F.struct("o", "i", F.col("e.element").alias("e")))["e"].alias("element"),
-            F.max(F.struct("o", "carrier_id"))["carrier_id"].alias("carrier_id"),
-            F.max(F.struct("o", "covered"))["covered"].alias("covered"),
+            F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+            F.max("w")["e"].alias("element"),
+            F.max(F.struct("hi", "c"))["c"].alias("carrier_id"),
+            F.max(F.struct("hi", "covered"))["covered"].alias("covered"),
         )
         .where("lo = hi")
         .select("env_id", "element", "carrier_id", "covered")

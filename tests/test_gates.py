@@ -1,6 +1,7 @@
 """Gates, ordering, outliers, statistics on small literal tables."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -157,6 +158,40 @@ def test_env_frequency_and_presence(spark):
     assert thin == {20: (0, False), 30: (1, True)}
 
 
+def test_environments_read_in_tasks_equal_those_of_the_columns(spark):
+    """Odd blanks, letters beyond one byte, one order for two records, null ids; a column of arrays and a text give one result."""
+    from sparkcurate.plans import queries, selection
+
+    texts = ["a bb ccc", "\tbb\x0bbb \n\u00e9t\u00e9\u00a0x  dddd\f", "", None, "  ", "\U0001f600\U0001f600 a verylongword a", "a", "bb a"]
+    docs = spark.createDataFrame([(min(i, 6), t, "en", "s", 0) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    made = queries.described(docs).select("doc_id", selection.instances().alias("envs")).cache()
+    rows = lambda d: sorted(map(str, d.collect()))
+    table = lambda d, e: [
+        rows(coverage.env_frequency(d, e, "doc_id")), rows(coverage.coverage_report(d, F.col("doc_id") > 4, e)),
+        rows(coverage.thin_coverage(d, F.col("doc_id") > 4, e, "doc_id", "doc_id")),
+        rows(coverage.choice_table(d, coverage.env_frequency(d, e, "doc_id"), e, "doc_id", "doc_id", 2))]
+    assert table(docs, queries.ENVS) == table(made, "envs")
+    flat = [(r.doc_id, i, e.env, e.element) for r in made.collect() for i, e in enumerate(r.envs or [])]
+    freq = {r.env_id: (r.element, r.n_atoms) for r in coverage.env_frequency(docs, queries.ENVS, "doc_id").collect()}
+    assert freq == {e: (max((o, i, n) for o, i, v, n in flat if v == e)[2], sum(v == e for _, _, v, _ in flat)) for e in {v for _, _, v, _ in flat}}
+    nulls = spark.createDataFrame([(1, [(None, "C"), (None, "N")]), (2, [(None, None)])], "i long, envs array<struct<env:long,element:string>>")
+    assert [tuple(r) for r in coverage.env_frequency(nulls, "envs", "i").collect()] == [(None, None, 3, 2)]
+
+
+def test_block_of_instances_counts_like_plain_python():
+    rng = np.random.default_rng(3)
+    lists = [[{"env": int(v), "element": "CNO"[v % 3]} for v in rng.integers(0, 12, int(rng.integers(0, 9)))] for _ in range(40)]
+    kind = pa.list_(pa.struct([("env", pa.int64()), ("element", pa.string())]))
+    batch = pa.RecordBatch.from_arrays([pa.array(rng.permutation(40)), pa.array(lists, kind)], names=["o", "x"])
+    b = coverage._Block(batch.slice(3), "envs")
+    want = {}
+    for r in lists[3:]:
+        for v in {e["env"] for e in r}:
+            n, m = want.get(v, (0, 0))
+            want[v] = n + sum(e["env"] == v for e in r), m + 1
+    assert {v: (n, m) for v, n, m in zip(b.ids.to_pylist(), b.n_atoms.tolist(), b.n_mols.tolist())} == want
+
+
 def test_histogram_edges_and_divergence(spark):
     rng = np.random.default_rng(8)
     lo, hi = -1.3, 7.7
