@@ -61,22 +61,26 @@ def block_of(record: Column | str) -> Column:
 
 
 def parse_records(df: DataFrame, text: str = "value") -> DataFrame:
-    """Add ``mol_block``, ``tags`` and ``parsed``; an unreadable record keeps its position
-    with a null block and no tags."""
-    block = block_of(text)
-    out = df.withColumn("_b", block)
-    ok = molblock.atom_rows("_b").isNotNull() & molblock.bonds("_b").isNotNull()
-    out = out.withColumn("parsed", F.coalesce(ok, F.lit(False)))
+    """Add ``mol_block``, ``tags``, ``parsed``, ``num_atoms`` and ``num_bonds``; an unreadable record keeps its
+    position with a null block and no tags."""
+    def read(b: Column) -> Column:
+        """The block and its counts; null fields for one that does not parse."""
+        sizes = F.struct(b.alias("b"), molblock.n_atoms(b).alias("atoms"), F.size(molblock.bonds(b)).alias("bonds"))
+        return let(sizes, lambda s: F.when((s["atoms"] >= 0) & (s["bonds"] >= 0), s))
+
+    # Unfolded, so that a filter on the result is not pushed below it and parses every block once more.
+    out = df.select("*", F.explode_outer(F.array(let(block_of(text), read))).alias("_r"))
+    out = out.withColumn("parsed", F.col("_r").isNotNull())
     empty = F.expr("cast(map() as map<string,string>)")
     return (
         out.withColumn("tags", F.when(F.col("parsed"), split_tags(text)).otherwise(empty))
-        .withColumn("mol_block", F.when(F.col("parsed"), F.col("_b")))
-        .drop("_b")
+        .withColumns({"mol_block": F.col("_r.b"), "num_atoms": F.col("_r.atoms"), "num_bonds": F.col("_r.bonds")})
+        .drop("_r")
     )
 
 
 def read_sdf(spark: SparkSession, path: str) -> DataFrame:
-    """Rows ``batch_file, row_index, mol_block, tags, parsed`` of SDF files.
+    """Rows ``batch_file, row_index, mol_block, tags, parsed, num_atoms, num_bonds`` of SDF files.
 
     Large files are split at record ends. ``row_index`` (first byte of the split, number in
     the scan) orders the records of one file.
@@ -100,8 +104,11 @@ def extract_rows(df: DataFrame) -> DataFrame:
     not fit (see ``wide_tags``)."""
     tag = lambda k: F.element_at("tags", F.lit(k))
     as_int = lambda k: F.when(parses_as_int(tag(k)), int_value(tag(k))).try_cast("int")
+    known = {"num_atoms", "num_bonds"} <= set(df.columns)
+    counts = ["num_atoms", "num_bonds"] if known else [
+        molblock.n_atoms("mol_block").alias("num_atoms"), F.size(molblock.bonds("mol_block")).alias("num_bonds")]
     return df.where("parsed").select(
-        *[c for c in df.columns if c not in ("tags", "parsed", "mol_block")],
+        *[c for c in df.columns if c not in ("tags", "parsed", "mol_block", "num_atoms", "num_bonds")],
         "mol_block",
         as_float(tag("Energy_Ha")).alias("Energy_Ha"),
         as_int("FormalCharge").alias("FormalCharge"),
@@ -109,8 +116,7 @@ def extract_rows(df: DataFrame) -> DataFrame:
         tag("SMILES").alias("SMILES"), tag("SourceID").alias("SourceID"),
         as_float(tag("HOMO_Ha")).alias("HOMO_Ha"), as_float(tag("LUMO_Ha")).alias("LUMO_Ha"),
         as_float(tag("HL_Gap_Ha")).alias("HL_Gap_Ha"), tag("PartialCharges").alias("PartialCharges"),
-        molblock.n_atoms("mol_block").alias("num_atoms"),
-        F.size(molblock.bonds("mol_block")).alias("num_bonds"),
+        *counts,
     )
 
 

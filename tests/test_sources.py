@@ -323,3 +323,15 @@ def test_descriptor_rows(spark):
     assert df.select(rare_elements(F.array(F.lit("S"), F.lit("C"), F.lit("S"))).alias("r")).first()["r"] == ["S"]
     with pytest.raises(ValueError):
         selection.describe(df, ["no"], allowed=["Qq"])
+
+
+def test_records_are_parsed_once(spark):
+    """A filter on the result is not pushed below the parsing: the plan cuts each block into lines twice, for atoms and bonds."""
+    good = "t\n\n\n  1  0  0  0  0  0  0  0  0  0999 V2000\n    0.0000    0.0000    0.0000 C   0  0\nM  END\n>  <Energy_Ha>\n-1.5\n\n"
+    df = spark.createDataFrame([(1, good), (2, "t\n\n\n  9  0\nM  END\n"), (3, None)], "id int, value string").repartition(2)
+    parsed = sdf.parse_records(df)
+    got = {r.id: (r.parsed, r.num_atoms, r.num_bonds, r.mol_block is None, r.tags) for r in parsed.collect()}
+    assert got == {1: (True, 1, 0, False, {"Energy_Ha": "-1.5"}), 2: (False, None, None, True, {}), 3: (False, None, None, True, {})}
+    rows = sdf.extract_rows(parsed)
+    assert [(r.id, r.num_atoms, r.num_bonds, r.Energy_Ha) for r in rows.collect()] == [(1, 1, 0, -1.5)]
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("M  V30 COUNTS") <= 2
