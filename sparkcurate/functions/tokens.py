@@ -1,4 +1,4 @@
-"""Environments of the tokens of a text, many texts at once.
+"""Environments and neighbour pairs of the tokens of a text, many texts at once.
 
 The ids are those of ``columns.feature_id``; every distinct token of a batch is hashed once.
 """
@@ -18,16 +18,24 @@ def _ids(texts: list[bytes]) -> np.ndarray:
     return np.frombuffer(digests, dtype=">u4")[::4].astype(np.int64)
 
 
-def environments(texts: pa.Array) -> pa.Array:
-    """Lists of (env, element): of every token its own id and that of its first letter behind the one before; the
-    element tells short, medium and long tokens."""
+def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(text, word) numbers of all tokens in order, and the distinct words."""
     pieces = pc.ascii_split_whitespace(texts)
     lens = pc.fill_null(pc.list_value_length(pieces), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     doc, flat = np.repeat(np.arange(len(lens)), lens), pieces.flatten()
     full = pc.not_equal(flat, "")  # before leading and after trailing blanks
     words = flat.filter(full).dictionary_encode()
-    doc = doc[full.to_numpy(zero_copy_only=False)]
-    at, names = words.indices.to_numpy(), words.dictionary
+    return doc[full.to_numpy(zero_copy_only=False)], words.indices.to_numpy(), words.dictionary
+
+
+def _offsets(doc: np.ndarray, texts: pa.Array, each: int = 1) -> pa.Array:
+    return pa.array(np.r_[0, np.cumsum(each * np.bincount(doc, minlength=len(texts)))], pa.int32())
+
+
+def environments(texts: pa.Array) -> pa.Array:
+    """Lists of (env, element): of every token its own id and that of its first letter behind the one before; the
+    element tells short, medium and long tokens."""
+    doc, at, names = _words(texts)
     size = pc.utf8_length(names).to_numpy()
     initials = pc.utf8_slice_codeunits(names, 0, 1).dictionary_encode()
     letters = initials.dictionary.to_pylist()
@@ -42,7 +50,21 @@ def environments(texts: pa.Array) -> pa.Array:
     env[0::2], env[1::2] = _ids(names.cast(pa.binary()).to_pylist())[at], _ids(two)[pair_at]
     kind = np.where(size < 4, 0, np.where(size < 8, 1, 2))[at]
     element = pa.array(["S", "M", "L"]).take(pa.array(np.repeat(kind, 2)))
-    bounds = np.r_[0, np.cumsum(2 * np.bincount(doc, minlength=len(lens)))]
     mask = texts.is_null() if texts.null_count else None
     return pa.ListArray.from_arrays(
-        pa.array(bounds, pa.int32()), pa.StructArray.from_arrays([pa.array(env), element], names=["env", "element"]), mask=mask)
+        _offsets(doc, texts, 2), pa.StructArray.from_arrays([pa.array(env), element], names=["env", "element"]), mask=mask)
+
+
+def pairs(texts: pa.Array) -> pa.Array:
+    """Lists of ``columns.neighbour_pairs``, as numbers of distinct pairs and these: a pair is written once."""
+    doc, at, names = _words(texts)
+    order = pc.array_sort_indices(names)
+    rank = np.empty(len(names), np.int64)
+    rank[order.to_numpy()] = np.arange(len(names))
+    by_name = names.take(order)
+    same = doc[1:] == doc[:-1]
+    a, b = rank[at[:-1][same]], rank[at[1:][same]]
+    keys = pa.array(np.minimum(a, b) * max(1, len(names)) + np.maximum(a, b)).dictionary_encode()
+    low, high = np.divmod(keys.dictionary.to_numpy(), max(1, len(names)))
+    written = pc.binary_join_element_wise(by_name.take(pa.array(low)), by_name.take(pa.array(high)), "-")
+    return pa.ListArray.from_arrays(_offsets(doc[1:][same], texts), pa.DictionaryArray.from_arrays(keys.indices, written))

@@ -290,17 +290,34 @@ def thin_coverage(df: DataFrame, selected: Column, envs: Envs, row_id: str, orde
     )
 
 
-def pair_counts(df: DataFrame, pairs: str = "bonds") -> DataFrame:
-    return unfold(df, F.col(pairs), "bond").groupBy("bond").agg(F.count(F.lit(1)).alias("n"))
+def _pairs(df: DataFrame, pairs: Envs, selected: Column) -> DataFrame:
+    """Rows ``bond, n, s`` of instances and selected instances; a block of texts is folded to one row per pair."""
+    if not isinstance(pairs, Read):
+        return unfold(df, F.col(pairs), "bond", selected.cast("long").alias("s")).select("bond", F.lit(1).alias("n"), "s")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _blocks(batches, pairs):
+            lists = pairs.lists(batch.column("x"))
+            coded, lens = lists.values, pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+            at, names = coded.indices.to_numpy(), coded.dictionary
+            s = np.repeat(batch.column("s").to_numpy(zero_copy_only=False), lens)
+            yield pa.RecordBatch.from_arrays(
+                [names, pa.array(np.bincount(at, minlength=len(names)), pa.int64()), pa.array(np.bincount(at[s], minlength=len(names)), pa.int64())],
+                names=["bond", "n", "s"])
+
+    return df.select(selected.alias("s"), _source(pairs)).mapInArrow(run, "bond string, n bigint, s bigint")
+
+
+def pair_counts(df: DataFrame, pairs: Envs = "bonds") -> DataFrame:
+    return _pairs(df, pairs, F.lit(False)).groupBy("bond").agg(F.sum("n").cast("long").alias("n"))
 
 
-def pair_coverage(df: DataFrame, selected: Column, pairs: str = "bonds") -> DataFrame:
+def pair_coverage(df: DataFrame, selected: Column, pairs: Envs = "bonds") -> DataFrame:
     """Pool and selected instances of every pair type."""
-    sel = F.coalesce(selected, F.lit(False)).cast("long")
     return (
-        unfold(df, F.col(pairs), "bond", sel.alias("s"))
+        _pairs(df, pairs, F.coalesce(selected, F.lit(False)))
         .groupBy("bond")
-        .agg(F.count(F.lit(1)).alias("pool_count"), F.sum("s").alias("selected_count"))
+        .agg(F.sum("n").cast("long").alias("pool_count"), F.sum("s").alias("selected_count"))
         .withColumn("coverage", F.col("selected_count") / F.col("pool_count"))
     )
 

@@ -160,6 +160,7 @@ def test_env_frequency_and_presence(spark):
 
 def test_environments_read_in_tasks_equal_those_of_the_columns(spark):
     """Odd blanks, letters beyond one byte, one order for two records, null ids; a column of arrays and a text give one result."""
+    from sparkcurate.functions import columns as C
     from sparkcurate.plans import queries, selection
 
     texts = ["a bb ccc", "\tbb\x0bbb \n\u00e9t\u00e9\u00a0x  dddd\f", "", None, "  ", "\U0001f600\U0001f600 a verylongword a", "a", "bb a"]
@@ -171,6 +172,9 @@ def test_environments_read_in_tasks_equal_those_of_the_columns(spark):
         rows(coverage.thin_coverage(d, F.col("doc_id") > 4, e, "doc_id", "doc_id")),
         rows(coverage.choice_table(d, coverage.env_frequency(d, e, "doc_id"), e, "doc_id", "doc_id", 2))]
     assert table(docs, queries.ENVS) == table(made, "envs")
+    cut = docs.select("doc_id", C.neighbour_pairs(C.words("text")).alias("bonds"))
+    assert rows(coverage.pair_counts(docs, queries.PAIRS)) == rows(coverage.pair_counts(cut))
+    assert rows(coverage.pair_coverage(docs, F.col("doc_id") > 4, queries.PAIRS)) == rows(coverage.pair_coverage(cut, F.col("doc_id") > 4))
     flat = [(r.doc_id, i, e.env, e.element) for r in made.collect() for i, e in enumerate(r.envs or [])]
     freq = {r.env_id: (r.element, r.n_atoms) for r in coverage.env_frequency(docs, queries.ENVS, "doc_id").collect()}
     assert freq == {e: (max((o, i, n) for o, i, v, n in flat if v == e)[2], sum(v == e for _, _, v, _ in flat)) for e in {v for _, _, v, _ in flat}}
