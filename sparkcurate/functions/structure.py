@@ -18,11 +18,12 @@ records without atoms give empty arrays.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, functions as F
 
+from . import bonded
 from .columns import feature_id, let
 from .molblock import fragment_labels
 
@@ -38,6 +39,17 @@ COVALENT_RADII = dict(zip(
 SLACK = 0.45
 
 
+def _batchwise(kernel: Callable[..., pa.Array], kind: str, *columns: Column) -> Column:
+    """``kernel`` of the columns as Arrow arrays, a batch of records at a time."""
+
+    @F.arrow_udf(kind)
+    def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield kernel(*batch)
+
+    return run(*columns)
+
+
 def _numbers(n: Column) -> Column:
     return F.when(n > 0, F.sequence(F.lit(1), F.greatest(n, F.lit(1)))).when(n == 0, F.expr("cast(array() as array<int>)"))
 
@@ -232,15 +244,19 @@ def canonical(symbols: list[str], bonds: list[tuple[int, int, int]]) -> tuple[li
 def canonical_form(symbols: Column, bonds: Column) -> Column:
     """STRUCT<order ARRAY<INT>, key STRING> of a record: its canonical order and its identity key."""
 
-    @F.pandas_udf("order array<int>, key string")
-    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for syms, edges in batches:
-            out = []
-            for s, e in zip(syms, edges, strict=True):
-                out.append((None, None) if s is None or e is None else canonical(list(s), [(x["a"], x["b"], x["order"]) for x in e]))
-            yield pd.DataFrame(out, columns=["order", "key"])
+    def forms(syms: pa.Array, edges: pa.Array) -> pa.Array:
+        return pa.StructArray.from_arrays(list(bonded.canonical_forms(syms, edges, None, canonical)), names=["order", "key"])
+
+    return _batchwise(forms, "order array<int>, key string", symbols, bonds)
+
+
+def identity_key(symbols: Column, bonds: Column, order: Column | None = None) -> Column:
+    """The identity key of a record; with ``order``, of the record with its atoms in that order, null where it is no order of them."""
+
+    def keys(syms: pa.Array, edges: pa.Array, turned: pa.Array | None = None) -> pa.Array:
+        return bonded.canonical_forms(syms, edges, turned, canonical)[1]
 
-    return run(symbols, bonds)
+    return _batchwise(keys, "string", symbols, bonds, *([] if order is None else [order]))
 
 
 def reordered(symbols: Column, bonds: Column, order: Column) -> tuple[Column, Column]:
