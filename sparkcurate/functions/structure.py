@@ -12,7 +12,7 @@ definitions are this library's own, so ids and keys compare only with each other
   smallest key, so two numberings of one structure get one key.
 
 All but the canonical order are expressions over the record's own arrays: nothing is shuffled, and work
-grows with the square of a record's size at most, the cube for ring bonds. Null arrays give null;
+grows with the square of a record's size at most. Scaffolds go through :mod:`bonded`. Null arrays give null;
 records without atoms give empty arrays.
 """
 
@@ -25,9 +25,9 @@ from pyspark.sql import Column, functions as F
 
 from . import bonded
 from .columns import feature_id, let
-from .molblock import fragment_labels
 
 RADIUS, BITS = 2, 2048
+BONDS = "array<struct<a:int,b:int,order:int>>"
 # Covalent radii in Angstrom (Cordero et al. 2008), hydrogen to xenon in order of atomic number.
 COVALENT_RADII = dict(zip(
     "H He Li Be B C N O F Ne Na Mg Al Si P S Cl Ar K Ca Sc Ti V Cr Mn Fe Co Ni Cu Zn Ga Ge As Se Br Kr "
@@ -116,22 +116,17 @@ def refined_classes(symbols: Column, bonds: Column) -> Column:
 
 def core_bonds(n: Column, bonds: Column) -> Column:
     """The bonds that repeated removal of end atoms leaves."""
-    def ends(held: Column, atom: Column) -> Column:
-        return F.size(F.filter(held, lambda e: (e["a"] == atom) | (e["b"] == atom)))
-
-    def step(held: Column, _: Column) -> Column:
-        return F.filter(held, lambda e: (ends(held, e["a"]) > 1) & (ends(held, e["b"]) > 1))
-
-    return F.aggregate(_numbers(n), bonds, step)
+    return _batchwise(bonded.core_bonds, BONDS, n, bonds)
 
 
 def ring_bonds(n: Column, core: Column) -> Column:
     """The bonds of a core whose ends stay connected without them."""
-    def stays(e: Column, at: Column, s: Column) -> Column:
-        labels = fragment_labels(s["n"], F.filter(s["c"], lambda _, i: i != at))
-        return let(labels, lambda v: F.get(v, e["a"] - 1) == F.get(v, e["b"] - 1))
+    return _batchwise(bonded.ring_bonds, BONDS, n, core)
+
 
-    return let(F.struct(n.alias("n"), core.alias("c")), lambda s: F.filter(s["c"], lambda e, i: stays(e, i, s)))
+def scaffold(n: Column, bonds: Column) -> Column:
+    """STRUCT<core, ring>: the bonds of the core and those of them in rings, in one pass."""
+    return _batchwise(bonded.scaffold, f"core {BONDS}, ring {BONDS}", n, bonds)
 
 
 def atoms_of(bonds: Column) -> Column:
