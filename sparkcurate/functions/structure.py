@@ -11,20 +11,20 @@ definitions are this library's own, so ids and keys compare only with each other
 * The canonical order individualizes atoms that refinement cannot tell apart and takes the order with the
   smallest key, so two numberings of one structure get one key.
 
-All but the canonical order are expressions over the record's own arrays: nothing is shuffled, and work
-grows with the square of a record's size at most. Scaffolds go through :mod:`bonded`. Null arrays give null;
-records without atoms give empty arrays.
+Nothing is shuffled. Environments, refinement, scaffolds and the canonical order of small records are made by
+:mod:`bonded` for a batch of records at a time. Null arrays give null; records without atoms give empty arrays.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import Column, functions as F
 
 from . import bonded
-from .columns import feature_id, let
+from .columns import let
 
 RADIUS, BITS = 2, 2048
 BONDS = "array<struct<a:int,b:int,order:int>>"
@@ -50,44 +50,9 @@ def _batchwise(kernel: Callable[..., pa.Array], kind: str, *columns: Column) ->
     return run(*columns)
 
 
-def _numbers(n: Column) -> Column:
-    return F.when(n > 0, F.sequence(F.lit(1), F.greatest(n, F.lit(1)))).when(n == 0, F.expr("cast(array() as array<int>)"))
-
-
-def neighbours(n: Column, bonds: Column) -> Column:
-    """Per atom, its bonds as structs (other, order)."""
-    other = lambda e, i: F.when(e["a"] == i, e["b"]).otherwise(e["a"])
-    return F.transform(_numbers(n), lambda i: F.transform(
-        F.filter(bonds, lambda e: (e["a"] == i) | (e["b"] == i)),
-        lambda e: F.struct(other(e, i).cast("int").alias("other"), e["order"].cast("int").alias("order"))))
-
-
-def _next_codes(codes: Column, near: Column) -> Column:
-    """Ids of each atom's id and the sorted ids around it."""
-    def around(i: Column) -> Column:
-        return F.array_join(F.array_sort(F.transform(
-            F.get(near, i), lambda t: F.concat(t["order"].cast("string"), F.lit(":"), F.get(codes, t["other"] - 1).cast("string")))), ",")
-
-    return F.transform(codes, lambda c, i: feature_id(F.concat(c.cast("string"), F.lit("("), around(i), F.lit(")"))))
-
-
-def _first_codes(symbols: Column, near: Column) -> Column:
-    return F.transform(symbols, lambda s, i: feature_id(F.concat(s, F.lit("|"), F.size(F.get(near, i)).cast("string"))))
-
-
 def environments(symbols: Column, bonds: Column, radius: int = RADIUS) -> Column:
     """Per atom, the ids of its environments of radius 0 to ``radius``: ARRAY<ARRAY<BIGINT>>."""
-    def grown(codes: Column, near: Column, all_: Column, left: int) -> Column:
-        if not left:
-            return all_
-        held = F.struct(_next_codes(codes, near).alias("c"), near.alias("n"), all_.alias("all"))
-        return let(held, lambda s: grown(s["c"], s["n"], F.zip_with(s["all"], s["c"], lambda x, c: F.array_append(x, c)), left - 1))
-
-    def start(s: Column) -> Column:
-        return let(F.struct(_first_codes(s["s"], s["n"]).alias("c"), s["n"].alias("n")),
-                   lambda t: grown(t["c"], t["n"], F.transform(t["c"], lambda c: F.array(c)), radius))
-
-    return let(F.struct(symbols.alias("s"), neighbours(F.size(symbols), bonds).alias("n")), start)
+    return _batchwise(partial(bonded.environments, radius=radius), "array<array<bigint>>", symbols, bonds)
 
 
 def fingerprint(envs: Column, bits: int = BITS) -> Column:
@@ -97,21 +62,7 @@ def fingerprint(envs: Column, bits: int = BITS) -> Column:
 
 def refined_classes(symbols: Column, bonds: Column) -> Column:
     """Per atom, the first atom that refinement cannot tell from it."""
-    def rounds(s: Column) -> Column:
-        first = _first_codes(s["s"], s["n"])
-        state = F.struct(first.alias("c"), F.size(F.array_distinct(first)).alias("k"), F.lit(False).alias("done"))
-
-        def step(x: Column, _: Column) -> Column:
-            def judged(c: Column) -> Column:
-                k = F.size(F.array_distinct(c))
-                return F.struct(c.alias("c"), k.alias("k"), (k == x["k"]).alias("done"))
-
-            return F.when(x["done"], x).otherwise(let(_next_codes(x["c"], s["n"]), judged))
-
-        codes = F.aggregate(_numbers(F.size(s["s"])), state, step, lambda x: x["c"])
-        return let(codes, lambda c: F.transform(c, lambda v: F.array_position(c, v).cast("int")))
-
-    return let(F.struct(symbols.alias("s"), neighbours(F.size(symbols), bonds).alias("n")), rounds)
+    return _batchwise(bonded.refined_classes, "array<int>", symbols, bonds)
 
 
 def core_bonds(n: Column, bonds: Column) -> Column:
