@@ -11,6 +11,9 @@ import numpy as np
 REMATCHES = 5
 # Entries of the distance matrices that one step of stacked structures holds.
 STACKED = 500_000
+# Pairs whose covariances one step of a bounded search holds, and the part of the squared sizes that its closed form may be off.
+BOUNDED = 32_768
+MARGIN = 1e-3
 
 
 def _superpose(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -174,6 +177,85 @@ def _matched_items(xs: np.ndarray, ys: np.ndarray) -> np.ndarray:
     return out
 
 
+def _nearest(m: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    best = m.argmin(axis=1)
+    val = m[np.arange(len(m)), best]
+    return np.where(val < d, val, np.inf), best
+
+
+def _rmsd_items(xs: np.ndarray, ys: np.ndarray) -> np.ndarray:
+    """:func:`kabsch_rmsd` of ``xs[k]`` and ``ys[k]`` for all k."""
+    xs, ys = xs - xs.mean(axis=1, keepdims=True), ys - ys.mean(axis=1, keepdims=True)
+    u, _, vt = np.linalg.svd(np.swapaxes(ys, 1, 2) @ xs)
+    u[np.linalg.det(u @ vt) < 0, :, 2] *= -1
+    return np.sqrt(((xs - ys @ (u @ vt)) ** 2).sum(axis=(1, 2)) / xs.shape[1])
+
+
+def _overlap(c: np.ndarray) -> np.ndarray:
+    """Sum of the singular values of 3x3 matrices (9, k), the smallest with the sign of the determinant, in closed form.
+
+    It is off by up to some 1e-4 of the largest one where the matrix is nearly singular.
+    """
+    a, b, d = c[0:3], c[3:6], c[6:9]
+    aa, bb, dd = (a * a).sum(axis=0), (b * b).sum(axis=0), (d * d).sum(axis=0)
+    ab, ad, bd = (a * b).sum(axis=0), (a * d).sum(axis=0), (b * d).sum(axis=0)
+    mid = (aa + bb + dd) / 3
+    x, y, z = aa - mid, bb - mid, dd - mid
+    p = np.sqrt((x * x + y * y + z * z + 2 * (ab * ab + ad * ad + bd * bd)) / 6)
+    half = (x * (y * z - bd * bd) - ab * (ab * z - bd * ad) + ad * (ab * bd - y * ad)) / 2
+    turn = np.arccos(np.clip(half / np.maximum(p * p * p, 1e-300), -1, 1)) / 3
+    high, low = mid + 2 * p * np.cos(turn), mid + 2 * p * np.cos(turn + 2 * np.pi / 3)
+    det = a[0] * (b[1] * d[2] - b[2] * d[1]) - a[1] * (b[0] * d[2] - b[2] * d[0]) + a[2] * (b[0] * d[1] - b[1] * d[0])
+    root = lambda v: np.sqrt(np.maximum(v, 0))
+    return root(high) + root(3 * mid - high - low) + np.copysign(root(low), det)
+
+
+def _against_rmsd(made: np.ndarray, between: Callable, scale: float) -> Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    """:meth:`Metric.nearer` for stacked point sets of one size, with distances divided by ``scale``.
+
+    Three steps, each for what the one before leaves: a bound from the norm of the covariance, the RMSD in closed form
+    with a margin, and the superposition itself. So the distances are those of the superposition.
+    """
+    n = made.shape[1]
+    # One row per axis and structure, so that all covariances are one product.
+    flat = np.ascontiguousarray((made - made.mean(axis=1, keepdims=True)).transpose(2, 0, 1))
+    norm = (flat**2).sum(axis=(0, 2)) / n
+
+    def near(picks: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if picks.shape[1:] != made.shape[1:] or not np.isfinite(picks).all():
+            return _nearest(between(made, picks), d)
+        ys = np.ascontiguousarray((picks - picks.mean(axis=1, keepdims=True)).transpose(2, 1, 0))
+        size = (ys**2).sum(axis=(0, 1)) / n
+        best, first = np.array(d, dtype=float), np.full(len(made), -1)
+        wide = min(len(picks), 64)
+        step = max(1, BOUNDED // wide)
+        for lo in range(0, len(made), step):
+            x, e, held, at = flat[:, lo : lo + step], norm[lo : lo + step], best[lo : lo + step], first[lo : lo + step]
+            for start in range(0, len(picks), wide):
+                y, both = ys[:, :, start : start + wide], e[:, None] + size[start : start + wide]
+                cov = np.empty((9, *both.shape))
+                for i in range(3):
+                    for j in range(3):
+                        np.matmul(x[i], y[j], out=cov[3 * i + j])
+                most = np.minimum(held * scale, 1e150)[:, None] ** 2 + MARGIN * both
+                row, col = np.nonzero(both - 2 / n * np.sqrt(3 * np.einsum("kij,kij->ij", cov, cov)) <= most)
+                about = both[row, col] - 2 / n * _overlap(cov[:, row, col])
+                least = np.full(len(held), np.inf)
+                np.minimum.at(least, row, about)
+                close = np.flatnonzero(about <= np.minimum(most[row, col], least[row] + MARGIN * both[row, col]))
+                row, col = row[close], col[close]
+                if not len(row):
+                    continue
+                exact = _rmsd_items(made[lo + row], picks[start + col]) / scale
+                order = np.lexsort((col, exact, row))
+                order = order[np.r_[True, np.diff(row[order]) > 0]]
+                order = order[exact[order] < held[row[order]]]
+                held[row[order]], at[row[order]] = exact[order], start + col[order]
+        return np.where(first >= 0, best, np.inf), np.maximum(first, 0)
+
+    return near
+
+
 @dataclass(frozen=True)
 class Metric:
     """A distance between payloads, and a feature that never differs by more than it.
@@ -191,6 +273,16 @@ class Metric:
     between: Callable[[np.ndarray, np.ndarray], np.ndarray]
     vectorized: bool = True
     items: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None
+    against: Callable[[np.ndarray], Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]] | None = None
+
+    def nearer(self, made: np.ndarray) -> Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+        """Function of prepared picks and of a distance per row: the distance of the nearest pick where it is below
+        that, else infinite, and the first pick that has it. ``against`` makes one that leaves out what bounds exclude."""
+        return (lambda picks, d: _nearest(self.between(made, picks), d)) if self.against is None else self.against(made)
+
+    def nearest(self, xs: list, ys: list, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """:meth:`nearer` of payloads ``xs`` for the picks ``ys``."""
+        return _nearest(self.pairwise(xs, ys), d) if self.against is None else self.against(self.prepare(xs))(self.prepare(ys), d)
 
     def near(self, made: np.ndarray, features: np.ndarray, i: int, others: np.ndarray, cut: float) -> np.ndarray:
         """Distances of prepared payload ``i`` to ``others`` below ``cut``; else infinite."""
@@ -250,7 +342,10 @@ def ordered_rmsd(normalized: bool = False, transposed: bool = False) -> Metric:
     """Kabsch RMSD of payloads ``[[x,y,z], ...]`` in one atom order."""
 
     def prepare(ps: list) -> np.ndarray:
-        return _ragged([_points(p) for p in ps])
+        lens = {len(p) for p in ps}
+        if len(lens) != 1 or lens == {0}:
+            return _ragged([_points(p) for p in ps])
+        return np.concatenate([q for p in ps for q in p]).astype(float).reshape(len(ps), -1, 3)
 
     def between(xs: np.ndarray, ys: np.ndarray) -> np.ndarray:
         shapes = {x.shape for x in (*xs, *ys)}
@@ -265,7 +360,12 @@ def ordered_rmsd(normalized: bool = False, transposed: bool = False) -> Metric:
         xs = [_points(p) for p in ps]
         return np.array([_spread(x) / (np.sqrt(len(x)) if normalized and len(x) else 1.0) for x in xs])
 
-    return Metric(lambda ps, qs: between(prepare(ps), prepare(qs)), feature, lambda t: t, prepare, between)
+    def against(made: np.ndarray) -> Callable:
+        if transposed or made.ndim != 3 or not np.isfinite(made).all():
+            return lambda picks, d: _nearest(between(made, picks), d)
+        return _against_rmsd(made, between, float(np.sqrt(made.shape[1])) if normalized else 1.0)
+
+    return Metric(lambda ps, qs: between(prepare(ps), prepare(qs)), feature, lambda t: t, prepare, between, against=against)
 
 
 def permuted_rmsd() -> Metric:

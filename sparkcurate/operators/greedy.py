@@ -112,9 +112,7 @@ def _distances(rule: Rule, groups, payloads, d, near, pending: dict) -> tuple[np
         idx = np.flatnonzero(groups == g)
         for lo in range(0, len(idx), 2048):
             part = idx[lo : lo + 2048]
-            m = rule.metric.pairwise([payloads[i] for i in part], p.payloads)
-            best = m.argmin(axis=1)
-            val = m[np.arange(len(part)), best]
+            val, best = rule.metric.nearest([payloads[i] for i in part], p.payloads, d[part])
             closer = val < d[part]
             d[part] = np.where(closer, val, d[part])
             near[part] = np.where(closer, np.asarray(p.numbers)[best], near[part])
@@ -158,16 +156,21 @@ def _frame(rule, pending, groups, rows, d, near, gain, rarest) -> pd.DataFrame:
     return pd.DataFrame({"ok": ok & ~taken, "k0": k0, "k1": k1, "d": d, "near": near})
 
 
-def pick_from(cands: pd.DataFrame, rule: Rule, bound: tuple | None, budget: int, carried: dict) -> list[dict]:
+def pick_from(
+    cands: pd.DataFrame, rule: Rule, bound: tuple | None, budget: int, carried: dict, found: dict | None = None
+) -> list[dict]:
     """Make every pick that the candidates decide, in order.
 
     ``cands`` has columns row, payload, d (and er, en, eb); ``bound`` is the rank of the
-    first row outside, or None when the candidates are the whole group.
+    first row outside, or None when the candidates are the whole group. ``found`` gets ``d``
+    and ``near`` of the candidates: the distance to the nearest pick and its number here, 0 for none.
     """
     rows = cands["row"].to_numpy()
     payloads = cands["payload"].tolist()
     made = rule.metric.prepare(payloads) if rule.metric is not None else None
+    nearer = rule.metric.nearer(made) if rule.metric is not None else None
     d = cands["d"].to_numpy(dtype=float).copy()
+    near = np.zeros(len(rows), dtype=np.int64)
     alive = np.ones(len(rows), dtype=bool)
     gain, rarest = np.zeros(len(rows)), np.zeros(len(rows))
     holders: dict[int, list[tuple[int, float]]] = {}
@@ -212,15 +215,21 @@ def pick_from(cands: pd.DataFrame, rule: Rule, bound: tuple | None, budget: int,
                     "d": float(d[best]), "gain": float(-k0[best]), "closed": closed,
                     "er": list(cands["er"].iloc[best]) if rule.uses_envs else []})
         if rule.metric is not None:
-            d = np.minimum(d, rule.metric.between(made, made[[best]])[:, 0])
+            val, _ = nearer(made[[best]], d)
+            closer = val < d
+            d, near = np.where(closer, val, d), np.where(closer, len(out), near)
+    if found is not None:
+        found["d"], found["near"] = d, near
     return out
 
 
 def fold(pool: DataFrame, rule: Rule, pending: dict) -> DataFrame:
-    """Write pending picks into ``d``, ``near`` and ``eb``; picked rows leave the pool."""
+    """Write pending picks into ``d``, ``near`` and ``eb``; picked rows leave the pool, and so do rows nearer
+    than the ``cut`` of a farthest-first rule, which are never picked."""
     if not pending:
         return pool
     schema = pool.schema
+    settled = rule.kind == "farthest" and rule.cut is not None
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -232,7 +241,8 @@ def fold(pool: DataFrame, rule: Rule, pending: dict) -> DataFrame:
                     [int(b) + pending[k].carried.get(int(r), 0) for r, b in zip(er, eb)] if k in pending else eb
                     for k, er, eb in zip(g, pdf["er"], pdf["eb"])
                 ]
-            yield pdf[~np.asarray(taken, dtype=bool)]
+            taken = np.asarray(taken, dtype=bool)
+            yield pdf[~taken & (pdf["d"].to_numpy() >= rule.cut if settled else True)]
 
     return checkpointed(pool.mapInPandas(run, schema))
 

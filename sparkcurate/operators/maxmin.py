@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.geometry import Metric
-from ..session import checkpointed, lookup_join
+from ..session import checkpointed, lookup_join, spread
 from . import greedy
 from .greedy import FOLD_AT, START, WINDOW, Pending, Rule, pick_from, pick_rounds
 
@@ -28,9 +28,24 @@ RESULT = "row bigint, number int, near bigint, d double"
 def _light_kernel(metric: Metric, cut: float | None, covered: float | None):
     rule = Rule("farthest", metric, cut)
 
+    def answer(pdf: pd.DataFrame, picks: list[dict], near: np.ndarray, d: np.ndarray) -> pd.DataFrame:
+        number = {p["row"]: i for i, p in enumerate(picks, 1)}
+        score = {p["row"]: p["d"] for p in picks}
+        mine = pdf["row"].map(number)
+        return pd.DataFrame({
+            "row": pdf["row"], "number": mine.astype("Int32"),
+            "near": np.where(mine.notna(), mine.fillna(0), near).astype("int64"),
+            "d": [score.get(r, v) for r, v in zip(pdf["row"], d)],
+        })
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("row").reset_index(drop=True)
-        picks = pick_from(pdf, rule, None, int(pdf["k"].iloc[0]), {})
+        found: dict = {}
+        picks = pick_from(pdf, rule, None, int(pdf["k"].iloc[0]), {}, found)
+        if covered is None and metric.against is not None:
+            # Picks of another shape are infinitely far; the first one stands for all of them.
+            near = np.maximum(found["near"], 1)
+            return answer(pdf, picks, near, np.where(found["near"] > 0, found["d"], np.inf))
         dist = metric.pairwise(pdf["payload"].tolist(), [p["payload"] for p in picks])
         if covered is not None:
             reach = np.minimum.accumulate(dist, axis=1) < cut
@@ -40,15 +55,8 @@ def _light_kernel(metric: Metric, cut: float | None, covered: float | None):
             enough = np.flatnonzero(reach.mean(axis=0) >= covered)
             if len(enough):
                 picks, dist = picks[: enough[0] + 1], dist[:, : enough[0] + 1]
-        number = {p["row"]: i for i, p in enumerate(picks, 1)}
-        score = {p["row"]: p["d"] for p in picks}
         best = dist.argmin(axis=1)
-        mine = pdf["row"].map(number)
-        return pd.DataFrame({
-            "row": pdf["row"], "number": mine.astype("Int32"),
-            "near": np.where(mine.notna(), mine.fillna(0), best + 1).astype("int64"),
-            "d": [score.get(r, v) for r, v in zip(pdf["row"], dist[np.arange(len(pdf)), best])],
-        })
+        return answer(pdf, picks, best + 1, dist[np.arange(len(pdf)), best])
 
     return run
 
@@ -65,10 +73,13 @@ def _near_column(metric: Metric, cut: float | None, pending: dict[int, Pending])
                 idx = np.flatnonzero(g == key)
                 for lo in range(0, len(idx), 1024):
                     part = idx[lo : lo + 1024]
-                    m = metric.pairwise([payload.iloc[i] for i in part], p.payloads)
-                    nums = np.asarray(p.numbers)
-                    best = m.argmin(axis=1)
-                    val = m[np.arange(len(part)), best]
+                    rows, nums = [payload.iloc[i] for i in part], np.asarray(p.numbers)
+                    if cut is None:
+                        val, best = metric.nearest(rows, p.payloads, d[part])
+                    else:
+                        m = metric.pairwise(rows, p.payloads)
+                        best = m.argmin(axis=1)
+                        val = m[np.arange(len(part)), best]
                     closer = val < d[part]
                     d[part] = np.where(closer, val, d[part])
                     n[part] = np.where(closer, nums[best], n[part])
@@ -137,11 +148,11 @@ def farthest_first(
                                     schema.add("grp", "long"))
         tagged = lookup_join(base, ids, group, "left")
         rest = tagged.where("grp is null").drop("grp")
-    small = rest.groupBy(*group).applyInPandas(_light_kernel(metric, cut, covered), RESULT)
+    small = spread(rest, *group).groupBy(*group).applyInPandas(_light_kernel(metric, cut, covered), RESULT)
     if not hot:
         return small
     pool = tagged.where("grp is not null").select("grp", "row", "payload", "d", F.lit(-1).cast("bigint").alias("near"))
-    pool = checkpointed(pool)
+    pool = checkpointed(spread(pool, "row"))
     rule = Rule("farthest", metric, cut)
     picks, left, pending = pick_rounds(
         pool, rule, {i: h["k"] for i, h in enumerate(hot)}, list(range(len(hot))), window
