@@ -1,6 +1,6 @@
 """Farthest-first (MaxMin) selection inside groups, for small and for very large groups.
 
-A group of at most ``LIGHT`` rows is one bounded Arrow task. Larger groups go through the
+A group of at most ``LIGHT`` rows (``LIGHT_RIGID`` for RMSD) is one bounded Arrow task. Larger groups go through the
 shared pick rounds of :mod:`greedy`, where the rows of a group stay spread over all tasks.
 Both ways make the same picks.
 """
@@ -19,6 +19,8 @@ from . import greedy
 from .greedy import FOLD_AT, START, WINDOW, Pending, Rule, pick_from, pick_rounds
 
 LIGHT = 4000
+# The same for RMSD, whose bounded search needs a thirtieth of the time per pick and holds no matrix of rows and picks.
+LIGHT_RIGID = 16_000
 # Fixed value: share of a group that must lie near a pick in coverage mode.
 COVERED_SHARE = 0.95
 NO_BUDGET = 2**62
@@ -194,7 +196,7 @@ def _truncate(pool, picks, metric, cut, covered) -> DataFrame:
 
 def conformer_filter(
     df: DataFrame, key: str, row: str, coords: str, energy: str | None = "Energy_Ha", threshold: float | None = None,
-    mode: str = "raw", coverage_guarantee: bool = False, legacy_rotation: bool = False, light: int = LIGHT,
+    mode: str = "raw", coverage_guarantee: bool = False, legacy_rotation: bool = False, light: int | None = None,
 ) -> DataFrame:
     """Add ``conformer_status`` and ``cluster_id``: MaxMin over heavy-atom RMSD per compound.
 
@@ -219,6 +221,8 @@ def conformer_filter(
     else:
         work = work.withColumn("_r", F.col(row))
     metric = ordered_rmsd(mode == "normalized", legacy_rotation)
+    if light is None:
+        light = LIGHT if coverage_guarantee or legacy_rotation else LIGHT_RIGID
     res = farthest_first(
         work, [key], "_r", coords, metric, cut, covered=COVERED_SHARE if coverage_guarantee else None, light=light
     )

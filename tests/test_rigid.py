@@ -82,3 +82,16 @@ def test_farthest_first_by_rmsd(spark, light):
             if k and np.isfinite(want := score.get(k, d[k, picks].min())):
                 assert r["d"] == pytest.approx(want, abs=1e-6)
     assert not got
+
+
+def test_conformers_by_both_ways(spark):
+    from sparkcurate.operators.maxmin import conformer_filter
+
+    rng = np.random.default_rng(9)
+    base = rng.normal(size=(20, 6, 3)) / 3
+    rows = [(i, f"c{i % 3}" if i % 41 else None, (base[i % 20] + rng.normal(size=(6, 3)) * 0.05).tolist() if i % 37 else None, float(i * 7 % 50)) for i in range(240)]
+    df = spark.createDataFrame(rows, "row long, key string, xyz array<array<double>>, e double")
+    one, two = (
+        sorted(conformer_filter(df, "key", "row", "xyz", "e", 0.25, light=light).select("row", "conformer_status", "cluster_id").collect())
+        for light in (None, 10))
+    assert one == two and {r.conformer_status for r in one} == {"kept", "removed_conformer", "mol_corrupt", "no_compound_id"}
