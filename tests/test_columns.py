@@ -120,3 +120,13 @@ def test_fragments_and_zwitterion(spark):
     for q, edges, want in cases:
         lab, e = labels(len(q), edges)
         assert one(spark, (q,), "q array<int>", molblock.true_zwitterion(F.col("q"), e, lab)) is want, q
+
+
+def test_on_bits_of_texts(spark):
+    """Bits made for a batch of texts are those of the expressions."""
+    from sparkcurate.functions import tokens
+
+    texts = [None, "", "  \t\n", "a b  a\tb\x0bc\x0cd\r\né ß", "word " * 300, *(" ".join(f"w{i * k % 97}" for k in range(i)) for i in range(40))]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    rows = df.select(tokens.on_bits("text").alias("a"), C.on_bits(C.words("text")).alias("b")).collect()
+    assert all(r["a"] == r["b"] for r in rows) and rows[0]["a"] is None and rows[1]["a"] == []

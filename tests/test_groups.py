@@ -130,3 +130,20 @@ def test_tanimoto_blocks_hold_each_set_once(spark, monkeypatch):
     assert len(packed) == 12 and sum(len(r["bits"]) for r in packed) == 8 * sum(map(len, sets))
     for i, a in enumerate(sets):
         assert got[i] == max(len(set(a) & set(b)) / len(set(a) | set(b)) for j, b in enumerate(sets) if j != i)
+
+
+def test_tanimoto_blocks_are_bounded_by_bits(spark, monkeypatch):
+    """Blocks of large sets hold few of them, and the answer is the same."""
+    from sparkcurate.operators import nearest
+
+    tables, write = [], nearest.stored
+    monkeypatch.setattr(nearest, "stored", lambda df: tables.append(write(df)) or tables[-1])
+    monkeypatch.setattr(nearest, "BLOCK_BITS", 2000)
+    rng = np.random.default_rng(6)
+    sets = [sorted(set(rng.choice(700, size=rng.integers(20, 400)).tolist())) for _ in range(80)]
+    df = spark.createDataFrame(list(enumerate(sets)), "id long, bits array<int>")
+    got = {r["id"]: r["max_tanimoto"] for r in tanimoto_nearest(df, "id", "bits", light=0).collect()}
+    packed = [t for t in tables if "best" in t.columns][0].collect()
+    assert max(len(r["bits"]) for r in packed) <= 8 * (2000 + 400)
+    for i, a in enumerate(sets):
+        assert got[i] == max(len(set(a) & set(b)) / len(set(a) | set(b)) for j, b in enumerate(sets) if j != i)
