@@ -147,3 +147,24 @@ def test_tanimoto_blocks_are_bounded_by_bits(spark, monkeypatch):
     assert max(len(r["bits"]) for r in packed) <= 8 * (2000 + 400)
     for i, a in enumerate(sets):
         assert got[i] == max(len(set(a) & set(b)) / len(set(a) | set(b)) for j, b in enumerate(sets) if j != i)
+
+
+@pytest.mark.parametrize("cut", [None, 0.6])
+def test_nearest_of_many_picks_in_slices(spark, monkeypatch, cut):
+    """Picks that come in slices give the distance and the first pick of all of them together."""
+    from sparkcurate.functions.geometry import tanimoto_distance
+    from sparkcurate.operators import maxmin
+
+    monkeypatch.setattr(maxmin, "FOLD_AT", 7)
+    rng = np.random.default_rng(8)
+    sets = [sorted(set(rng.choice(30, size=rng.integers(1, 9)).tolist())) for _ in range(90)] + [[], [29]]
+    rows = [(i % 2, i, s) for i, s in enumerate(sets)]
+    picks = [(i % 2, 1000 - i, s) for i, s in enumerate(sets[::2] + sets[1::2] + sets[:9])]
+    df = spark.createDataFrame(rows, "grp bigint, row bigint, payload array<int>")
+    pf = spark.createDataFrame(picks, "grp bigint, number bigint, payload array<int>")
+    got = maxmin.assign_nearest(df, pf, tanimoto_distance(), cut, slice_at=20).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        d = [(1.0 - len(set(r["payload"]) & set(p)) / max(len(set(r["payload"]) | set(p)), 1), n) for g, n, p in picks if g == r["grp"]]
+        assert (r["d"], r["near"]) == min(d)
+        assert r["first"] == (min((n for v, n in d if v < cut), default=maxmin.NO_BUDGET) if cut else maxmin.NO_BUDGET)

@@ -78,3 +78,14 @@ def test_stacked_distances_equal_those_pair_by_pair():
     want = [G.conformer_rmsd(*(np.array(items[k]).reshape(-1, 4)[:, s] for k in (a, b) for s in (0, slice(1, 4)))) for a, b in zip(i, j)]
     assert m.items(made[i], made[j]).tolist() == want
     assert m.pairwise(items, items).ravel().tolist() == want
+
+
+def test_closest_by_tanimoto_is_the_first_of_the_nearest():
+    rng = np.random.default_rng(3)
+    sets = [sorted(set(rng.choice(40, size=rng.integers(0, 12)).tolist())) for _ in range(80)]
+    m = G.tanimoto_distance()
+    xs, ys = sets[:50], [*sets[30:], *sets[40:60], []]
+    for d in (np.full(50, np.inf), np.full(50, 1.0), rng.uniform(0, 1, 50)):
+        val, first = m.closest(xs, ys, d)
+        want, at = G._nearest(m.pairwise(xs, ys), d)
+        assert (val == want).all() and (first == at)[np.isfinite(val)].all()
