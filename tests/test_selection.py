@@ -210,3 +210,16 @@ def test_pool_counts_inside_the_record(spark):
     assert {r["row"]: [tuple(x) for x in r["c"]] for r in counts.collect()} == {0: [(1, 1), (3, 1), (7, 3)], 1: [], 2: [(3, 2)]}
     ranked = spark.createDataFrame([(1, 1, 1), (7, 2, 1), (3, 3, 2)], "env_id bigint, rank bigint, n_mols bigint")
     assert sorted(map(tuple, S.env_pool(rows, ranked).collect())) == [(0, 1, 1, 0), (0, 2, 3, 0), (0, 3, 1, 0), (2, 3, 2, 0)]
+
+
+@pytest.fixture()
+def no_broadcast(monkeypatch):
+    """Tables of more than five rows count as too large to broadcast."""
+    monkeypatch.setattr(S, "BROADCAST_ROWS", 5)
+    monkeypatch.setattr(S, "fits_broadcast", lambda df: df.limit(6).count() <= 5)
+
+
+def test_cost_curve_beyond_broadcast(rows, recs, no_broadcast):
+    ranked = S.rank_envs(coverage.env_frequency(rows, "envs", "row"))
+    got = S.set_cover_curve(S.env_pool(rows, ranked), ranked.where("n_mols = 1").count()).orderBy("molecules").collect()
+    assert [(r["molecules"], r["covered"]) for r in got] == Brute([(e, b, f) for e, b, f in recs]).curve()
