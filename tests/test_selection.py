@@ -219,6 +219,20 @@ def no_broadcast(monkeypatch):
     monkeypatch.setattr(S, "fits_broadcast", lambda df: df.limit(6).count() <= 5)
 
 
+def test_pool_beyond_broadcast_is_the_same(rows, no_broadcast, monkeypatch):
+    """Ranks that are broadcast and ranks that are joined by a shuffle make one pool, without a second pass over the records."""
+    ranked = S.rank_envs(coverage.env_frequency(rows, "envs", "row"))
+    carried = ranked.where("rank % 3 = 0").select("env_id", (F.col("rank") % 4).alias("mult"))
+    got = S.env_pool(rows, ranked, carried)
+    counted, real = [], coverage.counted
+    monkeypatch.setattr(coverage, "counted", lambda *a: counted.append(a) or real(*a))
+    S.env_pool(rows, ranked, carried)
+    assert len(counted) == 1
+    want = rows.select("row", F.explode(S.env_counts()).alias("e")).select("row", "e.*").join(ranked, "env_id").join(carried, "env_id", "left").select(
+        "row", "rank", F.col("n").cast("bigint"), F.coalesce("mult", F.lit(0)).cast("bigint").alias("b"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
 def test_cost_curve_beyond_broadcast(rows, recs, no_broadcast):
     ranked = S.rank_envs(coverage.env_frequency(rows, "envs", "row"))
     got = S.set_cover_curve(S.env_pool(rows, ranked), ranked.where("n_mols = 1").count()).orderBy("molecules").collect()
