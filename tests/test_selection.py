@@ -237,3 +237,26 @@ def test_cost_curve_beyond_broadcast(rows, recs, no_broadcast):
     ranked = S.rank_envs(coverage.env_frequency(rows, "envs", "row"))
     got = S.set_cover_curve(S.env_pool(rows, ranked), ranked.where("n_mols = 1").count()).orderBy("molecules").collect()
     assert [(r["molecules"], r["covered"]) for r in got] == Brute([(e, b, f) for e, b, f in recs]).curve()
+
+
+def test_selection_from_texts_equals_that_from_arrays(spark):
+    """Environments read from a text give the picks and reports of those in columns."""
+    from sparkcurate.functions import columns as C
+    from sparkcurate.plans import queries
+
+    rng = np.random.default_rng(9)
+    texts = [" ".join(f"{'abcdefgh'[k % 8]}w{k}" for k in rng.geometric(0.06, size=rng.integers(0, 25))) for _ in range(60)]
+    docs = spark.createDataFrame([(i, "en", "s", len(t), t) for i, t in enumerate(texts)], "doc_id long, lang string, source string, n_chars int, text string")
+    made = queries.described(docs).join(docs.select("doc_id", "text"), "doc_id").select(
+        F.col("doc_id").alias("row"), F.col("doc_id").alias("CompoundID"), C.on_bits("t").alias("morgan_fp"), "atom_envs", "heavy_elements",
+        F.col("lang").alias("scaffold"), C.neighbour_pairs("t").alias("bonds"), F.col("n_chars").cast("double").alias("molwt"), "text")
+    wide = S.prepare(made, ["CompoundID"])
+    slim = S.prepare(made.drop("atom_envs", "heavy_elements", "bonds"), ["CompoundID"])
+    assert "envs" not in slim.columns
+    b = S.Budget(n=30, floor_budget=0.3, depth_budget=0.2, tier1_min=12, depth_nn_sim=0.9)
+    want, got = S.select(wide, b), S.select(slim, b, queries.ENVS)
+    rows_of = lambda df: sorted(map(repr, df.collect()))
+    assert got.count() and rows_of(got) == rows_of(want)
+    old, new = S.reports(wide, want, ("molwt",)), S.reports(slim, got, ("molwt",), queries.ENVS, queries.PAIRS)
+    for name in ("coverage", "thin_coverage", "bond_types"):
+        assert rows_of(new[name]) == rows_of(old[name]), name
