@@ -132,13 +132,15 @@ def test_tanimoto_blocks_hold_each_set_once(spark, monkeypatch):
         assert got[i] == max(len(set(a) & set(b)) / len(set(a) | set(b)) for j, b in enumerate(sets) if j != i)
 
 
-def test_tanimoto_blocks_are_bounded_by_bits(spark, monkeypatch):
+@pytest.mark.parametrize("direct", [1 << 22, 300])
+def test_tanimoto_blocks_are_bounded_by_bits(spark, monkeypatch, direct):
     """Blocks of large sets hold few of them, and the answer is the same."""
     from sparkcurate.operators import nearest
 
     tables, write = [], nearest.stored
     monkeypatch.setattr(nearest, "stored", lambda df: tables.append(write(df)) or tables[-1])
     monkeypatch.setattr(nearest, "BLOCK_BITS", 2000)
+    monkeypatch.setattr(nearest, "DIRECT", direct)
     rng = np.random.default_rng(6)
     sets = [sorted(set(rng.choice(700, size=rng.integers(20, 400)).tolist())) for _ in range(80)]
     df = spark.createDataFrame(list(enumerate(sets)), "id long, bits array<int>")
